@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference has no streams, no time column in its model, and no
+watermarks, windows or state (it reads three static parquet splits). Its
+jobs are batch jobs and are planned here as batch DataFrame jobs; no
+streaming operator is added that the reference does not have.
+"""
