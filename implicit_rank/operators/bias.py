@@ -86,17 +86,17 @@ class BiasModel:
         scored = self._attach(pairs)
         return scored.withColumn("prediction", self.mu() + F.col("b_i") + F.col("b_u")).drop("b_i", "b_u")
 
-    def rank_observed(self, pairs: DataFrame, k: int) -> DataFrame:
+    def rank_observed(self, pairs: DataFrame, k: int, by=()) -> DataFrame:
         """Rank each user's given pairs by predicted score, keep k.
 
         The coded behaviour: only the pairs passed in are ranked. Order is
         score desc, then item desc; within a user the score order is the
         b_i order, which is what is sorted on.
         """
-        scored = self._attach(pairs.select("user_id", "item_id"))
+        scored = self._attach(pairs.select(*by, "user_id", "item_id"))
         ranked = top_k_per_user(
-            scored, k, [F.round("b_i", RANK_KEY_PLACES).desc(), F.col("item_id").desc()])
-        return ranked.select("user_id", "item_id", "rnk",
+            scored, k, [F.round("b_i", RANK_KEY_PLACES).desc(), F.col("item_id").desc()], by=by)
+        return ranked.select(*by, "user_id", "item_id", "rnk",
                              (self.mu() + F.col("b_i") + F.col("b_u")).alias("score"))
 
     def item_order(self) -> DataFrame:

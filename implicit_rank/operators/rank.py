@@ -16,14 +16,14 @@ HEAD_ROWS = 100_000
 
 
 def top_k_per_user(scored: DataFrame, k: int, order: list[Column], user_col: str = "user_id",
-                   rank_col: str = "rnk") -> DataFrame:
+                   rank_col: str = "rnk", by=()) -> DataFrame:
     """Keep the first k rows per user in ``order`` and number them.
 
     ``row_number() <= k`` plans as a partial WindowGroupLimit before the
     shuffle and a final one after it, so a heavy user sends at most k rows
     per map task, never its whole list.
     """
-    w = Window.partitionBy(user_col).orderBy(*order)
+    w = Window.partitionBy(*by, user_col).orderBy(*order)
     return (
         scored.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
         .where(F.col(rank_col) <= k)

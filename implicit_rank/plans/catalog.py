@@ -91,3 +91,399 @@ def catalogue_recs(spark: SparkSession, sf_dir: str, k: int = K) -> tuple[DataFr
 def metrics_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs, test = catalogue_recs(spark, sf_dir)
     return rounded(ranking_metrics(recs, test, K))
+
+
+# -- sources, SQL text, preparation ---------------------------------------
+
+@register("interactions", f"SELECT user_id, item_id, round(cnt, 6) AS cnt FROM ({O.PURCHASES})")
+def q_interactions(spark, sf_dir):
+    """Purchases fixture (A1, C-join, group)."""
+    return rounded(purchases(spark, sf_dir))
+
+
+@register("event_interactions", f"SELECT user_id, item_id, cnt FROM ({O.EVENTS})")
+def q_event_interactions(spark, sf_dir):
+    """Events fixture: user x props.k, number of events."""
+    from implicit_rank.sources.fixtures import event_interactions
+    return event_interactions(spark, sf_dir)
+
+
+@register("sql_filter_project",
+          "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer WHERE c_nationkey > 6")
+def q_sql_filter_project(spark, sf_dir):
+    """Temp view + SQL text: compare predicate and projection."""
+    from implicit_rank.sources.fixtures import read_table
+    from implicit_rank.sources.io import register_views
+    register_views(spark, customer=read_table(spark, sf_dir, "customer"))
+    return rounded(spark.sql("SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_nationkey > 6"))
+
+
+@register("sql_count", "SELECT count(*) AS n_rows FROM part")
+def q_sql_count(spark, sf_dir):
+    """``SELECT count(*)`` over a view (A5, AG7)."""
+    from implicit_rank.sources.fixtures import read_table
+    from implicit_rank.sources.io import register_views
+    register_views(spark, part=read_table(spark, sf_dir, "part"))
+    return spark.sql("SELECT count(*) AS n_rows FROM part")
+
+
+MIN_COUNT = 2
+
+
+def _event_splits(spark, sf_dir):
+    from implicit_rank.sources.fixtures import event_interactions
+    return hash_split(event_interactions(spark, sf_dir), SEED)
+
+
+def _preprocessed_events(spark, sf_dir):
+    from implicit_rank.operators.prep import drop_low_counts, tag_split, union_all
+    ev = _event_splits(spark, sf_dir)
+    given = {name: ev.where(F.col("split") == name).select("user_id", "item_id", "cnt")
+             for name in ("train", "val", "test")}
+    tagged = union_all([tag_split(df, name) for name, df in given.items()])
+    return drop_low_counts(tagged, MIN_COUNT)
+
+
+@register("tag_union_threshold", _with(
+    f"e AS ({O.EVENTS})",
+    f"s AS (SELECT user_id, item_id, cnt, {O.split_expr(SEED)} AS split FROM e)")
+    + f"\nSELECT split, count(*) AS n_rows FROM s WHERE cnt >= {MIN_COUNT} GROUP BY split")
+def q_tag_union_threshold(spark, sf_dir):
+    """Tag given splits, union, drop low counts, count per split (B1-B3, F1, AG7)."""
+    from implicit_rank.operators.prep import split_counts
+    return split_counts(_preprocessed_events(spark, sf_dir))
+
+
+@register("index_ids", _with(
+    f"e AS ({O.EVENTS})",
+    f"s AS (SELECT user_id, item_id, cnt, {O.split_expr(SEED)} AS split FROM e WHERE cnt >= {MIN_COUNT})",
+    """ui AS (SELECT user_id, row_number() OVER (ORDER BY count(*) DESC, CAST(user_id AS VARCHAR)) - 1 AS user_idx
+              FROM s GROUP BY user_id)""",
+    """ii AS (SELECT item_id, row_number() OVER (ORDER BY count(*) DESC, CAST(item_id AS VARCHAR)) - 1 AS item_idx
+              FROM s GROUP BY item_id)""")
+    + "\nSELECT ui.user_idx, s.cnt, ii.item_idx, s.split FROM s JOIN ui USING (user_id) JOIN ii USING (item_id)")
+def q_index_ids(spark, sf_dir):
+    """Joint frequency index of users and items over all splits."""
+    from implicit_rank.operators.indexing import index_ids
+    from implicit_rank.operators.prep import indexed_columns
+    return rounded(indexed_columns(index_ids(_preprocessed_events(spark, sf_dir))))
+
+
+TOP_USERS = 100
+
+_TOP_SQL = f"top AS (SELECT user_id, count(*) AS activity FROM p GROUP BY user_id ORDER BY activity DESC, user_id LIMIT {TOP_USERS})"
+
+
+@register("topk_users", _with(f"p AS ({O.PURCHASES})", _TOP_SQL) + "\nSELECT user_id, activity FROM top")
+def q_topk_users(spark, sf_dir):
+    """Top-k most active users by rows (AG2, E1)."""
+    from implicit_rank.operators.sample import top_users
+    return top_users(purchases(spark, sf_dir), TOP_USERS)
+
+
+@register("topk_user_interactions", _with(f"p AS ({O.PURCHASES})", _TOP_SQL)
+          + "\nSELECT p.user_id, p.item_id, round(p.cnt, 6) AS cnt FROM p WHERE p.user_id IN (SELECT user_id FROM top)")
+def q_topk_user_interactions(spark, sf_dir):
+    """Interactions of the top-k users, broadcast semi-join."""
+    from implicit_rank.operators.sample import top_user_interactions
+    return rounded(top_user_interactions(purchases(spark, sf_dir), TOP_USERS))
+
+
+@register("subsample_topk", _with(
+    f"p AS ({O.PURCHASES})", _TOP_SQL,
+    "t AS (SELECT * FROM p WHERE user_id IN (SELECT user_id FROM top))",
+    """ui AS (SELECT user_id, row_number() OVER (ORDER BY count(*) DESC, CAST(user_id AS VARCHAR)) - 1 AS user_idx
+              FROM t GROUP BY user_id)""",
+    """ii AS (SELECT item_id, row_number() OVER (ORDER BY count(*) DESC, CAST(item_id AS VARCHAR)) - 1 AS item_idx
+              FROM t GROUP BY item_id)""")
+    + f"""\nSELECT t.user_id, t.item_id, round(t.cnt, 6) AS cnt, ui.user_idx, ii.item_idx, {O.split_expr(SEED, 't.user_id', 't.item_id')} AS split
+FROM t JOIN ui ON ui.user_id = t.user_id JOIN ii ON ii.item_id = t.item_id""")
+def q_subsample_topk(spark, sf_dir):
+    """Top-k-user subsample: top users, their rows, index inside, split."""
+    from implicit_rank.operators.sample import subsample_topk
+    return rounded(subsample_topk(purchases(spark, sf_dir), TOP_USERS, SEED))
+
+
+@register("hash_split", _with(O.base_ctes(SEED)) + "\nSELECT user_id, item_id, round(cnt, 6) AS cnt, split FROM s")
+def q_hash_split(spark, sf_dir):
+    """Stable 80/10/10 split on md5(user|item|seed)."""
+    return rounded(splits(spark, sf_dir))
+
+
+@register("split_counts", _with(O.base_ctes(SEED)) + "\nSELECT split, count(*) AS n_rows FROM s GROUP BY split")
+def q_split_counts(spark, sf_dir):
+    """Rows per split in one aggregation (AG7)."""
+    from implicit_rank.operators.prep import split_counts
+    return split_counts(splits(spark, sf_dir))
+
+
+N_FOLDS = 5
+HOLDOUT = 5
+
+_FOLDS_SQL = f"""f AS (
+  SELECT user_id, item_id, cnt,
+         CAST(CAST('0x' || substr({O.md5_of("'u'", 'user_id', seed=SEED)}, 1, 3) AS INTEGER) % {N_FOLDS} AS BIGINT) AS fold,
+         CAST(row_number() OVER (PARTITION BY user_id ORDER BY {O.md5_of('user_id', 'item_id', seed=SEED)}, item_id) <= {HOLDOUT} AS BIGINT) AS holdout
+  FROM p)"""
+
+
+def _folds(spark, sf_dir):
+    from implicit_rank.operators.sample import user_folds
+    return user_folds(purchases(spark, sf_dir), N_FOLDS, HOLDOUT, SEED)
+
+
+@register("user_folds", _with(f"p AS ({O.PURCHASES})", _FOLDS_SQL)
+          + "\nSELECT user_id, item_id, round(cnt, 6) AS cnt, fold, holdout FROM f")
+def q_user_folds(spark, sf_dir):
+    """User folds: user hash bucket, 5 held-out rows per user."""
+    return rounded(_folds(spark, sf_dir))
+
+
+@register("fold_summary", _with(f"p AS ({O.PURCHASES})", _FOLDS_SQL)
+          + """\nSELECT fold, count(DISTINCT user_id) AS n_users, CAST(sum(holdout) AS BIGINT) AS n_test,
+       count(*) - CAST(sum(holdout) AS BIGINT) AS n_rest FROM f GROUP BY fold""")
+def q_fold_summary(spark, sf_dir):
+    """Fold sizes; the test rows of all folds together are the truth (F3, AG8)."""
+    f = _folds(spark, sf_dir)
+    return f.groupBy("fold").agg(
+        F.countDistinct("user_id").alias("n_users"),
+        F.sum("holdout").cast("bigint").alias("n_test"),
+        (F.count(F.lit(1)) - F.sum("holdout")).cast("bigint").alias("n_rest"))
+
+
+# -- count to rating ------------------------------------------------------
+
+def _rating_sql(c: str, m: str, s: str) -> str:
+    lo, hi = f"({m} - 2 * {s})", f"({m} + 2 * {s})"
+    scaled = f"(5 * (least(greatest(CAST({c} AS DOUBLE), {lo}), {hi}) - {lo}) / ({hi} - {lo}))"
+    return f"CASE WHEN {s} IS NULL OR {s} = 0 THEN 2.5 WHEN {scaled} <= 0 THEN 0.05 ELSE {scaled} END"
+
+
+@register("count_to_rating", _with(O.base_ctes(SEED),
+          "rs AS (SELECT avg(cnt) AS m, stddev_samp(cnt) AS sd FROM train)")
+          + f"\nSELECT user_id, item_id, split, round({_rating_sql('cnt', 'rs.m', 'rs.sd')}, 6) AS rating FROM s, rs")
+def q_count_to_rating(spark, sf_dir):
+    """Count -> rating with train statistics, applied to every split (AG6, G1)."""
+    from implicit_rank.functions.rating import to_rating
+    s = splits(spark, sf_dir)
+    train = s.where(F.col("split") == "train")
+    out = to_rating(s, fitted_on=train).select("user_id", "item_id", "split", F.col("cnt").alias("rating"))
+    return rounded(out)
+
+
+@register("count_to_rating_per_item", _with(O.base_ctes(SEED),
+          "rs AS (SELECT item_id, avg(cnt) AS m, stddev_samp(cnt) AS sd FROM train GROUP BY item_id)")
+          + f"\nSELECT s.user_id, s.item_id, s.split, round({_rating_sql('s.cnt', 'rs.m', 'rs.sd')}, 6) AS rating "
+            "FROM s LEFT JOIN rs ON rs.item_id = s.item_id")
+def q_count_to_rating_per_item(spark, sf_dir):
+    """Per-item statistics variant (as the report describes G1)."""
+    from implicit_rank.functions.rating import to_rating
+    s = splits(spark, sf_dir)
+    train = s.where(F.col("split") == "train")
+    out = to_rating(s, fitted_on=train, per_item=True).select(
+        "user_id", "item_id", "split", F.col("cnt").alias("rating"))
+    return rounded(out)
+
+
+# -- bias model -------------------------------------------------------------
+
+_BIAS = _with(O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING))
+
+
+@register("bias_item_offsets", _BIAS + "\nSELECT item_id, round(b_i, 6) AS b_i, n_i FROM bi")
+def q_bias_item_offsets(spark, sf_dir):
+    """b_i = sum(r - mu) / (n_i + damping_item) (J1, J2, AG1, AG3, AG4)."""
+    train, _ = train_test(spark, sf_dir)
+    return rounded(fit_bias(train, default_bias()).item_offsets)
+
+
+@register("bias_user_offsets", _BIAS + "\nSELECT user_id, round(b_u, 6) AS b_u, n_u FROM bu")
+def q_bias_user_offsets(spark, sf_dir):
+    """b_u = sum(r - mu - b_i) / (n_u + damping_user)."""
+    train, _ = train_test(spark, sf_dir)
+    return rounded(fit_bias(train, default_bias()).user_offsets)
+
+
+@register("bias_undamped", _with(O.base_ctes(SEED), O.bias_ctes(0.0, 0.0))
+          + """\nSELECT 'item' AS kind, item_id AS id, round(b_i, 6) AS offset_value, n_i AS n FROM bi
+UNION ALL SELECT 'user' AS kind, user_id AS id, round(b_u, 6) AS offset_value, n_u AS n FROM bu""")
+def q_bias_undamped(spark, sf_dir):
+    """Damping 0: offsets are plain means of residuals (AG5)."""
+    train, _ = train_test(spark, sf_dir)
+    m = fit_bias(train, BiasConfig(damping=0.0))
+    items = m.item_offsets.select(F.lit("item").alias("kind"), F.col("item_id").alias("id"),
+                                  F.col("b_i").alias("offset_value"), F.col("n_i").alias("n"))
+    users = m.user_offsets.select(F.lit("user").alias("kind"), F.col("user_id").alias("id"),
+                                  F.col("b_u").alias("offset_value"), F.col("n_u").alias("n"))
+    return rounded(items.unionByName(users))
+
+
+def _predict_sql(prefix: str = "") -> str:
+    return f"""SELECT x.user_id, x.item_id,
+       round((SELECT mu FROM {prefix}st) + coalesce(i.b_i, 0) + coalesce(u.b_u, 0), 6) AS prediction
+FROM x LEFT JOIN {prefix}bi i ON i.item_id = x.item_id LEFT JOIN {prefix}bu u ON u.user_id = x.user_id"""
+
+
+@register("bias_predict", _with(O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING),
+                                "x AS (SELECT user_id, item_id FROM s WHERE split <> 'train')") + "\n" + _predict_sql())
+def q_bias_predict(spark, sf_dir):
+    """mu + b_i + b_u for held-out pairs; unseen users/items get offset 0."""
+    s = splits(spark, sf_dir)
+    train = s.where(F.col("split") == "train").select("user_id", "item_id", "cnt")
+    pairs = s.where(F.col("split") != "train").select("user_id", "item_id")
+    return rounded(fit_bias(train, default_bias()).predict(pairs))
+
+
+_VARIANTS = (("item_only", True, False), ("user_only", False, True), ("neither", False, False))
+
+
+@register("bias_variants", _with(
+    O.base_ctes(SEED),
+    O.bias_ctes(USER_DAMPING, ITEM_DAMPING, prefix="a_", users=False),
+    O.bias_ctes(USER_DAMPING, ITEM_DAMPING, prefix="b_", item=False),
+    O.bias_ctes(USER_DAMPING, ITEM_DAMPING, prefix="c_", item=False, users=False),
+    "x AS (SELECT user_id, item_id FROM test)")
+    + "\nSELECT 'item_only' AS variant, * FROM (" + _predict_sql("a_") + ")"
+    + "\nUNION ALL SELECT 'user_only' AS variant, * FROM (" + _predict_sql("b_") + ")"
+    + "\nUNION ALL SELECT 'neither' AS variant, * FROM (" + _predict_sql("c_") + ")")
+def q_bias_variants(spark, sf_dir):
+    """Item or user part switched off (J1 flags): predictions on test pairs."""
+    train, test = train_test(spark, sf_dir)
+    pairs = test.select("user_id", "item_id")
+    out = None
+    for name, item, users in _VARIANTS:
+        m = fit_bias(train, BiasConfig(item=item, users=users, damping=(USER_DAMPING, ITEM_DAMPING)))
+        part = m.predict(pairs).select(F.lit(name).alias("variant"), "user_id", "item_id", "prediction")
+        out = part if out is None else out.unionByName(part)
+    return rounded(out)
+
+
+_OBSERVED_SQL = """obs AS (
+  SELECT x.user_id, x.item_id,
+         row_number() OVER (PARTITION BY x.user_id ORDER BY round(coalesce(i.b_i, 0), 9) DESC, x.item_id DESC) AS rnk,
+         (SELECT mu FROM st) + coalesce(i.b_i, 0) + coalesce(u.b_u, 0) AS score
+  FROM test x LEFT JOIN bi i ON i.item_id = x.item_id LEFT JOIN bu u ON u.user_id = x.user_id)"""
+
+
+@register("bias_rank_observed", _with(O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), _OBSERVED_SQL)
+          + f"\nSELECT user_id, item_id, rnk, round(score, 6) AS score FROM obs WHERE rnk <= {K}")
+def q_bias_rank_observed(spark, sf_dir):
+    """Rank only the held-out pairs of each user, as coded."""
+    train, test = train_test(spark, sf_dir)
+    return rounded(fit_bias(train, default_bias()).rank_observed(test, K))
+
+
+@register("bias_topk_catalogue", _with(O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), O.catalogue_ctes(K))
+          + "\nSELECT user_id, item_id, rnk, round(score, 6) AS score FROM recs")
+def q_bias_topk_catalogue(spark, sf_dir):
+    """Top-k unseen catalogue items per test user."""
+    recs, _ = catalogue_recs(spark, sf_dir)
+    return rounded(recs)
+
+
+@register("bias_model_roundtrip", _with(O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING),
+                                        "x AS (SELECT user_id, item_id FROM test)") + "\n" + _predict_sql())
+def q_bias_model_roundtrip(spark, sf_dir):
+    """Save the model (three parquet parts), load it, predict."""
+    from implicit_rank.session import shared_folder
+    train, test = train_test(spark, sf_dir)
+    path = fit_bias(train, default_bias()).save(shared_folder(spark, "bias-model"))
+    return rounded(BiasModel.load(spark, path).predict(test.select("user_id", "item_id")))
+
+
+# -- metrics ----------------------------------------------------------------
+
+@register("metrics_observed", _with(O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), _OBSERVED_SQL,
+                                    f"orecs AS (SELECT * FROM obs WHERE rnk <= {K})",
+                                    O.metrics_ctes(K, "orecs", "test")) + "\n" + O.metrics_select())
+def q_metrics_observed(spark, sf_dir):
+    """Metrics when only held-out pairs are ranked: MAP and NDCG are 1."""
+    train, test = train_test(spark, sf_dir)
+    recs = fit_bias(train, default_bias()).rank_observed(test, K)
+    return rounded(ranking_metrics(recs, test, K))
+
+
+@register("metrics_lenient", _with(O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), O.catalogue_ctes(K),
+                                   O.lenient_ctes(K, "recs", "test")) + "\n" + O.lenient_select())
+def q_metrics_lenient(spark, sf_dir):
+    """Lenient precision/recall/NDCG with count gains and the manual MAP (K5-K8)."""
+    recs, test = catalogue_recs(spark, sf_dir)
+    return rounded(lenient_metrics(recs, test, K))
+
+
+def _by_k_sql() -> str:
+    parts = []
+    for k in KS:
+        parts.append(f"SELECT CAST({k} AS BIGINT) AS k, * FROM (" + _with(
+            O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), O.catalogue_ctes(K),
+            O.metrics_ctes(k, "recs", "test")) + "\n" + O.metrics_select() + ")")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("metrics_by_k", _by_k_sql())
+def q_metrics_by_k(spark, sf_dir):
+    """Metrics at several k from one list of length max(k), one aggregation."""
+    recs, test = catalogue_recs(spark, sf_dir, max(KS))
+    out = ranking_metrics(with_k_values(recs, KS), with_k_values(test, KS), "k", by=["k"], max_k=max(KS))
+    return rounded(out)
+
+
+@register("per_user_metrics", _with(O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), O.catalogue_ctes(K),
+                                    O.metrics_ctes(K, "recs", "test"))
+          + """\nSELECT user_id, n_truth, n_recs, n_hits, round(precision_at_k, 6) AS precision_at_k,
+       round(recall_at_k, 6) AS recall_at_k, round(map, 6) AS map, round(map_at_k, 6) AS map_at_k,
+       round(ndcg_at_k, 6) AS ndcg_at_k FROM m_pu""")
+def q_per_user_metrics(spark, sf_dir):
+    """One row per user with truth."""
+    from implicit_rank.operators.metrics import per_user_metrics
+    recs, test = catalogue_recs(spark, sf_dir)
+    return rounded(per_user_metrics(recs, test, K))
+
+
+@register("metrics_long", _with(O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), O.catalogue_ctes(K),
+                                O.metrics_ctes(K, "recs", "test"), "w AS (" + O.metrics_select() + ")")
+          + """\nSELECT 'precision_at_k' AS metric, precision_at_k AS value FROM w
+UNION ALL SELECT 'recall_at_k', recall_at_k FROM w UNION ALL SELECT 'map', map FROM w
+UNION ALL SELECT 'map_at_k', map_at_k FROM w UNION ALL SELECT 'ndcg_at_k', ndcg_at_k FROM w""")
+def q_metrics_long(spark, sf_dir):
+    """Metric report as (metric, value) rows."""
+    from implicit_rank.operators.metrics import metrics_long
+    recs, test = catalogue_recs(spark, sf_dir)
+    return metrics_long(rounded(ranking_metrics(recs, test, K)).drop("n_users"))
+
+
+@register("metrics_by_split", _with(
+    O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING),
+    """obs AS (
+  SELECT x.split, x.user_id, x.item_id,
+         row_number() OVER (PARTITION BY x.split, x.user_id ORDER BY round(coalesce(i.b_i, 0), 9) DESC, x.item_id DESC) AS rnk
+  FROM s x LEFT JOIN bi i ON i.item_id = x.item_id)""",
+    """nt AS (SELECT split, user_id, count(*) AS n_truth FROM s GROUP BY split, user_id)""",
+    f"""hits AS (SELECT split, user_id, rnk, row_number() OVER (PARTITION BY split, user_id ORDER BY rnk) AS h
+             FROM obs WHERE rnk <= {K})""",
+    """ha AS (SELECT split, user_id, count(*) AS n_hits, sum(h / rnk) AS prec_sum, sum(1 / log2(rnk + 1)) AS dcg
+           FROM hits GROUP BY split, user_id)""",
+    f"""pu AS (SELECT nt.split, ha.n_hits / {K} AS precision_at_k, ha.n_hits / nt.n_truth AS recall_at_k,
+       ha.prec_sum / nt.n_truth AS map, ha.prec_sum / least(nt.n_truth, {K}) AS map_at_k,
+       ha.dcg / (SELECT sum(1 / log2(i + 1)) FROM range(1, least(nt.n_truth, {K}) + 1) g(i)) AS ndcg_at_k
+     FROM nt JOIN ha ON ha.split = nt.split AND ha.user_id = nt.user_id)""")
+    + """\nSELECT split, count(*) AS n_users, round(avg(precision_at_k), 6) AS precision_at_k,
+  round(avg(recall_at_k), 6) AS recall_at_k, round(avg(map), 6) AS map, round(avg(map_at_k), 6) AS map_at_k,
+  round(avg(ndcg_at_k), 6) AS ndcg_at_k FROM pu GROUP BY split""")
+def q_metrics_by_split(spark, sf_dir):
+    """Train / val / test metrics of the coded (observed) mode in one aggregation."""
+    s = splits(spark, sf_dir)
+    train = s.where(F.col("split") == "train").select("user_id", "item_id", "cnt")
+    model = fit_bias(train, default_bias())
+    recs = model.rank_observed(s, K, by=["split"])
+    return rounded(ranking_metrics(recs, s, K, by=["split"]))
+
+
+@register("ranked_lists", _with(O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), O.catalogue_ctes(K))
+          + "\nSELECT user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rnk) AS items FROM recs GROUP BY user_id")
+def q_ranked_lists(spark, sf_dir):
+    """Array form of the lists at the API edge (AG9, G2-G4), shown as text."""
+    from implicit_rank.functions.arrays import ranked_lists
+    recs, _ = catalogue_recs(spark, sf_dir)
+    lists = ranked_lists(recs)
+    return lists.select("user_id", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"))
