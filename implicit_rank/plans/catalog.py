@@ -487,3 +487,184 @@ def q_ranked_lists(spark, sf_dir):
     recs, _ = catalogue_recs(spark, sf_dir)
     lists = ranked_lists(recs)
     return lists.select("user_id", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"))
+
+
+# -- studies of the bias model with oracles (L7, L8) -----------------------
+
+THRESHOLDS = (1, 10, 20, 30)
+
+
+def _threshold_sql() -> str:
+    ctes = [O.base_ctes(SEED)]
+    selects = []
+    for n in THRESHOLDS:
+        p = f"t{n}_"
+        ctes += [f"{p}train AS (SELECT * FROM train WHERE cnt >= {n})",
+                 f"{p}test AS (SELECT * FROM test WHERE cnt >= {n})",
+                 O.bias_ctes(USER_DAMPING, ITEM_DAMPING, src=f"{p}train", prefix=p),
+                 O.catalogue_ctes(K, prefix=p, seen=f"{p}train", truth=f"{p}test"),
+                 O.metrics_ctes(K, f"{p}recs", f"{p}test", prefix=f"{p}m_")]
+        selects.append(O.metrics_select(prefix=f"{p}m_", extra=f"CAST({n} AS BIGINT) AS threshold, "))
+    return _with(*ctes) + "\n" + "\nUNION ALL\n".join(selects)
+
+
+@register("metrics_by_threshold", _threshold_sql())
+def q_metrics_by_threshold(spark, sf_dir):
+    """Drop counts below N before splitting, refit, re-evaluate; N swept."""
+    from implicit_rank.operators.prep import drop_low_counts
+    s = splits(spark, sf_dir)
+    out = None
+    for n in THRESHOLDS:
+        kept = drop_low_counts(s, n)
+        train = kept.where(F.col("split") == "train").select("user_id", "item_id", "cnt")
+        test = kept.where(F.col("split") == "test").select("user_id", "item_id", "cnt")
+        recs = fit_bias(train, default_bias()).recommend(test.select("user_id"), train, K)
+        part = ranking_metrics(recs, test, K).select(F.lit(n).cast("bigint").alias("threshold"), "*")
+        out = part if out is None else out.unionByName(part)
+    return rounded(out)
+
+
+@register("count_vs_rating", _with(
+    O.base_ctes(SEED),
+    "rs AS (SELECT avg(cnt) AS m, stddev_samp(cnt) AS sd FROM train)",
+    f"rtrain AS (SELECT user_id, item_id, {_rating_sql('cnt', 'rs.m', 'rs.sd')} AS cnt FROM train, rs)",
+    O.bias_ctes(USER_DAMPING, ITEM_DAMPING),
+    O.catalogue_ctes(K),
+    O.metrics_ctes(K, "recs", "test", prefix="c_m_"),
+    O.bias_ctes(USER_DAMPING, ITEM_DAMPING, src="rtrain", prefix="r_"),
+    O.catalogue_ctes(K, prefix="r_"),
+    O.metrics_ctes(K, "r_recs", "test", prefix="r_m_"))
+    + "\n" + O.metrics_select("c_m_", "'count' AS variant, ")
+    + "\nUNION ALL\n" + O.metrics_select("r_m_", "'rating' AS variant, "))
+def q_count_vs_rating(spark, sf_dir):
+    """Bias model on raw counts and on ratings (G1), same truth."""
+    from implicit_rank.functions.rating import to_rating
+    train, test = train_test(spark, sf_dir)
+    out = None
+    for variant, fitted_on in (("count", train), ("rating", to_rating(train))):
+        recs = fit_bias(fitted_on, default_bias()).recommend(test.select("user_id"), train, K)
+        part = ranking_metrics(recs, test, K).select(F.lit(variant).alias("variant"), "*")
+        out = part if out is None else out.unionByName(part)
+    return rounded(out)
+
+
+# -- ALS and experiment sweeps (rows-only: iterative, not SQL) ---------------
+
+ALS_SMALL = dict(rank=10, max_iter=5, reg=1.0, alpha=10.0)
+
+
+def _als_params(**over):
+    from implicit_rank.operators.als import AlsParams
+    return AlsParams(**{**ALS_SMALL, **over})
+
+
+@register("als_score_pairs")
+def q_als_score_pairs(spark, sf_dir):
+    """Implicit ALS fit on train, predicted preference of test pairs; cold rows dropped."""
+    from implicit_rank.operators.als import fit_als, score_pairs
+    train, test = train_test(spark, sf_dir)
+    return rounded(score_pairs(fit_als(train, _als_params()), test))
+
+
+def _als_topk(spark, sf_dir, **over):
+    from implicit_rank.operators.als import fit_als, recommend
+    train, test = train_test(spark, sf_dir)
+    fit = fit_als(train, _als_params(**over))
+    return recommend(fit, test.select("user_id"), train, K), test
+
+
+@register("als_topk")
+def q_als_topk(spark, sf_dir):
+    """Top-k unseen catalogue items per test user from ALS."""
+    recs, _ = _als_topk(spark, sf_dir)
+    return rounded(recs)
+
+
+@register("als_presence")
+def q_als_presence(spark, sf_dir):
+    """ALS on presence only (rating 1.0) instead of counts."""
+    recs, _ = _als_topk(spark, sf_dir, use_counts=False)
+    return rounded(recs)
+
+
+@register("als_signed")
+def q_als_signed(spark, sf_dir):
+    """Factorisation without non-negativity."""
+    recs, _ = _als_topk(spark, sf_dir, nonnegative=False)
+    return rounded(recs)
+
+
+@register("als_metrics")
+def q_als_metrics(spark, sf_dir):
+    """Metrics of the ALS catalogue lists on test (K1-K4 on J8)."""
+    recs, test = _als_topk(spark, sf_dir)
+    return rounded(ranking_metrics(recs, test, K))
+
+
+@register("als_roundtrip")
+def q_als_roundtrip(spark, sf_dir):
+    """Save the ALS model with its id maps, load, score test pairs."""
+    from implicit_rank.operators.als import AlsFit, fit_als, score_pairs
+    from implicit_rank.session import shared_folder
+    train, test = train_test(spark, sf_dir)
+    path = fit_als(train, _als_params()).save(shared_folder(spark, "als-model"))
+    return rounded(score_pairs(AlsFit.load(spark, path), test))
+
+
+@register("als_grid")
+def q_als_grid(spark, sf_dir):
+    """Grid rank x lambda x alpha, fit on train, pick by precision@k on the fixed val split."""
+    from implicit_rank.plans.tune import build_grid, grid_search
+    s = splits(spark, sf_dir)
+    cols = ["user_id", "item_id", "cnt"]
+    train = s.where(F.col("split") == "train").select(*cols)
+    val = s.where(F.col("split") == "val").select(*cols)
+    grid = build_grid([5, 10], [0.1, 1.0], [10.0], _als_params())
+    table, _best = grid_search(spark, train, val, grid, K)
+    return rounded(table)
+
+
+@register("als_fold_sweep")
+def q_als_fold_sweep(spark, sf_dir):
+    """User folds x (ALS, bias), run log, per-user metrics, mean per setting (I5, L3-L5, K9, C7, AG10)."""
+    from implicit_rank.operators.sample import fold_test, fold_train
+    from implicit_rank.plans.tune import Algorithm, als_fitter, bias_fitter, mean_by, run_metrics, sweep
+    folds = _folds(spark, sf_dir).checkpoint(eager=True)
+    cols = ["user_id", "item_id", "cnt"]
+    datasets = {f"fold{f}": (fold_train(folds, f).select(*cols), fold_test(folds, f).select(*cols))
+                for f in range(N_FOLDS)}
+    p = _als_params()
+    algs = [Algorithm("ImplicitALS", {"rank": p.rank, "reg": p.reg, "alpha": p.alpha}, als_fitter(p)),
+            Algorithm("Bias", {"user_damping": USER_DAMPING, "item_damping": ITEM_DAMPING}, bias_fitter(default_bias()))]
+    run_log, recs = sweep(spark, datasets, algs, K)
+    per_user = run_metrics(run_log, recs, {n: t for n, (_, t) in datasets.items()}, K, include_missing=False)
+    return rounded(mean_by(per_user, ["algo"]))
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    """Bias vs ALS on test: metrics, fit and recommend time."""
+    from implicit_rank.plans.tune import Algorithm, als_fitter, bias_fitter, metric_by_time, run_metrics, sweep
+    train, test = train_test(spark, sf_dir)
+    p = _als_params()
+    algs = [Algorithm("Bias", {}, bias_fitter(default_bias())), Algorithm("ImplicitALS", {}, als_fitter(p))]
+    run_log, recs = sweep(spark, {"test": (train, test)}, algs, K)
+    per_user = run_metrics(run_log, recs, {"test": test}, K)
+    return rounded(metric_by_time(per_user, run_log))
+
+
+@register("fit_time_by_size")
+def q_fit_time_by_size(spark, sf_dir):
+    """Fit time and rows by top-k-user subsample size (I1 outputs swept, L10)."""
+    from implicit_rank.operators.sample import top_user_interactions
+    from implicit_rank.plans.tune import Algorithm, als_fitter, sweep
+    data = purchases(spark, sf_dir)
+    datasets = {}
+    for n in (50, 100, 200):
+        sub = hash_split(top_user_interactions(data, n), SEED).checkpoint(eager=True)
+        cols = ["user_id", "item_id", "cnt"]
+        datasets[f"top{n}"] = (sub.where(F.col("split") == "train").select(*cols),
+                               sub.where(F.col("split") == "test").select(*cols))
+    run_log, _ = sweep(spark, datasets, [Algorithm("ImplicitALS", {}, als_fitter(_als_params()))], K)
+    sizes = spark.createDataFrame([(name, n) for name, n in zip(datasets, (50, 100, 200))], "dataset string, top_users bigint")
+    return rounded(run_log.join(F.broadcast(sizes), "dataset").select("dataset", "top_users", "train_time", "rec_time"))
