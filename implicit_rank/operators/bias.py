@@ -118,7 +118,7 @@ class BiasModel:
         of it that they have not seen.
         """
         order = self.item_order()
-        recs = catalogue_topk(order, seen, users, k)
+        recs = catalogue_topk(order, seen, users, k, n_items=order.count())
         scored = self._attach(recs)
         return scored.select("user_id", "item_id", "rnk",
                              (self.mu() + F.col("b_i") + F.col("b_u")).alias("score"))

@@ -32,7 +32,7 @@ def top_k_per_user(scored: DataFrame, k: int, order: list[Column], user_col: str
 
 def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: int,
                    rank_col: str = "r", bucket_rows: int = BUCKET_ROWS,
-                   head_rows: int = HEAD_ROWS) -> DataFrame:
+                   head_rows: int = HEAD_ROWS, n_items: int | None = None) -> DataFrame:
     """First k items of a global order that each user has not seen.
 
     ``item_rank`` is ``(item_id, r)`` with r = 1..N a total order shared by
@@ -52,6 +52,10 @@ def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: i
     by an equi-join on the global rank; ranks up to ``head_rows`` (where
     nearly all slots fall, and which every user hits) come from a broadcast
     of at most ``head_rows`` rows, the rest from a shuffled join.
+
+    When the catalogue size ``n_items`` is known and fits in one bucket (or
+    in the head), the prefix branch (or the tail join) cannot contribute and
+    is left out of the plan; the group-size bounds still hold.
     """
     targets = users.select("user_id").distinct()
     ranks = item_rank.select("item_id", F.col(rank_col).cast("bigint").alias("_r"))
@@ -61,17 +65,17 @@ def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: i
         .join(ranks, "item_id")
         .withColumn("_b", F.floor((F.col("_r") - 1) / F.lit(bucket_rows)).cast("bigint"))
     )
-    per_bucket = seen_r.groupBy("user_id", "_b").agg(F.count(F.lit(1)).alias("_nb"))
-    earlier = Window.partitionBy("user_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_bucket.select(
-        "user_id", "_b", F.coalesce(F.sum("_nb").over(earlier), F.lit(0)).alias("_before")
-    )
     in_bucket = Window.partitionBy("user_id", "_b").orderBy("_r")
-    numbered = (
-        seen_r.withColumn("_lrn", F.row_number().over(in_bucket))
-        .join(prefix, ["user_id", "_b"])
-        .withColumn("_g", F.col("_r") - F.col("_before") - F.col("_lrn"))
-    )
+    numbered = seen_r.withColumn("_lrn", F.row_number().over(in_bucket))
+    if n_items is None or n_items > bucket_rows:
+        per_bucket = seen_r.groupBy("user_id", "_b").agg(F.count(F.lit(1)).alias("_nb"))
+        earlier = Window.partitionBy("user_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        prefix = per_bucket.select(
+            "user_id", "_b", F.coalesce(F.sum("_nb").over(earlier), F.lit(0)).alias("_before"))
+        numbered = numbered.join(prefix, ["user_id", "_b"])
+    else:
+        numbered = numbered.withColumn("_before", F.lit(0).cast("bigint"))
+    numbered = numbered.withColumn("_g", F.col("_r") - F.col("_before") - F.col("_lrn"))
     gaps = (
         numbered.where(F.col("_g") < k)
         .groupBy("user_id", (F.col("_g") + 1).alias("_q"))
@@ -85,9 +89,8 @@ def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: i
         .select("user_id", "_q", (F.col("_q") + F.col("_shift")).alias("_r"))
     )
     head = ranks.where(F.col("_r") <= head_rows)
-    tail = ranks.where(F.col("_r") > head_rows)
-    resolved = (
-        slots.where(F.col("_r") <= head_rows).join(F.broadcast(head), "_r")
-        .unionByName(slots.where(F.col("_r") > head_rows).join(tail, "_r"))
-    )
+    resolved = slots.where(F.col("_r") <= head_rows).join(F.broadcast(head), "_r")
+    if n_items is None or n_items > head_rows:
+        tail = ranks.where(F.col("_r") > head_rows)
+        resolved = resolved.unionByName(slots.where(F.col("_r") > head_rows).join(tail, "_r"))
     return resolved.select("user_id", "item_id", F.col("_q").alias("rnk"))

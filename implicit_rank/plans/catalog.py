@@ -63,12 +63,16 @@ def _with(*parts: str) -> str:
 
 # -- shared plan pieces ---------------------------------------------------
 
-def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hash_split(purchases(spark, sf_dir), SEED)
+def splits(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
+    """Purchases with their split. ``materialize`` checkpoints it once when a
+    plan reads it in several branches, so the lineitem x orders join is not
+    recomputed per branch."""
+    s = hash_split(purchases(spark, sf_dir), SEED)
+    return s.checkpoint(eager=True) if materialize else s
 
 
 def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    s = splits(spark, sf_dir)
+    s = splits(spark, sf_dir, materialize=True)
     cols = ["user_id", "item_id", "cnt"]
     return s.where(F.col("split") == "train").select(*cols), s.where(F.col("split") == "test").select(*cols)
 
@@ -265,7 +269,7 @@ def _rating_sql(c: str, m: str, s: str) -> str:
 def q_count_to_rating(spark, sf_dir):
     """Count -> rating with train statistics, applied to every split (AG6, G1)."""
     from implicit_rank.functions.rating import to_rating
-    s = splits(spark, sf_dir)
+    s = splits(spark, sf_dir, materialize=True)
     train = s.where(F.col("split") == "train")
     out = to_rating(s, fitted_on=train).select("user_id", "item_id", "split", F.col("cnt").alias("rating"))
     return rounded(out)
@@ -278,7 +282,7 @@ def q_count_to_rating(spark, sf_dir):
 def q_count_to_rating_per_item(spark, sf_dir):
     """Per-item statistics variant (as the report describes G1)."""
     from implicit_rank.functions.rating import to_rating
-    s = splits(spark, sf_dir)
+    s = splits(spark, sf_dir, materialize=True)
     train = s.where(F.col("split") == "train")
     out = to_rating(s, fitted_on=train, per_item=True).select(
         "user_id", "item_id", "split", F.col("cnt").alias("rating"))
@@ -328,7 +332,7 @@ FROM x LEFT JOIN {prefix}bi i ON i.item_id = x.item_id LEFT JOIN {prefix}bu u ON
                                 "x AS (SELECT user_id, item_id FROM s WHERE split <> 'train')") + "\n" + _predict_sql())
 def q_bias_predict(spark, sf_dir):
     """mu + b_i + b_u for held-out pairs; unseen users/items get offset 0."""
-    s = splits(spark, sf_dir)
+    s = splits(spark, sf_dir, materialize=True)
     train = s.where(F.col("split") == "train").select("user_id", "item_id", "cnt")
     pairs = s.where(F.col("split") != "train").select("user_id", "item_id")
     return rounded(fit_bias(train, default_bias()).predict(pairs))
@@ -472,7 +476,7 @@ def q_metrics_long(spark, sf_dir):
   round(avg(ndcg_at_k), 6) AS ndcg_at_k FROM pu GROUP BY split""")
 def q_metrics_by_split(spark, sf_dir):
     """Train / val / test metrics of the coded (observed) mode in one aggregation."""
-    s = splits(spark, sf_dir)
+    s = splits(spark, sf_dir, materialize=True)
     train = s.where(F.col("split") == "train").select("user_id", "item_id", "cnt")
     model = fit_bias(train, default_bias())
     recs = model.rank_observed(s, K, by=["split"])
@@ -512,7 +516,7 @@ def _threshold_sql() -> str:
 def q_metrics_by_threshold(spark, sf_dir):
     """Drop counts below N before splitting, refit, re-evaluate; N swept."""
     from implicit_rank.operators.prep import drop_low_counts
-    s = splits(spark, sf_dir)
+    s = splits(spark, sf_dir, materialize=True)
     out = None
     for n in THRESHOLDS:
         kept = drop_low_counts(s, n)
@@ -615,7 +619,7 @@ def q_als_roundtrip(spark, sf_dir):
 def q_als_grid(spark, sf_dir):
     """Grid rank x lambda x alpha, fit on train, pick by precision@k on the fixed val split."""
     from implicit_rank.plans.tune import build_grid, grid_search
-    s = splits(spark, sf_dir)
+    s = splits(spark, sf_dir, materialize=True)
     cols = ["user_id", "item_id", "cnt"]
     train = s.where(F.col("split") == "train").select(*cols)
     val = s.where(F.col("split") == "val").select(*cols)
