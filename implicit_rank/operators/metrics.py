@@ -9,7 +9,8 @@ with truth):
 
 * precision@k = hits in the first k / k
 * recall@k    = hits in the first k / |truth|
-* AP          = sum over hits of (hits so far / rank) / |truth|;   MAP = mean
+* AP          = sum over hits of (hits so far / rank) / |truth|, over the
+                list as produced (cut at k);   MAP = mean
 * AP@k        = the same over the first k / min(|truth|, k)
 * NDCG@k      = sum over hits of 1/log2(rank+1) / sum_{i<=min(|truth|,k)} 1/log2(i+1)
 
