@@ -1,7 +1,7 @@
 """Fit implicit ALS (single setting or grid on the fixed val split),
 save it, report top-k catalogue metrics on test.
 
-spark-submit -m implicit_rank.jobs.als_train --train-file a --val-file b --test-file c --rank 10 --k 500
+spark-submit --py-files implicit_rank.zip implicit_rank/jobs/als_train.py --train-file a --val-file b --test-file c --rank 10 --k 500
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Fit (or load) the bias model, report metrics for train/val/test.
 
-spark-submit -m implicit_rank.jobs.bias_train -tr a -v b -te c -du 100 -di 300 -k 500
+spark-submit --py-files implicit_rank.zip implicit_rank/jobs/bias_train.py -tr a -v b -te c -du 100 -di 300 -k 500
 """
 
 from __future__ import annotations

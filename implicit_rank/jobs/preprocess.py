@@ -1,7 +1,7 @@
 """Tag three given splits, union, drop low counts, index ids jointly,
 write one dataset partitioned by split (fails if it exists).
 
-spark-submit -m implicit_rank.jobs.preprocess --train a --val b --test c -o <dir>
+spark-submit --py-files implicit_rank.zip implicit_rank/jobs/preprocess.py --train a --val b --test c -o <dir>
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Top-k-user subsample with ids indexed and a hash split.
 
-spark-submit -m implicit_rank.jobs.subsample -i <parquet> -o <dir> -k 1000 -s 1004
+spark-submit --py-files implicit_rank.zip implicit_rank/jobs/subsample.py -i <parquet> -o <dir> -k 1000 -s 1004
 """
 
 from __future__ import annotations
