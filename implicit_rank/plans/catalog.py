@@ -555,6 +555,8 @@ def q_count_vs_rating(spark, sf_dir):
 # -- ALS and experiment sweeps (rows-only: iterative, not SQL) ---------------
 
 ALS_SMALL = dict(rank=10, max_iter=5, reg=1.0, alpha=10.0)
+# Runs of a sweep submitted concurrently (they share the executors).
+SWEEP_PARALLELISM = 4
 
 
 def _als_params(**over):
@@ -624,7 +626,7 @@ def q_als_grid(spark, sf_dir):
     train = s.where(F.col("split") == "train").select(*cols)
     val = s.where(F.col("split") == "val").select(*cols)
     grid = build_grid([5, 10], [0.1, 1.0], [10.0], _als_params())
-    table, _best = grid_search(spark, train, val, grid, K)
+    table, _best = grid_search(spark, train, val, grid, K, parallelism=SWEEP_PARALLELISM)
     return rounded(table)
 
 
@@ -637,12 +639,28 @@ def q_als_fold_sweep(spark, sf_dir):
     cols = ["user_id", "item_id", "cnt"]
     datasets = {f"fold{f}": (fold_train(folds, f).select(*cols), fold_test(folds, f).select(*cols))
                 for f in range(N_FOLDS)}
-    p = _als_params()
-    algs = [Algorithm("ImplicitALS", {"rank": p.rank, "reg": p.reg, "alpha": p.alpha}, als_fitter(p)),
-            Algorithm("Bias", {"user_damping": USER_DAMPING, "item_damping": ITEM_DAMPING}, bias_fitter(default_bias()))]
-    run_log, recs = sweep(spark, datasets, algs, K)
+    algs = [Algorithm("ImplicitALS", {"rank": r, "reg": 1.0, "alpha": 10.0},
+                      als_fitter(_als_params(rank=r, max_iter=3))) for r in (5, 10)]
+    algs.append(Algorithm("Bias", {"user_damping": USER_DAMPING, "item_damping": ITEM_DAMPING},
+                          bias_fitter(default_bias())))
+    run_log, recs = sweep(spark, datasets, algs, K, parallelism=SWEEP_PARALLELISM)
     per_user = run_metrics(run_log, recs, {n: t for n, (_, t) in datasets.items()}, K, include_missing=False)
-    return rounded(mean_by(per_user, ["algo"]))
+    return rounded(mean_by(per_user, ["algo", "rank", "reg", "alpha"]))
+
+
+@register("als_train_ratio_search")
+def q_als_train_ratio_search(spark, sf_dir):
+    """The coded tuning path: TrainValidationSplit over train+val with the
+    train ratio, observed-pair evaluator (I4, L2, K12)."""
+    from implicit_rank.plans.tune import build_grid, train_ratio_search
+    s = splits(spark, sf_dir, materialize=True)
+    cols = ["user_id", "item_id", "cnt"]
+    train = s.where(F.col("split") == "train").select(*cols)
+    val = s.where(F.col("split") == "val").select(*cols)
+    grid = build_grid([5, 10], [1.0], [10.0], _als_params(max_iter=3))
+    metrics, best = train_ratio_search(train, val, grid, K)
+    rows = [(g.rank, g.reg, g.alpha, float(m), int(g == best)) for g, m in zip(grid, metrics)]
+    return spark.createDataFrame(rows, "rank bigint, reg double, alpha double, precision_at_k double, best bigint")
 
 
 @register("model_comparison")

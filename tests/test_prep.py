@@ -81,3 +81,25 @@ def test_rating_transform_edges(spark):
     out = [r.cnt for r in to_rating(df).orderBy("item_id").collect()]
     assert all(0.05 <= x <= 5.0 for x in out)
     assert out == sorted(out)
+
+
+def test_csv_with_ddl_json_views_and_route(spark, sf_small):
+    import tempfile
+
+    from implicit_rank.operators.prep import route
+    from implicit_rank.sources.io import preview, read_csv, read_json, register_views
+    d = tempfile.mkdtemp(prefix="ir-io-", dir="/tmp")
+    cust = spark.read.parquet(f"{sf_small}/customer.parquet").select("c_custkey", "c_name", "c_nationkey")
+    cust.write.csv(f"{d}/customer_csv")
+    back = read_csv(spark, f"{d}/customer_csv", "c_custkey BIGINT, c_name STRING, c_nationkey INT")
+    assert back.schema.simpleString() == "struct<c_custkey:bigint,c_name:string,c_nationkey:int>"
+    assert back.count() == cust.count()
+    cust.write.json(f"{d}/customer_json")
+    inferred = read_json(spark, f"{d}/customer_json")
+    assert set(inferred.columns) == {"c_custkey", "c_name", "c_nationkey"}
+    register_views(spark, sailors=inferred)
+    n = spark.sql("SELECT c_custkey, c_name FROM sailors WHERE c_nationkey > 6").count()
+    assert n == cust.where("c_nationkey > 6").count()
+    assert preview(inferred, 3).count() == 3
+    tagged = hash_split(purchases(spark, sf_small), 42)
+    assert route(tagged, "test").where("split != 'test'").count() == 0
