@@ -170,7 +170,9 @@ def q_index_ids(spark, sf_dir):
     """Joint frequency index of users and items over all splits."""
     from implicit_rank.operators.indexing import index_ids
     from implicit_rank.operators.prep import indexed_columns
-    return rounded(indexed_columns(index_ids(_preprocessed_events(spark, sf_dir))))
+    # read by both index passes and the final join: parse the JSON once
+    kept = _preprocessed_events(spark, sf_dir).checkpoint(eager=True)
+    return rounded(indexed_columns(index_ids(kept)))
 
 
 TOP_USERS = 100
