@@ -35,11 +35,34 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
+def _zero_safe(sql: str, places: int = 6) -> str:
+    """``round(x, 6)`` -> ``(round(x, 6) + 0.0)``: SQL rounding can return -0.0
+    for tiny negatives, which hashes differently from 0.0."""
+    out, i, token = [], 0, "round("
+    while True:
+        j = sql.find(token, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(token) - 1
+        while True:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            if depth == 0:
+                break
+            k += 1
+        inner = _zero_safe(sql[j + len(token):k], places)
+        call = f"round({inner})"
+        if inner.replace(" ", "").endswith(f",{places}"):
+            call = f"({call} + CAST(0 AS DOUBLE))"
+        out.append(sql[i:j] + call)
+        i = k + 1
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = _zero_safe(sql)
         return fn
     return deco
 
@@ -49,7 +72,8 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name).cast("double"), places).alias(f.name))
+            # + 0.0 turns a -0.0 into 0.0
+            cols.append((F.round(F.col(f.name).cast("double"), places) + F.lit(0.0)).alias(f.name))
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             cols.append(F.col(f.name).cast("bigint").alias(f.name))
         else:

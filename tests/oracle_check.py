@@ -29,7 +29,7 @@ def _norm(v):
     if v is None:
         return "NULL"
     if isinstance(v, float):
-        return repr(round(v, 6) + 0.0)
+        return repr(v)
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return str(v)
