@@ -716,3 +716,35 @@ def q_fit_time_by_size(spark, sf_dir):
     run_log, _ = sweep(spark, datasets, [Algorithm("ImplicitALS", {}, als_fitter(_als_params()))], K)
     sizes = spark.createDataFrame([(name, n) for name, n in zip(datasets, (50, 100, 200))], "dataset string, top_users bigint")
     return rounded(run_log.join(F.broadcast(sizes), "dataset").select("dataset", "top_users", "train_time", "rec_time"))
+
+
+# -- the same bias pipeline on the events fixture: 100 items, many exact
+#    ties of b_i, users who have seen nearly the whole catalogue ----------
+
+def _event_train_test(spark, sf_dir):
+    s = _event_splits(spark, sf_dir).checkpoint(eager=True)
+    cols = ["user_id", "item_id", "cnt"]
+    return s.where(F.col("split") == "train").select(*cols), s.where(F.col("split") == "test").select(*cols)
+
+
+def _event_recs(spark, sf_dir):
+    train, test = _event_train_test(spark, sf_dir)
+    return fit_bias(train, default_bias()).recommend(test.select("user_id"), train, K), test
+
+
+@register("bias_topk_catalogue_events", _with(
+    O.base_ctes(SEED, O.EVENTS), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), O.catalogue_ctes(K))
+    + "\nSELECT user_id, item_id, rnk, round(score, 6) AS score FROM recs")
+def q_bias_topk_catalogue_events(spark, sf_dir):
+    """Top-k unseen on the events fixture: ties broken by item id, short lists."""
+    recs, _ = _event_recs(spark, sf_dir)
+    return rounded(recs)
+
+
+@register("metrics_catalogue_events", _with(
+    O.base_ctes(SEED, O.EVENTS), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), O.catalogue_ctes(K),
+    O.metrics_ctes(K, "recs", "test")) + "\n" + O.metrics_select())
+def q_metrics_catalogue_events(spark, sf_dir):
+    """Flagship metrics on the events fixture (K1-K4)."""
+    recs, test = _event_recs(spark, sf_dir)
+    return rounded(ranking_metrics(recs, test, K))
