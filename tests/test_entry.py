@@ -19,3 +19,27 @@ def test_grid_is_the_product():
     assert len(grid) == 8
     assert {(g.rank, g.reg, g.alpha) for g in grid} == {
         (r, l, a) for r in (5, 10) for l in (0.1, 1.0) for a in (10.0, 20.0)}
+
+
+def test_sweep_run_log_round_trip(spark, sf_small):
+    from pyspark.sql import functions as F
+
+    from implicit_rank.operators.bias import BiasConfig
+    from implicit_rank.operators.sample import hash_split
+    from implicit_rank.plans.tune import (Algorithm, bias_fitter, mean_by, read_recs, read_run_log,
+                                          run_metrics, sweep, write_run_log)
+    from implicit_rank.session import shared_folder
+    from implicit_rank.sources.fixtures import purchases
+
+    s = hash_split(purchases(spark, sf_small), 42).checkpoint()
+    train = s.where("split = 'train'").select("user_id", "item_id", "cnt")
+    test = s.where("split = 'test'").select("user_id", "item_id", "cnt")
+    algs = [Algorithm("Bias", {"damping": d}, bias_fitter(BiasConfig(damping=d))) for d in (0.0, 10.0)]
+    out = shared_folder(spark, "test-sweep")
+    run_log, recs = sweep(spark, {"d": (train, test)}, algs, 5, out_dir=out, parallelism=2)
+    path = write_run_log(run_log, f"{out}/runs.csv")
+    back = read_run_log(spark, path)
+    assert back.count() == 2 and set(back.columns) == set(run_log.columns)
+    assert read_recs(spark, f"{out}/recs", [1]).select("run_id").distinct().count() == 1
+    table = mean_by(run_metrics(run_log, recs, {"d": test}, 5), ["damping"])
+    assert {r.damping for r in table.collect()} == {0.0, 10.0}
