@@ -31,6 +31,8 @@ def get_session(
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("IR_DRIVER_MEMORY", "8g"))
+        # remove checkpoint files once their DataFrames are garbage-collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
