@@ -32,13 +32,15 @@ def top_k_per_user(scored: DataFrame, k: int, order: list[Column], user_col: str
 
 def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: int,
                    rank_col: str = "r", bucket_rows: int = BUCKET_ROWS,
-                   head_rows: int = HEAD_ROWS, n_items: int | None = None) -> DataFrame:
+                   head_rows: int = HEAD_ROWS, n_items: int | None = None,
+                   carry: tuple[str, ...] = ()) -> DataFrame:
     """First k items of a global order that each user has not seen.
 
     ``item_rank`` is ``(item_id, r)`` with r = 1..N a total order shared by
     all users (the bias model orders items the same way for everyone).
     ``seen`` holds ``(user_id, item_id)`` pairs to exclude and ``users`` the
-    target users. Returns ``(user_id, item_id, rnk)``.
+    target users. Returns ``(user_id, item_id, rnk, *carry)``; ``carry``
+    names columns of ``item_rank`` (e.g. the item score) to pass through.
 
     Let a user's seen items have global ranks r_1 < r_2 < ... and
     g_j = r_j - j, the number of unseen items ranked above r_j. The q-th
@@ -58,11 +60,11 @@ def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: i
     is left out of the plan; the group-size bounds still hold.
     """
     targets = users.select("user_id").distinct()
-    ranks = item_rank.select("item_id", F.col(rank_col).cast("bigint").alias("_r"))
+    ranks = item_rank.select("item_id", F.col(rank_col).cast("bigint").alias("_r"), *carry)
     seen_r = (
         seen.select("user_id", "item_id")
         .join(targets, "user_id", "left_semi")
-        .join(ranks, "item_id")
+        .join(ranks.select("item_id", "_r"), "item_id")
         .withColumn("_b", F.floor((F.col("_r") - 1) / F.lit(bucket_rows)).cast("bigint"))
     )
     in_bucket = Window.partitionBy("user_id", "_b").orderBy("_r")
@@ -93,4 +95,4 @@ def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: i
     if n_items is None or n_items > head_rows:
         tail = ranks.where(F.col("_r") > head_rows)
         resolved = resolved.unionByName(slots.where(F.col("_r") > head_rows).join(tail, "_r"))
-    return resolved.select("user_id", "item_id", F.col("_q").alias("rnk"))
+    return resolved.select("user_id", "item_id", F.col("_q").alias("rnk"), *carry)
