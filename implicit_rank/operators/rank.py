@@ -68,9 +68,15 @@ def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: i
         .withColumn("_b", F.floor((F.col("_r") - 1) / F.lit(bucket_rows)).cast("bigint"))
     )
     in_bucket = Window.partitionBy("user_id", "_b").orderBy("_r")
-    numbered = seen_r.withColumn("_lrn", F.row_number().over(in_bucket))
+    # a repeated (user, item) pair is counted once; same window partitioning,
+    # so dropping repeats adds no shuffle
+    numbered = (
+        seen_r.withColumn("_prev", F.lag("_r").over(in_bucket))
+        .where(F.col("_prev").isNull() | (F.col("_prev") != F.col("_r")))
+        .withColumn("_lrn", F.row_number().over(in_bucket))
+    )
     if n_items is None or n_items > bucket_rows:
-        per_bucket = seen_r.groupBy("user_id", "_b").agg(F.count(F.lit(1)).alias("_nb"))
+        per_bucket = numbered.groupBy("user_id", "_b").agg(F.count(F.lit(1)).alias("_nb"))
         earlier = Window.partitionBy("user_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
         prefix = per_bucket.select(
             "user_id", "_b", F.coalesce(F.sum("_nb").over(earlier), F.lit(0)).alias("_before"))

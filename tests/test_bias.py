@@ -110,7 +110,8 @@ def test_catalogue_topk_equals_brute_force(spark, bucket_rows, head_rows, known)
     seen[26] = set(order[:-3])       # fewer than k unseen left
     users = list(range(28))          # user 27 has no history
     item_rank = spark.createDataFrame([(i, r + 1) for r, i in enumerate(order)], "item_id bigint, r bigint")
-    seen_df = spark.createDataFrame([(u, i) for u, s in seen.items() for i in s], "user_id bigint, item_id bigint")
+    pairs = [(u, i) for u, s in seen.items() for i in s]
+    seen_df = spark.createDataFrame(pairs + pairs[::3], "user_id bigint, item_id bigint")  # with repeats
     users_df = spark.createDataFrame([(u,) for u in users], "user_id bigint")
     got = catalogue_topk(item_rank, seen_df, users_df, k, bucket_rows=bucket_rows, head_rows=head_rows,
                          n_items=n_items if known else None)
