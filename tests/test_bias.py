@@ -130,3 +130,28 @@ def test_rank_observed_is_all_hits(spark):
     recs = m.rank_observed(df, 10)
     row = ranking_metrics(recs, df, 10).first()
     assert row.map == pytest.approx(1.0) and row.ndcg_at_k == pytest.approx(1.0)
+
+
+def test_ties_are_broken_by_item_id(spark):
+    # items 7, 3, 5 have identical counts -> identical b_i; order must be by id
+    rows = [(u, i, 2.0) for u in (1, 2) for i in (7, 3, 5)] + [(3, 9, 9.0)]
+    m = fit_bias(_df(spark, rows), BiasConfig(damping=0))
+    order = [r.item_id for r in m.item_order().orderBy("r").collect()]
+    assert order == [9, 3, 5, 7]
+    users = spark.createDataFrame([(3,)], "user_id bigint")
+    recs = m.recommend(users, _df(spark, rows).select("user_id", "item_id"), 2).orderBy("rnk").collect()
+    assert [r.item_id for r in recs] == [3, 5]
+
+
+def test_one_interaction(spark):
+    m = fit_bias(_df(spark, [(1, 1, 4.0)]), BiasConfig(damping=0))
+    assert m.item_offsets.first().b_i == 0.0 and m.user_offsets.first().b_u == 0.0
+    assert m.stats.first().mu == 4.0
+
+
+def test_users_without_truth_are_not_scored(spark):
+    from implicit_rank.operators.metrics import ranking_metrics
+    recs = spark.createDataFrame([(1, 10, 1), (2, 20, 1)], "user_id bigint, item_id bigint, rnk bigint")
+    truth = spark.createDataFrame([(1, 10, 1.0)], "user_id bigint, item_id bigint, cnt double")
+    row = ranking_metrics(recs, truth, 1).first()
+    assert row.n_users == 1 and row.precision_at_k == 1.0

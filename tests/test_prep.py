@@ -103,3 +103,16 @@ def test_csv_with_ddl_json_views_and_route(spark, sf_small):
     assert preview(inferred, 3).count() == 3
     tagged = hash_split(purchases(spark, sf_small), 42)
     assert route(tagged, "test").where("split != 'test'").count() == 0
+
+
+def test_null_ids_are_skipped_on_read(spark):
+    import tempfile
+
+    from implicit_rank.sources.io import SchemaError, read_interactions
+    d = tempfile.mkdtemp(prefix="ir-nulls-", dir="/tmp")
+    spark.createDataFrame([("a", 1, "t1"), (None, 2, "t2"), ("b", 3, None), ("c", 4, "t3")],
+                          "user_id string, count int, track_id string").write.parquet(f"{d}/x")
+    df = read_interactions(spark, f"{d}/x", "user_id", "track_id", "count")
+    assert df.columns == ["user_id", "item_id", "cnt"] and df.count() == 2
+    with pytest.raises(SchemaError):
+        read_interactions(spark, f"{d}/x", "uid", "track_id", "count")
