@@ -35,34 +35,11 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
-def _zero_safe(sql: str, places: int = 6) -> str:
-    """``round(x, 6)`` -> ``(round(x, 6) + 0.0)``: SQL rounding can return -0.0
-    for tiny negatives, which hashes differently from 0.0."""
-    out, i, token = [], 0, "round("
-    while True:
-        j = sql.find(token, i)
-        if j < 0:
-            out.append(sql[i:])
-            return "".join(out)
-        depth, k = 0, j + len(token) - 1
-        while True:
-            depth += {"(": 1, ")": -1}.get(sql[k], 0)
-            if depth == 0:
-                break
-            k += 1
-        inner = _zero_safe(sql[j + len(token):k], places)
-        call = f"round({inner})"
-        if inner.replace(" ", "").endswith(f",{places}"):
-            call = f"({call} + CAST(0 AS DOUBLE))"
-        out.append(sql[i:j] + call)
-        i = k + 1
-
-
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = _zero_safe(sql)
+            ORACLE[name] = sql
         return fn
     return deco
 
@@ -123,7 +100,7 @@ def metrics_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- sources, SQL text, preparation ---------------------------------------
 
-@register("interactions", f"SELECT user_id, item_id, round(cnt, 6) AS cnt FROM ({O.PURCHASES})")
+@register("interactions", f"SELECT user_id, item_id, (round(cnt, 6) + CAST(0 AS DOUBLE)) AS cnt FROM ({O.PURCHASES})")
 def q_interactions(spark, sf_dir):
     """Purchases fixture (A1, C-join, group)."""
     return rounded(purchases(spark, sf_dir))
@@ -212,7 +189,7 @@ def q_topk_users(spark, sf_dir):
 
 
 @register("topk_user_interactions", _with(f"p AS ({O.PURCHASES})", _TOP_SQL)
-          + "\nSELECT p.user_id, p.item_id, round(p.cnt, 6) AS cnt FROM p WHERE p.user_id IN (SELECT user_id FROM top)")
+          + "\nSELECT p.user_id, p.item_id, (round(p.cnt, 6) + CAST(0 AS DOUBLE)) AS cnt FROM p WHERE p.user_id IN (SELECT user_id FROM top)")
 def q_topk_user_interactions(spark, sf_dir):
     """Interactions of the top-k users, broadcast semi-join."""
     from implicit_rank.operators.sample import top_user_interactions
@@ -226,7 +203,7 @@ def q_topk_user_interactions(spark, sf_dir):
               FROM t GROUP BY user_id)""",
     """ii AS (SELECT item_id, row_number() OVER (ORDER BY count(*) DESC, CAST(item_id AS VARCHAR)) - 1 AS item_idx
               FROM t GROUP BY item_id)""")
-    + f"""\nSELECT t.user_id, t.item_id, round(t.cnt, 6) AS cnt, ui.user_idx, ii.item_idx, {O.split_expr(SEED, 't.user_id', 't.item_id')} AS split
+    + f"""\nSELECT t.user_id, t.item_id, (round(t.cnt, 6) + CAST(0 AS DOUBLE)) AS cnt, ui.user_idx, ii.item_idx, {O.split_expr(SEED, 't.user_id', 't.item_id')} AS split
 FROM t JOIN ui ON ui.user_id = t.user_id JOIN ii ON ii.item_id = t.item_id""")
 def q_subsample_topk(spark, sf_dir):
     """Top-k-user subsample: top users, their rows, index inside, split."""
@@ -234,7 +211,7 @@ def q_subsample_topk(spark, sf_dir):
     return rounded(subsample_topk(purchases(spark, sf_dir), TOP_USERS, SEED))
 
 
-@register("hash_split", _with(O.base_ctes(SEED)) + "\nSELECT user_id, item_id, round(cnt, 6) AS cnt, split FROM s")
+@register("hash_split", _with(O.base_ctes(SEED)) + "\nSELECT user_id, item_id, (round(cnt, 6) + CAST(0 AS DOUBLE)) AS cnt, split FROM s")
 def q_hash_split(spark, sf_dir):
     """Stable 80/10/10 split on md5(user|item|seed)."""
     return rounded(splits(spark, sf_dir))
@@ -263,7 +240,7 @@ def _folds(spark, sf_dir):
 
 
 @register("user_folds", _with(f"p AS ({O.PURCHASES})", _FOLDS_SQL)
-          + "\nSELECT user_id, item_id, round(cnt, 6) AS cnt, fold, holdout FROM f")
+          + "\nSELECT user_id, item_id, (round(cnt, 6) + CAST(0 AS DOUBLE)) AS cnt, fold, holdout FROM f")
 def q_user_folds(spark, sf_dir):
     """User folds: user hash bucket, 5 held-out rows per user."""
     return rounded(_folds(spark, sf_dir))
@@ -291,7 +268,7 @@ def _rating_sql(c: str, m: str, s: str) -> str:
 
 @register("count_to_rating", _with(O.base_ctes(SEED),
           "rs AS (SELECT avg(cnt) AS m, stddev_samp(cnt) AS sd FROM train)")
-          + f"\nSELECT user_id, item_id, split, round({_rating_sql('cnt', 'rs.m', 'rs.sd')}, 6) AS rating FROM s, rs")
+          + f"\nSELECT user_id, item_id, split, (round({_rating_sql('cnt', 'rs.m', 'rs.sd')}, 6) + CAST(0 AS DOUBLE)) AS rating FROM s, rs")
 def q_count_to_rating(spark, sf_dir):
     """Count -> rating with train statistics, applied to every split (AG6, G1)."""
     from implicit_rank.functions.rating import to_rating
@@ -303,7 +280,7 @@ def q_count_to_rating(spark, sf_dir):
 
 @register("count_to_rating_per_item", _with(O.base_ctes(SEED),
           "rs AS (SELECT item_id, avg(cnt) AS m, stddev_samp(cnt) AS sd FROM train GROUP BY item_id)")
-          + f"\nSELECT s.user_id, s.item_id, s.split, round({_rating_sql('s.cnt', 'rs.m', 'rs.sd')}, 6) AS rating "
+          + f"\nSELECT s.user_id, s.item_id, s.split, (round({_rating_sql('s.cnt', 'rs.m', 'rs.sd')}, 6) + CAST(0 AS DOUBLE)) AS rating "
             "FROM s LEFT JOIN rs ON rs.item_id = s.item_id")
 def q_count_to_rating_per_item(spark, sf_dir):
     """Per-item statistics variant (as the report describes G1)."""
@@ -320,14 +297,14 @@ def q_count_to_rating_per_item(spark, sf_dir):
 _BIAS = _with(O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING))
 
 
-@register("bias_item_offsets", _BIAS + "\nSELECT item_id, round(b_i, 6) AS b_i, n_i FROM bi")
+@register("bias_item_offsets", _BIAS + "\nSELECT item_id, (round(b_i, 6) + CAST(0 AS DOUBLE)) AS b_i, n_i FROM bi")
 def q_bias_item_offsets(spark, sf_dir):
     """b_i = sum(r - mu) / (n_i + damping_item) (J1, J2, AG1, AG3, AG4)."""
     train, _ = train_test(spark, sf_dir)
     return rounded(fit_bias(train, default_bias()).item_offsets)
 
 
-@register("bias_user_offsets", _BIAS + "\nSELECT user_id, round(b_u, 6) AS b_u, n_u FROM bu")
+@register("bias_user_offsets", _BIAS + "\nSELECT user_id, (round(b_u, 6) + CAST(0 AS DOUBLE)) AS b_u, n_u FROM bu")
 def q_bias_user_offsets(spark, sf_dir):
     """b_u = sum(r - mu - b_i) / (n_u + damping_user)."""
     train, _ = train_test(spark, sf_dir)
@@ -335,8 +312,8 @@ def q_bias_user_offsets(spark, sf_dir):
 
 
 @register("bias_undamped", _with(O.base_ctes(SEED), O.bias_ctes(0.0, 0.0))
-          + """\nSELECT 'item' AS kind, item_id AS id, round(b_i, 6) AS offset_value, n_i AS n FROM bi
-UNION ALL SELECT 'user' AS kind, user_id AS id, round(b_u, 6) AS offset_value, n_u AS n FROM bu""")
+          + """\nSELECT 'item' AS kind, item_id AS id, (round(b_i, 6) + CAST(0 AS DOUBLE)) AS offset_value, n_i AS n FROM bi
+UNION ALL SELECT 'user' AS kind, user_id AS id, (round(b_u, 6) + CAST(0 AS DOUBLE)) AS offset_value, n_u AS n FROM bu""")
 def q_bias_undamped(spark, sf_dir):
     """Damping 0: offsets are plain means of residuals (AG5)."""
     train, _ = train_test(spark, sf_dir)
@@ -350,7 +327,7 @@ def q_bias_undamped(spark, sf_dir):
 
 def _predict_sql(prefix: str = "") -> str:
     return f"""SELECT x.user_id, x.item_id,
-       round((SELECT mu FROM {prefix}st) + coalesce(i.b_i, 0) + coalesce(u.b_u, 0), 6) AS prediction
+       (round((SELECT mu FROM {prefix}st) + coalesce(i.b_i, 0) + coalesce(u.b_u, 0), 6) + CAST(0 AS DOUBLE)) AS prediction
 FROM x LEFT JOIN {prefix}bi i ON i.item_id = x.item_id LEFT JOIN {prefix}bu u ON u.user_id = x.user_id"""
 
 
@@ -396,7 +373,7 @@ _OBSERVED_SQL = """obs AS (
 
 
 @register("bias_rank_observed", _with(O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), _OBSERVED_SQL)
-          + f"\nSELECT user_id, item_id, rnk, round(score, 6) AS score FROM obs WHERE rnk <= {K}")
+          + f"\nSELECT user_id, item_id, rnk, (round(score, 6) + CAST(0 AS DOUBLE)) AS score FROM obs WHERE rnk <= {K}")
 def q_bias_rank_observed(spark, sf_dir):
     """Rank only the held-out pairs of each user, as coded."""
     train, test = train_test(spark, sf_dir)
@@ -404,7 +381,7 @@ def q_bias_rank_observed(spark, sf_dir):
 
 
 @register("bias_topk_catalogue", _with(O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), O.catalogue_ctes(K))
-          + "\nSELECT user_id, item_id, rnk, round(score, 6) AS score FROM recs")
+          + "\nSELECT user_id, item_id, rnk, (round(score, 6) + CAST(0 AS DOUBLE)) AS score FROM recs")
 def q_bias_topk_catalogue(spark, sf_dir):
     """Top-k unseen catalogue items per test user."""
     recs, _ = catalogue_recs(spark, sf_dir)
@@ -460,9 +437,9 @@ def q_metrics_by_k(spark, sf_dir):
 
 @register("per_user_metrics", _with(O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), O.catalogue_ctes(K),
                                     O.metrics_ctes(K, "recs", "test"))
-          + """\nSELECT user_id, n_truth, n_recs, n_hits, round(precision_at_k, 6) AS precision_at_k,
-       round(recall_at_k, 6) AS recall_at_k, round(map, 6) AS map, round(map_at_k, 6) AS map_at_k,
-       round(ndcg_at_k, 6) AS ndcg_at_k FROM m_pu""")
+          + """\nSELECT user_id, n_truth, n_recs, n_hits, (round(precision_at_k, 6) + CAST(0 AS DOUBLE)) AS precision_at_k,
+       (round(recall_at_k, 6) + CAST(0 AS DOUBLE)) AS recall_at_k, (round(map, 6) + CAST(0 AS DOUBLE)) AS map, (round(map_at_k, 6) + CAST(0 AS DOUBLE)) AS map_at_k,
+       (round(ndcg_at_k, 6) + CAST(0 AS DOUBLE)) AS ndcg_at_k FROM m_pu""")
 def q_per_user_metrics(spark, sf_dir):
     """One row per user with truth."""
     from implicit_rank.operators.metrics import per_user_metrics
@@ -497,9 +474,9 @@ def q_metrics_long(spark, sf_dir):
        ha.prec_sum / nt.n_truth AS map, ha.prec_sum / least(nt.n_truth, {K}) AS map_at_k,
        ha.dcg / (SELECT sum(1 / log2(i + 1)) FROM range(1, least(nt.n_truth, {K}) + 1) g(i)) AS ndcg_at_k
      FROM nt JOIN ha ON ha.split = nt.split AND ha.user_id = nt.user_id)""")
-    + """\nSELECT split, count(*) AS n_users, round(avg(precision_at_k), 6) AS precision_at_k,
-  round(avg(recall_at_k), 6) AS recall_at_k, round(avg(map), 6) AS map, round(avg(map_at_k), 6) AS map_at_k,
-  round(avg(ndcg_at_k), 6) AS ndcg_at_k FROM pu GROUP BY split""")
+    + """\nSELECT split, count(*) AS n_users, (round(avg(precision_at_k), 6) + CAST(0 AS DOUBLE)) AS precision_at_k,
+  (round(avg(recall_at_k), 6) + CAST(0 AS DOUBLE)) AS recall_at_k, (round(avg(map), 6) + CAST(0 AS DOUBLE)) AS map, (round(avg(map_at_k), 6) + CAST(0 AS DOUBLE)) AS map_at_k,
+  (round(avg(ndcg_at_k), 6) + CAST(0 AS DOUBLE)) AS ndcg_at_k FROM pu GROUP BY split""")
 def q_metrics_by_split(spark, sf_dir):
     """Train / val / test metrics of the coded (observed) mode in one aggregation."""
     s = splits(spark, sf_dir, materialize=True)
@@ -734,7 +711,7 @@ def _event_recs(spark, sf_dir):
 
 @register("bias_topk_catalogue_events", _with(
     O.base_ctes(SEED, O.EVENTS), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), O.catalogue_ctes(K))
-    + "\nSELECT user_id, item_id, rnk, round(score, 6) AS score FROM recs")
+    + "\nSELECT user_id, item_id, rnk, (round(score, 6) + CAST(0 AS DOUBLE)) AS score FROM recs")
 def q_bias_topk_catalogue_events(spark, sf_dir):
     """Top-k unseen on the events fixture: ties broken by item id, short lists."""
     recs, _ = _event_recs(spark, sf_dir)

@@ -117,11 +117,15 @@ def metrics_ctes(k: int, recs: str, truth: str, prefix: str = "m_", include_miss
   FROM {p}nt nt {join} {p}nr nr ON nr.user_id = nt.user_id LEFT JOIN {p}ha ha ON ha.user_id = nt.user_id)"""
 
 
+def r6(expr: str) -> str:
+    """Rounded to 6 places; ``+ 0.0`` turns a -0.0 into 0.0 (they hash differently)."""
+    return f"(round({expr}, 6) + CAST(0 AS DOUBLE))"
+
+
 def metrics_select(prefix: str = "m_", extra: str = "") -> str:
-    return f"""SELECT {extra}count(*) AS n_users,
-  round(avg(precision_at_k), 6) AS precision_at_k, round(avg(recall_at_k), 6) AS recall_at_k,
-  round(avg(map), 6) AS map, round(avg(map_at_k), 6) AS map_at_k, round(avg(ndcg_at_k), 6) AS ndcg_at_k
-FROM {prefix}pu"""
+    cols = ", ".join(f"{r6(f'avg({c})')} AS {c}"
+                     for c in ("precision_at_k", "recall_at_k", "map", "map_at_k", "ndcg_at_k"))
+    return f"SELECT {extra}count(*) AS n_users, {cols}\nFROM {prefix}pu"
 
 
 def lenient_ctes(k: int, recs: str, truth: str, prefix: str = "l_") -> str:
@@ -157,7 +161,5 @@ def lenient_ctes(k: int, recs: str, truth: str, prefix: str = "l_") -> str:
 
 
 def lenient_select(prefix: str = "l_", extra: str = "") -> str:
-    return f"""SELECT {extra}count(*) AS n_users,
-  round(avg(precision_lk), 6) AS precision_lk, round(avg(recall_lk), 6) AS recall_lk,
-  round(avg(ndcg_lk), 6) AS ndcg_lk, round(avg(map_manual), 6) AS map_manual
-FROM {prefix}pu"""
+    cols = ", ".join(f"{r6(f'avg({c})')} AS {c}" for c in ("precision_lk", "recall_lk", "ndcg_lk", "map_manual"))
+    return f"SELECT {extra}count(*) AS n_users, {cols}\nFROM {prefix}pu"
