@@ -9,8 +9,9 @@ Damping 0 gives plain means. ``item=False`` makes every b_i zero,
 sum of counts: for integer-valued counts S and n are exact, so b_i is the
 same double in any engine and the item order is reproducible.
 
-mu is a one-row aggregate attached as a scalar subquery: it is computed
-once, never collected into Python and needs no join.
+mu is a one-row aggregate, checkpointed when the model is fitted and
+attached as a scalar subquery: it is never collected into Python, needs no
+join, and later plans do not re-scan the training data for it.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from implicit_rank.operators.indexing import global_row_number
 from implicit_rank.operators.rank import catalogue_topk, top_k_per_user
+from implicit_rank.session import ensure_checkpoint_dir
 
 # Decimal places of the score used as ranking key; values equal up to this
 # precision are ties, broken by item id.
@@ -160,8 +162,12 @@ def fit_bias(ratings: DataFrame, config: BiasConfig | None = None, col: str = "c
     and splits skewed partitions otherwise) and groups by user.
     """
     config = config or BiasConfig()
+    ensure_checkpoint_dir(ratings.sparkSession)
     r = ratings.select("user_id", "item_id", F.col(col).cast("double").alias("_r"))
-    stats = r.agg((F.sum("_r") / F.count(F.lit(1))).alias("mu"), F.count(F.lit(1)).alias("n"))
+    # one row, checkpointed at fit time: later plans (offsets, predict,
+    # recommend) read it as a scalar subquery instead of re-scanning the data
+    stats = r.agg((F.sum("_r") / F.count(F.lit(1))).alias("mu"),
+                  F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
     mu = stats.select("mu").scalar()
 
     items = None
