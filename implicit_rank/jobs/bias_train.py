@@ -37,9 +37,7 @@ def main(argv=None) -> None:
         model = BiasModel.load(spark, args.load)
     else:
         t0 = time.perf_counter()
-        model = fit_bias(fit_on, BiasConfig(True, True, (args.user_damping, args.item_damping)))
-        model.item_offsets = model.item_offsets.checkpoint(eager=True)
-        model.user_offsets = model.user_offsets.checkpoint(eager=True)
+        model = fit_bias(fit_on, BiasConfig(True, True, (args.user_damping, args.item_damping))).materialize()
         print(f"fit: {time.perf_counter() - t0:.3f} s")
         if args.save:
             model.save(args.save)

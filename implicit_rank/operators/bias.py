@@ -9,9 +9,10 @@ Damping 0 gives plain means. ``item=False`` makes every b_i zero,
 sum of counts: for integer-valued counts S and n are exact, so b_i is the
 same double in any engine and the item order is reproducible.
 
-mu is a one-row aggregate, checkpointed when the model is fitted and
-attached as a scalar subquery: it is never collected into Python, needs no
-join, and later plans do not re-scan the training data for it.
+mu is a one-row aggregate attached as a scalar subquery: it is never
+collected into Python and needs no join; within one action the subquery runs
+once. A model used by several actions is ``materialize()``d first, so later
+plans read checkpoints instead of re-scanning the training data.
 """
 
 from __future__ import annotations
@@ -130,6 +131,17 @@ class BiasModel:
         return recs.select("user_id", "item_id", "rnk",
                            (self.mu() + F.col("b_i") + F.coalesce(F.col("b_u"), F.lit(0.0))).alias("score"))
 
+    def materialize(self) -> "BiasModel":
+        """Checkpoint mu and the offsets (reliable checkpoints in the shared
+        folder) for a model that several actions will use."""
+        ensure_checkpoint_dir(self.stats.sparkSession)
+        self.stats = self.stats.checkpoint(eager=True)
+        if self.item_offsets is not None:
+            self.item_offsets = self.item_offsets.checkpoint(eager=True)
+        if self.user_offsets is not None:
+            self.user_offsets = self.user_offsets.checkpoint(eager=True)
+        return self
+
     # -- persistence (A10, A11) -----------------------------------------
     def save(self, path: str, mode: str = "errorifexists") -> str:
         path = path.rstrip("/")
@@ -162,12 +174,8 @@ def fit_bias(ratings: DataFrame, config: BiasConfig | None = None, col: str = "c
     and splits skewed partitions otherwise) and groups by user.
     """
     config = config or BiasConfig()
-    ensure_checkpoint_dir(ratings.sparkSession)
     r = ratings.select("user_id", "item_id", F.col(col).cast("double").alias("_r"))
-    # one row, checkpointed at fit time: later plans (offsets, predict,
-    # recommend) read it as a scalar subquery instead of re-scanning the data
-    stats = r.agg((F.sum("_r") / F.count(F.lit(1))).alias("mu"),
-                  F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    stats = r.agg((F.sum("_r") / F.count(F.lit(1))).alias("mu"), F.count(F.lit(1)).alias("n"))
     mu = stats.select("mu").scalar()
 
     items = None
