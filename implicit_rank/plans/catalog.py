@@ -725,3 +725,15 @@ def q_metrics_catalogue_events(spark, sf_dir):
     """Flagship metrics on the events fixture (K1-K4)."""
     recs, test = _event_recs(spark, sf_dir)
     return rounded(ranking_metrics(recs, test, K))
+
+
+@register("als_metrics_observed")
+def q_als_metrics_observed(spark, sf_dir):
+    """The coded ALS evaluation: score the test pairs, rank them per user,
+    compare with the test items (observed mode, D10), k applied (J7, E2, E3, K1-K4)."""
+    from implicit_rank.operators.als import fit_als, score_pairs
+    from implicit_rank.operators.rank import top_k_per_user
+    train, test = train_test(spark, sf_dir)
+    scored = score_pairs(fit_als(train, _als_params()), test)
+    recs = top_k_per_user(scored, K, [F.col("prediction").desc(), F.col("item_id").desc()])
+    return rounded(ranking_metrics(recs, test, K))
