@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from implicit_rank.functions.hashing import hex_bucket, md5_key, split_of
 from implicit_rank.operators.indexing import index_ids
+from implicit_rank.session import ensure_checkpoint_dir
 
 # A top-k user list is broadcast to the semi-join only up to this many rows.
 BROADCAST_MAX_ROWS = 1_000_000
@@ -55,8 +56,11 @@ def subsample_topk(df: DataFrame, k: int, seed: int = 42, by: str = "rows") -> D
     """Top-k-user subsample (I1): top users, their rows, int indexes, hash split.
 
     Returns one frame with ``split``; write with ``partitionBy('split')``.
+    The subsample is checkpointed once: the index reads it in several passes,
+    and each would otherwise redo the top-k selection over the full input.
     """
-    top = top_user_interactions(df, k, by)
+    ensure_checkpoint_dir(df.sparkSession)
+    top = top_user_interactions(df, k, by).checkpoint(eager=True)
     indexed = index_ids(top)
     return hash_split(indexed, seed)
 
