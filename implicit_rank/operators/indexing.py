@@ -45,7 +45,7 @@ def global_row_number(df: DataFrame, order_cols: list, out_col: str = "rn",
 
 
 def frequency_index(df: DataFrame, id_col: str, out_col: str | None = None) -> DataFrame:
-    """``(id, index)`` ordered by frequency desc, then id as string asc, from 0.
+    """``(id, index BIGINT)`` ordered by frequency desc, then id as string asc, from 0.
 
     Same numbering as ``StringIndexer(stringOrderType='frequencyDesc')``
     (H1b). Counting is a partial aggregation, so a hot id costs one row per
@@ -54,8 +54,9 @@ def frequency_index(df: DataFrame, id_col: str, out_col: str | None = None) -> D
     out_col = out_col or f"{id_col}_index"
     counts = df.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("_freq"))
     order: list[Column] = [F.col("_freq").desc(), F.col(id_col).cast("string").asc()]
-    ranked = global_row_number(counts, order, out_col, start=0)
-    return ranked.select(id_col, F.col(out_col).cast("int").alias(out_col))
+    # BIGINT: more than 2^31 distinct ids can be indexed; ALS (int ids)
+    # checks the range itself
+    return global_row_number(counts, order, out_col, start=0).select(id_col, out_col)
 
 
 def index_ids(df: DataFrame, fitted_on: DataFrame | None = None,
