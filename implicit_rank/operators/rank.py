@@ -13,6 +13,19 @@ BUCKET_ROWS = 1 << 16
 # Head of the global item order that is broadcast when slots are resolved
 # to items; it has at most this many rows, whatever the data size.
 HEAD_ROWS = 100_000
+# Target users are broadcast to filter the seen pairs up to this many ids;
+# beyond it the filter is skipped (it would shuffle the seen pairs and keep
+# most of them) and other users drop out at the join with the k slots.
+TARGETS_BROADCAST_ROWS = 1_000_000
+
+
+def seen_of_targets(seen: DataFrame, targets: DataFrame, max_rows: int = TARGETS_BROADCAST_ROWS) -> DataFrame:
+    """Seen pairs, restricted to the target users when their count is small
+    enough to broadcast (one count decides; the bound is checked)."""
+    pairs = seen.select("user_id", "item_id")
+    if targets.count() <= max_rows:
+        return pairs.join(F.broadcast(targets.select("user_id")), "user_id", "left_semi")
+    return pairs
 
 
 def top_k_per_user(scored: DataFrame, k: int, order: list[Column], user_col: str = "user_id",
@@ -33,7 +46,8 @@ def top_k_per_user(scored: DataFrame, k: int, order: list[Column], user_col: str
 def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: int,
                    rank_col: str = "r", bucket_rows: int = BUCKET_ROWS,
                    head_rows: int = HEAD_ROWS, n_items: int | None = None,
-                   carry: tuple[str, ...] = ()) -> DataFrame:
+                   carry: tuple[str, ...] = (),
+                   targets_broadcast_rows: int = TARGETS_BROADCAST_ROWS) -> DataFrame:
     """First k items of a global order that each user has not seen.
 
     ``item_rank`` is ``(item_id, r)`` with r = 1..N a total order shared by
@@ -62,8 +76,7 @@ def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: i
     targets = users.select("user_id").distinct()
     ranks = item_rank.select("item_id", F.col(rank_col).cast("bigint").alias("_r"), *carry)
     seen_r = (
-        seen.select("user_id", "item_id")
-        .join(targets, "user_id", "left_semi")
+        seen_of_targets(seen, targets, targets_broadcast_rows)
         .join(ranks.select("item_id", "_r"), "item_id")
         .withColumn("_b", F.floor((F.col("_r") - 1) / F.lit(bucket_rows)).cast("bigint"))
     )

@@ -98,8 +98,9 @@ def _brute(order, seen, users, k):
     return out
 
 
-@pytest.mark.parametrize("bucket_rows,head_rows,known", [(4, 5, False), (64, 64, True), (3, 1000, False)])
-def test_catalogue_topk_equals_brute_force(spark, bucket_rows, head_rows, known):
+@pytest.mark.parametrize("bucket_rows,head_rows,known,bcast", [
+    (4, 5, False, 10), (64, 64, True, 10), (3, 1000, False, 0), (4, 5, True, 0)])
+def test_catalogue_topk_equals_brute_force(spark, bucket_rows, head_rows, known, bcast):
     import random
     rnd = random.Random(3)
     n_items, k = 40, 7
@@ -113,8 +114,10 @@ def test_catalogue_topk_equals_brute_force(spark, bucket_rows, head_rows, known)
     pairs = [(u, i) for u, s in seen.items() for i in s]
     seen_df = spark.createDataFrame(pairs + pairs[::3], "user_id bigint, item_id bigint")  # with repeats
     users_df = spark.createDataFrame([(u,) for u in users], "user_id bigint")
+    users_df = users_df.where("user_id != 5")  # user 5 has history but is not a target
+    users = [u for u in users if u != 5]
     got = catalogue_topk(item_rank, seen_df, users_df, k, bucket_rows=bucket_rows, head_rows=head_rows,
-                         n_items=n_items if known else None)
+                         n_items=n_items if known else None, targets_broadcast_rows=bcast)
     lists = {}
     for r in got.orderBy("user_id", "rnk").collect():
         lists.setdefault(r.user_id, []).append(r.item_id)
