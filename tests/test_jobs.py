@@ -40,3 +40,12 @@ def test_jobs_run_end_to_end(spark, sf_small, capsys):
     als_train.main(["--train-file", p["train"], "--test-file", p["test"], "--rank", "4", "--epochs", "2",
                     "--k", "10", "--save-dir", f"{d}/als"])
     assert "test/map" in capsys.readouterr().out
+
+
+def test_als_job_grid_search(spark, sf_small, capsys):
+    d, p = _inputs(spark, sf_small)
+    als_train.main(["--train-file", p["train"], "--val-file", p["val"], "--test-file", p["test"],
+                    "--grid-search", "--ranks", "2", "--lambdas", "0.1", "--alphas", "1,2",
+                    "--epochs", "2", "--k", "5"])
+    out = capsys.readouterr().out
+    assert "best" in out and "test/precision_at_k" in out
