@@ -44,7 +44,9 @@ def main(argv=None) -> None:
     evals = {"train": train, "val": read(spark, args.val, args), "test": read(spark, args.test, args)}
     tables = []
     for split, truth in evals.items():
-        if truth is None:
+        # in catalogue mode every train pair is seen, so train has no hits by
+        # construction; train is only scored in the observed mode
+        if truth is None or (split == "train" and args.mode == "catalogue"):
             continue
         if args.mode == "observed":
             recs = model.rank_observed(truth, args.k)

@@ -3,6 +3,8 @@
 import json
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from implicit_rank.jobs import als_train, bias_train, preprocess, subsample
@@ -35,8 +37,15 @@ def test_jobs_run_end_to_end(spark, sf_small, capsys):
                      "-s", f"{d}/bias_model"])
     out = capsys.readouterr().out
     report = json.loads(out[out.index("{"):])
-    assert set(report) >= {"train/precision_at_k", "test/ndcg_at_k"}
-    bias_train.main(["-tr", p["train"], "-te", p["test"], "-k", "20", "-l", f"{d}/bias_model"])
+    assert set(report) >= {"test/precision_at_k", "test/ndcg_at_k"}
+    assert not any(k.startswith("train/") for k in report)
+    bias_train.main(["-tr", p["train"], "-te", p["test"], "-k", "20", "-l", f"{d}/bias_model",
+                     "--mode", "observed"])
+    out = capsys.readouterr().out
+    observed = json.loads(out[out.index("{"):])
+    # only the held pairs are ranked, so every listed item is relevant
+    assert observed["train/map_at_k"] == pytest.approx(1.0)
+    assert observed["train/ndcg_at_k"] == pytest.approx(1.0)
     als_train.main(["--train-file", p["train"], "--test-file", p["test"], "--rank", "4", "--epochs", "2",
                     "--k", "10", "--save-dir", f"{d}/als"])
     assert "test/map" in capsys.readouterr().out
