@@ -9,13 +9,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from implicit_rank.llm import common, pack, pivotal, simhash, tokens
+from implicit_rank.llm import common, gam, pack, pivotal, simhash, tokens, toxicity
 from implicit_rank.session import ensure_checkpoint_dir
 
 #: Toxicity rules, boosted scores, fingerprints and token ids have no SQL form.
 ORACLE_SQL = None
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity grammar rejects go."""
+    return toxicity.reject(docs, toxicity.learn(docs, common.table(spark, sf_dir, "labels")))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model rejects go."""
+    return gam.reject(docs, gam.learn(docs, common.table(spark, sf_dir, "labels")))
+
+
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays (3-word shingles, 3 bits)."""
     return simhash.keep_one(docs, width=3)
@@ -40,7 +50,7 @@ def _stage(fn):
     return run_stage
 
 
-STAGES = [(fn.__name__, _stage(fn)) for fn in (dedup, mixing, packing)]
+STAGES = [(fn.__name__, _stage(fn)) for fn in (toxic, quality, dedup, mixing, packing)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from implicit_rank.llm import common, pack, pivotal, simhash, tokens
+from implicit_rank.llm import arrowfile, common, gam, langid, pack, pivotal, simhash, tokens, toxicity
 
 
 def op4_pack_concat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,13 @@ def op4_pack_concat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(docs, tokens.vocabulary("word_bpe_49k.json"), seq_len=4096, end_id=2)
 
 
+def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; fold 2 of 4 by crc32 is held out."""
+    docs = common.table(spark, sf_dir, "documents")
+    model = gam.learn(docs, common.table(spark, sf_dir, "labels"))
+    return _decided(gam.predict(docs, model), gam.THRESHOLD)
+
+
 def op6_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     found = simhash.groups(common.table(spark, sf_dir, "documents"), width=3)
@@ -26,9 +33,40 @@ def op7_mix_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_arrow_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written to Arrow files and read back."""
+    docs = common.table(spark, sf_dir, "documents")
+    return arrowfile.read(spark, arrowfile.write(docs, tokens.vocabulary("byte_bpe_50k.json"), seq_len=2048, end_id=2))
+
+
+def op9_lang_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; fold 1 of 3 by crc32 is held out."""
+    docs = common.table(spark, sf_dir, "documents")
+    model = langid.learn(docs.filter(F.col("doc_id").isNotNull() & (common.crc_fold("doc_id", 3) != 1)))
+    held_out = F.coalesce(common.crc_fold("doc_id", 3) == 1, F.lit(False))
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op10_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; fold 2 of 4 by crc32 is held out."""
+    docs = common.table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, common.table(spark, sf_dir, "labels"))
+    return _decided(toxicity.predict(docs, model), toxicity.THRESHOLD)
+
+
+def _decided(scored: DataFrame, threshold: float) -> DataFrame:
+    """doc_id, held_out, score and the decision at the threshold."""
+    held_out = F.coalesce(common.crc_fold("doc_id", 4) == 2, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op4_pack_concat_cut": op4_pack_concat_cut,
+    "op5_quality_gam": op5_quality_gam,
     "op6_simhash_ball": op6_simhash_ball,
     "op7_mix_pivotal": op7_mix_pivotal,
+    "op8_arrow_tokens": op8_arrow_tokens,
+    "op9_lang_viterbi": op9_lang_viterbi,
+    "op10_toxicity_grammar": op10_toxicity_grammar,
 }
 ORACLE: dict[str, str] = {}
