@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from implicit_rank.llm import arrowfile, common, gam, langid, pack, pivotal, simhash, tokens, toxicity
+from implicit_rank.llm import adscan, arrowfile, common, gam, imatch, langid, pack, pivotal, simhash, tokens, toxicity
+
+
+def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match fingerprints of every text and of its edited text, with their likeness."""
+    docs = common.table(spark, sf_dir, "documents")
+    return imatch.compare_edits(docs, imatch.lexicon(docs))
+
+
+def op3_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest by inner product of every vector whose id 20 divides."""
+    vectors = common.table(spark, sf_dir, "embeddings")
+    return adscan.search(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
 
 
 def op4_pack_concat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +73,8 @@ def _decided(scored: DataFrame, threshold: float) -> DataFrame:
 
 
 QUERIES = {
+    "op1_imatch": op1_imatch,
+    "op3_adaptive_scan": op3_adaptive_scan,
     "op4_pack_concat_cut": op4_pack_concat_cut,
     "op5_quality_gam": op5_quality_gam,
     "op6_simhash_ball": op6_simhash_ball,
