@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from implicit_rank.llm import adscan, arrowfile, common, gam, imatch, langid, pack, pivotal, simhash, tokens, toxicity
+from implicit_rank.llm import adscan, arrowfile, common, gam, imatch, langid, pack, pivotal, simhash, tokens, toxicity, warc
 
 
 def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,51 @@ def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.compare_edits(docs, imatch.lexicon(docs))
 
 
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every revisit among the captures derived from all pages, with its response."""
+    found = warc.resolve(warc.captures(common.table(spark, sf_dir, "pages")))
+    names = ["content-type", "cache-control", "date"]
+    return found.select("record_id", "url_key", "response_id", "outcome",
+                        *(F.element_at("headers", n).alias(n.replace("-", "_")) for n in names))
+
+
+OP2_SQL = r"""
+WITH c AS (
+  SELECT page_id, url, html, '"' || md5(coalesce(html, '')) || '"' AS whole,
+         CASE WHEN page_id % 5 <> 0 THEN '"' || md5(coalesce(html, '')) || '"' END AS tag,
+         CAST(page_id % 28 AS VARCHAR) AS day FROM pages),
+records AS (
+  SELECT page_id * 8 AS record_id, url, page_id * 100 - 7 AS ts, 'revisit' AS kind, tag AS etag, day AS modified, 0 AS n
+    FROM c WHERE page_id % 4 = 1
+  UNION ALL SELECT page_id * 8 + 1, url, page_id * 100, 'response', tag, day, 1 FROM c
+  UNION ALL SELECT page_id * 8 + 2, url || '#again', page_id * 100 + 5, 'revisit', 'W/' || tag, day, 2 FROM c
+  UNION ALL SELECT page_id * 8 + 3, url || '#again', page_id * 100 + 10, 'response',
+                   '"2' || md5(coalesce(html, '')) || '"', 'again', 3 FROM c WHERE page_id % 3 = 0
+  UNION ALL SELECT page_id * 8 + 4, url, page_id * 100 + 15, 'revisit', tag, day, 4 FROM c WHERE page_id % 3 = 0),
+bare AS (
+  SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS u FROM records),
+keyed AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(u, '^[^/?]*')), '^www\.', ''), ':(80|443)$', '')
+    || regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(u, '^[^/?]*', ''),
+         '([?&])(utm_[a-z]+|ref)=[^&]*', '\1', 'g'), '&&+', '&', 'g'), '\?&', '?', 'g'), '[?&/]+$', '') AS url_key FROM bare),
+pairs AS (
+  SELECT v.record_id, v.url_key, v.etag, v.modified, v.n, v.ts, r.record_id AS response_id, r.etag AS r_etag, r.modified AS r_modified,
+         row_number() OVER (PARTITION BY v.record_id ORDER BY r.ts DESC NULLS LAST, r.record_id DESC) AS place
+  FROM keyed v LEFT JOIN keyed r ON r.url_key = v.url_key AND r.kind = 'response' AND r.ts < v.ts
+  WHERE v.kind = 'revisit'),
+checked AS (
+  SELECT *, CASE WHEN response_id IS NULL THEN 'no_response'
+    WHEN etag IS NOT NULL AND r_etag IS NOT NULL
+      THEN CASE WHEN regexp_replace(etag, '^W/', '') = r_etag THEN 'resolved' ELSE 'etag_differs' END
+    WHEN modified = r_modified THEN 'resolved' ELSE 'modified_differs' END AS outcome
+  FROM pairs WHERE place = 1)
+SELECT record_id, url_key, CASE WHEN outcome = 'resolved' THEN response_id END AS response_id, outcome,
+       CASE WHEN outcome = 'resolved' THEN 'text/html' END AS content_type,
+       CASE WHEN outcome = 'resolved' THEN 'max-age=' || n END AS cache_control,
+       CASE WHEN outcome = 'resolved' THEN CAST(ts AS VARCHAR) END AS date
+FROM checked"""
+
+
 def op3_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest by inner product of every vector whose id 20 divides."""
     vectors = common.table(spark, sf_dir, "embeddings")
@@ -74,6 +119,7 @@ def _decided(scored: DataFrame, threshold: float) -> DataFrame:
 
 QUERIES = {
     "op1_imatch": op1_imatch,
+    "op2_warc_revisits": op2_warc_revisits,
     "op3_adaptive_scan": op3_adaptive_scan,
     "op4_pack_concat_cut": op4_pack_concat_cut,
     "op5_quality_gam": op5_quality_gam,
@@ -83,4 +129,4 @@ QUERIES = {
     "op9_lang_viterbi": op9_lang_viterbi,
     "op10_toxicity_grammar": op10_toxicity_grammar,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_warc_revisits": OP2_SQL}
