@@ -4,7 +4,7 @@ The lexicon is the terms whose document frequency lies in a band, given as
 shares of all documents (1/1000 to 1/10: an inverse document frequency of 2.3
 to 6.9). A document keeps its distinct lexicon terms, sorted, and hashes them:
 once whole (the classic signature) and once for each of ``SUBSETS`` randomised
-subsets of the lexicon, at two nested sampling rates. The rates follow the
+subsets of the lexicon, at ``RATES`` nested sampling rates. The rates follow the
 number of kept terms, so that a subset holds about one or two of them: then a
 changed quarter of a text leaves many subset signatures as they were. Two
 fingerprints are alike to the share of subset signatures that agree, among the
@@ -40,6 +40,7 @@ from implicit_rank.llm import common, words
 
 BAND = (0.001, 0.1)  # shares of documents
 SUBSETS = 32
+RATES = 3            # sampling rates, each half the one before
 GAPS = 16            # samples between two bounds of a chunk
 SAMPLES = 1 << 20    # about the most ids sampled for bounds
 
@@ -84,7 +85,7 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> np.ndarray:
 
 
 class Fingerprints:
-    """Signatures of many texts: whole (n), scale (n), subsets (n, 2, SUBSETS)."""
+    """Signatures of many texts: whole (n), scale (n), subsets (n, RATES, SUBSETS)."""
 
     def __init__(self, texts: pa.Array, known: np.ndarray):
         found, offsets = terms(texts)
@@ -100,8 +101,8 @@ class Fingerprints:
         sizes = np.bincount(doc, minlength=n)
         self.whole = self._sums(mix(found * _ODD), doc, n)
         self.scale = np.where(sizes > 0, np.floor(np.log2(np.maximum(sizes, 1))) + 1, 0).astype(np.int64)
-        self.subsets = np.zeros((n, 2, SUBSETS), np.uint16)
-        limits = [(np.uint64(0xFFFFFFFFFFFFFFFF) >> (self.scale + step).astype(np.uint64))[doc] for step in (0, 1)]
+        self.subsets = np.zeros((n, RATES, SUBSETS), np.uint16)
+        limits = [(np.uint64(0xFFFFFFFFFFFFFFFF) >> (self.scale + step).astype(np.uint64))[doc] for step in range(RATES)]
         for k in range(SUBSETS):
             draw = mix(found ^ mix(np.uint64([k + 1]) * _ODD))
             for step, limit in enumerate(limits):
@@ -136,14 +137,14 @@ class Fingerprints:
         parts = [s.split("-") for s in strings]
         out.whole = np.array([int(p[0], 16) for p in parts], np.uint64)
         out.scale = np.array([int(p[1], 16) for p in parts], np.int64)
-        out.subsets = np.array([np.frombuffer(bytes.fromhex(p[2]), ">u2") for p in parts], np.uint16).reshape(-1, 2, SUBSETS)
+        out.subsets = np.array([np.frombuffer(bytes.fromhex(p[2]), ">u2") for p in parts], np.uint16).reshape(-1, RATES, SUBSETS)
         return out
 
     def likeness(self, other: Fingerprints) -> np.ndarray:
         """0 to 1 for each pair of rows."""
         agree, either = np.zeros(len(self.whole)), np.zeros(len(self.whole))
-        for a in (0, 1):
-            for b in (0, 1):
+        for a in range(RATES):
+            for b in range(RATES):
                 shared = (self.scale + a == other.scale + b)[:, None]
                 x, y = self.subsets[:, a], other.subsets[:, b]
                 agree += (shared & (x == y) & (x > 0)).sum(axis=1)
