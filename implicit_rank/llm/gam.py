@@ -78,7 +78,7 @@ def describe(text: str) -> list[float]:
 
 
 def described(texts: pa.Array) -> np.ndarray:
-    return np.array([describe(t) for t in texts.to_pylist()], float).reshape(-1, len(FEATURES))
+    return np.array([describe(t) for t in common.strings(texts)], float).reshape(-1, len(FEATURES))
 
 
 @dataclass

@@ -58,7 +58,7 @@ def terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(sorted distinct term hashes of each text in a row, n + 1 offsets)."""
     vocabulary, codes, offsets = words.split_words(pc.utf8_lower(texts))
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(w) for w in vocabulary.to_pylist()), np.uint64, len(vocabulary))
+    hashes = np.fromiter(map(digest, common.strings(vocabulary)), np.uint64, len(vocabulary))
     rank = np.argsort(np.argsort(hashes, kind="stable"), kind="stable")
     by_rank = np.sort(hashes)
     n = len(offsets) - 1
@@ -227,7 +227,7 @@ def compare_edits(docs: DataFrame, known: np.ndarray) -> DataFrame:
                 chunk = pa.concat_tables([pending, chunk])
             helper = chunk.column("helper").to_numpy()
             texts = common.texts_of(chunk)
-            plain = texts.to_pylist()
+            plain = common.strings(texts)
             own = np.flatnonzero(~helper[:-1])
             pending = None if helper[-1] else chunk.slice(len(helper) - 1)
             if not len(own):

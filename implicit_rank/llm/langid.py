@@ -46,7 +46,7 @@ SCRIPT_OF = np.array([SCRIPT_NAMES.index(s) for s in SCRIPTS], np.int8)
 
 def _chars(vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(code points of ``^word$`` of all words in a row, n + 1 offsets), lower case."""
-    framed = [f"^{x}$" for x in pc.utf8_lower(vocabulary).to_pylist()]
+    framed = [f"^{x}$" for x in common.strings(pc.utf8_lower(vocabulary))]
     points = np.frombuffer("".join(framed).encode("utf-32-le"), "<u4")
     lengths = np.fromiter(map(len, framed), np.int64, len(framed))
     return points, np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
@@ -229,7 +229,7 @@ def spans(docs: DataFrame, model: Model) -> DataFrame:
             if not model.langs:
                 continue
             vocabulary, codes, offsets, path, letters = _label(model, common.texts_of(chunk))
-            known = vocabulary.to_pylist()
+            known = common.strings(vocabulary)
             ids = chunk.column("doc_id").to_pylist()
             out = []
             for i, doc_id in enumerate(ids):

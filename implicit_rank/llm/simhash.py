@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
 
     def run(batches):
         for chunk in common.text_chunks(batches):
-            fps = np.array([fingerprint(x or "", width) for x in chunk.column("text").to_pylist()], np.uint64)
+            fps = np.array([fingerprint(x, width) for x in common.strings(common.texts_of(chunk))], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [common.one_array(chunk.column("doc_id")), common.one_array(chunk.column("text_hash")),
                  pa.array(fps.view(np.int64))], names=["doc_id", "text_hash", "fp"])
@@ -97,7 +97,11 @@ def _odd(nodes: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, text_hash, fp, component_id): one row per row of ``docs``."""
+    """(doc_id, text_hash, fp, group, component_id): one row per row of ``docs``.
+
+    group is a fingerprint that stands for the group; component_id is its
+    smallest doc_id.
+    """
     rows = common.save(fingerprints(docs, width), "simhash")
     nodes = common.save(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
     near = graph.components(_close(nodes)).select(F.col("node").alias("fp"), "label")
@@ -107,8 +111,8 @@ def groups(docs: DataFrame, width: int = 3) -> DataFrame:
     tops = common.save(labelled.join(merged, "label", "left").select(
         "fp", "first_id", F.coalesce("top", "label").alias("top")), "simhash-tops")
     least = common.save(tops.groupBy("top").agg(F.min("first_id").alias("component_id")), "simhash-least")
-    ids = common.save(tops.join(least, "top").select("fp", "component_id"), "simhash-ids")
-    return rows.join(ids, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    ids = common.save(tops.join(least, "top").select("fp", F.col("top").alias("group"), "component_id"), "simhash-ids")
+    return rows.join(ids, "fp").select("doc_id", "text_hash", "fp", "group", "component_id")
 
 
 def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
@@ -118,9 +122,15 @@ def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
     the rows that agree in both. A group without ids keeps a row without one.
     """
     rows = groups(docs, width).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = (rows.groupBy("component_id").agg(F.min("text_hash").alias("_hash"))
-            .select(F.col("component_id").alias("_id"), "_hash"))
-    text_hash = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    matched = docs.join(common.save(kept, "simhash-kept"),
-                        docs["doc_id"].eqNullSafe(F.col("_id")) & (text_hash == F.col("_hash")))
-    return matched.select(docs["*"]).dropDuplicates(["doc_id"])
+    kept = common.save(rows.groupBy("group", F.col("component_id").alias("_id")).agg(F.min("text_hash").alias("_hash"))
+                       .drop("group"), "simhash-kept")
+    hashed = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    same_text = F.col("_text_hash") == F.col("_hash")
+    # written as a range so that doc_id alone is the join key: its partitioning
+    # serves the last step too, and texts are shuffled once
+    in_range = F.col("_text_hash").between(F.col("_hash"), F.col("_hash"))
+    with_id = (hashed.filter("doc_id IS NOT NULL").join(kept, (F.col("doc_id") == F.col("_id")) & in_range)
+               .dropDuplicates(["doc_id"]))
+    without = (hashed.filter("doc_id IS NULL").join(kept.filter("_id IS NULL").select("_hash"), same_text)
+               .dropDuplicates(["_text_hash"]))
+    return with_id.select(docs.columns).unionByName(without.select(docs.columns))

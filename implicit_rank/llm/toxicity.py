@@ -172,7 +172,7 @@ class Model:
         """Yield (text number, first word, last word + 1, events) of each clause with an event,
         and last the distinct words and codes they refer to."""
         vocabulary, codes, offsets = words.split_words(texts)
-        distinct = vocabulary.to_pylist()
+        distinct = common.strings(vocabulary)
         classes, ends = self.classify(distinct)
         of_word = classes[codes]
         stops = np.union1d(np.flatnonzero(ends[codes]) + 1, offsets)

@@ -81,3 +81,9 @@ def test_one_stays_of_a_repeated_id(docs_of):
     kept = sorted((r["doc_id"], r["text"]) for r in simhash.keep_one(docs_of(rows)).collect())
     assert kept == [(0, "other words stand here now"), (1, "a b c d e f")]
     assert simhash.keep_one(docs_of(rows).withColumn("text", F.lit("same"))).count() == 1
+
+
+def test_groups_without_ids_keep_one_row_each(docs_of):
+    rows = [(None, "first text of its own"), (None, "first text of its own"), (None, "quite another text is here")]
+    assert sorted(r["text"] for r in simhash.keep_one(docs_of(rows)).collect()) == [
+        "first text of its own", "quite another text is here"]
