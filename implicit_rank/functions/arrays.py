@@ -22,8 +22,3 @@ def empty_if_null(c, element_type: str = "bigint") -> Column:
     """Null list -> empty list (G2), e.g. after a left join."""
     c = F.col(c) if isinstance(c, str) else c
     return F.coalesce(c, F.array().cast(f"array<{element_type}>"))
-
-
-def field_of(list_col: str, field: str) -> Column:
-    """Field of an array of structs (G3), e.g. the item ids of ``(score, item)``."""
-    return F.col(list_col).getField(field)

@@ -38,6 +38,25 @@ def split_of(user="user_id", item="item_id", seed=42,
     )
 
 
+def weighted_split(digest: Column, weights: dict[str, float]) -> Column:
+    """Name of the split whose share of [0, 1) holds the digest's first 48 bits."""
+    total = sum(weights.values())
+    if total <= 0 or min(weights.values()) < 0:
+        raise ValueError(f"split weights must be non-negative with a positive sum: {weights}")
+    point = F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint")
+    names, bound, out = list(weights), 0.0, None
+    for name in names[:-1]:
+        bound += weights[name] / total
+        inside = point < F.lit(round(bound * 2**48))
+        out = F.when(inside, F.lit(name)) if out is None else out.when(inside, F.lit(name))
+    return F.lit(names[-1]) if out is None else out.otherwise(F.lit(names[-1]))
+
+
 def hex_bucket(digest: Column, n: int, digits: int = 3) -> Column:
-    """Integer of the first ``digits`` hex digits, modulo ``n`` (user folds, I5)."""
+    """Integer of the first ``digits`` hex digits, modulo ``n`` (user folds, I5).
+
+    More buckets than the digits can tell apart are refused.
+    """
+    if not 0 < n <= 16**digits:
+        raise ValueError(f"{n} buckets need more than {digits} hex digits")
     return (F.conv(F.substring(digest, 1, digits), 16, 10).cast("bigint") % F.lit(n)).cast("bigint")

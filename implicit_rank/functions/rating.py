@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from implicit_rank.session import materialize
+
 # Fixed values of the transform.
 RATING_SCALE = 5.0
 RATING_FLOOR = 0.05
@@ -47,12 +49,13 @@ def to_rating(
     """Replace ``col`` by its rating; statistics from ``fitted_on`` (default ``df``).
 
     Global statistics are one row, attached as a scalar subquery (computed
-    once, no join). Per-item statistics are an aggregate keyed by item and
-    joined back; an item unknown to ``fitted_on`` gets the constant rating.
+    once, no join). Per-item statistics are an aggregate keyed by item, written
+    out and joined back (so a hot item's rows can be split over tasks); an item
+    unknown to ``fitted_on`` gets the constant rating.
     """
     base = fitted_on if fitted_on is not None else df
     if per_item:
-        stats = rating_stats(base, col, by=item_col)
+        stats = materialize(rating_stats(base, col, by=item_col), "rating-stats")
         joined = df.join(stats, item_col, "left")
         return joined.withColumn(col, rating_expr(F.col(col), F.col("m"), F.col("s"))).drop("m", "s")
     packed = rating_stats(base, col).select(F.struct("m", "s").alias("st")).scalar()

@@ -14,6 +14,7 @@ from implicit_rank.functions.rating import to_rating
 from implicit_rank.jobs.common import add_columns, print_metrics, read, session
 from implicit_rank.operators.bias import BiasConfig, BiasModel, fit_bias
 from implicit_rank.operators.metrics import METRIC_COLUMNS, ranking_metrics
+from implicit_rank.session import materialize
 
 
 def main(argv=None) -> None:
@@ -25,6 +26,7 @@ def main(argv=None) -> None:
     ap.add_argument("-di", "--item-damping", type=float, default=0.0)
     ap.add_argument("-k", type=int, default=500)
     ap.add_argument("-s", "--save")
+    ap.add_argument("--keep", action="store_true", help="do not replace a model saved earlier")
     ap.add_argument("-l", "--load")
     ap.add_argument("-r", "--rating", action="store_true", help="fit on ratings instead of counts")
     ap.add_argument("--mode", choices=["catalogue", "observed"], default="catalogue")
@@ -37,27 +39,30 @@ def main(argv=None) -> None:
         model = BiasModel.load(spark, args.load)
     else:
         t0 = time.perf_counter()
-        model = fit_bias(fit_on, BiasConfig(True, True, (args.user_damping, args.item_damping))).materialize()
+        model = fit_bias(fit_on, BiasConfig(True, True, (args.user_damping, args.item_damping)))
         print(f"fit: {time.perf_counter() - t0:.3f} s")
         if args.save:
-            model.save(args.save)
-    evals = {"train": train, "val": read(spark, args.val, args), "test": read(spark, args.test, args)}
-    tables = []
-    for split, truth in evals.items():
-        # in catalogue mode every train pair is seen, so train has no hits by
-        # construction; train is only scored in the observed mode
-        if truth is None or (split == "train" and args.mode == "catalogue"):
-            continue
-        if args.mode == "observed":
-            recs = model.rank_observed(truth, args.k)
-        else:
-            recs = model.recommend(truth.select("user_id"), train, args.k)
-        tables.append(ranking_metrics(recs, truth, args.k).withColumn("split", F.lit(split)))
-    report = tables[0]
-    for t in tables[1:]:
-        report = report.unionByName(t)
-    rows = {r["split"]: {m: r[m] for m in METRIC_COLUMNS} for r in report.collect()}
-    print_metrics(rows)
+            model.save(args.save, mode="errorifexists" if args.keep else "overwrite")
+    held = {"val": read(spark, args.val, args), "test": read(spark, args.test, args)}
+    truth = None
+    # in catalogue mode every train pair is seen, so train has no hits by
+    # construction; it is only scored in the observed mode
+    for split, rows in ({"train": train, **held} if args.mode == "observed" else held).items():
+        if rows is not None:
+            part = rows.withColumn("split", F.lit(split))
+            truth = part if truth is None else truth.unionByName(part)
+    if truth is None:
+        row = model.stats.first()
+        print(f"no split to score; mean {row['mu']}, rows {row['n']}, items {model.catalogue.count()}")
+        return
+    truth = materialize(truth, "bias-truth", ["split"])
+    if args.mode == "observed":
+        recs = model.rank_observed(truth, args.k, by=["split"])  # all splits in one ranking
+    else:
+        lists = materialize(model.recommend(truth.select("user_id"), train, args.k), "bias-recs")
+        recs = lists.join(truth.select("split", "user_id").distinct(), "user_id")
+    report = ranking_metrics(recs, truth, args.k, by=["split"])
+    print_metrics({r["split"]: {m: r[m] for m in METRIC_COLUMNS} for r in report.collect()})
 
 
 if __name__ == "__main__":

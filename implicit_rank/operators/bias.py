@@ -6,13 +6,12 @@
 
 Damping 0 gives plain means. ``item=False`` makes every b_i zero,
 ``users=False`` every b_u. The sums are written as ``S - n*mu`` with S the
-sum of counts: for integer-valued counts S and n are exact, so b_i is the
-same double in any engine and the item order is reproducible.
+sum of counts: S is an exact sum (BIGINT, or DECIMAL for other types), so b_i does
+not depend on the order of the rows and the item order is reproducible.
 
-mu is a one-row aggregate attached as a scalar subquery: it is never
-collected into Python and needs no join; within one action the subquery runs
-once. A model used by several actions is ``materialize()``d first, so later
-plans read checkpoints instead of re-scanning the training data.
+mu is a one-row table attached as a scalar subquery: it is never collected
+into Python and needs no join. mu and the offsets are written to the shared
+folder when the model is fitted, so later plans read these small tables.
 """
 
 from __future__ import annotations
@@ -25,11 +24,11 @@ from pyspark.sql import functions as F
 
 from implicit_rank.operators.indexing import global_row_number
 from implicit_rank.operators.rank import catalogue_topk, top_k_per_user
-from implicit_rank.session import ensure_checkpoint_dir
+from implicit_rank.session import materialize
 
-# Decimal places of the score used as ranking key; values equal up to this
-# precision are ties, broken by item id.
-RANK_KEY_PLACES = 9
+# Counts of other than integer types are summed as decimals of this scale, so
+# that a sum does not depend on the order of its rows.
+SUM_TYPE = "decimal(28,12)"
 
 
 @dataclass(frozen=True)
@@ -41,10 +40,10 @@ class BiasConfig:
     damping: float | tuple[float, float] = 0.0
 
     def __post_init__(self):
-        if self.user_damping < 0:
-            raise ValueError("user damping must be non-negative")
-        if self.item_damping < 0:
-            raise ValueError("item damping must be non-negative")
+        below = [f"{part} {value}" for part, value in (("user", self.user_damping), ("item", self.item_damping))
+                 if not value >= 0]
+        if below:
+            raise ValueError(f"damping below zero: {', '.join(below)}")
 
     @property
     def user_damping(self) -> float:
@@ -59,9 +58,13 @@ class BiasConfig:
 class BiasModel:
     config: BiasConfig
     stats: DataFrame  # one row: mu DOUBLE, n BIGINT
-    item_offsets: DataFrame | None  # item_id, b_i, n_i
+    catalogue: DataFrame  # item_id, b_i (0 without an item part), n_i
     user_offsets: DataFrame | None  # user_id, b_u, n_u
 
+    @property
+    def item_offsets(self) -> DataFrame | None:
+        return self.catalogue if self.config.item else None
+
     # -- scalars -------------------------------------------------------
     def mu(self) -> Column:
         return self.stats.select("mu").scalar()
@@ -98,20 +101,19 @@ class BiasModel:
         """
         scored = self._attach(pairs.select(*by, "user_id", "item_id"))
         ranked = top_k_per_user(
-            scored, k, [F.round("b_i", RANK_KEY_PLACES).desc(), F.col("item_id").desc()], by=by)
+            scored, k, [F.col("b_i").desc(), F.col("item_id").desc()], by=by)
         return ranked.select(*by, "user_id", "item_id", "rnk",
                              (self.mu() + F.col("b_i") + F.col("b_u")).alias("score"))
 
     def item_order(self) -> DataFrame:
         """``(item_id, r, b_i)``: the catalogue in model order, r from 1.
 
-        The catalogue is the set of items seen in fitting. Numbered by a
+        The catalogue is the set of items seen in fitting; without item
+        offsets all of them tie and the id decides. Numbered by a
         range-partitioned sort, not a one-task window.
         """
-        if self.item_offsets is None:
-            raise ValueError("catalogue ranking needs item offsets")
-        order = [F.round("b_i", RANK_KEY_PLACES).desc(), F.col("item_id").asc()]
-        return global_row_number(self.item_offsets.select("item_id", "b_i"), order, "r")
+        order = [F.col("b_i").desc(), F.col("item_id").asc()]
+        return global_row_number(self.catalogue.select("item_id", "b_i"), order, "r")
 
     def recommend(self, users: DataFrame, seen: DataFrame, k: int) -> DataFrame:
         """Top-k unseen catalogue items per user (J9): ``(user_id, item_id, rnk, score)``.
@@ -120,10 +122,11 @@ class BiasModel:
         the catalogue is ranked once and each user takes the first k items
         of it that they have not seen.
         """
-        order = self.item_order()
-        recs = catalogue_topk(order, seen, users, k, n_items=order.count(), carry=("b_i",))
-        # b_i comes with the item order; only b_u is joined (recs are already
-        # partitioned by user, as are the user offsets)
+        return self.with_scores(catalogue_topk(self.item_order(), seen, users, k, carry=("b_i",)))
+
+    def with_scores(self, recs: DataFrame) -> DataFrame:
+        """Scores of ``(user_id, item_id, rnk, b_i)`` rows: b_i comes with the item order,
+        so only b_u is joined."""
         if self.user_offsets is not None:
             recs = recs.join(self.user_offsets.select("user_id", "b_u"), "user_id", "left")
         else:
@@ -131,25 +134,14 @@ class BiasModel:
         return recs.select("user_id", "item_id", "rnk",
                            (self.mu() + F.col("b_i") + F.coalesce(F.col("b_u"), F.lit(0.0))).alias("score"))
 
-    def materialize(self) -> "BiasModel":
-        """Checkpoint mu and the offsets (reliable checkpoints in the shared
-        folder) for a model that several actions will use."""
-        ensure_checkpoint_dir(self.stats.sparkSession)
-        self.stats = self.stats.checkpoint(eager=True)
-        if self.item_offsets is not None:
-            self.item_offsets = self.item_offsets.checkpoint(eager=True)
-        if self.user_offsets is not None:
-            self.user_offsets = self.user_offsets.checkpoint(eager=True)
-        return self
-
     # -- persistence (A10, A11) -----------------------------------------
-    def save(self, path: str, mode: str = "errorifexists") -> str:
+    def save(self, path: str, mode: str = "overwrite") -> str:
+        """Three parquet parts under ``path``; replaces a saved model unless told otherwise."""
         path = path.rstrip("/")
         meta = json.dumps({"item": self.config.item, "users": self.config.users,
                            "damping": [self.config.user_damping, self.config.item_damping]})
         self.stats.select("mu", "n", F.lit(meta).alias("config")).write.mode(mode).parquet(f"{path}/stats")
-        if self.item_offsets is not None:
-            self.item_offsets.write.mode(mode).parquet(f"{path}/item_offsets")
+        self.catalogue.write.mode(mode).parquet(f"{path}/item_offsets")
         if self.user_offsets is not None:
             self.user_offsets.write.mode(mode).parquet(f"{path}/user_offsets")
         return path
@@ -160,7 +152,7 @@ class BiasModel:
         stats = spark.read.parquet(f"{path}/stats")
         meta = json.loads(stats.select("config").first()[0])
         config = BiasConfig(meta["item"], meta["users"], tuple(meta["damping"]))
-        items = spark.read.parquet(f"{path}/item_offsets") if config.item else None
+        items = spark.read.parquet(f"{path}/item_offsets")
         users = spark.read.parquet(f"{path}/user_offsets") if config.users else None
         return cls(config, stats.select("mu", "n"), items, users)
 
@@ -169,34 +161,40 @@ def fit_bias(ratings: DataFrame, config: BiasConfig | None = None, col: str = "c
     """Fit mu, b_i, b_u (J2, J3) on ``(user_id, item_id, <col>)``.
 
     Plan: one aggregate for mu; b_i is one groupBy on item (partial
-    aggregation first, so a popular item is not one task); b_u joins b_i on
-    item (the same item exchange is reused; AQE broadcasts b_i when small
-    and splits skewed partitions otherwise) and groups by user.
+    aggregation first, so a popular item is not one task), written to the
+    shared folder; b_u joins that table on item and groups by user. Both sides
+    of the join, and later of ``predict``, are then plain shuffles that AQE can
+    split where a key is hot.
+
+    A null count has no residual; it still counts as a row of its item and
+    user in the damped denominators (n_i, n_u).
     """
     config = config or BiasConfig()
-    r = ratings.select("user_id", "item_id", F.col(col).cast("double").alias("_r"))
-    stats = r.agg((F.sum("_r") / F.count(F.lit(1))).alias("mu"), F.count(F.lit(1)).alias("n"))
+    whole = dict(ratings.dtypes)[col] in ("tinyint", "smallint", "int", "bigint")
+    exact = F.col(col).cast("bigint" if whole else SUM_TYPE)
+    r = ratings.select("user_id", "item_id", exact.alias("_r"))
+    total, known = F.sum("_r").cast("double"), F.count("_r")
+    stats = materialize(r.agg((total / known).alias("mu"), F.count(F.lit(1)).alias("n")), "bias-stats")
     mu = stats.select("mu").scalar()
 
-    items = None
-    if config.item:
-        items = (
-            r.groupBy("item_id")
-            .agg(F.sum("_r").alias("_s"), F.count(F.lit(1)).alias("n_i"))
-            .select("item_id",
-                    ((F.col("_s") - F.col("n_i") * mu) / (F.col("n_i") + F.lit(config.item_damping))).alias("b_i"),
-                    "n_i")
-        )
+    residual = F.coalesce((F.col("_s") - F.col("_known") * mu) / (F.col("n_i") + F.lit(config.item_damping)), F.lit(0.0))
+    items = (
+        r.groupBy("item_id")
+        .agg(total.alias("_s"), known.alias("_known"), F.count(F.lit(1)).alias("n_i"))
+        .select("item_id", (residual if config.item else F.lit(0.0)).alias("b_i"), "n_i")
+    )
+    items = materialize(items, "bias-items")
     users = None
     if config.users:
-        with_bi = r if items is None else r.join(items.select("item_id", "b_i"), "item_id", "left")
-        bi = F.coalesce(F.col("b_i"), F.lit(0.0)) if items is not None else F.lit(0.0)
+        with_bi = r.join(items.select("item_id", "b_i"), "item_id", "left") if config.item else r.withColumn("b_i", F.lit(0.0))
+        taken = F.sum(F.when(F.col("_r").isNotNull(), F.col("b_i")))
         users = (
             with_bi.groupBy("user_id")
-            .agg(F.sum("_r").alias("_s"), F.count(F.lit(1)).alias("n_u"), F.sum(bi).alias("_sb"))
+            .agg(total.alias("_s"), known.alias("_known"), F.count(F.lit(1)).alias("n_u"), taken.alias("_sb"))
             .select("user_id",
-                    ((F.col("_s") - F.col("n_u") * mu - F.col("_sb"))
-                     / (F.col("n_u") + F.lit(config.user_damping))).alias("b_u"),
+                    F.coalesce((F.col("_s") - F.col("_known") * mu - F.col("_sb"))
+                               / (F.col("n_u") + F.lit(config.user_damping)), F.lit(0.0)).alias("b_u"),
                     "n_u")
         )
+        users = materialize(users, "bias-users")
     return BiasModel(config, stats, items, users)

@@ -61,16 +61,14 @@ def frequency_index(df: DataFrame, id_col: str, out_col: str | None = None) -> D
 
 def index_ids(df: DataFrame, fitted_on: DataFrame | None = None,
               user_col: str = "user_id", item_col: str = "item_id",
-              user_out: str = "user_idx", item_out: str = "item_idx",
-              keep_unknown: bool = False) -> DataFrame:
+              user_out: str = "user_idx", item_out: str = "item_idx") -> DataFrame:
     """Add int indexes of users and items (H1, H2), fitted jointly on ``fitted_on``.
 
-    Ids unknown to the fitted index are skipped (``handleInvalid='skip'``)
-    unless ``keep_unknown``; the index tables are joined by key, so the
-    planner broadcasts them only when it measures them small.
+    Ids unknown to the fitted index are skipped (``handleInvalid='skip'``); the
+    index tables are joined by key, so the planner broadcasts them only when it
+    measures them small.
     """
     base = fitted_on if fitted_on is not None else df
-    how = "left" if keep_unknown else "inner"
     users = frequency_index(base, user_col, user_out)
     items = frequency_index(base, item_col, item_out)
-    return df.join(users, user_col, how).join(items, item_col, how)
+    return df.join(users, user_col).join(items, item_col)

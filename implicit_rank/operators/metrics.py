@@ -73,7 +73,7 @@ def per_user_metrics(recs: DataFrame, truth: DataFrame, k, by=(), include_missin
     max_k = max_k if max_k is not None else int(k)
     spark = recs.sparkSession
     r = recs.select(*keys, "item_id", "rnk").where(F.col("rnk") <= kc)
-    t = truth.select(*keys, "item_id")
+    t = truth.select(*keys, "item_id").distinct()  # relevance is a set
     n_truth = t.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_truth"))
     n_recs = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_recs"))
     hits = r.join(t, keys + ["item_id"], "left_semi")
@@ -115,7 +115,8 @@ def lenient_per_user(recs: DataFrame, truth: DataFrame, k: int, by=(), gain_col:
     keys = by + ["user_id"]
     spark = recs.sparkSession
     r = recs.select(*keys, "item_id", "rnk").where(F.col("rnk") <= k)
-    t = truth.select(*keys, "item_id", F.col(gain_col).cast("double").alias("_gain"))
+    # a repeated truth row adds its gain to the item's, once
+    t = truth.groupBy(*keys, "item_id").agg(F.coalesce(F.sum(F.col(gain_col).cast("double")), F.lit(0.0)).alias("_gain"))
     n_truth = t.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_truth"))
     n_recs = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_recs"))
     harm = harmonic_table(spark, k)
@@ -162,6 +163,39 @@ def metrics_long(wide: DataFrame, by=(), columns=METRIC_COLUMNS) -> DataFrame:
     return wide.unpivot(list(by), list(columns), "metric", "value")
 
 
-def with_k_values(df: DataFrame, ks) -> DataFrame:
-    """Repeat each row once per k in a fixed list, as column ``k``."""
-    return df.withColumn("k", F.explode(F.array(*[F.lit(int(x)).cast("bigint") for x in ks])))
+def metrics_by_k(recs: DataFrame, truth: DataFrame, max_k: int, by=()) -> DataFrame:
+    """Mean metrics at every k = 1..max_k from lists of length max_k, in one pass.
+
+    Hits are numbered once. A user's metrics at k depend on its hits of rank
+    <= k and on m = min(|truth|, max_k), so the hits are summed by (rank, m):
+    at most max_k^2 rows per ``by`` group, whatever the number of users, and
+    prefix sums over the ranks give every k. Neither lists nor truth are
+    repeated per k.
+    """
+    by = list(by)
+    keys = by + ["user_id"]
+    spark = recs.sparkSession
+    t = truth.select(*keys, "item_id").distinct()
+    sizes = t.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_truth")).withColumn("m", F.least("n_truth", F.lit(max_k)))
+    r = recs.select(*keys, "item_id", "rnk").where(F.col("rnk") <= max_k)
+    so_far = Window.partitionBy(*keys).orderBy("rnk")  # at most max_k rows
+    hits = r.join(t, keys + ["item_id"], "left_semi").withColumn("_h", F.row_number().over(so_far)).join(sizes, keys)
+    prec = F.col("_h") / F.col("rnk")
+    by_rank = hits.groupBy(*by, "m", F.col("rnk").cast("bigint").alias("k")).agg(
+        F.count(F.lit(1)).alias("_hits"), F.sum(F.lit(1.0) / F.col("n_truth")).alias("_rec"),
+        F.sum(prec / F.col("n_truth")).alias("_ap"), F.sum(prec).alias("_prec"),
+        F.sum(F.lit(1.0) / F.log2(F.col("rnk") + 1)).alias("_dcg"))
+    users = sizes.groupBy(*by, "m").agg(F.count(F.lit(1)).alias("_users"))
+    every_k = F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(max_k).cast("bigint")))
+    cells = users.withColumn("k", every_k).join(by_rank, [*by, "m", "k"], "left")  # <= max_k^2 rows a group
+    upto = Window.partitionBy(*by, "m").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    sums = ["_hits", "_rec", "_ap", "_prec", "_dcg"]
+    cells = cells.select(*by, "m", "k", "_users", *[F.sum(F.coalesce(F.col(c), F.lit(0))).over(upto).alias(c) for c in sums])
+    cells = (cells.withColumn("_ideal", F.least("m", "k"))
+             .join(F.broadcast(ideal_dcg_table(spark, max_k).withColumnRenamed("m", "_ideal")), "_ideal"))
+    n = F.sum("_users")
+    return cells.groupBy(*by, "k").agg(
+        n.alias("n_users"), (F.sum(F.col("_hits") / F.col("k")) / n).alias("precision_at_k"),
+        (F.sum("_rec") / n).alias("recall_at_k"), (F.sum("_ap") / n).alias("map"),
+        (F.sum(F.col("_prec") / F.col("_ideal")) / n).alias("map_at_k"),
+        (F.sum(F.col("_dcg") / F.col("idcg")) / n).alias("ndcg_at_k"))

@@ -35,17 +35,6 @@ def split_counts(df: DataFrame, by: str = "split") -> DataFrame:
     return df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def per_user_counts(df: DataFrame, user_col: str = "user_id", weight: str | None = None) -> DataFrame:
-    """Interactions per user (AG2): rows, or the sum of ``weight``."""
-    agg = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    return df.groupBy(user_col).agg(agg.alias("n"))
-
-
-def distinct_count(df: DataFrame, col: str) -> DataFrame:
-    """Number of distinct values (AG8) as a one-row frame."""
-    return df.agg(F.countDistinct(col).alias(f"n_{col}"))
-
-
 def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Rename (B6), e.g. ``{'count': 'cnt', 'track_id': 'item_id'}``."""
     for old, new in mapping.items():

@@ -13,19 +13,12 @@ BUCKET_ROWS = 1 << 16
 # Head of the global item order that is broadcast when slots are resolved
 # to items; it has at most this many rows, whatever the data size.
 HEAD_ROWS = 100_000
-# Target users are broadcast to filter the seen pairs up to this many ids;
-# beyond it the filter is skipped (it would shuffle the seen pairs and keep
-# most of them) and other users drop out at the join with the k slots.
-TARGETS_BROADCAST_ROWS = 1_000_000
 
 
-def seen_of_targets(seen: DataFrame, targets: DataFrame, max_rows: int = TARGETS_BROADCAST_ROWS) -> DataFrame:
-    """Seen pairs, restricted to the target users when their count is small
-    enough to broadcast (one count decides; the bound is checked)."""
-    pairs = seen.select("user_id", "item_id")
-    if targets.count() <= max_rows:
-        return pairs.join(F.broadcast(targets.select("user_id")), "user_id", "left_semi")
-    return pairs
+def seen_of_targets(seen: DataFrame, targets: DataFrame) -> DataFrame:
+    """Seen pairs of the target users: a semi-join, whose strategy is left to the
+    measured sizes."""
+    return seen.select("user_id", "item_id").join(targets.select("user_id"), "user_id", "left_semi")
 
 
 def top_k_per_user(scored: DataFrame, k: int, order: list[Column], user_col: str = "user_id",
@@ -45,9 +38,7 @@ def top_k_per_user(scored: DataFrame, k: int, order: list[Column], user_col: str
 
 def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: int,
                    rank_col: str = "r", bucket_rows: int = BUCKET_ROWS,
-                   head_rows: int = HEAD_ROWS, n_items: int | None = None,
-                   carry: tuple[str, ...] = (),
-                   targets_broadcast_rows: int = TARGETS_BROADCAST_ROWS) -> DataFrame:
+                   head_rows: int = HEAD_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
     """First k items of a global order that each user has not seen.
 
     ``item_rank`` is ``(item_id, r)`` with r = 1..N a total order shared by
@@ -69,14 +60,12 @@ def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: i
     nearly all slots fall, and which every user hits) come from a broadcast
     of at most ``head_rows`` rows, the rest from a shuffled join.
 
-    When the catalogue size ``n_items`` is known and fits in one bucket (or
-    in the head), the prefix branch (or the tail join) cannot contribute and
-    is left out of the plan; the group-size bounds still hold.
+    The plan is the same for every catalogue size.
     """
     targets = users.select("user_id").distinct()
     ranks = item_rank.select("item_id", F.col(rank_col).cast("bigint").alias("_r"), *carry)
     seen_r = (
-        seen_of_targets(seen, targets, targets_broadcast_rows)
+        seen_of_targets(seen, targets)
         .join(ranks.select("item_id", "_r"), "item_id")
         .withColumn("_b", F.floor((F.col("_r") - 1) / F.lit(bucket_rows)).cast("bigint"))
     )
@@ -88,14 +77,11 @@ def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: i
         .where(F.col("_prev").isNull() | (F.col("_prev") != F.col("_r")))
         .withColumn("_lrn", F.row_number().over(in_bucket))
     )
-    if n_items is None or n_items > bucket_rows:
-        per_bucket = numbered.groupBy("user_id", "_b").agg(F.count(F.lit(1)).alias("_nb"))
-        earlier = Window.partitionBy("user_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        prefix = per_bucket.select(
-            "user_id", "_b", F.coalesce(F.sum("_nb").over(earlier), F.lit(0)).alias("_before"))
-        numbered = numbered.join(prefix, ["user_id", "_b"])
-    else:
-        numbered = numbered.withColumn("_before", F.lit(0).cast("bigint"))
+    per_bucket = numbered.groupBy("user_id", "_b").agg(F.count(F.lit(1)).alias("_nb"))
+    earlier = Window.partitionBy("user_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = per_bucket.select(
+        "user_id", "_b", F.coalesce(F.sum("_nb").over(earlier), F.lit(0)).alias("_before"))
+    numbered = numbered.join(prefix, ["user_id", "_b"])
     numbered = numbered.withColumn("_g", F.col("_r") - F.col("_before") - F.col("_lrn"))
     gaps = (
         numbered.where(F.col("_g") < k)
@@ -111,7 +97,6 @@ def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: i
     )
     head = ranks.where(F.col("_r") <= head_rows)
     resolved = slots.where(F.col("_r") <= head_rows).join(F.broadcast(head), "_r")
-    if n_items is None or n_items > head_rows:
-        tail = ranks.where(F.col("_r") > head_rows)
-        resolved = resolved.unionByName(slots.where(F.col("_r") > head_rows).join(tail, "_r"))
+    tail = ranks.where(F.col("_r") > head_rows)
+    resolved = resolved.unionByName(slots.where(F.col("_r") > head_rows).join(tail, "_r"))
     return resolved.select("user_id", "item_id", F.col("_q").alias("rnk"), *carry)

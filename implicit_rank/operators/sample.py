@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from implicit_rank.functions.hashing import hex_bucket, md5_key, split_of
+from implicit_rank.functions.hashing import hex_bucket, md5_key, split_of, weighted_split
 from implicit_rank.operators.indexing import index_ids
-from implicit_rank.session import ensure_checkpoint_dir
-
-# A top-k user list is broadcast to the semi-join only up to this many rows.
-BROADCAST_MAX_ROWS = 1_000_000
+from implicit_rank.session import materialize
 
 
 def top_users(df: DataFrame, k: int, by: str = "rows", user_col: str = "user_id") -> DataFrame:
@@ -26,43 +23,35 @@ def top_users(df: DataFrame, k: int, by: str = "rows", user_col: str = "user_id"
 
 
 def top_user_interactions(df: DataFrame, k: int, by: str = "rows", user_col: str = "user_id") -> DataFrame:
-    """Interactions of the top-k users (C1) as a left-semi join.
-
-    The top list has at most k rows, so it is broadcast when k is below
-    ``BROADCAST_MAX_ROWS``; beyond that the semi-join shuffles.
-    """
-    top = top_users(df, k, by, user_col).select(user_col)
-    if k <= BROADCAST_MAX_ROWS:
-        top = F.broadcast(top)
-    return df.join(top, user_col, "left_semi")
+    """Interactions of the top-k users (C1) as a left-semi join; the planner
+    broadcasts the list of users if it measures it small."""
+    return df.join(top_users(df, k, by, user_col).select(user_col), user_col, "left_semi")
 
 
-def hash_split(df: DataFrame, seed: int = 42, user_col: str = "user_id", item_col: str = "item_id") -> DataFrame:
-    """Add ``split`` = train / val / test from ``md5(user|item|seed)``.
+def hash_split(df: DataFrame, seed: int = 42, user_col: str = "user_id", item_col: str = "item_id",
+               weights: dict[str, float] | None = None) -> DataFrame:
+    """Add ``split`` from ``md5(user|item|seed)``.
 
-    No shuffle, no sampling state: the same row lands in the same split
-    under any partitioning and on any re-execution.
+    By default train / val / test; ``weights`` (e.g. ``{"train": 0.8, "val":
+    0.2}``) gives any other split. No shuffle, no sampling state: the same row
+    lands in the same split under any partitioning and on any re-execution.
     """
-    return df.withColumn("split", split_of(user_col, item_col, seed))
-
-
-def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int | None = None) -> list[DataFrame]:
-    """Spark's ``randomSplit`` (the coded behaviour of I2), for comparison only:
-    it depends on partition layout, so the hash split is the default."""
-    return df.randomSplit(list(weights), seed=seed)
+    if weights is None:
+        return df.withColumn("split", split_of(user_col, item_col, seed))
+    return df.withColumn("split", weighted_split(md5_key(user_col, item_col, seed=seed), weights))
 
 
-def subsample_topk(df: DataFrame, k: int, seed: int = 42, by: str = "rows") -> DataFrame:
+def subsample_topk(df: DataFrame, k: int, seed: int = 42, by: str = "rows",
+                   weights: dict[str, float] | None = None) -> DataFrame:
     """Top-k-user subsample (I1): top users, their rows, int indexes, hash split.
 
     Returns one frame with ``split``; write with ``partitionBy('split')``.
-    The subsample is checkpointed once: the index reads it in several passes,
-    and each would otherwise redo the top-k selection over the full input.
+    ``weights`` as in ``hash_split`` (the coded job splits 80/20). The
+    subsample is written once: the index reads it in several passes, and each
+    would otherwise redo the top-k selection over the full input.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    top = top_user_interactions(df, k, by).checkpoint(eager=True)
-    indexed = index_ids(top)
-    return hash_split(indexed, seed)
+    top = materialize(top_user_interactions(df, k, by), "subsample")
+    return hash_split(index_ids(top), seed, weights=weights)
 
 
 def user_folds(df: DataFrame, n_folds: int = 5, holdout: int = 5, seed: int = 42,

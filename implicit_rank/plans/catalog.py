@@ -16,11 +16,12 @@ from pyspark.sql import types as T
 from implicit_rank.operators.bias import BiasConfig, BiasModel, fit_bias
 from implicit_rank.operators.metrics import (
     lenient_metrics,
+    metrics_by_k,
     ranking_metrics,
-    with_k_values,
 )
 from implicit_rank.operators.sample import hash_split
 from implicit_rank.plans import oracle as O
+from implicit_rank.session import materialize as written
 from implicit_rank.sources.fixtures import purchases
 
 # Fixed parameters of the registered queries.
@@ -65,11 +66,11 @@ def _with(*parts: str) -> str:
 # -- shared plan pieces ---------------------------------------------------
 
 def splits(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
-    """Purchases with their split. ``materialize`` checkpoints it once when a
-    plan reads it in several branches, so the lineitem x orders join is not
-    recomputed per branch."""
+    """Purchases with their split. ``materialize`` writes it once, partitioned by
+    split, when a plan reads it in several branches: the lineitem x orders join
+    is not recomputed, and each branch reads its split's columns only."""
     s = hash_split(purchases(spark, sf_dir), SEED)
-    return s.checkpoint(eager=True) if materialize else s
+    return written(s, "splits", ["split"]) if materialize else s
 
 
 def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -142,7 +143,7 @@ def _event_splits(spark, sf_dir):
 
 def _preprocessed_events(spark, sf_dir):
     from implicit_rank.operators.prep import drop_low_counts, tag_split, union_all
-    ev = _event_splits(spark, sf_dir)
+    ev = written(_event_splits(spark, sf_dir), "events", ["split"])  # the JSON is parsed once
     given = {name: ev.where(F.col("split") == name).select("user_id", "item_id", "cnt")
              for name in ("train", "val", "test")}
     tagged = union_all([tag_split(df, name) for name, df in given.items()])
@@ -172,7 +173,7 @@ def q_index_ids(spark, sf_dir):
     from implicit_rank.operators.indexing import index_ids
     from implicit_rank.operators.prep import indexed_columns
     # read by both index passes and the final join: parse the JSON once
-    kept = _preprocessed_events(spark, sf_dir).checkpoint(eager=True)
+    kept = written(_preprocessed_events(spark, sf_dir), "events")
     return rounded(indexed_columns(index_ids(kept)))
 
 
@@ -193,7 +194,7 @@ def q_topk_users(spark, sf_dir):
 def q_topk_user_interactions(spark, sf_dir):
     """Interactions of the top-k users, broadcast semi-join."""
     from implicit_rank.operators.sample import top_user_interactions
-    return rounded(top_user_interactions(purchases(spark, sf_dir), TOP_USERS))
+    return rounded(top_user_interactions(written(purchases(spark, sf_dir), "purchases"), TOP_USERS))
 
 
 @register("subsample_topk", _with(
@@ -208,7 +209,7 @@ FROM t JOIN ui ON ui.user_id = t.user_id JOIN ii ON ii.item_id = t.item_id""")
 def q_subsample_topk(spark, sf_dir):
     """Top-k-user subsample: top users, their rows, index inside, split."""
     from implicit_rank.operators.sample import subsample_topk
-    return rounded(subsample_topk(purchases(spark, sf_dir), TOP_USERS, SEED))
+    return rounded(subsample_topk(written(purchases(spark, sf_dir), "purchases"), TOP_USERS, SEED))
 
 
 @register("hash_split", _with(O.base_ctes(SEED)) + "\nSELECT user_id, item_id, (round(cnt, 6) + CAST(0 AS DOUBLE)) AS cnt, split FROM s")
@@ -236,7 +237,7 @@ _FOLDS_SQL = f"""f AS (
 
 def _folds(spark, sf_dir):
     from implicit_rank.operators.sample import user_folds
-    return user_folds(purchases(spark, sf_dir), N_FOLDS, HOLDOUT, SEED)
+    return user_folds(written(purchases(spark, sf_dir), "purchases"), N_FOLDS, HOLDOUT, SEED)
 
 
 @register("user_folds", _with(f"p AS ({O.PURCHASES})", _FOLDS_SQL)
@@ -367,7 +368,7 @@ def q_bias_variants(spark, sf_dir):
 
 _OBSERVED_SQL = """obs AS (
   SELECT x.user_id, x.item_id,
-         row_number() OVER (PARTITION BY x.user_id ORDER BY round(coalesce(i.b_i, 0), 9) DESC, x.item_id DESC) AS rnk,
+         row_number() OVER (PARTITION BY x.user_id ORDER BY coalesce(i.b_i, 0) DESC, x.item_id DESC) AS rnk,
          (SELECT mu FROM st) + coalesce(i.b_i, 0) + coalesce(u.b_u, 0) AS score
   FROM test x LEFT JOIN bi i ON i.item_id = x.item_id LEFT JOIN bu u ON u.user_id = x.user_id)"""
 
@@ -431,8 +432,7 @@ def _by_k_sql() -> str:
 def q_metrics_by_k(spark, sf_dir):
     """Metrics at several k from one list of length max(k), one aggregation."""
     recs, test = catalogue_recs(spark, sf_dir, max(KS))
-    out = ranking_metrics(with_k_values(recs, KS), with_k_values(test, KS), "k", by=["k"], max_k=max(KS))
-    return rounded(out)
+    return rounded(metrics_by_k(recs, test, max(KS)).where(F.col("k").isin(*KS)))
 
 
 @register("per_user_metrics", _with(O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), O.catalogue_ctes(K),
@@ -463,7 +463,7 @@ def q_metrics_long(spark, sf_dir):
     O.base_ctes(SEED), O.bias_ctes(USER_DAMPING, ITEM_DAMPING),
     """obs AS (
   SELECT x.split, x.user_id, x.item_id,
-         row_number() OVER (PARTITION BY x.split, x.user_id ORDER BY round(coalesce(i.b_i, 0), 9) DESC, x.item_id DESC) AS rnk
+         row_number() OVER (PARTITION BY x.split, x.user_id ORDER BY coalesce(i.b_i, 0) DESC, x.item_id DESC) AS rnk
   FROM s x LEFT JOIN bi i ON i.item_id = x.item_id)""",
     """nt AS (SELECT split, user_id, count(*) AS n_truth FROM s GROUP BY split, user_id)""",
     f"""hits AS (SELECT split, user_id, rnk, row_number() OVER (PARTITION BY split, user_id ORDER BY rnk) AS h
@@ -557,7 +557,8 @@ def q_count_vs_rating(spark, sf_dir):
 
 # -- ALS and experiment sweeps (rows-only: iterative, not SQL) ---------------
 
-ALS_SMALL = dict(rank=10, max_iter=5, reg=1.0, alpha=10.0)
+# the driver tables have int ids
+ALS_SMALL = dict(rank=10, max_iter=5, reg=1.0, alpha=10.0, ids="raw")
 # Runs of a sweep submitted concurrently (they share the executors).
 SWEEP_PARALLELISM = 4
 
@@ -567,62 +568,102 @@ def _als_params(**over):
     return AlsParams(**{**ALS_SMALL, **over})
 
 
-@register("als_score_pairs")
+@register("als_score_pairs", _with(O.base_ctes(SEED))
+          + """\nSELECT user_id, item_id, true AS scored FROM test
+WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)""")
 def q_als_score_pairs(spark, sf_dir):
-    """Implicit ALS fit on train, predicted preference of test pairs; cold rows dropped."""
+    """Implicit ALS fit on train; the test pairs that get a finite score: cold users and items are dropped."""
     from implicit_rank.operators.als import fit_als, score_pairs
     train, test = train_test(spark, sf_dir)
-    return rounded(score_pairs(fit_als(train, _als_params()), test))
+    scored = score_pairs(fit_als(train, _als_params()), test)
+    finite = F.col("prediction").isNotNull() & (F.abs("prediction") < float("inf"))
+    return scored.select("user_id", "item_id", finite.alias("scored"))
 
 
 def _als_topk(spark, sf_dir, **over):
     from implicit_rank.operators.als import fit_als, recommend
     train, test = train_test(spark, sf_dir)
     fit = fit_als(train, _als_params(**over))
-    return recommend(fit, test.select("user_id"), train, K), test
+    return recommend(fit, test.select("user_id"), train, K), train, test
+
+
+def _list_checks(recs: DataFrame, seen: DataFrame) -> DataFrame:
+    """What holds for every user's list, whatever the factors are."""
+    from pyspark.sql import Window
+    before = F.lag("score").over(Window.partitionBy("user_id").orderBy("rnk"))
+    lists = recs.withColumn("_up", F.coalesce(F.col("score") > before, F.lit(False))).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_recs"), F.countDistinct("item_id").alias("n_items"),
+        (F.max("rnk") == F.count(F.lit(1))).alias("ranks_1_to_n"), (~F.max("_up")).alias("scores_descend"))
+    again = recs.join(seen, ["user_id", "item_id"], "left_semi").groupBy("user_id").agg(F.count(F.lit(1)).alias("n_seen"))
+    return lists.join(again, "user_id", "left").withColumn("n_seen", F.coalesce("n_seen", F.lit(0).cast("bigint")))
 
 
-@register("als_topk")
+_ALS_LISTS_SQL = _with(O.base_ctes(SEED), "seen AS (SELECT user_id, count(*) AS n FROM train GROUP BY user_id)",
+                       f"""lists AS (SELECT user_id, least({K}, (SELECT count(DISTINCT item_id) FROM train) - n) AS n_recs
+  FROM seen WHERE user_id IN (SELECT user_id FROM test))""") + """
+SELECT user_id, n_recs, n_recs AS n_items, true AS ranks_1_to_n, true AS scores_descend, CAST(0 AS BIGINT) AS n_seen
+FROM lists WHERE n_recs > 0"""
+
+
+@register("als_topk", _ALS_LISTS_SQL)
 def q_als_topk(spark, sf_dir):
-    """Top-k unseen catalogue items per test user from ALS."""
-    recs, _ = _als_topk(spark, sf_dir)
-    return rounded(recs)
+    """Top-k unseen catalogue items per test user from ALS (J8): what every list must satisfy."""
+    recs, train, _ = _als_topk(spark, sf_dir)
+    return _list_checks(recs, train)
 
 
-@register("als_presence")
+@register("als_presence", _ALS_LISTS_SQL)
 def q_als_presence(spark, sf_dir):
     """ALS on presence only (rating 1.0) instead of counts."""
-    recs, _ = _als_topk(spark, sf_dir, use_counts=False)
-    return rounded(recs)
+    recs, train, _ = _als_topk(spark, sf_dir, use_counts=False)
+    return _list_checks(recs, train)
 
 
-@register("als_signed")
+@register("als_signed", _ALS_LISTS_SQL)
 def q_als_signed(spark, sf_dir):
     """Factorisation without non-negativity."""
-    recs, _ = _als_topk(spark, sf_dir, nonnegative=False)
-    return rounded(recs)
+    recs, train, _ = _als_topk(spark, sf_dir, nonnegative=False)
+    return _list_checks(recs, train)
 
 
 @register("als_metrics")
 def q_als_metrics(spark, sf_dir):
     """Metrics of the ALS catalogue lists on test (K1-K4 on J8)."""
-    recs, test = _als_topk(spark, sf_dir)
+    recs, _, test = _als_topk(spark, sf_dir)
     return rounded(ranking_metrics(recs, test, K))
 
 
-@register("als_roundtrip")
+@register("als_roundtrip", _with(O.base_ctes(SEED)) + """
+SELECT count(*) AS n_pairs, CAST(0 AS BIGINT) AS n_differ, true AS same_report, true AS string_ids_survive FROM test
+WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)""")
 def q_als_roundtrip(spark, sf_dir):
-    """Save the ALS model with its id maps, load, score test pairs."""
+    """Save a string-id model, then an int-id model to the same folder; what is
+    loaded is each time the last save, predictions and parameters alike (A12, J12)."""
     from implicit_rank.operators.als import AlsFit, fit_als, score_pairs
     from implicit_rank.session import shared_folder
     train, test = train_test(spark, sf_dir)
-    path = fit_als(train, _als_params()).save(shared_folder(spark, "als-model"))
-    return rounded(score_pairs(AlsFit.load(spark, path), test))
-
-
-@register("als_grid")
+    path = shared_folder(spark, "als-model")
+    named = train.withColumn("user_id", F.col("user_id").cast("string"))
+    first = fit_als(named, _als_params(rank=4, max_iter=1, ids="index"))
+    back = AlsFit.load(spark, first.save(path))
+    survives = back.users is not None and back.report() == first.report()
+    fit = fit_als(train, _als_params(reg=0.5))
+    loaded = AlsFit.load(spark, fit.save(path))
+    pairs = score_pairs(fit, test).join(
+        score_pairs(loaded, test).withColumnRenamed("prediction", "again"), ["user_id", "item_id"], "full")
+    differ = F.sum(F.when(F.col("prediction").eqNullSafe(F.col("again")), 0).otherwise(1)).cast("bigint")
+    return pairs.agg(F.count(F.lit(1)).alias("n_pairs"), F.coalesce(differ, F.lit(0).cast("bigint")).alias("n_differ")).select(
+        "*", F.lit(loaded.report() == fit.report() and loaded.users is None).alias("same_report"),
+        F.lit(survives).alias("string_ids_survive"))
+
+
+@register("als_grid", _with(O.base_ctes(SEED)) + """
+SELECT CAST(r AS DOUBLE) AS rank, CAST(l AS DOUBLE) AS reg, CAST(10 AS DOUBLE) AS alpha,
+  (SELECT count(DISTINCT user_id) FROM val) AS n_user_rows, CAST(1 AS BIGINT) AS n_best, true AS best_is_largest
+FROM (VALUES (5), (10)) a(r), (VALUES (0.1), (1.0)) b(l)""")
 def q_als_grid(spark, sf_dir):
-    """Grid rank x lambda x alpha, fit on train, pick by precision@k on the fixed val split."""
+    """Grid rank x lambda x alpha, fit on train, pick by precision@k on the fixed val split (L1, L2):
+    the settings, the users scored by each, and that one setting is picked, the best."""
     from implicit_rank.plans.tune import build_grid, grid_search
     s = splits(spark, sf_dir, materialize=True)
     cols = ["user_id", "item_id", "cnt"]
@@ -630,7 +671,9 @@ def q_als_grid(spark, sf_dir):
     val = s.where(F.col("split") == "val").select(*cols)
     grid = build_grid([5, 10], [0.1, 1.0], [10.0], _als_params())
     table, _best = grid_search(spark, train, val, grid, K, parallelism=SWEEP_PARALLELISM)
-    return rounded(table)
+    picked = table.agg(F.sum("best").alias("n_best"), (F.max("precision_at_k") == F.max(
+        F.when(F.col("best") == 1, F.col("precision_at_k")))).alias("best_is_largest"))
+    return rounded(table.select("rank", "reg", "alpha", "n_user_rows").join(F.broadcast(picked)))  # one row
 
 
 @register("als_fold_sweep")
@@ -638,7 +681,7 @@ def q_als_fold_sweep(spark, sf_dir):
     """User folds x (ALS, bias), run log, per-user metrics, mean per setting (I5, L3-L5, K9, C7, AG10)."""
     from implicit_rank.operators.sample import fold_test, fold_train
     from implicit_rank.plans.tune import Algorithm, als_fitter, bias_fitter, mean_by, run_metrics, sweep
-    folds = _folds(spark, sf_dir).checkpoint(eager=True)
+    folds = written(_folds(spark, sf_dir), "folds")
     cols = ["user_id", "item_id", "cnt"]
     datasets = {f"fold{f}": (fold_train(folds, f).select(*cols), fold_test(folds, f).select(*cols))
                 for f in range(N_FOLDS)}
@@ -678,28 +721,32 @@ def q_model_comparison(spark, sf_dir):
     return rounded(metric_by_time(per_user, run_log))
 
 
+TOP_SIZES = (10, 100, 1000, 10000)
+
+
 @register("fit_time_by_size")
 def q_fit_time_by_size(spark, sf_dir):
     """Fit time and rows by top-k-user subsample size (I1 outputs swept, L10)."""
     from implicit_rank.operators.sample import top_user_interactions
     from implicit_rank.plans.tune import Algorithm, als_fitter, sweep
-    data = purchases(spark, sf_dir)
+    data = written(purchases(spark, sf_dir), "purchases")
     datasets = {}
-    for n in (50, 100, 200):
-        sub = hash_split(top_user_interactions(data, n), SEED).checkpoint(eager=True)
+    for n in TOP_SIZES:
+        sub = written(hash_split(top_user_interactions(data, n), SEED), "subsample", ["split"])
         cols = ["user_id", "item_id", "cnt"]
         datasets[f"top{n}"] = (sub.where(F.col("split") == "train").select(*cols),
                                sub.where(F.col("split") == "test").select(*cols))
     run_log, _ = sweep(spark, datasets, [Algorithm("ImplicitALS", {}, als_fitter(_als_params()))], K)
-    sizes = spark.createDataFrame([(name, n) for name, n in zip(datasets, (50, 100, 200))], "dataset string, top_users bigint")
-    return rounded(run_log.join(F.broadcast(sizes), "dataset").select("dataset", "top_users", "train_time", "rec_time"))
+    sizes = spark.createDataFrame([(name, n, datasets[name][0].count()) for name, n in zip(datasets, TOP_SIZES)],
+                                  "dataset string, top_users bigint, n_rows bigint")
+    return rounded(run_log.join(F.broadcast(sizes), "dataset").select("dataset", "top_users", "n_rows", "train_time", "rec_time"))
 
 
 # -- the same bias pipeline on the events fixture: 100 items, many exact
 #    ties of b_i, users who have seen nearly the whole catalogue ----------
 
 def _event_train_test(spark, sf_dir):
-    s = _event_splits(spark, sf_dir).checkpoint(eager=True)
+    s = written(_event_splits(spark, sf_dir), "events", ["split"])
     cols = ["user_id", "item_id", "cnt"]
     return s.where(F.col("split") == "train").select(*cols), s.where(F.col("split") == "test").select(*cols)
 
@@ -727,13 +774,265 @@ def q_metrics_catalogue_events(spark, sf_dir):
     return rounded(ranking_metrics(recs, test, K))
 
 
-@register("als_metrics_observed")
+@register("als_metrics_observed", _with(
+    O.base_ctes(SEED),
+    """warm AS (SELECT user_id, item_id FROM test
+  WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train))""",
+    f"""pu AS (SELECT t.user_id, count(*) AS nt, least({K}, count(w.item_id)) AS h
+  FROM test t LEFT JOIN warm w ON w.user_id = t.user_id AND w.item_id = t.item_id GROUP BY t.user_id)""",
+    f"""m AS (SELECT h / {K} AS precision_at_k, h / nt AS recall_at_k, h / nt AS map, h / least(nt, {K}) AS map_at_k,
+  (SELECT coalesce(sum(1 / log2(i + 1)), 0) FROM range(1, h + 1) g(i))
+    / (SELECT sum(1 / log2(i + 1)) FROM range(1, least(nt, {K}) + 1) g(i)) AS ndcg_at_k FROM pu)""")
+    + "\n" + O.metrics_select("").replace("FROM pu", "FROM m"))
 def q_als_metrics_observed(spark, sf_dir):
-    """The coded ALS evaluation: score the test pairs, rank them per user,
-    compare with the test items (observed mode, D10), k applied (J7, E2, E3, K1-K4)."""
+    """The coded ALS evaluation: score the test pairs, rank them per user, compare with the
+    test items (observed mode, D10; J7, E2, E3, K1-K4). Every ranked pair is a hit, so the
+    metrics depend on the counts of warm pairs only."""
     from implicit_rank.operators.als import fit_als, score_pairs
     from implicit_rank.operators.rank import top_k_per_user
     train, test = train_test(spark, sf_dir)
     scored = score_pairs(fit_als(train, _als_params()), test)
     recs = top_k_per_user(scored, K, [F.col("prediction").desc(), F.col("item_id").desc()])
     return rounded(ranking_metrics(recs, test, K))
+
+
+# -- sources and sinks on the given tables -----------------------------------
+
+_PAIRS_SQL = f"SELECT user_id, item_id, (round(cnt, 6) + CAST(0 AS DOUBLE)) AS cnt FROM ({O.PURCHASES})"
+
+
+@register("parquet_roundtrip", f"SELECT *, true AS refused, 'cf_top5_unseeded' AS name FROM ({_PAIRS_SQL}) "
+                               "UNION ALL SELECT *, true, 'cf_top5_7' FROM (" + _PAIRS_SQL + ")")
+def q_parquet_roundtrip(spark, sf_dir):
+    """Write with the reference's column names, refuse to write again, overwrite, read back."""
+    from pyspark.errors import AnalysisException
+
+    from implicit_rank.operators.prep import rename_columns
+    from implicit_rank.session import shared_folder
+    from implicit_rank.sources.io import output_name, read_interactions, write_parquet
+    pairs = written(purchases(spark, sf_dir), "purchases")
+    raw = rename_columns(pairs, {"cnt": "count", "item_id": "track_id"})
+    folder = shared_folder(spark, "roundtrip")
+    out = None
+    for seed in (None, 7):
+        name = output_name("cf", 5, seed)
+        write_parquet(raw.limit(3), f"{folder}/{name}.parquet", mode="errorifexists")
+        try:
+            write_parquet(raw, f"{folder}/{name}.parquet", mode="errorifexists")
+            refused = False
+        except AnalysisException:
+            refused = True
+        write_parquet(raw, f"{folder}/{name}.parquet")
+        part = read_interactions(spark, f"{folder}/{name}.parquet", "user_id", "track_id", "count").select(
+            "*", F.lit(refused).alias("refused"), F.lit(name).alias("name"))
+        out = part if out is None else out.unionByName(part)
+    return rounded(out)
+
+
+_PART_COLUMNS = "CAST(p_partkey AS BIGINT) AS p_partkey, p_name, p_brand, CAST(p_size AS BIGINT) AS p_size"
+
+
+@register("csv_json_roundtrip", f"SELECT 'csv' AS kind, {_PART_COLUMNS} FROM part UNION ALL SELECT 'json', {_PART_COLUMNS} FROM part")
+def q_csv_json_roundtrip(spark, sf_dir):
+    """Part table through CSV with a DDL schema and through JSON (A2, A3)."""
+    from implicit_rank.session import shared_folder
+    from implicit_rank.sources.fixtures import read_table
+    from implicit_rank.sources.io import read_csv, read_json
+    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_size"])
+    folder, ddl = shared_folder(spark, "text"), "p_partkey BIGINT, p_name STRING, p_brand STRING, p_size BIGINT"
+    part.write.option("header", True).csv(f"{folder}/csv")
+    part.write.json(f"{folder}/json")
+    both = read_csv(spark, f"{folder}/csv", ddl, header=True).withColumn("kind", F.lit("csv")).unionByName(
+        read_json(spark, f"{folder}/json").withColumn("kind", F.lit("json")))
+    return rounded(both.select("kind", "p_partkey", "p_name", "p_brand", "p_size"))
+
+
+# -- splits, nulls and repeats ------------------------------------------------
+
+WEIGHTS = {"train": 0.8, "val": 0.2}
+
+
+@register("subsample_80_20", _with(f"p AS ({O.PURCHASES})", _TOP_SQL)
+          + f"""\nSELECT user_id, item_id, CASE WHEN CAST('0x' || substr({O.md5_of('user_id', 'item_id', seed=SEED)}, 1, 12) AS BIGINT)
+  < {round(0.8 * 2**48)} THEN 'train' ELSE 'val' END AS split FROM p WHERE user_id IN (SELECT user_id FROM top)""")
+def q_subsample_80_20(spark, sf_dir):
+    """The coded subsample: top users split 80/20."""
+    from implicit_rank.operators.sample import subsample_topk
+    sub = subsample_topk(written(purchases(spark, sf_dir), "purchases"), TOP_USERS, SEED, weights=WEIGHTS)
+    return sub.select("user_id", "item_id", "split")
+
+
+@register("preprocess_splits", _with(
+    f"e AS ({O.EVENTS})", f"s AS (SELECT user_id, item_id, cnt, {O.split_expr(SEED)} AS split FROM e WHERE cnt >= {MIN_COUNT})")
+    + "\nSELECT split, count(*) AS n_rows, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items FROM s GROUP BY split")
+def q_preprocess_splits(spark, sf_dir):
+    """The preprocessing job's table, written by split and read back."""
+    from implicit_rank.operators.prep import preprocess
+    from implicit_rank.session import shared_folder
+    from implicit_rank.sources.io import write_parquet
+    ev = written(_event_splits(spark, sf_dir), "events", ["split"])
+    given = {name: ev.where(F.col("split") == name) for name in ("train", "val", "test")}
+    path = write_parquet(preprocess(given, MIN_COUNT), shared_folder(spark, "processed"), partition_by=["split"])
+    return spark.read.parquet(path).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_idx").alias("n_users"), F.countDistinct("item_idx").alias("n_items"))
+
+
+_NULLED = "SELECT user_id, item_id, CASE WHEN (user_id + item_id) % 5 <> 0 THEN cnt END AS cnt FROM p"
+
+
+@register("bias_null_counts", _with(
+    f"p AS ({O.PURCHASES})", f"x AS ({_NULLED})", "m AS (SELECT avg(cnt) AS mu FROM x)",
+    f"bi AS (SELECT item_id, coalesce(sum(cnt - mu), 0) / (count(*) + {ITEM_DAMPING}) AS b_i, count(*) AS n FROM x, m GROUP BY item_id)",
+    f"""bu AS (SELECT user_id, coalesce(sum(cnt - mu - b_i), 0) / (count(*) + {USER_DAMPING}) AS b_u, count(*) AS n
+  FROM x JOIN bi USING (item_id), m GROUP BY user_id)""")
+    + f"\nSELECT 'item' AS kind, item_id AS id, {O.r6('b_i')} AS offset_value, n FROM bi"
+    + f"\nUNION ALL SELECT 'user', user_id, {O.r6('b_u')}, n FROM bu UNION ALL SELECT 'mean', CAST(0 AS BIGINT), {O.r6('mu')}, CAST(0 AS BIGINT) FROM m")
+def q_bias_null_counts(spark, sf_dir):
+    """Null counts have no residual and count in the damped denominators (AG1, AG3-AG5)."""
+    pairs = written(purchases(spark, sf_dir), "purchases")
+    cnt = F.when((F.col("user_id") + F.col("item_id")) % 5 != 0, F.col("cnt"))
+    m = fit_bias(pairs.withColumn("cnt", cnt), default_bias())
+    items = m.item_offsets.select(F.lit("item").alias("kind"), F.col("item_id").alias("id"), F.col("b_i").alias("offset_value"),
+                                  F.col("n_i").alias("n"))
+    users = m.user_offsets.select(F.lit("user").alias("kind"), F.col("user_id").alias("id"), F.col("b_u").alias("offset_value"),
+                                  F.col("n_u").alias("n"))
+    zero = F.lit(0).cast("bigint")
+    mean = m.stats.select(F.lit("mean").alias("kind"), zero.alias("id"), F.col("mu").alias("offset_value"), zero.alias("n"))
+    return rounded(items.unionByName(users).unionByName(mean))
+
+
+_REPEATED = "reps AS (SELECT * FROM test UNION ALL SELECT * FROM test WHERE item_id % 2 = 0)"
+
+
+@register("metrics_repeated_truth", _with(
+    O.base_ctes(SEED, O.EVENTS), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), O.catalogue_ctes(K), _REPEATED,
+    O.metrics_ctes(K, "recs", "reps"), O.lenient_ctes(K, "recs", "reps"),
+    "a AS (" + O.metrics_select() + ")", "b AS (" + O.lenient_select() + ")")
+    + "\nSELECT a.*, b.precision_lk, b.recall_lk, b.ndcg_lk, b.map_manual FROM a, b")
+def q_metrics_repeated_truth(spark, sf_dir):
+    """Repeated truth rows: relevance is a set, gains of an item add up (K1-K8)."""
+    recs, test = _event_recs(spark, sf_dir)
+    truth = written(test.unionByName(test.where("item_id % 2 = 0")), "truth")
+    recs = written(recs, "recs")
+    lenient = lenient_metrics(recs, truth, K).drop("n_users")
+    return rounded(ranking_metrics(recs, truth, K).join(F.broadcast(lenient)))  # one row each
+
+
+@register("null_lists", _with(O.base_ctes(SEED))
+          + "\nSELECT c_custkey AS user_id, (SELECT count(*) FROM test WHERE user_id = c_custkey) AS n_items FROM customer")
+def q_null_lists(spark, sf_dir):
+    """Customers without test items get an empty list, not a null one (AG9, G2)."""
+    from implicit_rank.functions.arrays import empty_if_null, ranked_lists
+    from implicit_rank.operators.rank import top_k_per_user
+    from implicit_rank.sources.fixtures import read_table
+    _, test = train_test(spark, sf_dir)
+    lists = ranked_lists(top_k_per_user(test, 1 << 30, [F.desc("cnt"), F.asc("item_id")]))
+    every = read_table(spark, sf_dir, "customer", ["c_custkey"]).select(F.col("c_custkey").alias("user_id"))
+    return every.join(lists, "user_id", "left").select(
+        "user_id", F.size(empty_if_null("items")).cast("bigint").alias("n_items"))
+
+
+# -- every k, large catalogue, sweeps ----------------------------------------
+
+K_CURVE = 500
+
+
+@register("metrics_k_curve", _with(
+    O.base_ctes(SEED, O.EVENTS), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), O.catalogue_ctes(K_CURVE),
+    "nt AS (SELECT user_id, count(DISTINCT item_id) AS n FROM test GROUP BY user_id)",
+    """h AS (SELECT r.user_id, r.rnk, row_number() OVER (PARTITION BY r.user_id ORDER BY r.rnk) AS h
+  FROM recs r JOIN (SELECT DISTINCT user_id, item_id FROM test) t ON t.user_id = r.user_id AND t.item_id = r.item_id)""",
+    f"""ks AS (SELECT unnest(range(1, {K_CURVE} + 1)) AS k)""",
+    "ideal AS (SELECT a.k, sum(1 / log2(b.k + 1)) AS idcg FROM ks a JOIN ks b ON b.k <= a.k GROUP BY a.k)",
+    """cell AS (SELECT ks.k, nt.user_id, any_value(nt.n) AS n, count(h.h) AS hits, coalesce(sum(h.h / h.rnk), 0) AS ap,
+    coalesce(sum(1 / log2(h.rnk + 1)), 0) AS dcg
+  FROM ks CROSS JOIN nt LEFT JOIN h ON h.user_id = nt.user_id AND h.rnk <= ks.k GROUP BY ks.k, nt.user_id)""")
+    + f"""\nSELECT cell.k, count(*) AS n_users, {O.r6('avg(hits / cell.k)')} AS precision_at_k, {O.r6('avg(hits / n)')} AS recall_at_k,
+  {O.r6('avg(ap / n)')} AS map, {O.r6('avg(ap / least(n, cell.k))')} AS map_at_k, {O.r6('avg(dcg / idcg)')} AS ndcg_at_k
+FROM cell JOIN ideal ON ideal.k = least(cell.n, cell.k) GROUP BY cell.k""")
+def q_metrics_k_curve(spark, sf_dir):
+    """Metrics at every k from 1 to 500 in one pass over lists of length 500."""
+    train, test = _event_train_test(spark, sf_dir)
+    recs = fit_bias(train, default_bias()).recommend(test.select("user_id"), train, K_CURVE)
+    return rounded(metrics_by_k(recs, test, K_CURVE))
+
+
+_ORDERS_AS_ITEMS = """SELECT o_custkey AS user_id, o_orderkey AS item_id, CAST(round(o_totalprice) AS BIGINT) % 97 AS cnt
+  FROM orders WHERE o_custkey IS NOT NULL AND o_orderkey IS NOT NULL"""
+
+
+@register("bias_topk_large_catalogue", _with(
+    O.base_ctes(SEED, _ORDERS_AS_ITEMS), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), O.catalogue_ctes(K))
+    + f"\nSELECT user_id, item_id, rnk, {O.r6('score')} AS score FROM recs")
+def q_bias_topk_large_catalogue(spark, sf_dir):
+    """Top-k unseen over a catalogue of all orders, with small rank buckets and head, so that
+    the prefix and tail branches carry rows at every size (J9)."""
+    from implicit_rank.operators.rank import catalogue_topk
+    from implicit_rank.sources.fixtures import read_table
+    orders = read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderkey", "o_totalprice"]).where(
+        "o_custkey IS NOT NULL AND o_orderkey IS NOT NULL")
+    pairs = orders.select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("item_id"),
+                          (F.round("o_totalprice").cast("bigint") % 97).alias("cnt"))
+    s = written(hash_split(pairs, SEED), "order-splits", ["split"])
+    cols = ["user_id", "item_id", "cnt"]
+    train, test = s.where("split = 'train'").select(*cols), s.where("split = 'test'").select(*cols)
+    m = fit_bias(train, default_bias())
+    recs = catalogue_topk(m.item_order(), train, test.select("user_id"), K, bucket_rows=64, head_rows=4, carry=("b_i",))
+    return rounded(m.with_scores(recs))
+
+
+def _fold_bias_sql() -> str:
+    ctes, parts = [f"p AS ({O.PURCHASES})", _FOLDS_SQL], []
+    for f in range(N_FOLDS):
+        x = f"f{f}_"
+        ctes += [f"{x}train AS (SELECT user_id, item_id, cnt FROM f WHERE NOT (fold = {f} AND holdout = 1))",
+                 f"{x}test AS (SELECT user_id, item_id, cnt FROM f WHERE fold = {f} AND holdout = 1)",
+                 O.bias_ctes(USER_DAMPING, ITEM_DAMPING, src=f"{x}train", prefix=x),
+                 O.catalogue_ctes(K, prefix=x, seen=f"{x}train", truth=f"{x}test"),
+                 O.metrics_ctes(K, f"{x}recs", f"{x}test", prefix=f"{x}m_"),
+                 O.lenient_ctes(K, f"{x}recs", f"{x}test", prefix=f"{x}l_")]
+        wide = ", ".join(f"{O.r6(f'avg(a.{c})')} AS {c}" for c in ("precision_at_k", "recall_at_k", "map", "map_at_k", "ndcg_at_k"))
+        loose = ", ".join(f"{O.r6(f'avg(b.{c})')} AS {c}" for c in ("precision_lk", "recall_lk", "ndcg_lk", "map_manual"))
+        parts.append(f"SELECT CAST({f + 1} AS BIGINT) AS run_id, 'fold{f}' AS dataset, count(*) AS n_users, {wide}, {loose} "
+                     f"FROM {x}m_pu a JOIN {x}l_pu b ON b.user_id = a.user_id")
+    return _with(*ctes) + "\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("bias_fold_sweep", _fold_bias_sql())
+def q_bias_fold_sweep(spark, sf_dir):
+    """Bias model over user folds by the sweep: both families of metrics per run, attributes
+    from the run log that the sweep wrote (I5, L3-L5, K5-K9, C7, AG10, A13)."""
+    from implicit_rank.operators.metrics import LENIENT_COLUMNS, METRIC_COLUMNS
+    from implicit_rank.operators.sample import fold_test, fold_train
+    from implicit_rank.plans.tune import (Algorithm, bias_fitter, read_recs, read_run_log, run_lenient_metrics, run_metrics,
+                                          sweep)
+    from implicit_rank.session import shared_folder
+    folds = written(_folds(spark, sf_dir), "folds")
+    cols = ["user_id", "item_id", "cnt"]
+    datasets = {f"fold{f}": (fold_train(folds, f).select(*cols), fold_test(folds, f).select(*cols)) for f in range(N_FOLDS)}
+    algs = [Algorithm("Bias", {"user_damping": USER_DAMPING, "item_damping": ITEM_DAMPING}, bias_fitter(default_bias()))]
+    folder = shared_folder(spark, "fold-sweep")
+    sweep(spark, datasets, algs, K, folder, parallelism=SWEEP_PARALLELISM)
+    log, recs = read_run_log(spark, f"{folder}/runs.csv"), read_recs(spark, f"{folder}/recs")
+    truths = {n: t for n, (_, t) in datasets.items()}
+    strict = run_metrics(log, recs, truths, K).select("run_id", "dataset", "user_id", *METRIC_COLUMNS)
+    loose = run_lenient_metrics(log, recs, truths, K).select("run_id", "user_id", *LENIENT_COLUMNS)
+    both = strict.join(loose, ["run_id", "user_id"])
+    return rounded(both.groupBy(F.col("run_id").cast("bigint").alias("run_id"), "dataset").agg(
+        F.count(F.lit(1)).alias("n_users"), *[F.avg(c).alias(c) for c in (*METRIC_COLUMNS, *LENIENT_COLUMNS)]))
+
+
+@register("subsample_sizes", _with(f"p AS ({O.PURCHASES})",
+          "act AS (SELECT user_id, row_number() OVER (ORDER BY count(*) DESC, user_id) AS place, count(*) AS n FROM p GROUP BY user_id)")
+          + "\nSELECT CAST(k AS BIGINT) AS top_users, CAST(sum(n) AS BIGINT) AS n_rows FROM act, (VALUES (10), (100), (1000), (10000)) v(k) "
+            "WHERE place <= k GROUP BY k")
+def q_subsample_sizes(spark, sf_dir):
+    """Rows of the top-k-user subsamples at the sizes of the fit-time study."""
+    from implicit_rank.operators.sample import top_user_interactions
+    data = written(purchases(spark, sf_dir), "purchases")
+    out = None
+    for n in TOP_SIZES:
+        part = top_user_interactions(data, n).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(n).cast("bigint").alias("top_users"), "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -46,6 +46,11 @@ val AS (SELECT user_id, item_id, cnt FROM s WHERE split = 'val'),
 test AS (SELECT user_id, item_id, cnt FROM s WHERE split = 'test')"""
 
 
+def exact_sum(expr: str) -> str:
+    """A sum that does not depend on the order of its rows, as DOUBLE."""
+    return f"CAST(sum(CAST({expr} AS DECIMAL(28,12))) AS DOUBLE)"
+
+
 def bias_ctes(user_damping: float, item_damping: float, src: str = "train", prefix: str = "",
               item: bool = True, users: bool = True) -> str:
     """{prefix}st (mu), {prefix}bi (item_id, b_i, n_i), {prefix}bu (user_id, b_u, n_u)."""
@@ -53,7 +58,7 @@ def bias_ctes(user_damping: float, item_damping: float, src: str = "train", pref
     mu = f"(SELECT mu FROM {st})"
     if item:
         bi_sql = f"""{bi} AS (SELECT item_id,
-      (sum(cnt) - count(*) * {mu}) / (count(*) + CAST({item_damping} AS DOUBLE)) AS b_i,
+      coalesce(({exact_sum('cnt')} - count(cnt) * {mu}) / (count(*) + CAST({item_damping} AS DOUBLE)), 0) AS b_i,
       count(*) AS n_i
     FROM {src} GROUP BY item_id)"""
         bi_term = f"coalesce({bi}.b_i, 0)"
@@ -62,13 +67,14 @@ def bias_ctes(user_damping: float, item_damping: float, src: str = "train", pref
         bi_sql = f"{bi} AS (SELECT item_id, CAST(0 AS DOUBLE) AS b_i, count(*) AS n_i FROM {src} GROUP BY item_id)"
         bi_term, bi_join = "0", ""
     bu_sql = f"""{bu} AS (SELECT x.user_id,
-      (sum(x.cnt) - count(*) * {mu} - sum({bi_term})) / (count(*) + CAST({user_damping} AS DOUBLE)) AS b_u,
+      coalesce(({exact_sum('x.cnt')} - count(x.cnt) * {mu} - sum(CASE WHEN x.cnt IS NOT NULL THEN {bi_term} END))
+        / (count(*) + CAST({user_damping} AS DOUBLE)), 0) AS b_u,
       count(*) AS n_u
     FROM {src} x {bi_join} GROUP BY x.user_id)"""
     if not users:
         bu_sql = f"{bu} AS (SELECT user_id, CAST(0 AS DOUBLE) AS b_u, count(*) AS n_u FROM {src} GROUP BY user_id)"
     return f"""
-{st} AS (SELECT sum(cnt) / count(*) AS mu FROM {src}),
+{st} AS (SELECT {exact_sum('cnt')} / count(cnt) AS mu FROM {src}),
 {bi_sql},
 {bu_sql}"""
 
@@ -78,7 +84,7 @@ def catalogue_ctes(k: int, prefix: str = "", seen: str = "train", truth: str = "
     definition: candidates are global ranks 1..k+n_seen, minus seen, renumbered."""
     p = prefix
     return f"""
-{p}ord AS (SELECT item_id, b_i, row_number() OVER (ORDER BY round(b_i, 9) DESC, item_id) AS r FROM {p}bi),
+{p}ord AS (SELECT item_id, b_i, row_number() OVER (ORDER BY b_i DESC, item_id) AS r FROM {p}bi),
 {p}users AS (SELECT DISTINCT user_id FROM {truth}),
 {p}nseen AS (SELECT u.user_id, count(t.item_id) AS n FROM {p}users u LEFT JOIN {seen} t ON t.user_id = u.user_id GROUP BY u.user_id),
 {p}slots AS (SELECT user_id, unnest(range(1, n + {k} + 1)) AS pos FROM {p}nseen),
@@ -98,12 +104,12 @@ def metrics_ctes(k: int, recs: str, truth: str, prefix: str = "m_", include_miss
     p = prefix
     join = "LEFT JOIN" if include_missing else "JOIN"
     return f"""
-{p}nt AS (SELECT user_id, count(*) AS n_truth FROM {truth} GROUP BY user_id),
+{p}nt AS (SELECT user_id, count(DISTINCT item_id) AS n_truth FROM {truth} GROUP BY user_id),
 {p}nr AS (SELECT user_id, count(*) AS n_recs FROM {recs} WHERE rnk <= {k} GROUP BY user_id),
 {p}hits AS (
   SELECT r.user_id, r.rnk, row_number() OVER (PARTITION BY r.user_id ORDER BY r.rnk) AS h
-  FROM {recs} r JOIN {truth} t ON t.user_id = r.user_id AND t.item_id = r.item_id
-  WHERE r.rnk <= {k}),
+  FROM {recs} r WHERE r.rnk <= {k}
+    AND EXISTS (SELECT 1 FROM {truth} t WHERE t.user_id = r.user_id AND t.item_id = r.item_id)),
 {p}ha AS (SELECT user_id, count(*) AS n_hits, sum(h / rnk) AS prec_sum, sum(1 / log2(rnk + 1)) AS dcg
           FROM {p}hits GROUP BY user_id),
 {p}pu AS (
@@ -133,15 +139,16 @@ def lenient_ctes(k: int, recs: str, truth: str, prefix: str = "l_") -> str:
     (manual MAP as the mean over t=1..k of precision@t)."""
     p = prefix
     return f"""
+{p}truth AS (SELECT user_id, item_id, coalesce(sum(CAST(cnt AS DOUBLE)), 0) AS cnt FROM {truth} GROUP BY user_id, item_id),
 {p}r AS (SELECT user_id, item_id, rnk FROM {recs} WHERE rnk <= {k}),
 {p}nr AS (SELECT user_id, count(*) AS n_recs FROM {p}r GROUP BY user_id),
-{p}nt AS (SELECT user_id, count(*) AS n_truth FROM {truth} GROUP BY user_id),
+{p}nt AS (SELECT user_id, count(*) AS n_truth FROM {p}truth GROUP BY user_id),
 {p}hits AS (SELECT r.user_id, r.rnk, CAST(t.cnt AS DOUBLE) AS gain
-            FROM {p}r r JOIN {truth} t ON t.user_id = r.user_id AND t.item_id = r.item_id),
+            FROM {p}r r JOIN {p}truth t ON t.user_id = r.user_id AND t.item_id = r.item_id),
 {p}ideal AS (
   SELECT user_id, sum(gain / greatest(log2(pos), 1)) AS idcg FROM (
     SELECT user_id, CAST(cnt AS DOUBLE) AS gain,
-           row_number() OVER (PARTITION BY user_id ORDER BY cnt DESC, item_id) AS pos FROM {truth})
+           row_number() OVER (PARTITION BY user_id ORDER BY cnt DESC, item_id) AS pos FROM {p}truth)
   WHERE pos <= {k} GROUP BY user_id),
 {p}ptab AS (
   SELECT nr.user_id, g.t,

@@ -74,3 +74,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str, partition_by=()):
+    """Write ``df`` as parquet to the shared folder and read it back.
+
+    Unlike a row checkpoint the table keeps column pruning, filter pushdown and
+    statistics; ``partition_by`` adds folder pruning. A join on it shuffles a
+    plain scan, so the planner can split a hot key's rows over tasks.
+    """
+    folder = shared_folder(df.sparkSession, name)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder).select(*df.columns)

@@ -98,9 +98,8 @@ def _brute(order, seen, users, k):
     return out
 
 
-@pytest.mark.parametrize("bucket_rows,head_rows,known,bcast", [
-    (4, 5, False, 10), (64, 64, True, 10), (3, 1000, False, 0), (4, 5, True, 0)])
-def test_catalogue_topk_equals_brute_force(spark, bucket_rows, head_rows, known, bcast):
+@pytest.mark.parametrize("bucket_rows,head_rows", [(4, 5), (64, 64), (3, 1000)])
+def test_catalogue_topk_equals_brute_force(spark, bucket_rows, head_rows):
     import random
     rnd = random.Random(3)
     n_items, k = 40, 7
@@ -116,8 +115,7 @@ def test_catalogue_topk_equals_brute_force(spark, bucket_rows, head_rows, known,
     users_df = spark.createDataFrame([(u,) for u in users], "user_id bigint")
     users_df = users_df.where("user_id != 5")  # user 5 has history but is not a target
     users = [u for u in users if u != 5]
-    got = catalogue_topk(item_rank, seen_df, users_df, k, bucket_rows=bucket_rows, head_rows=head_rows,
-                         n_items=n_items if known else None, targets_broadcast_rows=bcast)
+    got = catalogue_topk(item_rank, seen_df, users_df, k, bucket_rows=bucket_rows, head_rows=head_rows)
     lists = {}
     for r in got.orderBy("user_id", "rnk").collect():
         lists.setdefault(r.user_id, []).append(r.item_id)
@@ -158,3 +156,36 @@ def test_users_without_truth_are_not_scored(spark):
     truth = spark.createDataFrame([(1, 10, 1.0)], "user_id bigint, item_id bigint, cnt double")
     row = ranking_metrics(recs, truth, 1).first()
     assert row.n_users == 1 and row.precision_at_k == 1.0
+
+
+def test_null_counts_have_no_residual(spark):
+    rows = [(1, 10, 2.0), (1, 11, None), (2, 10, 4.0), (2, 12, None)]
+    m = fit_bias(_df(spark, rows), BiasConfig(damping=(1.0, 2.0)))
+    assert m.stats.first().mu == 3.0
+    items = {r.item_id: (r.b_i, r.n_i) for r in m.item_offsets.collect()}
+    assert items == {10: (0.0, 2), 11: (0.0, 1), 12: (0.0, 1)}
+    users = {r.user_id: (r.b_u, r.n_u) for r in m.user_offsets.collect()}
+    assert users == {1: (pytest.approx(-1 / 3), 2), 2: (pytest.approx(1 / 3), 2)}
+
+
+def test_close_scores_are_not_ties(spark):
+    """Offsets that differ by less than 1e-9 keep their order."""
+    rows = [(1, 5, 1.0), (1, 4, 1.0000000001), (1, 6, 1.0)]
+    m = fit_bias(_df(spark, rows), BiasConfig(damping=0))
+    assert [r.item_id for r in m.item_order().orderBy("r").collect()] == [4, 5, 6]
+
+
+def test_recommend_without_item_offsets(spark):
+    m = fit_bias(_df(spark), BiasConfig(item=False))
+    users = spark.createDataFrame([(1,)], "user_id bigint")
+    recs = m.recommend(users, _df(spark).select("user_id", "item_id"), 5).orderBy("rnk").collect()
+    assert [r.item_id for r in recs] == [12, 13]
+
+
+def test_saving_again_replaces_the_model(spark):
+    path = shared_folder(spark, "test-bias")
+    fit_bias(_df(spark), BiasConfig(damping=1)).save(path)
+    with pytest.raises(Exception):
+        fit_bias(_df(spark), BiasConfig(damping=2)).save(path, mode="errorifexists")
+    fit_bias(_df(spark), BiasConfig(damping=2)).save(path)
+    assert BiasModel.load(spark, path).config.user_damping == 2.0

@@ -58,3 +58,41 @@ def test_als_job_grid_search(spark, sf_small, capsys):
                     "--epochs", "2", "--k", "5"])
     out = capsys.readouterr().out
     assert "best" in out and "test/precision_at_k" in out
+
+
+def test_subsample_job_splits_80_20_and_logs_its_seed(spark, sf_small, capsys):
+    d, p = _inputs(spark, sf_small)
+    subsample.main(["-i", p["train"], "-o", d, "-k", "60"])
+    out = capsys.readouterr().out
+    assert "seed: " in out
+    counts = {r["split"]: r["n"] for r in spark.read.parquet(f"{d}/cf_train_sub_top60_unseeded.parquet")
+              .groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert set(counts) == {"train", "val"}
+    assert 0.75 < counts["train"] / sum(counts.values()) < 0.85
+
+
+def test_bias_job_train_only_and_saved_twice(spark, sf_small, capsys):
+    d, p = _inputs(spark, sf_small)
+    for _ in range(2):  # the second save replaces the first
+        bias_train.main(["-tr", p["train"], "-k", "20", "-s", f"{d}/model"])
+        assert "no split to score" in capsys.readouterr().out
+    bias_train.main(["-tr", p["train"], "-k", "20", "--mode", "observed"])
+    out = capsys.readouterr().out
+    assert set(k.split("/")[0] for k in json.loads(out[out.index("{"):])) == {"train"}
+    with pytest.raises(Exception):
+        bias_train.main(["-tr", p["train"], "-s", f"{d}/model", "--keep"])
+
+
+def test_als_job_observed_and_ratio_search_with_string_ids(spark, sf_small, capsys):
+    d, p = _inputs(spark, sf_small)
+    named = {}
+    for name, path in p.items():
+        named[name] = f"{d}/named_{name}.parquet"
+        spark.read.parquet(path).withColumn("user_id", F.concat(F.lit("u"), "user_id")).write.parquet(named[name])
+    als_train.main(["--train-file", named["train"], "--val-file", named["val"], "--test-file", named["test"],
+                    "--ratio-search", "--ranks", "2", "--lambdas", "0.1", "--alphas", "1,2", "--epochs", "1",
+                    "--k", "5", "--mode", "observed"])
+    out = capsys.readouterr().out
+    assert out.count("rank 2 lambda 0.1") == 2
+    report = json.loads(out[out.index('{\n'):])
+    assert report["test/map"] > 0.5  # only held pairs are ranked

@@ -6,8 +6,8 @@ from pyspark.ml.evaluation import RankingEvaluator
 from pyspark.sql import functions as F
 
 from implicit_rank.functions.arrays import empty_if_null, ranked_lists
-from implicit_rank.operators.metrics import (lenient_per_user, metrics_long, per_user_metrics,
-                                             ranking_metrics, with_k_values)
+from implicit_rank.operators.metrics import (lenient_per_user, metrics_by_k, metrics_long, per_user_metrics,
+                                             ranking_metrics)
 
 # user -> (ranked list, truth set)
 CASES = {
@@ -49,15 +49,25 @@ def test_include_missing_drops_users_without_recs(spark):
     assert kept == {1, 2, 3, 5}
 
 
-def test_metrics_at_several_k_in_one_pass(spark):
+def test_metrics_at_every_k_in_one_pass(spark):
     recs, truth = _frames(spark)
-    ks = [1, 2, 5]
-    together = {r.k: r for r in ranking_metrics(with_k_values(recs, ks), with_k_values(truth, ks), "k",
-                                                by=["k"], max_k=5).collect()}
-    for k in ks:
+    rows = {r.k: r for r in metrics_by_k(recs, truth, 7).collect()}
+    assert sorted(rows) == list(range(1, 8))
+    for k in rows:
         alone = ranking_metrics(recs, truth, k).first()
-        assert together[k].precision_at_k == pytest.approx(alone.precision_at_k)
-        assert together[k].ndcg_at_k == pytest.approx(alone.ndcg_at_k)
+        assert rows[k].n_users == alone.n_users
+        for name in ("precision_at_k", "recall_at_k", "map", "map_at_k", "ndcg_at_k"):
+            assert rows[k][name] == pytest.approx(alone[name]), (k, name)
+
+
+def test_repeated_truth_is_a_set(spark):
+    recs = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], "user_id bigint, item_id bigint, rnk bigint")
+    truth = spark.createDataFrame([(1, 10, 1.0), (1, 10, 1.0), (1, 12, 1.0)], "user_id bigint, item_id bigint, cnt double")
+    row = ranking_metrics(recs, truth, 5).first()
+    assert row.recall_at_k == 0.5 and row.map == 0.5
+    lenient = lenient_per_user(recs, truth, 5).first()
+    assert lenient.n_hits == 1 and lenient.recall_lk == 0.5
+    assert metrics_by_k(recs, truth, 5).where("k = 5").first().recall_at_k == 0.5
 
 
 def _lenient_reference(lst, truth_gain, k):
