@@ -46,6 +46,7 @@ MOST_LISTS = 1024
 SAMPLE = 16_384         # at most so many vectors fit the centroids
 CELL = 512
 BLOCK = 16              # coordinates in a column block
+PAIRS = 1 << 16         # surviving pairs scored at once
 EPSILON = 2.1           # of the hypothesis test
 TRIAL_QUERIES = 64
 RECALL = 0.97           # aim of the measurement that picks the number of probes
@@ -168,42 +169,52 @@ def choose_probes(assigned: DataFrame, queries: DataFrame, index: Index, k: int)
     return int(found[min(len(found) - 1, int(np.ceil(RECALL * len(found))) - 1)]) + 1
 
 
-def scan_cell(index: Index, x: np.ndarray, ids: list, q: np.ndarray, tau: np.ndarray, k: int):
-    """Scan one cell for several queries; yields (query row, scores, id lists) of its best.
+def scan_cell(index: Index, x: np.ndarray, q: np.ndarray, tau: np.ndarray, k: int):
+    """Scan one cell for several queries: (query row, vector row, score) of the k + 1 best of each.
 
-    ``tau`` is a score that a candidate has to reach, -inf if there is none yet.
+    ``tau`` is a score that a candidate has to reach, -inf if there is none
+    yet. The block of columns is read for all queries at once, of the queries
+    and vectors that are still in some live pair.
     """
     turned, asked = index.turn(x), index.turn(q, query=True)
     d = turned.shape[1]
-    blocks = range(0, d, BLOCK)
-    far = (asked * asked).sum(axis=1) + index.top ** 2 - 2 * tau  # squared distance that belongs to a score of tau
-    for row in range(len(q)):
-        alive, partial, limit = np.arange(len(x)), np.zeros(len(x)), far[row]
-        for start in blocks:
-            stop = min(start + BLOCK, d)
-            gap = turned[alive, start:stop] - asked[row, start:stop]
-            partial = partial + np.einsum("ij,ij->i", gap, gap)
-            if stop < d and np.isfinite(limit):
-                keep = partial * d <= limit * stop * (1 + EPSILON / np.sqrt(stop)) ** 2
-                alive, partial = alive[keep], partial[keep]
-        scores = x[alive] @ q[row]
-        good = scores >= tau[row]
-        alive, scores = alive[good], scores[good]
-        if len(alive) > k + 1:
-            cut = np.partition(scores, -(k + 1))[-(k + 1)]
-            alive, scores = alive[scores >= cut], scores[scores >= cut]
-        if len(alive):
-            yield row, scores, [ids[i] for i in alive]
-
-
-def best_ids(scores: np.ndarray, ids: list, k: int) -> tuple[np.ndarray, np.ndarray]:
+    # squared distance that belongs to a score of tau; rounding gets a little room
+    limit = ((asked * asked).sum(axis=1) + index.top ** 2 - 2 * tau) * (1 + 1e-9) + 1e-12
+    rows, columns = np.arange(len(q)), np.arange(len(x))
+    live, partial = np.ones((len(q), len(x)), bool), np.zeros((len(q), len(x)))
+    for start in range(0, d, BLOCK):
+        stop = min(start + BLOCK, d)
+        a, b = asked[rows, start:stop], turned[columns, start:stop]
+        partial += (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2 * a @ b.T
+        if stop == d:
+            break
+        # infinite limits keep everything
+        live &= partial * d <= (limit[rows] * stop * (1 + EPSILON / np.sqrt(stop)) ** 2)[:, None]
+        keep_rows, keep_columns = live.any(axis=1), live.any(axis=0)
+        if not keep_rows.all() or not keep_columns.all():
+            rows, columns = rows[keep_rows], columns[keep_columns]
+            live, partial = (m[np.ix_(keep_rows, keep_columns)] for m in (live, partial))
+    r, c = np.nonzero(live & (partial <= limit[rows][:, None] + 1e-6 * (1 + index.top ** 2)))
+    r, c = rows[r], columns[c]
+    scores = np.concatenate([np.einsum("ij,ij->i", x[c[at:at + PAIRS]], q[r[at:at + PAIRS]]) for at in range(0, len(r), PAIRS)]
+                            or [np.zeros(0)])
+    good = scores >= tau[r]
+    r, c, scores = r[good], c[good], scores[good]
+    order = np.lexsort([-scores, r])
+    r, c, scores = r[order], c[order], scores[order]
+    first = np.searchsorted(r, r)  # where each query's candidates begin
+    best = np.arange(len(r)) - first
+    last = scores[np.minimum(first + k, len(r) - 1)]  # ties with the last one stay: ids decide later
+    keep = (best <= k) | ((scores == last) & (r[np.minimum(first + k, len(r) - 1)] == r))
+    return r[keep], c[keep], scores[keep]
+
+
+def best_ids(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k + 1 best (scores, ids): score descending, then id."""
-    counts = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat, s = np.concatenate(ids).astype(np.int64), np.repeat(scores, counts)
-    order = np.lexsort([flat, -s])
-    first = np.sort(np.unique(flat[order], return_index=True)[1])  # an id under two vectors counts once, at its best
+    order = np.lexsort([ids, -scores])
+    first = np.sort(np.unique(ids[order], return_index=True)[1])  # an id under two vectors counts once, at its best
     order = order[first][:k + 1]
-    return s[order], flat[order]
+    return scores[order], ids[order]
 
 
 FOUND = "qkey long, scores array<double>, ids array<long>"
@@ -213,8 +224,7 @@ def _merge(found: DataFrame, k: int) -> DataFrame:
     """One row per query: the k + 1 best of its cells (a group: the query's probed cells)."""
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        scores, ids = best_ids(np.concatenate(group["scores"].tolist()),
-                               [np.array([i]) for i in np.concatenate(group["ids"].tolist())], k)
+        scores, ids = best_ids(np.concatenate(group["scores"].tolist()), np.concatenate(group["ids"].tolist()), k)
         return pd.DataFrame({"qkey": [key[0]], "scores": [scores], "ids": [ids]})
 
     return found.groupBy("qkey").applyInPandas(run, FOUND)
@@ -239,15 +249,17 @@ def _round(cells: DataFrame, probes: DataFrame, sizes: dict[int, int], shared, k
         F.pmod(F.xxhash64("qkey"), F.col("q_cells")).cast("int").alias("q"), "qkey", "vec", "tau"))
 
     def run(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = {"qkey": [], "scores": [], "ids": []}
-        if len(vectors) and len(queries):
-            keys = queries["qkey"].tolist()
-            for row, scores, ids in scan_cell(shared.value, _matrix(vectors["vec"]), vectors["ids"].tolist(),
-                                              _matrix(queries["vec"]), queries["tau"].to_numpy(float), k):
-                scores, ids = best_ids(scores, ids, k)
-                for name, value in zip(out, (keys[row], scores, ids)):
-                    out[name].append(value)
-        return pd.DataFrame(out)
+        if not len(vectors) or not len(queries):
+            return pd.DataFrame({"qkey": [], "scores": [], "ids": []})
+        row, column, scores = scan_cell(shared.value, _matrix(vectors["vec"]), _matrix(queries["vec"]),
+                                        queries["tau"].to_numpy(float), k)
+        ids = vectors["ids"].to_numpy()
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))[column]
+        flat = np.concatenate(list(ids[column])) if len(column) else np.zeros(0, np.int64)
+        asked, begins = np.unique(row, return_index=True)
+        ends = np.concatenate([[0], np.cumsum(counts)])[begins[1:]] if len(begins) else []
+        return pd.DataFrame({"qkey": queries["qkey"].to_numpy()[asked], "scores": np.split(np.repeat(scores, counts), ends),
+                             "ids": np.split(flat, ends)} if len(asked) else {"qkey": [], "scores": [], "ids": []})
 
     by = ["list", "v", "q"]
     return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(run, FOUND)
