@@ -11,11 +11,15 @@ from __future__ import annotations
 
 import functools
 import os
+import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from implicit_rank.llm.common import strings
+
 # White space by any definition that a tokenizer's pattern may use.
 SPACE_POINTS = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C),
                 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]
@@ -39,14 +43,97 @@ def load(path: str):
     return tokenizer
 
 
-def _encode(tokenizer, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all pieces in a row, number of ids of each piece)."""
-    ids, counts = [], np.zeros(len(pieces), np.int64)
-    for at in range(0, len(pieces), ENCODE_AT_ONCE):
-        for k, x in enumerate(tokenizer.encode_batch_fast(pieces[at:at + ENCODE_AT_ONCE], add_special_tokens=False), at):
-            counts[k] = len(x.ids)
-            ids.extend(x.ids)
-    return np.array(ids, np.uint32), counts
+# A piece that every byte-level tokenizer cuts into letters and marks: these go
+# straight to the vocabulary's model, once for each distinct run of letters.
+SIMPLE = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:|*%$&#]*)")
+PROBES = ["a", " a", "Straße", " Übergrößen.", "naïve,", " façade!!", " Hello", "WORLD|", " ñandú?", "ionatly;", " mot%%%", "x&&&", " w***", " x.:", "ÿ", " æ",
+          " end.\nNext", "a\nb!\nC"]
+KNOWN_MOST = 300_000  # runs of letters kept by a worker
+
+
+def _byte_letters() -> dict[int, str]:
+    """Letters as byte-level tokenizers write their UTF-8 bytes: a printable byte is
+    itself, the others follow from code point 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    sign = {b: chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)}
+    return {c: "".join(sign[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)} | {32: sign[32]}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
+class Encoder:
+    """Ids of pieces of text; ``way`` says how runs of letters reach the model.
+
+    ``spaced``: as they are, with the space before them; ``lower``: in lower
+    case, without it; None: everything is encoded by the whole tokenizer. A way
+    is taken only if it gives the tokenizer's own ids for all PROBES.
+    """
+
+    def __init__(self, path: str):
+        self.tokenizer = load(path)
+        self.model = self.tokenizer.model
+        self.known: dict[str, list[int]] = {}
+        self.marks: dict[str, list[int]] = {"\n": self._whole(["\n"])[0]}
+        self.way = None
+        for way in ("spaced", "lower"):
+            self.way = way
+            if [self._lines(p) for p in PROBES] == self._whole(PROBES):
+                break
+            self.known.clear()
+            self.way = None
+
+    def _whole(self, pieces: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _simple(self, space: str, letters: str, marks: str) -> list[int]:
+        run = space + letters if self.way == "spaced" else letters.lower()
+        ids = self.known.get(run)
+        if ids is None:
+            if len(self.known) >= KNOWN_MOST:
+                self.known.clear()
+            ids = self.known[run] = [t.id for t in self.model.tokenize(run.translate(BYTE_LETTERS))]
+        if not marks:
+            return ids
+        if marks not in self.marks:
+            if len(self.marks) >= KNOWN_MOST:
+                self.marks = {"\n": self.marks["\n"]}
+            self.marks[marks] = self._whole([marks])[0]
+        return ids + self.marks[marks]
+
+    def _lines(self, piece: str) -> list[int] | None:
+        """Ids of a piece whose lines all are simple, None for any other."""
+        ids: list[int] = []
+        for n, line in enumerate(piece.split("\n")):
+            m = SIMPLE.fullmatch(line)
+            if not m or n and m[1]:
+                return None
+            ids = ids + self.marks["\n"] + self._simple(*m.groups()) if n else self._simple(*m.groups())
+        return ids
+
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces in a row, number of ids of each piece)."""
+        found: list[list[int] | None] = [None] * len(pieces)
+        if self.way:
+            match, simple, lines = SIMPLE.fullmatch, self._simple, self._lines
+            for k, piece in enumerate(pieces):
+                if (m := match(piece)):
+                    found[k] = simple(*m.groups())
+                elif "\n" in piece:
+                    found[k] = lines(piece)
+        left = [k for k, ids in enumerate(found) if ids is None]
+        for at in range(0, len(left), ENCODE_AT_ONCE):
+            part = left[at:at + ENCODE_AT_ONCE]
+            for k, ids in zip(part, self._whole([pieces[k] for k in part])):
+                found[k] = ids
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts
+
+
+@functools.lru_cache(maxsize=4)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def _plain(texts: pa.Array) -> np.ndarray:
@@ -55,7 +142,6 @@ def _plain(texts: pa.Array) -> np.ndarray:
     try:
         hit = pc.match_substring_regex(texts, beside)
     except pa.ArrowInvalid:  # texts over RE2's limits
-        import re
         hit = pa.array([bool(re.search(beside, t)) for t in texts.to_pylist()])
     return ~hit.to_numpy(zero_copy_only=False)
 
@@ -74,7 +160,6 @@ def token_ids(texts: pa.Array, path: str, end_id: int | None = None) -> tuple[np
 
     ``end_id`` is appended to each text. The empty text has no ids besides.
     """
-    tokenizer = load(path)
     texts = texts.cast(pa.large_string())
     plain = _plain(texts)
     cut = pc.split_pattern(texts.filter(pa.array(plain)), " ")
@@ -84,13 +169,13 @@ def token_ids(texts: pa.Array, path: str, end_id: int | None = None) -> tuple[np
     first = np.zeros(len(pieces), bool)
     first[(np.cumsum(n_pieces) - n_pieces)[n_pieces > 0]] = True
     heads, tails = pieces.filter(pa.array(first)).dictionary_encode(), pieces.filter(pa.array(~first)).dictionary_encode()
-    distinct = heads.dictionary.to_pylist()
+    distinct = strings(heads.dictionary)
     base = len(distinct)
-    distinct += [" " + x for x in tails.dictionary.to_pylist()]
+    distinct += [" " + x for x in strings(tails.dictionary)]
     whole = np.flatnonzero(~plain)
     known = len(distinct)
     distinct += [texts[int(i)].as_py() for i in whole]
-    ids, counts = _encode(tokenizer, distinct)
+    ids, counts = encoder(path).encode(distinct)
     starts = np.cumsum(counts) - counts
 
     code = np.empty(len(pieces), np.int64)
