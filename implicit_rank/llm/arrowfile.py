@@ -19,7 +19,7 @@ a task that is run again leaves the same file and a lost executor no half one.
 Partition totals (one row each) give each partition's global start.
 
 Defined cases: null text is the empty text (its end id only); null ids come
-first, equal ids in the order of their texts; an empty table gives no file;
+first, equal ids in the order of their texts' hashes; an empty table gives no file;
 further columns are ignored.
 """
 
@@ -110,8 +110,9 @@ def write(docs: DataFrame, path: str, seq_len: int = 2048, end_id: int = 2, fold
              pa.array([n_tokens]), pa.array([seq_len], pa.int32())],
             names=["part", "path", "n_docs", "n_tokens", "seq_len"])
 
-    ordered = (docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    ordered = (rows.withColumn("tie", F.xxhash64("text"))
+               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "tie"))
     return common.save(ordered.mapInArrow(run, MANIFEST), "token-files-manifest")
 
 

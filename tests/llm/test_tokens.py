@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -58,7 +59,8 @@ def test_token_files_round_trip(shipped, odd, empty):
     name = "byte_bpe_50k.json"
     manifest = arrowfile.write(odd.selectExpr("*", "1 AS path"), tokens.vocabulary(name), seq_len=16)
     rows = arrowfile.read(shipped, manifest).toPandas().sort_values("start")
-    order = sorted(ODD, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    tie = lambda t: int(np.uint64(xxhash.xxh64_intdigest(t or "", 42)).astype(np.int64))
+    order = sorted(ODD, key=lambda r: (r[0] is not None, r[0] or 0, tie(r[1])))
     at = 0
     for r, (doc_id, text) in zip(rows.itertuples(), order, strict=True):
         ids = plain(name, text or "") + [2]
