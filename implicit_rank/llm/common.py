@@ -15,6 +15,7 @@ from implicit_rank.session import shared_folder
 
 # Text gathered before a vectorised step runs; bounds a Python worker's memory.
 TEXT_BATCH_BYTES = 8 << 20
+ROW_BYTES = 32  # what a row counts besides its text, so that empty texts do not pile up
 
 
 def importable(spark: SparkSession) -> None:
@@ -52,14 +53,16 @@ def prefix_totals(totals: DataFrame, part: str, value: str) -> DataFrame:
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
-                limit: int = TEXT_BATCH_BYTES) -> Iterator[pa.Table]:
+                limit: int = TEXT_BATCH_BYTES, size_column: str | None = None) -> Iterator[pa.Table]:
     """Regroup batches so that each table holds about ``limit`` bytes of ``column``.
 
-    A row is never cut: one text above the limit is a table of its own.
+    ``size_column`` holds the sizes if ``column`` itself does not show them. A
+    row is never cut: one text above the limit is a table of its own.
     """
     held, size = [], 0
     for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        sizes = batch.column(size_column) if size_column else pc.binary_length(batch.column(column))
+        lengths = pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64) + ROW_BYTES
         start, n = 0, batch.num_rows
         while start < n:
             ends = np.cumsum(lengths[start:], dtype=np.int64)
@@ -83,6 +86,18 @@ def texts_of(chunk: pa.Table, column: str = "text") -> pa.Array:
     return pc.fill_null(chunk.column(column).combine_chunks(), "")
 
 
+def packed(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """(texts compressed one by one, their sizes in bytes), for a shuffle of whole texts."""
+    data = [t.encode("utf-8") for t in strings(texts)]
+    return (pa.array([pa.compress(t, codec="zstd", asbytes=True) for t in data], pa.binary()),
+            pa.array([len(t) for t in data], pa.int64()))
+
+
+def unpacked(cells: pa.Array, sizes: pa.Array) -> pa.Array:
+    return pa.array([pa.decompress(c.as_buffer(), n, codec="zstd", asbytes=True).decode("utf-8")
+                     for c, n in zip(cells, sizes.to_pylist())], pa.large_string())
+
+
 def strings(array: pa.Array) -> list[str]:
     """A text array without nulls as Python strings (much faster than to_pylist)."""
     return array.to_numpy(zero_copy_only=False).tolist()

@@ -20,7 +20,7 @@ Terms are what white space separates in the lower-cased text, known by their
 Defined cases: a null text is the empty text; a text without lexicon terms
 keeps all its terms instead; without any term the signatures are zero, and two
 such are alike to 1; equal texts have equal fingerprints; null ids come first,
-equal ids in the order of their texts; an empty table gives no rows; further
+equal ids in the order of their texts' hashes; an empty table gives no rows; further
 columns are ignored.
 """
 
@@ -168,13 +168,14 @@ def fingerprints(docs: DataFrame, known: np.ndarray) -> DataFrame:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """(chunk, helper, doc_id, text): rows in ascending doc_id, dealt in chunks.
+    """(chunk, helper, doc_id, tie, n_bytes, packed): rows in ascending doc_id, dealt in chunks.
 
     Chunks are ranges of ids between sampled ids, of even size. The rows with
     the id that begins a chunk are also sent to the chunk before it (and those
     with the first id to the last chunk) as helpers, so that every row finds
-    the row after it in its own chunk: texts are shuffled once, and no
-    partition waits for another. At most about SAMPLES ids reach the driver.
+    the row after it in its own chunk: texts are shuffled once, compressed, and
+    no partition waits for another. tie is the text's hash, the order of equal
+    ids. At most about SAMPLES ids reach the driver.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     n, least, nulls = rows.agg(F.count(F.lit(1)), F.min("doc_id"),
@@ -186,24 +187,27 @@ def with_next(docs: DataFrame) -> DataFrame:
     first = None if nulls else least
     shared = docs.sparkSession.sparkContext.broadcast((bounds, first))
 
-    @F.pandas_udf("array<long>")
-    def slots(ids):
-        """2 * chunk of the row, and 2 * chunk + 1 where it helps."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds, first = shared.value
-        missing = ids.isna().to_numpy()
-        values = ids.fillna(0).to_numpy().astype(np.int64)
-        own = np.where(missing, 0, np.searchsorted(bounds, values, side="right"))
-        begins = ~missing & (own > 0)
-        begins[begins] = bounds[own[begins] - 1] == values[begins]
-        is_first = missing if first is None else ~missing & (values == first)
-        out = []
-        for chunk, start, one in zip(own.tolist(), begins.tolist(), is_first.tolist()):
-            out.append([2 * chunk] + [2 * chunk - 1] * start + [2 * len(bounds) + 1] * one)
-        return type(ids)(out)
-
-    dealt = rows.select("doc_id", "text", F.explode(slots("doc_id")).alias("slot"))
-    return (dealt.select(F.floor(F.col("slot") / 2).alias("chunk"), (F.col("slot") % 2 == 1).alias("helper"), "doc_id", "text")
-            .repartition("chunk").sortWithinPartitions("chunk", "helper", "doc_id", "text"))
+        for chunk in common.text_chunks(batches):
+            ids = common.one_array(chunk.column("doc_id"))
+            missing, values = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
+            own = np.where(missing, 0, np.searchsorted(bounds, values, side="right"))
+            begins = ~missing & (own > 0)
+            begins[begins] = bounds[own[begins] - 1] == values[begins]
+            is_first = missing if first is None else ~missing & (values == first)
+            row = np.concatenate([np.arange(len(own)), np.flatnonzero(begins), np.flatnonzero(is_first)])
+            to = np.concatenate([own, own[begins] - 1, np.full(is_first.sum(), len(bounds))])
+            cells, sizes = common.packed(common.texts_of(chunk))
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(to.astype(np.int64)), pa.array(np.arange(len(row)) >= len(own)), ids.take(take),
+                 common.one_array(chunk.column("tie")).take(take), sizes.take(take), cells.take(take)],
+                names=["chunk", "helper", "doc_id", "tie", "n_bytes", "packed"])
+
+    return (rows.withColumn("tie", F.xxhash64("text"))
+            .mapInArrow(deal, "chunk long, helper boolean, doc_id long, tie long, n_bytes long, packed binary")
+            .repartition("chunk").sortWithinPartitions("chunk", "helper", "doc_id", "tie"))
 
 
 RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -222,11 +226,11 @@ def compare_edits(docs: DataFrame, known: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending = None  # the row that waits for the one after it
-        for chunk in common.text_chunks(batches):
+        for chunk in common.text_chunks(batches, "packed", size_column="n_bytes"):
             if pending is not None:
                 chunk = pa.concat_tables([pending, chunk])
             helper = chunk.column("helper").to_numpy()
-            texts = common.texts_of(chunk)
+            texts = common.unpacked(common.one_array(chunk.column("packed")), common.one_array(chunk.column("n_bytes")))
             plain = common.strings(texts)
             own = np.flatnonzero(~helper[:-1])
             pending = None if helper[-1] else chunk.slice(len(helper) - 1)

@@ -55,7 +55,8 @@ def test_edits_meet_the_next_document(shipped, docs_of, monkeypatch):
     rng = random.Random(4)
     rows = [(i * 3 - 90, " ".join(rng.choice("abcdefg") * rng.randint(1, 4) for _ in range(rng.randint(0, 30)))) for i in range(200)]
     rows += [(rows[50][0], "twice this id"), (rows[0][0], "first id twice"), (rows[-1][0], None)]
-    ordered = sorted(((i, t or "") for i, t in rows))
+    tie = lambda t: int(np.uint64(xxhash.xxh64_intdigest(t, 42)).astype(np.int64))
+    ordered = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0], tie(r[1])))
     got = imatch.compare_edits(docs_of(rows).selectExpr("*", "1 AS chunk", "2 AS helper"), np.zeros(0, np.uint64)).collect()
     want = []
     for k, (i, text) in enumerate(ordered):
