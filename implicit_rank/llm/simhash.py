@@ -111,7 +111,7 @@ def groups(docs: DataFrame, width: int = 3) -> DataFrame:
     tops = common.save(labelled.join(merged, "label", "left").select(
         "fp", "first_id", F.coalesce("top", "label").alias("top")), "simhash-tops")
     least = common.save(tops.groupBy("top").agg(F.min("first_id").alias("component_id")), "simhash-least")
-    ids = common.save(tops.join(least, "top").select("fp", F.col("top").alias("group"), "component_id"), "simhash-ids")
+    ids = tops.join(least, "top").select("fp", F.col("top").alias("group"), "component_id")
     return rows.join(ids, "fp").select("doc_id", "text_hash", "fp", "group", "component_id")
 
 
