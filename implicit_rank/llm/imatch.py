@@ -10,6 +10,11 @@ changed quarter of a text leaves many subset signatures as they were. Two
 fingerprints are alike to the share of subset signatures that agree, among the
 subsets that hold a term of either, at the rates both have.
 
+A group of copies that holds more than a tenth of the documents takes its own
+terms out of the lexicon, and rare terms never enter it. So every text also has
+subset signatures over all its terms, in the lexicon or not. They decide
+wherever either of two texts has few lexicon terms: below 1 / ``FEW`` of its own.
+
 All documents are counted. The lexicon has at most (mean distinct terms) /
 (lower share) terms whatever the number of documents, which is why it is
 broadcast.
@@ -18,8 +23,8 @@ Terms are what white space separates in the lower-cased text, known by their
 64-bit hash.
 
 Defined cases: a null text is the empty text; a text without lexicon terms
-keeps all its terms instead; without any term the signatures are zero, and two
-such are alike to 1; equal texts have equal fingerprints; null ids come first,
+keeps all its terms instead, also for the whole signature; without any term the
+signatures are zero, and two such are alike to 1; equal texts have equal fingerprints; null ids come first,
 equal ids in the order of their texts' hashes; an empty table gives no rows; further
 columns are ignored.
 """
@@ -41,6 +46,7 @@ from implicit_rank.llm import common, words
 BAND = (0.001, 0.1)  # shares of documents
 SUBSETS = 32
 RATES = 3            # sampling rates, each half the one before
+FEW = 4              # lexicon terms are few below one in so many of a text's terms
 GAPS = 16            # samples between two bounds of a chunk
 SAMPLES = 1 << 20    # about the most ids sampled for bounds
 
@@ -85,32 +91,54 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> np.ndarray:
 
 
 class Fingerprints:
-    """Signatures of many texts: whole (n), scale (n), subsets (n, RATES, SUBSETS)."""
+    """Signatures of many texts.
+
+    Of the lexicon terms: whole (n), scale (n), subsets (n, RATES, SUBSETS). Of
+    all terms: all_scale and all_subsets. few (n): whether the latter decide.
+    """
+
+    FIELDS = ("whole", "scale", "subsets", "few", "all_scale", "all_subsets")
 
     def __init__(self, texts: pa.Array, known: np.ndarray):
         found, offsets = terms(texts)
-        n = len(offsets) - 1
-        doc = np.repeat(np.arange(n), np.diff(offsets))
+        n, sizes = len(offsets) - 1, np.diff(offsets)
+        doc = np.repeat(np.arange(n), sizes)
         keep = np.zeros(len(found), bool)
         if len(known):
             at = np.minimum(np.searchsorted(known, found), len(known) - 1)
             keep = known[at] == found
         kept = np.bincount(doc[keep], minlength=n)
+        self.few = FEW * kept < sizes
         keep |= (kept == 0)[doc]  # no lexicon term: all terms
-        found, doc = found[keep], doc[keep]
-        sizes = np.bincount(doc, minlength=n)
-        self.whole = self._sums(mix(found * _ODD), doc, n)
-        self.scale = np.where(sizes > 0, np.floor(np.log2(np.maximum(sizes, 1))) + 1, 0).astype(np.int64)
-        self.subsets = np.zeros((n, RATES, SUBSETS), np.uint16)
-        limits = [(np.uint64(0xFFFFFFFFFFFFFFFF) >> (self.scale + step).astype(np.uint64))[doc] for step in range(RATES)]
+        self.whole = self._sums(mix(found[keep] * _ODD), doc[keep], n)
+        self.scale, self.all_scale = self._scale(np.bincount(doc[keep], minlength=n)), self._scale(sizes)
+        self.subsets, self.all_subsets = (np.zeros((n, RATES, SUBSETS), np.uint16) for _ in range(2))
+        limits, all_limits = self._limits(self.scale), self._limits(self.all_scale)
+        most = np.where(keep, limits[0][doc], all_limits[0][doc])  # a kept term's limit is the higher one
         for k in range(SUBSETS):
             draw = mix(found ^ mix(np.uint64([k + 1]) * _ODD))
-            for step, limit in enumerate(limits):
-                member = np.flatnonzero(draw <= limit)
-                sums = self._sums(mix(draw[member] + _ODD), doc[member], n)
-                has = np.bincount(doc[member], minlength=n) > 0
-                # 0 stands for a subset without a term
-                self.subsets[:, step, k] = np.where(has, np.maximum(sums >> np.uint64(48), np.uint64(1)), 0)
+            member = np.flatnonzero(draw <= most)
+            draw, of, kept = draw[member], doc[member], keep[member]
+            value = mix(draw + _ODD)
+            for step in range(RATES):
+                self._sign(self.subsets[:, step, k], value, of, kept & (draw <= limits[step][of]))
+                self._sign(self.all_subsets[:, step, k], value, of, draw <= all_limits[step][of])
+
+    @staticmethod
+    def _scale(sizes: np.ndarray) -> np.ndarray:
+        return np.where(sizes > 0, np.floor(np.log2(np.maximum(sizes, 1))) + 1, 0).astype(np.int64)
+
+    @staticmethod
+    def _limits(scale: np.ndarray) -> list[np.ndarray]:
+        """Up to which draw a term of each document is in a subset, at each rate."""
+        return [np.uint64(0xFFFFFFFFFFFFFFFF) >> (scale + step).astype(np.uint64) for step in range(RATES)]
+
+    @classmethod
+    def _sign(cls, out: np.ndarray, values: np.ndarray, doc: np.ndarray, chosen: np.ndarray) -> None:
+        """Signatures of one subset; 0 stands for a subset without a term."""
+        doc = doc[chosen]
+        sums = cls._sums(values[chosen], doc, len(out))
+        out[doc] = np.maximum(sums[doc] >> np.uint64(48), np.uint64(1))
 
     @staticmethod
     def _sums(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
@@ -122,46 +150,68 @@ class Fingerprints:
         return out
 
     def strings(self) -> list[str]:
-        """``<whole>-<scale>-<subset signatures>`` in hex."""
-        subsets = self.subsets.astype(">u2").reshape(len(self.whole), -1)
-        return [f"{w:016x}-{s:02x}-{x.tobytes().hex()}" for w, s, x in zip(self.whole.tolist(), self.scale.tolist(), subsets)]
+        """``<lexicon part>-<few>-<scale>-<subset signatures>``, the last two of all terms, in hex."""
+        return [f"{part}-{few:d}-{s:02x}-{x.tobytes().hex()}" for part, few, s, x in zip(
+            self.lexicon_strings(), self.few.tolist(), self.all_scale.tolist(), self._bytes(self.all_subsets))]
+
+    def lexicon_strings(self) -> list[str]:
+        """``<whole>-<scale>-<subset signatures>`` of the lexicon terms in hex."""
+        return [f"{w:016x}-{s:02x}-{x.tobytes().hex()}" for w, s, x in zip(
+            self.whole.tolist(), self.scale.tolist(), self._bytes(self.subsets))]
+
+    @staticmethod
+    def _bytes(subsets: np.ndarray) -> np.ndarray:
+        return subsets.astype(">u2").reshape(len(subsets), -1)
 
     def take(self, rows: np.ndarray) -> Fingerprints:
         out = object.__new__(Fingerprints)
-        out.whole, out.scale, out.subsets = self.whole[rows], self.scale[rows], self.subsets[rows]
+        for name in self.FIELDS:
+            setattr(out, name, getattr(self, name)[rows])
         return out
 
     @classmethod
     def parse(cls, strings: list[str]) -> Fingerprints:
         out = object.__new__(cls)
         parts = [s.split("-") for s in strings]
+        subsets = lambda k: np.array([np.frombuffer(bytes.fromhex(p[k]), ">u2") for p in parts],
+                                     np.uint16).reshape(-1, RATES, SUBSETS)
         out.whole = np.array([int(p[0], 16) for p in parts], np.uint64)
-        out.scale = np.array([int(p[1], 16) for p in parts], np.int64)
-        out.subsets = np.array([np.frombuffer(bytes.fromhex(p[2]), ">u2") for p in parts], np.uint16).reshape(-1, RATES, SUBSETS)
+        out.scale, out.all_scale = (np.array([int(p[k], 16) for p in parts], np.int64) for k in (1, 4))
+        out.subsets, out.all_subsets = subsets(2), subsets(5)
+        out.few = np.array([p[3] == "1" for p in parts], bool)
         return out
 
-    def likeness(self, other: Fingerprints) -> np.ndarray:
-        """0 to 1 for each pair of rows."""
-        agree, either = np.zeros(len(self.whole)), np.zeros(len(self.whole))
+    @staticmethod
+    def _share(scale: np.ndarray, subsets: np.ndarray, scale2: np.ndarray, subsets2: np.ndarray) -> np.ndarray:
+        """Share of the subset signatures that agree, of each pair of rows."""
+        agree, either = np.zeros(len(scale)), np.zeros(len(scale))
         for a in range(RATES):
             for b in range(RATES):
-                shared = (self.scale + a == other.scale + b)[:, None]
-                x, y = self.subsets[:, a], other.subsets[:, b]
+                shared = (scale + a == scale2 + b)[:, None]
+                x, y = subsets[:, a], subsets2[:, b]
                 agree += (shared & (x == y) & (x > 0)).sum(axis=1)
                 either += (shared & ((x > 0) | (y > 0))).sum(axis=1)
+        return agree / np.maximum(either, 1)
+
+    def likeness(self, other: Fingerprints) -> np.ndarray:
+        """0 to 1 for each pair of rows."""
         same = (self.whole == other.whole) & (self.scale == other.scale)
-        return np.where(same, 1.0, agree / np.maximum(either, 1))
+        out = np.where(same, 1.0, self._share(self.scale, self.subsets, other.scale, other.subsets))
+        few = np.flatnonzero(self.few | other.few)
+        x, y = self.take(few), other.take(few)
+        out[few] = self._share(x.all_scale, x.all_subsets, y.all_scale, y.all_subsets)
+        return out
 
 
 def fingerprints(docs: DataFrame, known: np.ndarray) -> DataFrame:
-    """(doc_id, fingerprint) of every row."""
+    """(doc_id, fingerprint) of every row: the lexicon part alone, equal where the lexicon terms are."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in common.text_chunks(batches):
             prints = Fingerprints(common.texts_of(chunk), shared.value)
             yield pa.RecordBatch.from_arrays(
-                [common.one_array(chunk.column("doc_id")), pa.array(prints.strings(), pa.string())],
+                [common.one_array(chunk.column("doc_id")), pa.array(prints.lexicon_strings(), pa.string())],
                 names=["doc_id", "fingerprint"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fingerprint string")

@@ -69,6 +69,25 @@ def test_edits_meet_the_next_document(shipped, docs_of, monkeypatch):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_copies_at_a_third_of_the_rows_stay_near(shipped, docs_of):
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(3000)]
+    text = " ".join(rng.sample(words, 474))  # its terms leave the lexicon
+    own = " ".join(f"own{i}" for i in range(300))  # its terms are too rare for the lexicon
+    rows = [(i, text if i % 3 == 0 else " ".join(rng.choices(words, k=300))) for i in range(299)] + [(299, own)]
+    near = " ".join("other" if i % 50 == 0 else w for i, w in enumerate(text.split()))
+    rows[30] = (30, near)
+    docs = docs_of(rows)
+    known = imatch.lexicon(docs)
+    assert len(known) > 2000
+    got = {r["doc_id"]: r for r in imatch.compare_edits(docs, known).collect()}
+    assert min(got[i]["near_edited"] for i in range(300) if i % 3 == 0 or i == 299) > 0.3
+    assert all(got[i]["near_edited"] > 0.2 and got[i]["near_next"] < 0.2 for i in range(299) if i not in (0, 30))
+    alike = lambda i, j: float(imatch.Fingerprints.parse([got[i]["fingerprint"]]).likeness(
+        imatch.Fingerprints.parse([got[j]["fingerprint"]]))[0])
+    assert alike(0, 3) == 1.0 and alike(0, 30) > 0.6 and alike(0, 1) < 0.2 and alike(0, 299) < 0.1
+
+
 def test_odd_rows(odd, empty):
     known = imatch.lexicon(odd)
     got = imatch.compare_edits(odd, known).collect()
