@@ -156,10 +156,11 @@ def viterbi(scores: np.ndarray, offsets: np.ndarray, switch: float = SWITCH) ->
     order = np.argsort(-lengths, kind="stable")
     starts, lengths = offsets[:-1][order], lengths[order]
     n, k = scores.shape
-    path = np.zeros(n, np.int8)
+    code = np.min_scalar_type(-max(1, k))  # the least signed type that holds k codes
+    path = np.zeros(n, code)
     if not n:
         return path
-    back = np.zeros((n, k), np.int8)
+    back = np.zeros((n, k), code)
     running = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")  # texts with more than t words
     best = scores[starts[:running[0]]].astype(np.float64)
     last = best

@@ -34,6 +34,14 @@ def test_viterbi_is_the_best_path():
         assert worth(path[a:b]) == pytest.approx(best, abs=1e-4)
 
 
+def test_viterbi_with_many_languages():
+    rng = np.random.default_rng(5)
+    best = np.repeat(rng.integers(0, 200, 60), 5)
+    scores = np.full((300, 200), -9.0, np.float32)
+    scores[np.arange(300), best] = 0
+    assert langid.viterbi(scores, np.array([0, 100, 100, 300]), switch=2.0).tolist() == best.tolist()
+
+
 def test_language_of_held_out_documents(shipped):
     docs = common.table(shipped, SF, "documents")
     fold = common.crc_fold("doc_id", 3)
