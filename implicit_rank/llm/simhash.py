@@ -118,8 +118,9 @@ def groups(docs: DataFrame, width: int = 3) -> DataFrame:
 def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
     """The rows of ``docs`` of which one per group stays: the smallest doc_id.
 
-    If that id is repeated, the text with the least hash stays, and any one of
-    the rows that agree in both. A group without ids keeps a row without one.
+    If that id is repeated within the group, the text with the least hash stays,
+    and any one of the rows that agree in both; an id that is the least of
+    several groups stays once for each. A group without ids keeps a row without one.
     """
     rows = groups(docs, width).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = common.save(rows.groupBy("group", F.col("component_id").alias("_id")).agg(F.min("text_hash").alias("_hash"))
@@ -130,7 +131,7 @@ def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
     # serves the last step too, and texts are shuffled once
     in_range = F.col("_text_hash").between(F.col("_hash"), F.col("_hash"))
     with_id = (hashed.filter("doc_id IS NOT NULL").join(kept, (F.col("doc_id") == F.col("_id")) & in_range)
-               .dropDuplicates(["doc_id"]))
+               .dropDuplicates(["doc_id", "_text_hash"]))
     without = (hashed.filter("doc_id IS NULL").join(kept.filter("_id IS NULL").select("_hash"), same_text)
                .dropDuplicates(["_text_hash"]))
     return with_id.select(docs.columns).unionByName(without.select(docs.columns))

@@ -83,6 +83,12 @@ def test_one_stays_of_a_repeated_id(docs_of):
     assert simhash.keep_one(docs_of(rows).withColumn("text", F.lit("same"))).count() == 1
 
 
+def test_an_id_that_is_the_least_of_two_groups(docs_of):
+    rows = [(1, "a b c d e f"), (1, "other words stand here now"), (4, "a b c d e f"), (5, "other words stand here now")]
+    kept = sorted((r["doc_id"], r["text"]) for r in simhash.keep_one(docs_of(rows)).collect())
+    assert kept == [(1, "a b c d e f"), (1, "other words stand here now")]
+
+
 def test_groups_without_ids_keep_one_row_each(docs_of):
     rows = [(None, "first text of its own"), (None, "first text of its own"), (None, "quite another text is here")]
     assert sorted(r["text"] for r in simhash.keep_one(docs_of(rows)).collect()) == [
