@@ -4,7 +4,8 @@ A text is cut at spaces, each distinct piece of a chunk is encoded once, and
 the ids are gathered back by array operations. A cut is only made where the
 tokenizer itself always ends a piece, so the ids are those of the whole text;
 texts where that does not hold (white space beside a space, see
-``_plain``) are encoded whole.
+``_plain``, or one of the vocabulary's added tokens, such as ``<|endoftext|>``,
+which is one id wherever it stands) are encoded whole.
 """
 
 from __future__ import annotations
@@ -35,12 +36,10 @@ def vocabulary(name: str) -> str:
 
 @functools.lru_cache(maxsize=4)
 def load(path: str):
-    """The tokenizer; special tokens' strings within a text are ordinary text."""
+    """The tokenizer as the library loads it: a special token's string within a text is its id."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 # A piece that every byte-level tokenizer cuts into letters and marks: these go
@@ -112,12 +111,23 @@ class Encoder:
             ids = ids + self.marks["\n"] + self._simple(*m.groups()) if n else self._simple(*m.groups())
         return ids
 
-    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all pieces in a row, number of ids of each piece)."""
+    def without_added(self, texts: pa.Array) -> np.ndarray:
+        """Texts that hold no added token; none if some are looked for in normalized text."""
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        out = np.full(len(texts), not any(t.normalized for t in added))
+        for token in added:
+            out &= ~pc.match_substring(texts, token.content).to_numpy(zero_copy_only=False)
+        return out
+
+    def encode(self, pieces: list[str], n_cut: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces in a row, number of ids of each piece).
+
+        The first ``n_cut`` pieces hold no added token.
+        """
         found: list[list[int] | None] = [None] * len(pieces)
         if self.way:
             match, simple, lines = SIMPLE.fullmatch, self._simple, self._lines
-            for k, piece in enumerate(pieces):
+            for k, piece in enumerate(pieces[:n_cut]):
                 if (m := match(piece)):
                     found[k] = simple(*m.groups())
                 elif "\n" in piece:
@@ -161,7 +171,8 @@ def token_ids(texts: pa.Array, path: str, end_id: int | None = None) -> tuple[np
     ``end_id`` is appended to each text. The empty text has no ids besides.
     """
     texts = texts.cast(pa.large_string())
-    plain = _plain(texts)
+    by = encoder(path)
+    plain = _plain(texts) & by.without_added(texts)
     cut = pc.split_pattern(texts.filter(pa.array(plain)), " ")
     n_pieces = pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)
     pieces = cut.flatten()
@@ -175,7 +186,7 @@ def token_ids(texts: pa.Array, path: str, end_id: int | None = None) -> tuple[np
     whole = np.flatnonzero(~plain)
     known = len(distinct)
     distinct += [texts[int(i)].as_py() for i in whole]
-    ids, counts = encoder(path).encode(distinct)
+    ids, counts = by.encode(distinct, known)
     starts = np.cumsum(counts) - counts
 
     code = np.empty(len(pieces), np.int64)

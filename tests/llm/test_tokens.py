@@ -29,6 +29,17 @@ def test_ids_are_those_of_whole_texts(name, texts):
     assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [plain(name, t) + [2] for t in texts]
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_added_tokens_are_one_id(name):
+    from tokenizers import Tokenizer
+    own = Tokenizer.from_file(tokens.vocabulary(name))
+    texts = ["one <|endoftext|> two", "a b<|endoftext|>c d", "<|endoftext|>", "<|startoftext|> words <|ENDOFTEXT|>", "<|endoftext|", "plain words"]
+    ids, offsets = tokens.token_ids(pa.array(texts, pa.string()), tokens.vocabulary(name), 2)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [
+        own.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert ids[offsets[2]:offsets[3]].tolist() == [own.token_to_id("<|endoftext|>"), 2]
+
+
 def test_pack_is_concatenate_and_cut(odd):
     name = "word_bpe_49k.json"
     pieces = pack.pack(odd.selectExpr("*", "1 AS start", "2 AS part"), tokens.vocabulary(name), seq_len=64, with_ids=True)
