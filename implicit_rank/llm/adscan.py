@@ -15,7 +15,8 @@ The first round scans each query's nearest list and gives the threshold of
 the second, which scans the others. How many lists are probed is chosen by
 measurement: up to ``TRIAL_QUERIES`` queries are answered exactly by one pass
 over all vectors, and the least number of lists that holds ``RECALL`` of their
-neighbours is taken.
+neighbours is taken. A query goes on to further lists until those it probes
+hold k + 1 ids.
 
 Equal vectors are indexed once, with the k + 1 least ids; equal queries are
 searched once. Lists are cut into cells of about ``CELL`` vectors and at most
@@ -126,19 +127,32 @@ def _assign(distinct: DataFrame, shared) -> DataFrame:
     return distinct.select("vec", "ids").mapInArrow(run, "vec array<double>, ids array<long>, list int")
 
 
-def _probes(queries: DataFrame, shared, n_probe: int) -> DataFrame:
-    """(qkey, vec, list, turn): the lists a query probes, nearest first."""
+def _held(assigned: DataFrame, lists: int) -> np.ndarray:
+    """Number of ids of each list, without those that are in other lists too."""
+    of_id = assigned.select(F.explode("ids").alias("id"), "list").groupBy("id").agg(F.min("list").alias("list"), F.max("list").alias("most"))
+    counts = of_id.filter("list = most").groupBy("list").count().toArrow()  # <= MOST_LISTS rows
+    out = np.zeros(lists, np.int64)
+    out[counts.column("list").to_numpy()] = counts.column("count").to_numpy()
+    return out
+
+
+def _probes(queries: DataFrame, shared, n_probe: int, held: np.ndarray, k: int) -> DataFrame:
+    """(qkey, vec, list, turn): the lists a query probes, nearest first.
+
+    n_probe lists, and as many more as it takes to hold k + 1 ids.
+    """
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
                 far = shared.value.order(shared.value.turn(_matrix(batch.column("vec")), query=True))
-                lists = np.argsort(far, axis=1, kind="stable")[:, :n_probe].astype(np.int32)
-                n, m = lists.shape
-                rows = pa.array(np.repeat(np.arange(n), m))
+                lists = np.argsort(far, axis=1, kind="stable").astype(np.int32)
+                enough = 1 + (np.cumsum(held[lists], axis=1) <= k).sum(axis=1)
+                rows, turns = np.nonzero(np.arange(lists.shape[1]) < np.maximum(enough, n_probe)[:, None])
+                take = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("qkey").take(rows), batch.column("vec").take(rows), pa.array(lists.ravel()),
-                     pa.array(np.tile(np.arange(m, dtype=np.int32), n))], names=["qkey", "vec", "list", "turn"])
+                    [batch.column("qkey").take(take), batch.column("vec").take(take), pa.array(lists[rows, turns]),
+                     pa.array(turns.astype(np.int32))], names=["qkey", "vec", "list", "turn"])
 
     return queries.select("qkey", "vec").mapInArrow(run, "qkey long, vec array<double>, list int, turn int")
 
@@ -248,9 +262,11 @@ def _round(cells: DataFrame, probes: DataFrame, sizes: dict[int, int], shared, k
         "list", F.explode(F.sequence(F.lit(0), F.col("v_cells") - 1)).alias("v"),
         F.pmod(F.xxhash64("qkey"), F.col("q_cells")).cast("int").alias("q"), "qkey", "vec", "tau"))
 
+    nothing = pd.DataFrame({"qkey": [], "scores": [], "ids": []}, dtype=object)  # empty float columns are no lists
+
     def run(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(vectors) or not len(queries):
-            return pd.DataFrame({"qkey": [], "scores": [], "ids": []})
+            return nothing
         row, column, scores = scan_cell(shared.value, _matrix(vectors["vec"]), _matrix(queries["vec"]),
                                         queries["tau"].to_numpy(float), k)
         ids = vectors["ids"].to_numpy()
@@ -259,7 +275,7 @@ def _round(cells: DataFrame, probes: DataFrame, sizes: dict[int, int], shared, k
         asked, begins = np.unique(row, return_index=True)
         ends = np.concatenate([[0], np.cumsum(counts)])[begins[1:]] if len(begins) else []
         return pd.DataFrame({"qkey": queries["qkey"].to_numpy()[asked], "scores": np.split(np.repeat(scores, counts), ends),
-                             "ids": np.split(flat, ends)} if len(asked) else {"qkey": [], "scores": [], "ids": []})
+                             "ids": np.split(flat, ends)}) if len(asked) else nothing
 
     by = ["list", "v", "q"]
     return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(run, FOUND)
@@ -285,7 +301,8 @@ def search(candidates: DataFrame, queries: DataFrame, id_col: str = "vec_id", ve
     shared = spark.sparkContext.broadcast(index)
     assigned = common.save(_assign(distinct, shared), "ann-lists")
     sizes = {r["list"]: -(-r["count"] // CELL) for r in assigned.groupBy("list").count().collect()}  # <= MOST_LISTS rows
-    probes = common.save(_probes(keys, shared, choose_probes(assigned, keys, index, k)), "ann-probes")
+    probes = common.save(_probes(keys, shared, choose_probes(assigned, keys, index, k),
+                                 _held(assigned, len(index.centroids)), k), "ann-probes")
     first = common.save(_merge(_round(assigned, probes.filter("turn = 0").withColumn("tau", F.lit(float("-inf"))), sizes,
                                       shared, k), k), "ann-first")
     tau = first.select(F.col("qkey").alias("key"), F.when(F.size("scores") > k, F.element_at("scores", -1)).alias("tau"))

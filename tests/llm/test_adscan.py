@@ -62,6 +62,21 @@ def test_copies_ties_and_few(shipped):
     assert grouped(adscan.search(few, few.filter("vec_id = 0"), k=20)) == {0: brute(x[:4], ids[:4], 0, 20)}
 
 
+def test_small_lists_do_not_cut_the_result(shipped, monkeypatch):
+    """Outliers are lists of their own; one list probed holds fewer than k + 1 ids."""
+    monkeypatch.setattr(adscan, "LIST", 8)
+    monkeypatch.setattr(adscan, "choose_probes", lambda *_: 1)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(300, 16))
+    x[::20] *= 50
+    ids = np.arange(300)
+    twice = rows_of(-x[::20], ids[::20])  # ids with a second vector count once
+    table = shipped.createDataFrame(rows_of(x, ids) + twice, SCHEMA).repartition(3)
+    got = grouped(adscan.search(table, table.filter("vec_id % 20 = 0"), k=20))
+    assert set(got) == set(range(0, 300, 20))
+    assert all(len({i for i, _ in found}) == 20 for found in got.values())
+
+
 def test_odd_vectors_take_no_part(shipped):
     nan, inf = float("nan"), float("inf")
     bad = [None, [], [0.0, 0.0], [1.0, None], [nan, 1.0], [inf, 1.0], [1.0, 2.0, 3.0]]
