@@ -15,8 +15,9 @@ all rows is as many blocks as it needs. Only DataFrame functions are used.
 Random numbers are hashes of ids and seed: reruns agree under any layout.
 
 Defined cases: a null text has size 0 and is never taken; a null source is the
-last source; rows that agree in doc_id, source and size are one unit (they are
-all taken alike); an empty table gives no rows; if all sizes are 0 the targets
+last source; n rows that agree in doc_id, source and size are one unit, which
+rounds as n documents: floor(n * p) of them are taken once more outright and one
+fractional document takes part in the pairing; an empty table gives no rows; if all sizes are 0 the targets
 are 0; other columns are ignored by ``mix`` and kept by ``apply_mix``.
 """
 
@@ -68,13 +69,14 @@ def targets(sources: DataFrame, weights=(5, 2, 1), share: float = 1.0, limit: fl
 
 
 def _units(rows: DataFrame, goals: DataFrame) -> DataFrame:
-    """One row per unit: n equal rows, whole copies, fractional probability p."""
+    """One row per unit: n equal rows, whole copies of each, more (rows taken once more), fractional probability p of another."""
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     units = rows.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("n"))
     goals = goals.withColumnRenamed("source", "goal_source")
     return (units.join(F.broadcast(goals), F.col("source").eqNullSafe(F.col("goal_source")))
-            .withColumn("whole", F.floor(rate).cast("int")).withColumn("p", rate - F.floor(rate))
-            .drop("goal_source"))
+            .withColumn("whole", F.floor(rate).cast("int")).withColumn("all_p", F.col("n") * (rate - F.floor(rate)))
+            .withColumn("more", F.floor("all_p")).withColumn("p", F.col("all_p") - F.col("more"))
+            .drop("goal_source", "all_p"))
 
 
 def _block_round(rows: DataFrame, seed: int) -> DataFrame:
@@ -120,7 +122,7 @@ def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.0, limit: float = 3
     per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = targets(per_source, weights, share, limit)
     units = common.save(_units(rows, goals), "mix-units")
-    open_units = units.filter("size > 0 AND p > 0").select("source", "doc_id", "size", "n", "p")
+    open_units = units.filter("size > 0 AND p > 0").select("source", "doc_id", "size", F.lit(1).cast("long").alias("n"), "p")
     most = open_units.groupBy("source").count().agg(F.max("count")).first()[0] or 0  # a scalar
     decided, level = None, 0
     while True:
@@ -140,18 +142,35 @@ def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.0, limit: float = 3
         F.col("source").alias("u_source"), F.col("doc_id").alias("u_id"), F.col("size").alias("u_size"), "up")
     joined = units.join(ups, F.col("source").eqNullSafe(F.col("u_source")) & F.col("doc_id").eqNullSafe(F.col("u_id"))
                         & (F.col("size") == F.col("u_size")), "left")
-    copies = F.col("whole") + F.coalesce("up", F.lit(0))
-    return (joined.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
-                          F.explode(F.sequence(F.lit(1), F.col("n"))).alias("_"))
-            .drop("_").withColumn("taken", F.col("copies") * F.col("size")))
+    again = F.col("more") + F.coalesce("up", F.lit(0))  # rows of the unit that are taken once more
+    return (joined.select("doc_id", "source", "size", "source_size", "target", "whole", again.alias("again"),
+                          F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("row"))
+            .withColumn("copies", F.col("whole") + (F.col("row") <= F.col("again")).cast("int"))
+            .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")))
 
 
 def apply_mix(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, columns unchanged."""
-    counts = (mix(docs, **options).filter("copies > 0")
-              .groupBy("source", "doc_id", "size").agg(F.max("copies").alias("_copies"))
-              .select(F.col("source").alias("_source"), F.col("doc_id").alias("_id"), F.col("size").alias("_size"), "_copies"))
+    unit = ["_source", "_id", "_size"]
+    counts = common.save(
+        mix(docs, **options).groupBy(F.col("source").alias("_source"), F.col("doc_id").alias("_id"), F.col("size").alias("_size"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("copies").alias("_copies"), F.sum("copies").alias("_sum")).filter("_sum > 0")
+        .withColumn("_more", F.col("_sum") - F.col("_n") * F.col("_copies")), "mix-counts")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    taken = docs.join(counts, docs["doc_id"].eqNullSafe(F.col("_id")) & docs["source"].eqNullSafe(F.col("_source"))
-                      & (size == F.col("_size")))
-    return taken.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), "_copies")).alias("_")).drop("_")
+    joined = docs.join(counts, docs["doc_id"].eqNullSafe(F.col("_id")) & docs["source"].eqNullSafe(F.col("_source"))
+                       & (size == F.col("_size"))).select(*(docs[c] for c in docs.columns), *unit, "_n", "_copies", "_more")
+    taken = joined.filter("_more = 0").select(*docs.columns, "_copies")
+    if not counts.filter("_more > 0").isEmpty():
+        # rows of a unit that are not all taken alike are numbered, in buckets of about BLOCK rows
+        bucket = F.pmod(F.xxhash64("text"), F.ceil(F.col("_n") / BLOCK))
+        uneven = joined.filter("_more > 0").withColumn("_bucket", bucket)
+        before = Window.partitionBy(*unit).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        starts = (uneven.groupBy(*unit, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+                  .withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+                  .select(*(F.col(c).alias(f"_of{c}") for c in [*unit, "_bucket"]), "_start"))
+        same = [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in [*unit, "_bucket"]]
+        place = F.row_number().over(Window.partitionBy(*unit, "_bucket").orderBy(F.xxhash64("text")))
+        numbered = uneven.withColumn("_row", place).join(starts, same)
+        copies = F.col("_copies") + (F.col("_start") + F.col("_row") <= F.col("_more")).cast("int")
+        taken = taken.unionByName(numbered.select(*docs.columns, copies.alias("_copies")))
+    return taken.filter("_copies > 0").select(*docs.columns, F.explode(F.sequence(F.lit(1), "_copies")).alias("_")).drop("_")

@@ -70,6 +70,25 @@ def test_rounding_is_unbiased(docs_of):
     assert sum(abs(copies[i] / 30 - rate[i]) for i in rate) / len(rate) < 0.12
 
 
+def test_equal_rows_round_as_many_documents(docs_of):
+    rows = [(None, f"w{i} " * 10, None, "ab"[i % 2]) for i in range(600)] + [(i, "w " * 7, None, "ab"[i % 2]) for i in range(20)]
+    docs = docs_of(rows)
+    mixed = pivotal.mix(docs).collect()
+    by, target = defaultdict(int), {}
+    for r in mixed:
+        by[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    assert len(mixed) == 620 and all(abs(by[s] - target[s]) <= 10 for s in by)  # at most one document off
+    out, copies = defaultdict(int), defaultdict(int)
+    for r in pivotal.apply_mix(docs).collect():
+        out[r["source"]] += len(r["text"].split())
+        copies[r["source"], r["doc_id"], r["text"]] += 1
+    assert out == by
+    for s in target:
+        rate = target[s] / sum(len(t.split()) for _, t, _, x in rows if x == s)
+        assert all(n in (int(rate), int(rate) + 1) for (x, _, _), n in copies.items() if x == s)
+
+
 def test_odd_rows(odd, empty):
     rows = pivotal.mix(odd.selectExpr("*", "1 AS size", "2 AS p", "3 AS block")).collect()
     assert len(rows) == 9
