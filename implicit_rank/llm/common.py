@@ -52,6 +52,27 @@ def prefix_totals(totals: DataFrame, part: str, value: str) -> DataFrame:
     return totals.select(part, F.coalesce(F.sum(value).over(before), F.lit(0)).alias("base"))
 
 
+def placed(rows: DataFrame, tree: str, order: list[str], name: str) -> DataFrame:
+    """``rows`` with pos, the place among the rows of the same ``tree`` (not null) in ``order``, and n, their number.
+
+    A sort by ranges; equal rows and frequent trees are spread over ranges. Rows
+    have no columns salt, at, part, first, base, pos or n.
+    """
+    kept = rows.columns
+    # equal rows are told apart by a number, so that they need not share a range
+    salted = save(rows.withColumn("salt", F.xxhash64(F.monotonically_increasing_id())), f"{name}-salted")
+    by = [tree, *order, "salt"]
+    ranged = save(salted.repartitionByRange(*by).sortWithinPartitions(*by).drop("salt")
+                         .withColumn("at", F.monotonically_increasing_id()), f"{name}-ranged")
+    part = F.shiftright("at", 33)
+    here = ranged.groupBy(tree, part.alias("part")).agg(F.count(F.lit(1)).alias("rows"), F.min("at").alias("first"))
+    earlier = Window.partitionBy(tree).orderBy("part")  # one row a partition
+    base = here.select(tree, "part", "first", (F.sum("rows").over(earlier) - F.col("rows")).alias("base"),
+                       F.sum("rows").over(Window.partitionBy(tree)).alias("n"))
+    return (ranged.withColumn("part", part).join(base, [tree, "part"])
+            .select(*kept, (F.col("base") + F.col("at") - F.col("first")).alias("pos"), "n"))
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
                 limit: int = TEXT_BATCH_BYTES, size_column: str | None = None) -> Iterator[pa.Table]:
     """Regroup batches so that each table holds about ``limit`` bytes of ``column``.

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from implicit_rank.llm import adscan, arrowfile, common, gam, imatch, langid, pack, pivotal, simhash, tokens, toxicity, warc
+from implicit_rank.llm import (adscan, arrowfile, common, gam, imatch, langid, merkle, pack, pcatiles, pivotal, simhash, spelling,
+                               tokens, toxicity, warc)
 
 
 def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +114,29 @@ def op10_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decided(toxicity.predict(docs, model), toxicity.THRESHOLD)
 
 
+def op11_merkle_witness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle leaves of all documents with their proofs; a third has its text lower-cased and is checked."""
+    docs = common.table(spark, sf_dir, "documents")
+    cells = {name: F.col(name) for name in ("doc_id", "source", "lang", "n_chars", "text")}
+    tampered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    shown = F.when(common.crc_fold("doc_id", 3) == 0, tampered).otherwise(F.col("text"))
+    rows = docs.select("doc_id", "lang", merkle.leaf(*cells.values()).alias("leaf"), merkle.leaf(*(cells | {"text": shown}).values()).alias("shown"))
+    found = merkle.check(merkle.manifest(rows, tree="lang", order=["doc_id"]), digest="shown")
+    hexed = (F.lower(F.hex(c)).alias(name) for c, name in (("leaf", "leaf"), ("subroot", "subroot"), ("root", "root"),
+                                                           ("proof", "proof_sha256"), ("folded", "folded_root")))
+    return found.select("doc_id", *hexed, "verified")
+
+
+def op12_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the frequent word one edit away that each may be a variant of."""
+    return spelling.variants(common.table(spark, sf_dir, "documents"))
+
+
+def op13_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all vectors at a cosine of 0.95 or more, and their components."""
+    return pcatiles.near_duplicates(common.table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def _decided(scored: DataFrame, threshold: float) -> DataFrame:
     """doc_id, held_out, score and the decision at the threshold."""
     held_out = F.coalesce(common.crc_fold("doc_id", 4) == 2, F.lit(False))
@@ -128,5 +154,8 @@ QUERIES = {
     "op8_arrow_tokens": op8_arrow_tokens,
     "op9_lang_viterbi": op9_lang_viterbi,
     "op10_toxicity_grammar": op10_toxicity_grammar,
+    "op11_merkle_witness": op11_merkle_witness,
+    "op12_spelling_trie": op12_spelling_trie,
+    "op13_pca_tiles": op13_pca_tiles,
 }
 ORACLE: dict[str, str] = {"op2_warc_revisits": OP2_SQL}
