@@ -95,8 +95,8 @@ def _coded(distinct: DataFrame, shared) -> DataFrame:
     return distinct.mapInArrow(run, f"{schema}, code long")
 
 
-def block_rows(d: int, width: int) -> int:
-    return max(64, min(BLOCK, BLOCK_BYTES // (d * width)))
+def block_rows(d: int, width: int, most: int) -> int:
+    return max(64, min(most, BLOCK_BYTES // (d * width)))
 
 
 def _packed(placed: DataFrame, shared, kind: str) -> DataFrame:
@@ -217,7 +217,7 @@ def _linked(blocks: DataFrame, shared, kind: str, threshold: float) -> DataFrame
         a = Side(one.to_pylist()[0], kind, shared.value)
         b = None if i == j else Side(two.to_pylist()[0], kind, shared.value)
         label = compare(a, b, threshold)
-        size = block_rows(d, width)
+        size = block_rows(d, width, BLOCK)
         keys = d * LENGTHS + i * size + np.arange(len(a.unit))
         links = a.links
         if b is not None:
