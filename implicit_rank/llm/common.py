@@ -36,13 +36,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a fresh table in the shared folder and read it back.
+def save(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` to a fresh table in the shared folder, in a folder for each value of ``by``, and read it back.
 
     Cuts the lineage at files that every executor can read again.
     """
     folder = shared_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.partitionBy(*by).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

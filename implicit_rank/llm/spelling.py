@@ -126,7 +126,7 @@ def neighbours(words: DataFrame) -> DataFrame:
     """(word, near): all pairs of distinct words (column word) one edit apart, in both directions."""
     words = words.select("word").distinct()
     strings = common.save(words.select(F.explode(F.array("word", F.concat(F.lit(MARK), F.reverse("word")))).alias("s")), "trie-strings")
-    edges = trie(strings)
+    edges = trie(strings).hint("shuffle_hash")  # a node has one parent and at most a child a letter
     rest = F.expr("substring(word, pos + 1)")
     # the path of a word is climbed while half of it (and the mark) is spelt
     half = F.expr(f"IF(startswith(word, '{MARK}'), (length(word) - 1) div 2 + 1, length(word) div 2)")
@@ -149,16 +149,17 @@ def neighbours(words: DataFrame) -> DataFrame:
                 .select("word", "pos", "child", "ends", F.expr("substring(child, length(parent) + 1)").alias("label")))
         onward = (left.unionByName(down).filter(F.startswith(rest, F.col("label")))
                   .select("word", (F.col("pos") + F.length("label")).alias("pos"), F.col("child").alias("node"), F.lit(1).alias("edits"), "ends"))
-        reached = common.save(climbed.unionByName(onward), "trie-frontier")
-        met.append(reached.filter("edits = 1 AND ends AND pos = length(word)").select("word", F.col("node").alias("near")))
-        frontier = reached.filter("edits = 0 OR pos < length(word)")
+        reached = climbed.unionByName(onward).withColumn("spelt", F.expr("edits = 1 AND pos = length(word)"))
+        reached = common.save(reached.filter("ends OR NOT spelt"), "trie-frontier", by=("spelt",))
+        met.append(reached.filter("spelt").select("word", F.col("node").alias("near")))
+        frontier = reached.filter("NOT spelt")
     spark = words.sparkSession
     found = spark.createDataFrame([], "word string, near string")
     for pairs in met:
         found = found.unionByName(pairs)
     plain = [F.when(F.startswith(c, F.lit(MARK)), F.reverse(F.expr(f"substring({c}, 2)"))).otherwise(F.col(c)).alias(c) for c in ("word", "near")]
-    once = found.select(*plain)
-    return once.unionByName(once.select(F.col("near").alias("word"), F.col("word").alias("near"))).distinct()
+    once = common.save(found.select(*plain).distinct(), "trie-pairs")  # both halves of a pair may have met
+    return once.unionByName(once.select(F.col("near").alias("word"), F.col("word").alias("near")))
 
 
 def _roots(forms: DataFrame) -> DataFrame:
