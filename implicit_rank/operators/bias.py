@@ -17,6 +17,7 @@ folder when the model is fitted, so later plans read these small tables.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from implicit_rank.operators.indexing import global_row_number
 from implicit_rank.operators.rank import catalogue_topk, top_k_per_user
-from implicit_rank.session import materialize
+from implicit_rank.session import materialize, publish, published
 
 # Counts of other than integer types are summed as decimals of this scale, so
 # that a sum does not depend on the order of its rows.
@@ -136,25 +137,31 @@ class BiasModel:
 
     # -- persistence (A10, A11) -----------------------------------------
     def save(self, path: str, mode: str = "overwrite") -> str:
-        """Three parquet parts under ``path``; replaces a saved model unless told otherwise."""
-        path = path.rstrip("/")
-        meta = json.dumps({"item": self.config.item, "users": self.config.users,
+        """A version of the model under ``path``; replaces a saved model unless told otherwise.
+
+        The parts go to a folder of their own; then one row, written last, points
+        to it. So a loaded model can be saved onto its own path, and a save that
+        fails leaves the last one as it was. ``remove_old`` clears what no row
+        points to.
+        """
+        path, part = path.rstrip("/"), f"save-{uuid.uuid4().hex[:12]}"
+        meta = json.dumps({"item": self.config.item, "users": self.config.users, "part": part,
                            "damping": [self.config.user_damping, self.config.item_damping]})
-        self.stats.select("mu", "n", F.lit(meta).alias("config")).write.mode(mode).parquet(f"{path}/stats")
-        self.catalogue.write.mode(mode).parquet(f"{path}/item_offsets")
+        self.catalogue.write.parquet(f"{path}/{part}/item_offsets")
         if self.user_offsets is not None:
-            self.user_offsets.write.mode(mode).parquet(f"{path}/user_offsets")
+            self.user_offsets.write.parquet(f"{path}/{part}/user_offsets")
+        self.stats.select("mu", "n").write.parquet(f"{path}/{part}/stats")
+        publish(self.stats.sparkSession, path, meta, mode)
         return path
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "BiasModel":
         path = path.rstrip("/")
-        stats = spark.read.parquet(f"{path}/stats")
-        meta = json.loads(stats.select("config").first()[0])
+        meta = published(spark, path)
+        base = f"{path}/{meta['part']}"
         config = BiasConfig(meta["item"], meta["users"], tuple(meta["damping"]))
-        items = spark.read.parquet(f"{path}/item_offsets")
-        users = spark.read.parquet(f"{path}/user_offsets") if config.users else None
-        return cls(config, stats.select("mu", "n"), items, users)
+        users = spark.read.parquet(f"{base}/user_offsets") if config.users else None
+        return cls(config, spark.read.parquet(f"{base}/stats"), spark.read.parquet(f"{base}/item_offsets"), users)
 
 
 def fit_bias(ratings: DataFrame, config: BiasConfig | None = None, col: str = "cnt") -> BiasModel:

@@ -199,3 +199,54 @@ def metrics_by_k(recs: DataFrame, truth: DataFrame, max_k: int, by=()) -> DataFr
         (F.sum("_rec") / n).alias("recall_at_k"), (F.sum("_ap") / n).alias("map"),
         (F.sum(F.col("_prec") / F.col("_ideal")) / n).alias("map_at_k"),
         (F.sum(F.col("_dcg") / F.col("idcg")) / n).alias("ndcg_at_k"))
+
+
+def lenient_by_k(recs: DataFrame, truth: DataFrame, max_k: int, by=(), gain_col: str = "cnt") -> DataFrame:
+    """Mean lenient metrics (K5-K8) at every k = 1..max_k from lists of length max_k, in one pass.
+
+    Precision and recall at k need the hits of rank <= k by list length and by
+    truth size: hits are summed by (rank, size) and prefix sums over the ranks
+    give every k. The manual MAP at k is the running mean of the precision
+    curve. NDCG is a ratio per user that changes only where the user has a hit or
+    one more truth item in gain order: its steps there, summed by k over all
+    users, are a difference array whose prefix sum is the curve. So rows follow
+    the hits and the truth, and neither is repeated per k.
+    """
+    by = list(by)
+    keys = by + ["user_id"]
+    r = recs.select(*keys, "item_id", "rnk").where(F.col("rnk") <= max_k)
+    t = truth.groupBy(*keys, "item_id").agg(F.coalesce(F.sum(F.col(gain_col).cast("double")), F.lit(0.0)).alias("_gain"))
+    sizes = (r.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+             .join(t.groupBy(*keys).agg(F.least(F.count(F.lit(1)), F.lit(max_k)).alias("_m")), keys))
+    hits = r.join(t, keys + ["item_id"]).join(sizes, keys).select(*keys, "_n", "_m", "_gain", F.col("rnk").cast("bigint").alias("k"))
+    every_k = F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(max_k).cast("bigint"))).alias("k")
+
+    def curve(size: str, name: str) -> DataFrame:
+        """Sum over users of hits up to k / min(size, k)."""
+        counts = hits.groupBy(*by, size, "k").agg(F.count(F.lit(1)).alias("_hits"))
+        classes = sizes.select(*by, size).distinct().select("*", every_k)  # <= max_k^2 rows a group
+        upto = Window.partitionBy(*by, size).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+        cells = classes.join(counts, [*by, size, "k"], "left").withColumn("_hits", F.sum(F.coalesce("_hits", F.lit(0))).over(upto))
+        return cells.groupBy(*by, "k").agg(F.sum(F.col("_hits") / F.least(size, "k")).alias(name))
+
+    by_gain = Window.partitionBy(*keys).orderBy(F.col("_gain").desc(), F.col("item_id"))
+    ideal = (t.withColumn("k", F.row_number().over(by_gain)).where(F.col("k") <= max_k)
+             .join(sizes, keys, "left_semi").select(*keys, F.col("k").cast("bigint").alias("k"), "_gain"))
+    discount = F.greatest(F.log2(F.col("k").cast("double")), F.lit(1.0))
+    events = (hits.select(*keys, "k", (F.col("_gain") / discount).alias("_dcg"), F.lit(0.0).alias("_idcg"))
+              .unionByName(ideal.select(*keys, "k", F.lit(0.0).alias("_dcg"), (F.col("_gain") / discount).alias("_idcg")))
+              .groupBy(*keys, "k").agg(F.sum("_dcg").alias("_dcg"), F.sum("_idcg").alias("_idcg")))
+    of_user = Window.partitionBy(*keys).orderBy("k")  # at most 2 max_k rows
+    so_far = of_user.rowsBetween(Window.unboundedPreceding, 0)
+    ratio = events.select(*keys, "k", F.sum("_dcg").over(so_far).alias("_dcg"), F.sum("_idcg").over(so_far).alias("_idcg")).withColumn(
+        "_ratio", F.when(F.col("_idcg") > 0, F.col("_dcg") / F.col("_idcg")).otherwise(F.lit(0.0)))
+    steps = (ratio.withColumn("_step", F.col("_ratio") - F.lag("_ratio", 1, 0.0).over(of_user))
+             .groupBy(*by, "k").agg(F.sum("_step").alias("_step")))
+    grid = sizes.groupBy(*by).agg(F.count(F.lit(1)).alias("n_users")).select("*", every_k)
+    keyed = [*by, "k"]
+    grid = grid.join(curve("_n", "_prec"), keyed).join(curve("_m", "_rec"), keyed).join(steps, keyed, "left")
+    upto = Window.partitionBy(*by).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)  # max_k rows
+    n = F.col("n_users")
+    return grid.select(*keyed, "n_users", (F.col("_prec") / n).alias("precision_lk"), (F.col("_rec") / n).alias("recall_lk"),
+                       (F.sum(F.coalesce("_step", F.lit(0.0))).over(upto) / n).alias("ndcg_lk"),
+                       (F.sum("_prec").over(upto) / F.col("k") / n).alias("map_manual"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from implicit_rank.functions.hashing import hex_bucket, md5_key, split_of, weighted_split
-from implicit_rank.operators.indexing import index_ids
+from implicit_rank.operators.indexing import global_row_number, index_ids
 from implicit_rank.session import materialize
 
 
@@ -55,30 +55,33 @@ def subsample_topk(df: DataFrame, k: int, seed: int = 42, by: str = "rows",
 
 
 def user_folds(df: DataFrame, n_folds: int = 5, holdout: int = 5, seed: int = 42,
-               user_col: str = "user_id", item_col: str = "item_id") -> DataFrame:
+               user_col: str = "user_id", item_col: str = "item_id", even: bool = False) -> DataFrame:
     """User-fold cross-validation (I5) without copying the data per fold.
 
-    Adds ``fold`` = hash bucket of the user (disjoint, complete) and
-    ``holdout`` = 1 for the first ``holdout`` rows of each user in hash
-    order. Fold f tests on ``fold == f and holdout == 1`` and trains on
-    every other row. ``row_number() <= n`` is planned with a partial
+    Adds ``fold``, one for each user (disjoint, complete), and ``holdout`` = 1
+    for the first ``holdout`` rows of each user in hash order. Fold f tests on
+    ``fold == f and holdout == 1`` and trains on every other row. ``fold`` is a
+    hash bucket of the user, or with ``even`` the user's place in hash order
+    modulo ``n_folds``: then folds differ by at most one user.
+
+    Only the last held-out key of each user is joined back, on the user alone:
+    rows up to it are held out. ``row_number() <= n`` is planned with a partial
     group limit before the shuffle, so a heavy user ships at most n rows per
-    map task.
+    map task, and AQE splits that user's rows in the join.
     """
     digest = md5_key(F.lit("u"), F.col(user_col), seed=seed)
-    order_key = md5_key(user_col, item_col, seed=seed)
-    w = Window.partitionBy(user_col).orderBy(order_key, F.col(item_col))
-    held = (
-        df.select(user_col, item_col)
-        .withColumn("_rn", F.row_number().over(w))
-        .where(F.col("_rn") <= holdout)
-        .select(user_col, item_col, F.lit(1).cast("bigint").alias("holdout"))
-    )
-    return (
-        df.join(held, [user_col, item_col], "left")
-        .withColumn("holdout", F.coalesce(F.col("holdout"), F.lit(0).cast("bigint")))
-        .withColumn("fold", hex_bucket(digest, n_folds))
-    )
+    place = F.struct(md5_key(user_col, item_col, seed=seed).alias("key"), F.col(item_col).alias("item"))
+    w = Window.partitionBy(user_col).orderBy("_place")
+    first = (df.where(F.col(user_col).isNotNull()).select(user_col, place.alias("_place"))
+             .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= holdout))
+    users = first.groupBy(user_col).agg(F.max("_place").alias("_cut"))
+    if even:
+        ranked = global_row_number(users.withColumn("_digest", digest), [F.asc("_digest"), F.asc(user_col)], "_at", start=0)
+        users = ranked.select(user_col, "_cut", F.pmod(F.col("_at"), F.lit(n_folds)).cast("bigint").alias("fold"))
+    joined = df.join(users, user_col, "left")
+    held = F.coalesce((place <= F.col("_cut")) & F.col(item_col).isNotNull(), F.lit(False))
+    fold = F.col("fold") if even else hex_bucket(digest, n_folds)
+    return joined.select(*(F.col(c) for c in df.columns), held.cast("bigint").alias("holdout"), fold.alias("fold"))
 
 
 def fold_train(folds: DataFrame, fold: int) -> DataFrame:

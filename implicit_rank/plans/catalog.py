@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from implicit_rank.operators.bias import BiasConfig, BiasModel, fit_bias
 from implicit_rank.operators.metrics import (
+    lenient_by_k,
     lenient_metrics,
     metrics_by_k,
     ranking_metrics,
@@ -247,6 +248,19 @@ def q_user_folds(spark, sf_dir):
     return rounded(_folds(spark, sf_dir))
 
 
+_EVEN_FOLDS_SQL = f"""SELECT p.user_id, p.item_id, {O.r6('p.cnt')} AS cnt, u.fold,
+  CAST(row_number() OVER (PARTITION BY p.user_id ORDER BY {O.md5_of('p.user_id', 'p.item_id', seed=SEED)}, p.item_id) <= {HOLDOUT} AS BIGINT) AS holdout
+FROM p JOIN (SELECT user_id, (row_number() OVER (ORDER BY {O.md5_of("'u'", 'user_id', seed=SEED)}, user_id) - 1) % {N_FOLDS} AS fold
+  FROM (SELECT DISTINCT user_id FROM p)) u ON u.user_id = p.user_id"""
+
+
+@register("user_folds_even", _with(f"p AS ({O.PURCHASES})") + "\n" + _EVEN_FOLDS_SQL)
+def q_user_folds_even(spark, sf_dir):
+    """User folds of sizes that differ by at most one user, 5 held-out rows per user."""
+    from implicit_rank.operators.sample import user_folds
+    return rounded(user_folds(written(purchases(spark, sf_dir), "purchases"), N_FOLDS, HOLDOUT, SEED, even=True))
+
+
 @register("fold_summary", _with(f"p AS ({O.PURCHASES})", _FOLDS_SQL)
           + """\nSELECT fold, count(DISTINCT user_id) AS n_users, CAST(sum(holdout) AS BIGINT) AS n_test,
        count(*) - CAST(sum(holdout) AS BIGINT) AS n_rest FROM f GROUP BY fold""")
@@ -626,6 +640,46 @@ def q_als_signed(spark, sf_dir):
     return _list_checks(recs, train)
 
 
+def _audit_sql() -> str:
+    sizes = "(SELECT count(DISTINCT user_id) FROM train) AS n_users, (SELECT count(DISTINCT item_id) FROM train) AS n_items"
+    return _with(O.base_ctes(SEED)) + "\nUNION ALL\n".join(
+        f"\nSELECT '{name}' AS variant, {sizes}, true AS objective_falls, true AS solves_its_setting, false AS solves_the_other, {signed} AS has_negative"
+        for name, signed in (("counts", "false"), ("presence", "false"), ("signed", "true")))
+
+
+@register("als_audit", _audit_sql())
+def q_als_audit(spark, sf_dir):
+    """Whether the fits on counts, on presence and without non-negativity solve what they were asked (J6, J10, J11):
+    the objective is below the start's and each user's gradient vanishes for the fit's own setting, not
+    for the other kind of rating; negative factors appear only where they may."""
+    from implicit_rank.operators.als import fit_als
+    from implicit_rank.operators.implicit import audit_als
+    train, _ = train_test(spark, sf_dir)
+    rows = []
+    for name, over in (("counts", {}), ("presence", {"use_counts": False}), ("signed", {"nonnegative": False})):
+        fit = fit_als(train, _als_params(**over))
+        found, other = audit_als(fit, train), audit_als(fit, train, use_counts=not fit.params.use_counts)
+        users, items = fit.model.userFactors.count(), fit.model.itemFactors.count()
+        rows.append((name, users, items, found["objective"] < found["zero"], found["gradient"] < 1e-3 * found["scale"],
+                     other["gradient"] < 1e-3 * other["scale"], found["least"] < 0))
+    return spark.createDataFrame(rows, "variant string, n_users bigint, n_items bigint, objective_falls boolean, "
+                                       "solves_its_setting boolean, solves_the_other boolean, has_negative boolean")
+
+
+_FAR = 1 << 40  # shifts ids beyond 32 bits
+
+
+@register("implicit_cg", _ALS_LISTS_SQL.replace("SELECT user_id, n_recs, n_recs AS", f"SELECT user_id + {_FAR} AS user_id, true AS objective_falls, n_recs, n_recs AS"))
+def q_implicit_cg(spark, sf_dir):
+    """Conjugate-gradient factorisation with ids beyond 32 bits: the objective falls with every half-step,
+    and what every list must satisfy (J10, J8)."""
+    from implicit_rank.operators.implicit import CgParams, fit_cg
+    train, test = (t.withColumn("user_id", F.col("user_id") + _FAR) for t in train_test(spark, sf_dir))
+    fit = fit_cg(train, CgParams(rank=8, max_iter=2, reg=1.0, alpha=10.0), track=True)
+    falls = all(b < a for a, b in zip(fit.objectives, fit.objectives[1:]))
+    return _list_checks(fit.recommend(test.select("user_id"), train, K), train).withColumn("objective_falls", F.lit(falls))
+
+
 @register("als_metrics")
 def q_als_metrics(spark, sf_dir):
     """Metrics of the ALS catalogue lists on test (K1-K4 on J8)."""
@@ -957,6 +1011,30 @@ def q_metrics_k_curve(spark, sf_dir):
     return rounded(metrics_by_k(recs, test, K_CURVE))
 
 
+@register("metrics_lenient_curve", _with(
+    O.base_ctes(SEED, O.EVENTS), O.bias_ctes(USER_DAMPING, ITEM_DAMPING), O.catalogue_ctes(K_CURVE),
+    "nr AS (SELECT user_id, count(*) AS n FROM recs GROUP BY user_id)",
+    """tr AS (SELECT user_id, item_id, CAST(cnt AS DOUBLE) AS gain, row_number() OVER (PARTITION BY user_id ORDER BY cnt DESC, item_id) AS pos FROM test)""",
+    "nt AS (SELECT user_id, count(*) AS m FROM tr GROUP BY user_id)",
+    "h AS (SELECT r.user_id, r.rnk, tr.gain FROM recs r JOIN tr ON tr.user_id = r.user_id AND tr.item_id = r.item_id)",
+    f"ks AS (SELECT unnest(range(1, {K_CURVE} + 1)) AS k)",
+    """found AS (SELECT ks.k, nr.user_id, count(h.rnk) AS hits, coalesce(sum(h.gain / greatest(log2(h.rnk), 1)), 0) AS dcg
+  FROM ks CROSS JOIN nr LEFT JOIN h ON h.user_id = nr.user_id AND h.rnk <= ks.k GROUP BY ks.k, nr.user_id)""",
+    """ideal AS (SELECT ks.k, tr.user_id, sum(tr.gain / greatest(log2(tr.pos), 1)) AS idcg
+  FROM ks JOIN tr ON tr.pos <= ks.k GROUP BY ks.k, tr.user_id)""",
+    """pu AS (SELECT f.k, f.user_id, f.hits / least(nr.n, f.k) AS p, f.hits / least(nt.m, f.k) AS r,
+    CASE WHEN i.idcg > 0 THEN f.dcg / i.idcg ELSE 0 END AS g
+  FROM found f JOIN nr ON nr.user_id = f.user_id JOIN nt ON nt.user_id = f.user_id JOIN ideal i ON i.user_id = f.user_id AND i.k = f.k)""",
+    "run AS (SELECT *, sum(p) OVER (PARTITION BY user_id ORDER BY k) / k AS a FROM pu)")
+    + f"""\nSELECT k, count(*) AS n_users, {O.r6('avg(p)')} AS precision_lk, {O.r6('avg(r)')} AS recall_lk, {O.r6('avg(g)')} AS ndcg_lk,
+  {O.r6('avg(a)')} AS map_manual FROM run GROUP BY k""")
+def q_metrics_lenient_curve(spark, sf_dir):
+    """Lenient metrics at every k from 1 to 500 in one pass over lists of length 500."""
+    train, test = _event_train_test(spark, sf_dir)
+    recs = fit_bias(train, default_bias()).recommend(test.select("user_id"), train, K_CURVE)
+    return rounded(lenient_by_k(recs, test, K_CURVE))
+
+
 _ORDERS_AS_ITEMS = """SELECT o_custkey AS user_id, o_orderkey AS item_id, CAST(round(o_totalprice) AS BIGINT) % 97 AS cnt
   FROM orders WHERE o_custkey IS NOT NULL AND o_orderkey IS NOT NULL"""
 

@@ -87,3 +87,57 @@ def materialize(df, name: str, partition_by=()):
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder).select(*df.columns)
+
+
+def _folder(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of a folder in whatever store it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _rows(spark: SparkSession, path: str) -> list[str]:
+    """Folders of published rows under ``path``, oldest first."""
+    fs, where = _folder(spark, path)
+    if not fs.exists(where):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(where)]
+    return sorted(n for n in names if n.startswith("metadata-") and fs.exists(_folder(spark, f"{path}/{n}/_SUCCESS")[1]))
+
+
+def publish(spark: SparkSession, path: str, meta: str, mode: str = "overwrite") -> None:
+    """Make ``meta`` (JSON that names the parts' folder) what ``published`` reads.
+
+    A new row is written beside the last; it counts once it is complete, so a
+    save that dies on the way leaves the earlier one in force. ``mode`` "error"
+    refuses a path that has a row already.
+    """
+    old = _rows(spark, path)
+    if old and mode in ("error", "errorifexists"):
+        raise FileExistsError(f"a model is saved under {path}")
+    number = int(old[-1].split("-")[1]) + 1 if old else 0
+    spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.parquet(f"{path}/metadata-{number:09d}")
+
+
+def published(spark: SparkSession, path: str) -> dict:
+    """The last published row under ``path``."""
+    import json
+
+    rows = _rows(spark, path)
+    if not rows:
+        raise FileNotFoundError(f"no model is saved under {path}")
+    return json.loads(spark.read.parquet(f"{path}/{rows[-1]}").first()[0])
+
+
+def remove_old(spark: SparkSession, path: str) -> int:
+    """Delete the saves under ``path`` that are no longer published; returns how many parts went.
+
+    For when no job reads or writes an earlier save.
+    """
+    path = path.rstrip("/")
+    keep, rows = published(spark, path)["part"], _rows(spark, path)
+    fs, where = _folder(spark, path)
+    parts = [s.getPath() for s in fs.listStatus(where) if s.getPath().getName().startswith("save-")]
+    gone = [p for p in parts if p.getName() != keep]
+    for old in [_folder(spark, f"{path}/{n}")[1] for n in rows[:-1]] + gone:
+        fs.delete(old, True)
+    return len(gone)

@@ -189,3 +189,24 @@ def test_saving_again_replaces_the_model(spark):
         fit_bias(_df(spark), BiasConfig(damping=2)).save(path, mode="errorifexists")
     fit_bias(_df(spark), BiasConfig(damping=2)).save(path)
     assert BiasModel.load(spark, path).config.user_damping == 2.0
+
+
+def test_save_onto_its_own_path(spark):
+    """A loaded model survives being saved where it lies; a save that stops before its row changes nothing."""
+    from implicit_rank.session import remove_old, shared_folder
+    path = shared_folder(spark, "test-bias-own")
+    train = spark.createDataFrame([(1, 1, 2.0), (1, 2, 4.0), (2, 1, 3.0)], "user_id long, item_id long, cnt double")
+    fit_bias(train, BiasConfig(damping=(1.0, 2.0))).save(path)
+    loaded = BiasModel.load(spark, path)
+    want = sorted(map(tuple, loaded.predict(train).collect()))
+    loaded.save(path)
+    again = BiasModel.load(spark, path)
+    assert sorted(map(tuple, again.predict(train).collect())) == want
+    with pytest.raises(FileExistsError):
+        again.save(path, mode="error")
+    other = fit_bias(train, BiasConfig(users=False))
+    other.catalogue.write.parquet(f"{path}/save-dead/item_offsets")  # a save that died before its row
+    assert sorted(map(tuple, BiasModel.load(spark, path).predict(train).collect())) == want
+    other.save(path)
+    assert not BiasModel.load(spark, path).config.users
+    assert remove_old(spark, path) == 4 and BiasModel.load(spark, path).user_offsets is None

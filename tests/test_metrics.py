@@ -115,3 +115,19 @@ def test_long_form_and_lists(spark):
     assert lists[1] == [10, 11, 12, 13, 14]
     filled = spark.createDataFrame([(1, None)], "u int, xs array<bigint>").select(empty_if_null("xs").alias("xs"))
     assert filled.first().xs == []
+
+
+def test_lenient_curve_is_the_metrics_at_every_k(spark):
+    """Short lists, truths of many sizes, ties and zero gains; the plan repeats neither lists nor truth."""
+    from implicit_rank.operators.metrics import lenient_by_k, lenient_metrics
+    rng = random.Random(4)
+    recs = [(u, i, r + 1) for u in range(12) for r, i in enumerate(rng.sample(range(15), rng.randint(1, 9)))]
+    truth = [(u, i, float(rng.choice([0, 1, 1, 3]))) for u in range(13) if u != 5 for i in rng.sample(range(15), rng.randint(1, 11))]
+    truth += [(3, truth[0][1], 0.0), (14, 1, 0.0)]
+    recs_t = spark.createDataFrame(recs + [(14, 1, 1)], "user_id long, item_id long, rnk long")
+    truth_t = spark.createDataFrame(truth, "user_id long, item_id long, cnt double")
+    curve = lenient_by_k(recs_t, truth_t, 9)
+    got = {r["k"]: r for r in curve.collect()}
+    for k in range(1, 10):
+        want = lenient_metrics(recs_t, truth_t, k).first().asDict()
+        assert {n: pytest.approx(v) for n, v in want.items()} == {n: got[k][n] for n in want}

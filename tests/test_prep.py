@@ -116,3 +116,21 @@ def test_null_ids_are_skipped_on_read(spark):
     assert df.columns == ["user_id", "item_id", "cnt"] and df.count() == 2
     with pytest.raises(SchemaError):
         read_interactions(spark, f"{d}/x", "uid", "track_id", "count")
+
+
+def test_even_folds(spark):
+    """Fold sizes differ by at most one user; repeated rows stay single; facts are shuffled by user alone."""
+    from implicit_rank.operators.sample import user_folds
+    rows = [(u, i, 1.0) for u in range(23) for i in range(3 + u % 4)] + [(1, 0, 1.0), (None, 4, 1.0), (2, None, 1.0)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, cnt double")
+    for even in (True, False):
+        folds = user_folds(df, 5, 2, even=even)
+        assert folds.columns == [*df.columns, "holdout", "fold"] and folds.count() == len(rows)
+        held = {r["user_id"]: r["n"] for r in folds.where("holdout = 1").groupBy("user_id").agg(F.countDistinct("item_id").alias("n")).collect()}
+        assert set(held) == set(range(23)) and all(1 <= n <= 2 for n in held.values())
+        plan = folds._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(user_id" in plan and "hashpartitioning(user_id#" in plan and ", item_id" not in "".join(
+            line.split("hashpartitioning")[1] for line in plan.splitlines() if "hashpartitioning" in line)
+    users = user_folds(df, 5, 2, even=True).where("user_id IS NOT NULL").select("user_id", "fold").distinct().groupBy("fold").count().collect()
+    sizes = [r["count"] for r in users]
+    assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
