@@ -111,8 +111,10 @@ def write(docs: DataFrame, path: str, seq_len: int = 2048, end_id: int = 2, fold
             names=["part", "path", "n_docs", "n_tokens", "seq_len"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    ordered = (rows.withColumn("tie", F.xxhash64("text"))
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "tie"))
+    # a frequent id is cut into ranges by its texts, equal rows by a number
+    by = ["doc_id", "tie", "salt"]
+    ordered = (rows.withColumn("tie", F.xxhash64("text")).withColumn("salt", F.xxhash64(F.monotonically_increasing_id()))
+               .repartitionByRange(*by).sortWithinPartitions(*by))
     return common.save(ordered.mapInArrow(run, MANIFEST), "token-files-manifest")
 
 

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from implicit_rank.llm import common
 
 BLOCK = 128
+RUN = 1 << 16    # rows of a unit numbered by one array
 WORD = r"[^\x20\x09-\x0D]+"
 UNIT = "struct<doc_id:bigint,size:bigint,n:bigint,p:double>"
 DONE = "array<struct<doc_id:bigint,size:bigint,n:bigint,up:int>>"
@@ -143,8 +144,11 @@ def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.0, limit: float = 3
     joined = units.join(ups, F.col("source").eqNullSafe(F.col("u_source")) & F.col("doc_id").eqNullSafe(F.col("u_id"))
                         & (F.col("size") == F.col("u_size")), "left")
     again = F.col("more") + F.coalesce("up", F.lit(0))  # rows of the unit that are taken once more
-    return (joined.select("doc_id", "source", "size", "source_size", "target", "whole", again.alias("again"),
-                          F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("row"))
+    # a unit's rows, numbered in runs so that no array grows with it
+    runs = joined.select("doc_id", "source", "size", "source_size", "target", "whole", again.alias("again"), "n",
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {RUN}"))).alias("run"))
+    first = F.col("run") * RUN + 1
+    return (runs.withColumn("row", F.explode(F.sequence(first, F.least("n", first + RUN - 1))))
             .withColumn("copies", F.col("whole") + (F.col("row") <= F.col("again")).cast("int"))
             .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")))
 
@@ -156,21 +160,26 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
         mix(docs, **options).groupBy(F.col("source").alias("_source"), F.col("doc_id").alias("_id"), F.col("size").alias("_size"))
         .agg(F.count(F.lit(1)).alias("_n"), F.min("copies").alias("_copies"), F.sum("copies").alias("_sum")).filter("_sum > 0")
         .withColumn("_more", F.col("_sum") - F.col("_n") * F.col("_copies")), "mix-counts")
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    joined = docs.join(counts, docs["doc_id"].eqNullSafe(F.col("_id")) & docs["source"].eqNullSafe(F.col("_source"))
-                       & (size == F.col("_size"))).select(*(docs[c] for c in docs.columns), *unit, "_n", "_copies", "_more")
-    taken = joined.filter("_more = 0").select(*docs.columns, "_copies")
+    # the row as one column, so that no name of its columns meets those of the steps
+    size = F.coalesce(F.regexp_count("row.text", F.lit(WORD)), F.lit(0)).cast("long")
+    rows = docs.select(F.struct("*").alias("row"))
+    joined = rows.join(counts, F.col("row.doc_id").eqNullSafe(F.col("_id")) & F.col("row.source").eqNullSafe(F.col("_source"))
+                       & (size == F.col("_size"))).select("row", *unit, "_n", "_copies", "_more")
+    taken = joined.filter("_more = 0").select("row", "_copies")
     if not counts.filter("_more > 0").isEmpty():
-        # rows of a unit that are not all taken alike are numbered, in buckets of about BLOCK rows
-        bucket = F.pmod(F.xxhash64("text"), F.ceil(F.col("_n") / BLOCK))
-        uneven = joined.filter("_more > 0").withColumn("_bucket", bucket)
+        # rows of a unit that are not all taken alike are numbered, in buckets of about BLOCK rows by their
+        # place in the table: equal rows are spread too
+        joined = common.save(joined.filter("_more > 0").withColumn("_at", F.xxhash64(F.monotonically_increasing_id())), "mix-uneven")
+        bucket = F.pmod("_at", F.ceil(F.col("_n") / BLOCK))
+        uneven = joined.withColumn("_bucket", bucket)
         before = Window.partitionBy(*unit).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
         starts = (uneven.groupBy(*unit, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
                   .withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
                   .select(*(F.col(c).alias(f"_of{c}") for c in [*unit, "_bucket"]), "_start"))
         same = [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in [*unit, "_bucket"]]
-        place = F.row_number().over(Window.partitionBy(*unit, "_bucket").orderBy(F.xxhash64("text")))
+        place = F.row_number().over(Window.partitionBy(*unit, "_bucket").orderBy("_at"))
         numbered = uneven.withColumn("_row", place).join(starts, same)
         copies = F.col("_copies") + (F.col("_start") + F.col("_row") <= F.col("_more")).cast("int")
-        taken = taken.unionByName(numbered.select(*docs.columns, copies.alias("_copies")))
-    return taken.filter("_copies > 0").select(*docs.columns, F.explode(F.sequence(F.lit(1), "_copies")).alias("_")).drop("_")
+        taken = taken.unionByName(numbered.select("row", copies.alias("_copies")))
+    copied = taken.filter("_copies > 0").select("row", F.explode(F.sequence(F.lit(1), "_copies")))
+    return copied.select("row.*")

@@ -125,13 +125,15 @@ def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
     rows = groups(docs, width).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = common.save(rows.groupBy("group", F.col("component_id").alias("_id")).agg(F.min("text_hash").alias("_hash"))
                        .drop("group"), "simhash-kept")
-    hashed = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same_text = F.col("_text_hash") == F.col("_hash")
+    # the row as one column, so that no name of its columns meets those of the steps
+    hashed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    same_text = F.col("text_hash") == F.col("_hash")
     # written as a range so that doc_id alone is the join key: its partitioning
     # serves the last step too, and texts are shuffled once
-    in_range = F.col("_text_hash").between(F.col("_hash"), F.col("_hash"))
+    in_range = F.col("text_hash").between(F.col("_hash"), F.col("_hash"))
     with_id = (hashed.filter("doc_id IS NOT NULL").join(kept, (F.col("doc_id") == F.col("_id")) & in_range)
-               .dropDuplicates(["doc_id", "_text_hash"]))
+               .dropDuplicates(["doc_id", "text_hash"]))
     without = (hashed.filter("doc_id IS NULL").join(kept.filter("_id IS NULL").select("_hash"), same_text)
-               .dropDuplicates(["_text_hash"]))
-    return with_id.select(docs.columns).unionByName(without.select(docs.columns))
+               .dropDuplicates(["text_hash"]))
+    return with_id.select("row").unionByName(without.select("row")).select("row.*")

@@ -13,7 +13,7 @@ from __future__ import annotations
 import functools
 import os
 import re
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +47,10 @@ def load(path: str):
 SIMPLE = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:|*%$&#]*)")
 PROBES = ["a", " a", "Straße", " Übergrößen.", "naïve,", " façade!!", " Hello", "WORLD|", " ñandú?", "ionatly;", " mot%%%", "x&&&", " w***", " x.:", "ÿ", " æ",
           " end.\nNext", "a\nb!\nC"]
-KNOWN_MOST = 300_000  # runs of letters kept by a worker
+KNOWN_MOST = 200_000    # runs of letters kept by a worker
+PIECES_MOST = 800_000   # pieces kept by a worker, of at most PIECE_LENGTH letters
+PIECE_LENGTH = 48
+POOL_MOST = 1 << 23     # ids kept by a worker
 
 
 def _byte_letters() -> dict[int, str]:
@@ -60,6 +63,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 BYTE_LETTERS = _byte_letters()
+BYTE_SPACE = BYTE_LETTERS[32]
 
 
 class Encoder:
@@ -67,13 +71,16 @@ class Encoder:
 
     ``spaced``: as they are, with the space before them; ``lower``: in lower
     case, without it; None: everything is encoded by the whole tokenizer. A way
-    is taken only if it gives the tokenizer's own ids for all PROBES.
+    is taken only if it gives the tokenizer's own ids for all PROBES. The ids
+    of pieces stay in one array of the worker, so later chunks only encode
+    pieces that are new; it is emptied when it is full.
     """
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.model = self.tokenizer.model
         self.known: dict[str, list[int]] = {}
+        self._empty()
         self.marks: dict[str, list[int]] = {"\n": self._whole(["\n"])[0]}
         self.way = None
         for way in ("spaced", "lower"):
@@ -83,6 +90,26 @@ class Encoder:
             self.known.clear()
             self.way = None
 
+    def _empty(self) -> None:
+        self.pieces: dict[str, int] = {}   # piece: its place in starts and counts
+        self.pool = np.zeros(1 << 16, np.uint32)
+        self.starts = np.zeros(0, np.int64)
+        self.counts = np.zeros(0, np.int64)
+        self.used = 0
+
+    def _store(self, lists: list[list[int]]) -> np.ndarray:
+        """Places of new id lists in the pool."""
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        total = int(counts.sum())
+        while self.used + total > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used:self.used + total] = np.fromiter(chain.from_iterable(lists), np.uint32, total)
+        first = len(self.starts)
+        self.starts = np.concatenate([self.starts, self.used + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.used += total
+        return np.arange(first, len(self.starts))
+
     def _whole(self, pieces: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
@@ -92,7 +119,9 @@ class Encoder:
         if ids is None:
             if len(self.known) >= KNOWN_MOST:
                 self.known.clear()
-            ids = self.known[run] = [t.id for t in self.model.tokenize(run.translate(BYTE_LETTERS))]
+            plain = letters.isascii()
+            as_bytes = (BYTE_SPACE if run[0] == " " else "") + run.lstrip(" ") if plain else run.translate(BYTE_LETTERS)
+            ids = self.known[run] = [t.id for t in self.model.tokenize(as_bytes)]
         if not marks:
             return ids
         if marks not in self.marks:
@@ -119,15 +148,32 @@ class Encoder:
             out &= ~pc.match_substring(texts, token.content).to_numpy(zero_copy_only=False)
         return out
 
-    def encode(self, pieces: list[str], n_cut: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all pieces in a row, number of ids of each piece).
+    def encode(self, pieces: list[str], n_cut: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(an array of ids, where in it each piece's ids begin, how many they are).
 
         The first ``n_cut`` pieces hold no added token.
         """
+        if len(self.pieces) > PIECES_MOST or self.used > POOL_MOST:
+            self._empty()
+        at = np.fromiter(map(self.pieces.get, pieces[:n_cut], repeat(-1)), np.int64, n_cut)
+        fresh = np.flatnonzero(at < 0)
+        new = [pieces[k] for k in fresh.tolist()]
+        at[fresh] = self._store(self._encoded(new, True))
+        self.pieces.update((p, k) for p, k in zip(new, at[fresh].tolist()) if len(p) <= PIECE_LENGTH)
+        tails = self._encoded(pieces[n_cut:], False)
+        counts = np.fromiter(map(len, tails), np.int64, len(tails))
+        ids = self.pool[:self.used]
+        if tails:
+            ids = np.concatenate([ids, np.fromiter(chain.from_iterable(tails), np.uint32, int(counts.sum()))])
+        return (ids, np.concatenate([self.starts[at], self.used + np.cumsum(counts) - counts]),
+                np.concatenate([self.counts[at], counts]))
+
+    def _encoded(self, pieces: list[str], cut: bool) -> list[list[int]]:
+        """Ids of each piece; ``cut`` pieces hold no added token."""
         found: list[list[int] | None] = [None] * len(pieces)
-        if self.way:
+        if self.way and cut:
             match, simple, lines = SIMPLE.fullmatch, self._simple, self._lines
-            for k, piece in enumerate(pieces[:n_cut]):
+            for k, piece in enumerate(pieces):
                 if (m := match(piece)):
                     found[k] = simple(*m.groups())
                 elif "\n" in piece:
@@ -137,8 +183,7 @@ class Encoder:
             part = left[at:at + ENCODE_AT_ONCE]
             for k, ids in zip(part, self._whole([pieces[k] for k in part])):
                 found[k] = ids
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts
+        return found
 
 
 @functools.lru_cache(maxsize=4)
@@ -186,8 +231,7 @@ def token_ids(texts: pa.Array, path: str, end_id: int | None = None) -> tuple[np
     whole = np.flatnonzero(~plain)
     known = len(distinct)
     distinct += [texts[int(i)].as_py() for i in whole]
-    ids, counts = by.encode(distinct, known)
-    starts = np.cumsum(counts) - counts
+    ids, starts, counts = by.encode(distinct, known)
 
     code = np.empty(len(pieces), np.int64)
     code[first] = heads.indices.to_numpy(zero_copy_only=False)

@@ -99,3 +99,25 @@ def test_odd_rows(odd, empty):
     out = pivotal.apply_mix(odd)
     assert out.columns == odd.columns and out.count() == taken
     assert pivotal.apply_mix(empty).count() == 0
+
+
+def test_columns_with_names_of_the_steps(docs_of):
+    """Extra columns keep their values whatever they are called."""
+    from pyspark.sql import functions as F
+
+    names = ["_source", "_id", "_size", "_n", "_copies", "_more", "_sum", "_bucket", "_row", "_start", "_rows", "_at", "_", "row", "run", "again"]
+    rows = [(i % 9, f"w{i % 3} " * (1 + i % 4), "en", "s") for i in range(60)] + [(100 + i, "a b", "en", "t") for i in range(9)]
+    plain = docs_of(rows)
+    docs = plain.select("*", *(F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names))
+    options = dict(weights=(5, 2, 1), share=1.0, limit=3.0)
+    got = pivotal.apply_mix(docs, **options)
+    assert got.columns == docs.columns
+    assert all(r[n] == f"{n}{r['doc_id']}" for r in got.collect() for n in names)
+    assert sorted(map(tuple, got.select(plain.columns).collect())) == sorted(map(tuple, pivotal.apply_mix(plain, **options).collect()))
+
+
+def test_units_longer_than_a_run(docs_of, monkeypatch):
+    monkeypatch.setattr(pivotal, "RUN", 4)
+    docs = docs_of([(None, "a b c", "en", "s")] * 11 + [(1, "x", "en", "s")])
+    got = pivotal.mix(docs)
+    assert got.count() == 12 and got.filter("doc_id IS NULL").count() == 11

@@ -93,3 +93,14 @@ def test_groups_without_ids_keep_one_row_each(docs_of):
     rows = [(None, "first text of its own"), (None, "first text of its own"), (None, "quite another text is here")]
     assert sorted(r["text"] for r in simhash.keep_one(docs_of(rows)).collect()) == [
         "first text of its own", "quite another text is here"]
+
+
+def test_columns_with_names_of_the_steps(odd):
+    """Extra columns keep their values whatever they are called."""
+    names = ["_text_hash", "text_hash", "_id", "_hash", "row", "fp", "group", "component_id", "least", "top"]
+    docs = odd.select("*", *(F.concat(F.lit(n), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(n) for n in names))
+    got = simhash.keep_one(docs)
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert all(r[n] == f"{n}{'-' if r['doc_id'] is None else r['doc_id']}" for r in rows for n in names)
+    assert sorted(r["doc_id"] or 0 for r in rows) == [0, 1, 2, 7, 8, 9]

@@ -96,3 +96,21 @@ def test_text_chunks_keep_every_row():
     chunks = list(common.text_chunks(iter([batch, batch]), limit=10))
     assert [k for c in chunks for k in c.column("k").to_pylist()] == list(range(7)) * 2
     assert max(c.num_rows for c in chunks) < 7
+
+
+def test_pieces_kept_across_chunks(monkeypatch):
+    """Ids do not depend on which pieces a worker knows, nor on when it forgets them."""
+    import random
+
+    import pyarrow as pa
+
+    path = tokens.vocabulary("byte_bpe_50k.json")
+    rng = random.Random(8)
+    words = ["the", "naïve", "Straße.", "x" * 60, "end\nNext", "<|endoftext|>", "漢字", "don't", "a,b", "WORLD", ""]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    plain = tokens.load(path)
+    monkeypatch.setattr(tokens, "PIECES_MOST", 5)
+    for at in (0, 20, 40, 0):
+        part = texts[at:at + 20]
+        ids, offsets = tokens.token_ids(pa.array(part), path)
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [plain.encode(t, add_special_tokens=False).ids for t in part]
