@@ -83,17 +83,17 @@ def test_hot_keys_are_split_in_bias_joins(spark):
 
 
 def test_als_topk_has_no_cartesian_product(spark, sf_small):
-    from implicit_rank.operators import als
+    from implicit_rank.operators import als, topk
     from implicit_rank.operators.sample import hash_split
     s = hash_split(purchases(spark, sf_small), 42).checkpoint()
     train = s.where("split = 'train'").select("user_id", "item_id", "cnt")
     plans = []
-    keep = als.materialize
-    als.materialize = lambda df, *a: (plans.append(_plan(df)), keep(df, *a))[1]
+    keep = topk.materialize
+    topk.materialize = lambda df, *a: (plans.append(_plan(df)), keep(df, *a))[1]
     try:
         als.recommend(als.fit_als(train, als.AlsParams(rank=3, max_iter=1, ids="raw")), train.select("user_id"), train, 5)
     finally:
-        als.materialize = keep
+        topk.materialize = keep
     assert plans and not any("Cartesian" in p or "NestedLoop" in p for p in plans)
 
 
