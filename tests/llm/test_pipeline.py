@@ -12,7 +12,7 @@ from implicit_rank.llm import common, gam, queries, toxicity
 
 def test_all_numbers_are_registered():
     names = entry.queries()
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.QUERIES) <= set(names) and "pipeline" in names
 
 
