@@ -20,11 +20,58 @@ RATING_FLOOR = 0.05
 RATING_IF_CONSTANT = 2.5
 CLAMP_SIGMAS = 2.0
 
+# Counts as exact decimals (below 1e13), and their sums (below 1e26), with 12 places.
+MOMENT_TYPE = "decimal(25,12)"
+SUM_TYPE = "decimal(38,12)"
+# Sums of squares up to here lose less in double than in products of decimals (6 places).
+SMALL_SQUARES = 1_000_000_000
+
+
+def moments(df: DataFrame, col: str = "cnt", by=()) -> DataFrame:
+    """``(by..., n, sx, sxx, lo, hi)``: rows, sum, sum of squares, least and largest value.
+
+    The sums are decimals of rows rounded one by one, so they do not depend on
+    the order or the layout of the rows, and those of parts add up exactly
+    (``merge_moments``). Values that the decimals cannot hold (NaN, infinite, 1e13 or more) count as null.
+    """
+    x = F.col(col).try_cast(MOMENT_TYPE)
+    whole = F.floor(x).cast("decimal(13,0)")
+    part = (x - whole).cast("double")  # the whole part is squared exactly, so that large values lose nothing
+    square = (whole * whole).cast(SUM_TYPE) + (part * (2 * whole.cast("double") + part)).cast(SUM_TYPE)
+    return df.groupBy(*by).agg(F.count(x).alias("n"), F.sum(x.cast(SUM_TYPE)).cast(SUM_TYPE).alias("sx"),
+                               F.sum(square).cast(SUM_TYPE).alias("sxx"), F.min(x).alias("lo"), F.max(x).alias("hi"))
+
+
+def merge_moments(parts: DataFrame, by=()) -> DataFrame:
+    """The moments of tables put together, from the moments of each."""
+    return parts.groupBy(*by).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.sum("sx").cast(SUM_TYPE).alias("sx"),
+                                  F.sum("sxx").cast(SUM_TYPE).alias("sxx"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+
+def mean_and_deviation(table: DataFrame, by=()) -> DataFrame:
+    """``(by..., n, m, s)``: mean and sample standard deviation of moments.
+
+    Small sums are combined in double, exactly so for whole numbers; beyond
+    that squares are taken about the mean rounded to 6 places, in decimals, where
+    nothing cancels. Which of the two depends on the values alone. Equal values
+    deviate by exactly 0.
+    """
+    n, sx, sxx = F.col("n"), F.col("sx"), F.col("sxx")
+    plain = (n * sxx.cast("double") - sx.cast("double") * sx.cast("double")) / n
+    q, count = (sx / n).cast("decimal(19,6)"), n.cast("decimal(20,0)")
+    rest = (sx - count * q).cast("double")
+    about = (sxx - 2 * (q * sx) + count * (q * q).cast(SUM_TYPE)).cast("double") - rest * rest / n
+    squares = F.greatest(F.when(sxx < SMALL_SQUARES, plain).otherwise(about), F.lit(0.0))
+    return table.select(
+        *by, "n", F.when(F.col("n") > 0, F.col("sx").cast("double") / F.col("n")).alias("m"),
+        F.when(F.col("n") > 1, F.when(F.col("lo") == F.col("hi"), F.lit(0.0)).otherwise(
+            F.sqrt(squares / (F.col("n") - 1)))).alias("s"))
+
 
 def rating_stats(df: DataFrame, col: str = "cnt", by: str | None = None) -> DataFrame:
     """Mean and sample stddev of a column (AG6), globally or per ``by`` key."""
-    aggs = [F.avg(col).alias("m"), F.stddev_samp(col).alias("s")]
-    return df.groupBy(by).agg(*aggs) if by else df.agg(*aggs)
+    keys = [by] if by else []
+    return mean_and_deviation(moments(df, col, keys), keys).drop("n")
 
 
 def rating_expr(c: Column, m: Column, s: Column) -> Column:

@@ -32,6 +32,12 @@ from implicit_rank.session import materialize, publish, published
 SUM_TYPE = "decimal(28,12)"
 
 
+def exact_count(ratings: DataFrame, col: str) -> Column:
+    """A count column in a type whose sums do not depend on the order of the rows."""
+    whole = dict(ratings.dtypes)[col] in ("tinyint", "smallint", "int", "bigint")
+    return F.col(col).cast("bigint" if whole else SUM_TYPE)
+
+
 @dataclass(frozen=True)
 class BiasConfig:
     """``damping`` is a number for both parts or a ``(user, item)`` pair."""
@@ -177,9 +183,7 @@ def fit_bias(ratings: DataFrame, config: BiasConfig | None = None, col: str = "c
     user in the damped denominators (n_i, n_u).
     """
     config = config or BiasConfig()
-    whole = dict(ratings.dtypes)[col] in ("tinyint", "smallint", "int", "bigint")
-    exact = F.col(col).cast("bigint" if whole else SUM_TYPE)
-    r = ratings.select("user_id", "item_id", exact.alias("_r"))
+    r = ratings.select("user_id", "item_id", exact_count(ratings, col).alias("_r"))
     total, known = F.sum("_r").cast("double"), F.count("_r")
     stats = materialize(r.agg((total / known).alias("mu"), F.count(F.lit(1)).alias("n")), "bias-stats")
     mu = stats.select("mu").scalar()

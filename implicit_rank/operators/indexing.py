@@ -10,10 +10,14 @@ re-sample different range bounds), and a table with one row per partition
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from implicit_rank.session import ensure_checkpoint_dir
+from implicit_rank.session import ensure_checkpoint_dir, materialize, publish, published
 
 
 def global_row_number(df: DataFrame, order_cols: list, out_col: str = "rn",
@@ -59,16 +63,88 @@ def frequency_index(df: DataFrame, id_col: str, out_col: str | None = None) -> D
     return global_row_number(counts, order, out_col, start=0).select(id_col, out_col)
 
 
+HANDLE = ("skip", "error", "keep")
+
+
+@dataclass
+class IdIndex:
+    """A fitted id index (H1, H2): ``table`` is ``(id_col, out_col)``, one row per known id.
+
+    The numbers of known ids never change: ``extend`` numbers new ids after the
+    last one. With ``reserve`` they start at 1 and 0 is the slot of unseen ids,
+    which no extension moves; without it the slot is the number of known ids, as
+    ``StringIndexer``'s "keep" has it.
+    """
+
+    table: DataFrame
+    id_col: str
+    out_col: str
+    reserve: bool = False
+
+    @classmethod
+    def fit(cls, df: DataFrame, id_col: str, out_col: str | None = None, reserve: bool = False) -> "IdIndex":
+        out_col = out_col or f"{id_col}_index"
+        table = frequency_index(df, id_col, out_col).withColumn(out_col, F.col(out_col) + F.lit(int(reserve)))
+        return cls(materialize(table, "id-index"), id_col, out_col, reserve)
+
+    def slot(self) -> Column:
+        """The number of unseen and null ids under "keep"."""
+        if self.reserve:
+            return F.lit(0).cast("bigint")
+        return self.table.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+
+    def extend(self, df: DataFrame) -> "IdIndex":
+        """The index with the ids of ``df`` it lacks, numbered after the last by frequency, then id.
+
+        Ids are counted before the anti-join, so it meets one row per distinct id.
+        """
+        counts = df.where(F.col(self.id_col).isNotNull()).groupBy(self.id_col).agg(F.count(F.lit(1)).alias("_freq"))
+        fresh = counts.join(self.table, self.id_col, "left_anti")
+        order = [F.col("_freq").desc(), F.col(self.id_col).cast("string").asc()]
+        last = self.table.agg(F.coalesce(F.max(self.out_col), F.lit(int(self.reserve) - 1)).alias("n")).select("n").scalar()
+        numbered = global_row_number(fresh, order, self.out_col).withColumn(self.out_col, F.col(self.out_col) + last)
+        both = self.table.unionByName(numbered.select(self.id_col, self.out_col))
+        return IdIndex(materialize(both, "id-index"), self.id_col, self.out_col, self.reserve)
+
+    def transform(self, df: DataFrame, handle: str = "skip") -> DataFrame:
+        """Add ``out_col``. Rows with unseen or null ids are dropped ("skip"), fail the
+        job that reads the column ("error"), or get the slot's number ("keep")."""
+        if handle not in HANDLE:
+            raise ValueError(f"handle must be one of {HANDLE}, not {handle!r}")
+        if handle == "skip":
+            return df.join(self.table, self.id_col)
+        found = df.join(self.table.withColumnRenamed(self.out_col, "_index"), self.id_col, "left")
+        if handle == "keep":
+            number = F.coalesce("_index", self.slot())
+        else:
+            told = F.concat(F.lit(f"{self.id_col} is not in the index: "), F.coalesce(F.col(self.id_col).cast("string"), F.lit("null")))
+            number = F.when(F.col("_index").isNull(), F.raise_error(told).cast("bigint")).otherwise(F.col("_index"))
+        return found.withColumn(self.out_col, number).drop("_index")
+
+    def save(self, path: str, mode: str = "overwrite") -> str:
+        """A version under ``path``, published by its last row; an index can be saved onto its own path."""
+        path, part = path.rstrip("/"), f"save-{uuid.uuid4().hex[:12]}"
+        self.table.write.parquet(f"{path}/{part}")
+        publish(self.table.sparkSession, path, json.dumps(
+            {"part": part, "id_col": self.id_col, "out_col": self.out_col, "reserve": self.reserve}), mode)
+        return path
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "IdIndex":
+        meta = published(spark, path.rstrip("/"))
+        return cls(spark.read.parquet(f"{path.rstrip('/')}/{meta['part']}"), meta["id_col"], meta["out_col"], meta["reserve"])
+
+
 def index_ids(df: DataFrame, fitted_on: DataFrame | None = None,
               user_col: str = "user_id", item_col: str = "item_id",
-              user_out: str = "user_idx", item_out: str = "item_idx") -> DataFrame:
+              user_out: str = "user_idx", item_out: str = "item_idx", handle: str = "skip") -> DataFrame:
     """Add int indexes of users and items (H1, H2), fitted jointly on ``fitted_on``.
 
-    Ids unknown to the fitted index are skipped (``handleInvalid='skip'``); the
+    Rows with unknown or null ids are treated as ``IdIndex.transform`` does; the
     index tables are joined by key, so the planner broadcasts them only when it
     measures them small.
     """
     base = fitted_on if fitted_on is not None else df
-    users = frequency_index(base, user_col, user_out)
-    items = frequency_index(base, item_col, item_out)
-    return df.join(users, user_col).join(items, item_col)
+    for id_col, out_col in ((user_col, user_out), (item_col, item_out)):
+        df = IdIndex.fit(base, id_col, out_col).transform(df, handle)
+    return df

@@ -64,12 +64,24 @@ def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: i
     """
     targets = users.select("user_id").distinct()
     ranks = item_rank.select("item_id", F.col(rank_col).cast("bigint").alias("_r"), *carry)
+    return resolve_unseen(ranks, seen_of_targets(seen, targets), targets, k, (), bucket_rows, head_rows, carry)
+
+
+def resolve_unseen(ranks: DataFrame, seen: DataFrame, targets: DataFrame, k: int, by=(),
+                   bucket_rows: int = BUCKET_ROWS, head_rows: int = HEAD_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The gap counting of ``catalogue_topk`` for several orders at once, one per ``by`` group.
+
+    ``ranks`` is ``(by..., item_id, _r, *carry)``, ``targets`` distinct ``(by..., user_id)`` rows, and
+    ``seen`` the ``(by..., user_id, item_id)`` pairs of these targets only. The broadcast head holds
+    ``head_rows`` ranks of each group: with ``by`` the caller divides the bound by the number of groups.
+    """
+    by = list(by)
+    keys = [*by, "user_id"]
     seen_r = (
-        seen_of_targets(seen, targets)
-        .join(ranks.select("item_id", "_r"), "item_id")
+        seen.join(ranks.select(*by, "item_id", "_r"), [*by, "item_id"])
         .withColumn("_b", F.floor((F.col("_r") - 1) / F.lit(bucket_rows)).cast("bigint"))
     )
-    in_bucket = Window.partitionBy("user_id", "_b").orderBy("_r")
+    in_bucket = Window.partitionBy(*keys, "_b").orderBy("_r")
     # a repeated (user, item) pair is counted once; same window partitioning,
     # so dropping repeats adds no shuffle
     numbered = (
@@ -77,26 +89,26 @@ def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: i
         .where(F.col("_prev").isNull() | (F.col("_prev") != F.col("_r")))
         .withColumn("_lrn", F.row_number().over(in_bucket))
     )
-    per_bucket = numbered.groupBy("user_id", "_b").agg(F.count(F.lit(1)).alias("_nb"))
-    earlier = Window.partitionBy("user_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = numbered.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_nb"))
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     prefix = per_bucket.select(
-        "user_id", "_b", F.coalesce(F.sum("_nb").over(earlier), F.lit(0)).alias("_before"))
-    numbered = numbered.join(prefix, ["user_id", "_b"])
+        *keys, "_b", F.coalesce(F.sum("_nb").over(earlier), F.lit(0)).alias("_before"))
+    numbered = numbered.join(prefix, [*keys, "_b"])
     numbered = numbered.withColumn("_g", F.col("_r") - F.col("_before") - F.col("_lrn"))
     gaps = (
         numbered.where(F.col("_g") < k)
-        .groupBy("user_id", (F.col("_g") + 1).alias("_q"))
+        .groupBy(*keys, (F.col("_g") + 1).alias("_q"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    slots = targets.select("user_id", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(k).cast("bigint"))).alias("_q"))
-    upto = Window.partitionBy("user_id").orderBy("_q").rowsBetween(Window.unboundedPreceding, 0)
+    slots = targets.select(*keys, F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(k).cast("bigint"))).alias("_q"))
+    upto = Window.partitionBy(*keys).orderBy("_q").rowsBetween(Window.unboundedPreceding, 0)
     slots = (
-        slots.join(gaps, ["user_id", "_q"], "left")
+        slots.join(gaps, [*keys, "_q"], "left")
         .withColumn("_shift", F.sum(F.coalesce(F.col("_c"), F.lit(0))).over(upto))
-        .select("user_id", "_q", (F.col("_q") + F.col("_shift")).alias("_r"))
+        .select(*keys, "_q", (F.col("_q") + F.col("_shift")).alias("_r"))
     )
     head = ranks.where(F.col("_r") <= head_rows)
-    resolved = slots.where(F.col("_r") <= head_rows).join(F.broadcast(head), "_r")
+    resolved = slots.where(F.col("_r") <= head_rows).join(F.broadcast(head), [*by, "_r"])
     tail = ranks.where(F.col("_r") > head_rows)
-    resolved = resolved.unionByName(slots.where(F.col("_r") > head_rows).join(tail, "_r"))
-    return resolved.select("user_id", "item_id", F.col("_q").alias("rnk"), *carry)
+    resolved = resolved.unionByName(slots.where(F.col("_r") > head_rows).join(tail, [*by, "_r"]))
+    return resolved.select(*keys, "item_id", F.col("_q").alias("rnk"), *carry)

@@ -42,16 +42,17 @@ def hash_split(df: DataFrame, seed: int = 42, user_col: str = "user_id", item_co
 
 
 def subsample_topk(df: DataFrame, k: int, seed: int = 42, by: str = "rows",
-                   weights: dict[str, float] | None = None) -> DataFrame:
+                   weights: dict[str, float] | None = None, handle: str = "error") -> DataFrame:
     """Top-k-user subsample (I1): top users, their rows, int indexes, hash split.
 
     Returns one frame with ``split``; write with ``partitionBy('split')``.
     ``weights`` as in ``hash_split`` (the coded job splits 80/20). The
     subsample is written once: the index reads it in several passes, and each
-    would otherwise redo the top-k selection over the full input.
+    would otherwise redo the top-k selection over the full input. ``handle``
+    says what a null id does; as coded it is an error.
     """
     top = materialize(top_user_interactions(df, k, by), "subsample")
-    return hash_split(index_ids(top), seed, weights=weights)
+    return hash_split(index_ids(top, handle=handle), seed, weights=weights)
 
 
 def user_folds(df: DataFrame, n_folds: int = 5, holdout: int = 5, seed: int = 42,

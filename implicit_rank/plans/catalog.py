@@ -178,6 +178,63 @@ def q_index_ids(spark, sf_dir):
     return rounded(indexed_columns(index_ids(kept)))
 
 
+INDEX_FROM = 50  # the index is fitted on train pairs of at least this count, so that some ids are unseen
+
+_INDEX_SQL = _with(
+    O.base_ctes(SEED),
+    f"base AS (SELECT * FROM train WHERE cnt >= {INDEX_FROM})",
+    """ii AS (SELECT item_id, row_number() OVER (ORDER BY count(*) DESC, CAST(item_id AS VARCHAR)) - 1 AS item_idx
+              FROM base GROUP BY item_id)""",
+    """fresh AS (SELECT item_id, row_number() OVER (ORDER BY count(*) DESC, CAST(item_id AS VARCHAR)) AS place
+              FROM s WHERE item_id NOT IN (SELECT item_id FROM ii) GROUP BY item_id)""",
+    "unseen AS (SELECT count(*) > 0 AS any_unseen FROM fresh)")
+
+
+def _index_frames(spark, sf_dir):
+    from implicit_rank.operators.indexing import IdIndex
+    s = splits(spark, sf_dir, materialize=True)
+    base = s.where((F.col("split") == "train") & (F.col("cnt") >= INDEX_FROM))
+    return s.select("user_id", "item_id"), base.select("user_id", "item_id"), IdIndex
+
+
+@register("index_modes", _INDEX_SQL + """
+SELECT 'skip' AS handle, s.user_id, s.item_id, ii.item_idx, (SELECT any_unseen FROM unseen) AS refused FROM s JOIN ii USING (item_id)
+UNION ALL SELECT 'keep', s.user_id, s.item_id, coalesce(ii.item_idx, (SELECT count(*) FROM ii)), (SELECT any_unseen FROM unseen) FROM s LEFT JOIN ii USING (item_id)
+UNION ALL SELECT 'reserved', s.user_id, s.item_id, coalesce(ii.item_idx + 1, 0), (SELECT any_unseen FROM unseen) FROM s LEFT JOIN ii USING (item_id)
+UNION ALL SELECT 'error', b.user_id, b.item_id, ii.item_idx, (SELECT any_unseen FROM unseen) FROM base b JOIN ii USING (item_id)""")
+def q_index_modes(spark, sf_dir):
+    """Index fitted on part of the pairs, applied to all: unseen ids dropped, put in a slot, or refused (H2)."""
+    pairs, base, IdIndex = _index_frames(spark, sf_dir)
+    plain, reserved = IdIndex.fit(base, "item_id", "item_idx"), IdIndex.fit(base, "item_id", "item_idx", reserve=True)
+    try:
+        plain.transform(pairs, "error").write.format("noop").mode("overwrite").save()
+        refused = False
+    except Exception as e:  # the plan's own error, not another
+        refused = "is not in the index" in str(e)
+    runs = (("skip", plain.transform(pairs, "skip")), ("keep", plain.transform(pairs, "keep")),
+            ("reserved", reserved.transform(pairs, "keep")), ("error", plain.transform(base, "error")))
+    out = None
+    for name, df in runs:
+        part = df.select(F.lit(name).alias("handle"), "user_id", "item_id", "item_idx", F.lit(refused).alias("refused"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("index_extend", _INDEX_SQL + """
+SELECT item_id, item_idx, false AS added FROM ii
+UNION ALL SELECT item_id, place - 1 + (SELECT count(*) FROM ii), true FROM fresh""")
+def q_index_extend(spark, sf_dir):
+    """An index saved, loaded and extended by new ids: old numbers stay, new ones follow the last (H2)."""
+    from implicit_rank.session import shared_folder
+    pairs, base, IdIndex = _index_frames(spark, sf_dir)
+    folder = IdIndex.fit(base, "item_id", "item_idx").save(shared_folder(spark, "item-index"))
+    old = IdIndex.load(spark, folder)
+    old.extend(pairs).save(folder)
+    new = IdIndex.load(spark, folder)
+    known = old.table.select("item_id", F.lit(True).alias("known"))
+    return new.table.join(known, "item_id", "left").select("item_id", "item_idx", F.col("known").isNull().alias("added"))
+
+
 TOP_USERS = 100
 
 _TOP_SQL = f"top AS (SELECT user_id, count(*) AS activity FROM p GROUP BY user_id ORDER BY activity DESC, user_id LIMIT {TOP_USERS})"
@@ -281,6 +338,19 @@ def _rating_sql(c: str, m: str, s: str) -> str:
     return f"CASE WHEN {s} IS NULL OR {s} = 0 THEN 2.5 WHEN {scaled} <= 0 THEN 0.05 ELSE {scaled} END"
 
 
+@register("rating_moments", _with(O.base_ctes(SEED)) + """
+SELECT item_id, n, (round(m, 6) + CAST(0 AS DOUBLE)) AS m, (round(sd, 6) + CAST(0 AS DOUBLE)) AS s FROM (
+  SELECT item_id, count(cnt) AS n, avg(cnt) AS m, stddev_samp(cnt) AS sd FROM s GROUP BY item_id
+  UNION ALL SELECT NULL, count(cnt), avg(cnt), stddev_samp(cnt) FROM s)""")
+def q_rating_moments(spark, sf_dir):
+    """Mean and deviation per item and overall, merged from the moments of each split (AG6)."""
+    from implicit_rank.functions.rating import mean_and_deviation, merge_moments, moments
+    parts = written(moments(splits(spark, sf_dir), by=["split", "item_id"]), "moments")
+    items = mean_and_deviation(merge_moments(parts, ["item_id"]), ["item_id"])
+    whole = mean_and_deviation(merge_moments(parts)).select(F.lit(None).cast("bigint").alias("item_id"), "n", "m", "s")
+    return rounded(items.unionByName(whole))
+
+
 @register("count_to_rating", _with(O.base_ctes(SEED),
           "rs AS (SELECT avg(cnt) AS m, stddev_samp(cnt) AS sd FROM train)")
           + f"\nSELECT user_id, item_id, split, (round({_rating_sql('cnt', 'rs.m', 'rs.sd')}, 6) + CAST(0 AS DOUBLE)) AS rating FROM s, rs")
@@ -531,18 +601,11 @@ def _threshold_sql() -> str:
 
 @register("metrics_by_threshold", _threshold_sql())
 def q_metrics_by_threshold(spark, sf_dir):
-    """Drop counts below N before splitting, refit, re-evaluate; N swept."""
-    from implicit_rank.operators.prep import drop_low_counts
-    s = splits(spark, sf_dir, materialize=True)
-    out = None
-    for n in THRESHOLDS:
-        kept = drop_low_counts(s, n)
-        train = kept.where(F.col("split") == "train").select("user_id", "item_id", "cnt")
-        test = kept.where(F.col("split") == "test").select("user_id", "item_id", "cnt")
-        recs = fit_bias(train, default_bias()).recommend(test.select("user_id"), train, K)
-        part = ranking_metrics(recs, test, K).select(F.lit(n).cast("bigint").alias("threshold"), "*")
-        out = part if out is None else out.unionByName(part)
-    return rounded(out)
+    """Drop counts below N, refit, re-evaluate, at every N in one pass over the pairs."""
+    from implicit_rank.operators.thresholds import metrics_by_threshold
+    train, test = train_test(spark, sf_dir)
+    out = metrics_by_threshold(train, test, THRESHOLDS, K, default_bias())
+    return rounded(out.withColumn("threshold", F.col("threshold").cast("bigint")))
 
 
 @register("count_vs_rating", _with(
