@@ -11,9 +11,12 @@ shuffled on their value and fingerprints that meet are linked:
    pairs within a group.
 2. The odd bit: of 3 differing bits one half of the fingerprint holds at most
    one. Each half emits its one-bit variants and meets the plain halves of the
-   others; colliding pairs are deduplicated and verified on all 64 bits. Only
-   pairs from different groups of step 1 can add a link, so a dense group of
-   near copies is not paired with itself.
+   others; colliding pairs are verified on all 64 bits and their links
+   deduplicated. Only pairs from different groups of step 1 can add a link: a
+   variant whose key holds its own group alone is dropped before any pairing, so
+   a dense group of near copies is not paired with itself. Where many
+   fingerprints share a half, the other half differs in at most 3 bits and one of
+   its two quarters in at most one: they meet again on quarters, the same way.
 
 The radius is odd: one-bit balls at full width meet only up to 2 bits, and the
 two-bit ball that would close the gap has 2,081 variants. Step 2 closes it with
@@ -37,6 +40,7 @@ from pyspark.sql import functions as F
 from implicit_rank.llm import common, graph
 
 MAX_BITS = 3
+CROWD = 64  # fingerprints with one half in common that are met without a finer key
 BITS_AT_ONCE = 1 << 15  # shingles whose bits are laid out at once (64 bytes each)
 
 
@@ -83,6 +87,23 @@ def _close(nodes: DataFrame) -> DataFrame:
     return met.filter("fp <> least").select(F.col("fp").alias("u"), F.col("least").alias("v"))
 
 
+def _within(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Label edges of the fingerprints that meet on a key and differ in few enough bits."""
+    met = left.join(right, on).filter((F.col("label") != F.col("label2"))
+                                      & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= MAX_BITS))
+    return met.select(F.col("label").alias("u"), F.col("label2").alias("v"))
+
+
+def _quarters(rows: DataFrame, fp: str, bits: int) -> DataFrame:
+    """Rows with a finer key: both 16-bit quarters of the half that ``key`` does not hold, their
+    one-bit variants too if ``bits`` is 16."""
+    other = f"IF(key < 4294967296L, {fp} & 4294967295L, shiftrightunsigned({fp}, 32))"  # keys of side 0 hold the upper half
+    split = rows.withColumn("q", F.explode(F.expr(
+        f"array(named_struct('at', 0, 'v', {other} & 65535L), named_struct('at', 1, 'v', shiftrightunsigned({other}, 16)))")))
+    split = split.select(*rows.columns, F.col("q.at").alias("at"), F.col("q.v").alias("v"))
+    return split.withColumn("v", F.explode(_flipped("v", bits))) if bits else split
+
+
 def _odd(nodes: DataFrame) -> DataFrame:
     """Edges between labels of (fp, label) rows that differ in exactly 3 bits."""
     half = F.explode(F.expr(
@@ -91,9 +112,14 @@ def _odd(nodes: DataFrame) -> DataFrame:
     plain = halves.select(F.expr("side * 4294967296L + h").alias("key"), F.col("fp").alias("fp2"), F.col("label").alias("label2"))
     balls = halves.select("fp", "label", "side", F.explode(_flipped("h", 32)).alias("h")).select(
         F.expr("side * 4294967296L + h").alias("key"), "fp", "label")
-    met = balls.join(plain, "key").filter((F.col("label") != F.col("label2"))
-                                          & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= MAX_BITS))
-    return met.select(F.col("label").alias("u"), F.col("label2").alias("v"))
+    # written, so that the join has plain shuffles on both sides and a crowded key's rows can be split
+    keys = common.save(plain.groupBy("key").agg(
+        F.min("label2").alias("lo"), F.max("label2").alias("hi"), F.count(F.lit(1)).alias("n")), "simhash-keys")
+    met = common.save(balls.join(keys, "key").filter("lo <> label OR hi <> label").select("key", "fp", "label", "n"), "simhash-met")
+    few, crowd = met.filter(F.col("n") <= CROWD).drop("n"), met.filter(F.col("n") > CROWD).drop("n")
+    there = plain.join(crowd.select("key").distinct(), "key", "left_semi")
+    return _within(few, plain, ["key"]).unionByName(
+        _within(_quarters(crowd, "fp", 16), _quarters(there, "fp2", 0), ["key", "at", "v"]))
 
 
 def groups(docs: DataFrame, width: int = 3) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -49,7 +50,9 @@ def test_fingerprint_matches_definition_and_spark(shipped):
     assert simhash.fingerprint("A b C") == spark_hash
 
 
-def test_ball_hashing_finds_all_links(shipped, monkeypatch):
+@pytest.mark.parametrize("crowd", [simhash.CROWD, 0])
+def test_ball_hashing_finds_all_links(shipped, monkeypatch, crowd):
+    monkeypatch.setattr(simhash, "CROWD", crowd)
     rng = random.Random(5)
     seeds = [rng.getrandbits(64) for _ in range(25)]
     prints = set(seeds) | {0}
@@ -66,6 +69,49 @@ def test_ball_hashing_finds_all_links(shipped, monkeypatch):
     assert got == union_find([r[0] for r in rows], edges)
 
 
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+@pytest.mark.parametrize("shift", [0, 32])
+def test_crowded_halves_lose_no_link(shipped, shift):
+    """600 fingerprints share a half; the other half holds planted pairs 3 bits apart."""
+    rng = random.Random(shift + 1)
+    prints = {rng.getrandbits(32) for _ in range(500)}
+    prints |= {x ^ sum(1 << b for b in rng.sample(range(32), 3)) for x in rng.sample(sorted(prints), 100)}
+    whole = sorted((x << shift) | (0x5A5A1234 << (32 - shift)) for x in prints)
+    table = shipped.createDataFrame([(signed(x), signed(x)) for x in whole], "fp long, label long")
+    got = {(min(r["u"], r["v"]), max(r["u"], r["v"])) for r in simhash._odd(table).collect()}
+    near = {tuple(sorted((signed(a), signed(b)))) for i, a in enumerate(whole) for b in whole[:i] if (a ^ b).bit_count() <= 3}
+    assert got == near and len(near) >= 100
+
+
+def test_pairs_met_in_a_crowd_grow_slowly(shipped):
+    """Pairs verified on quarters stay far below those of the shared half."""
+    rng = random.Random(9)
+    n = 20_000
+    rows = [(signed((0x1234 << 32) | x), x) for x in rng.sample(range(1 << 32), n)]
+    crowd = shipped.createDataFrame(rows, "fp long, label long").withColumn("key", F.lit(0x1234).cast("long"))
+    there = crowd.select("key", F.col("fp").alias("fp2"))
+    pairs = simhash._quarters(crowd, "fp", 16).join(simhash._quarters(there, "fp2", 0), ["key", "at", "v"]).count()
+    assert pairs < n * n / 1000
+
+
+def test_a_group_is_not_paired_with_itself(shipped, monkeypatch):
+    """Rows of one label leave no variant to pair."""
+    sizes = {}
+    save = simhash.common.save
+
+    def counted(df, name):
+        out = save(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(simhash.common, "save", counted)
+    table = shipped.range(3000).selectExpr("id + 4294967296 AS fp", "7L AS label")
+    assert simhash._odd(table).count() == 0 and sizes["simhash-met"] == 0
+
+
 def test_odd_rows(odd, empty):
     got = {(r["doc_id"], r["component_id"]) for r in simhash.groups(odd.selectExpr("*", "1 AS fp")).collect()}
     assert (5, 1) in got and (1, 1) in got and (2, 2) in got and (3, 2) in got and (None, None) in got
