@@ -10,14 +10,15 @@ sum of counts: S is an exact sum (BIGINT, or DECIMAL for other types), so b_i do
 not depend on the order of the rows and the item order is reproducible.
 
 mu is a one-row table attached as a scalar subquery: it is never collected
-into Python and needs no join. mu and the offsets are written to the shared
-folder when the model is fitted, so later plans read these small tables.
+into Python and needs no join. mu and the item sums are written to the shared
+folder when the model is fitted, the user offsets when they are first asked for.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,7 +67,14 @@ class BiasModel:
     config: BiasConfig
     stats: DataFrame  # one row: mu DOUBLE, n BIGINT
     catalogue: DataFrame  # item_id, b_i (0 without an item part), n_i
-    user_offsets: DataFrame | None  # user_id, b_u, n_u
+    users: DataFrame | Callable[[], DataFrame] | None  # user_id, b_u, n_u, or how to fit them
+
+    @property
+    def user_offsets(self) -> DataFrame | None:
+        """(user_id, b_u, n_u), fitted when first asked for: the item order does not need them."""
+        if callable(self.users):
+            self.users = self.users()
+        return self.users
 
     @property
     def item_offsets(self) -> DataFrame | None:
@@ -122,13 +130,16 @@ class BiasModel:
         order = [F.col("b_i").desc(), F.col("item_id").asc()]
         return global_row_number(self.catalogue.select("item_id", "b_i"), order, "r")
 
-    def recommend(self, users: DataFrame, seen: DataFrame, k: int) -> DataFrame:
+    def recommend(self, users: DataFrame, seen: DataFrame, k: int, scores: bool = True) -> DataFrame:
         """Top-k unseen catalogue items per user (J9): ``(user_id, item_id, rnk, score)``.
 
         All users share the b_i order (b_u only shifts a user's scores), so
         the catalogue is ranked once and each user takes the first k items
-        of it that they have not seen.
+        of it that they have not seen. Without ``scores`` (as metrics need it)
+        the user part is neither fitted nor joined.
         """
+        if not scores:
+            return catalogue_topk(self.item_order(), seen, users, k)
         return self.with_scores(catalogue_topk(self.item_order(), seen, users, k, carry=("b_i",)))
 
     def with_scores(self, recs: DataFrame) -> DataFrame:
@@ -173,39 +184,38 @@ class BiasModel:
 def fit_bias(ratings: DataFrame, config: BiasConfig | None = None, col: str = "cnt") -> BiasModel:
     """Fit mu, b_i, b_u (J2, J3) on ``(user_id, item_id, <col>)``.
 
-    Plan: one aggregate for mu; b_i is one groupBy on item (partial
-    aggregation first, so a popular item is not one task), written to the
-    shared folder; b_u joins that table on item and groups by user. Both sides
-    of the join, and later of ``predict``, are then plain shuffles that AQE can
-    split where a key is hot.
+    Plan: one groupBy on item (partial aggregation first, so a popular item is
+    not one task) gives exact sums, written to the shared folder; mu is their
+    total. b_u joins the offsets on item and groups by user, when it is first
+    asked for. Both sides of the join, and later of ``predict``, are then plain
+    shuffles that AQE can split where a key is hot.
 
     A null count has no residual; it still counts as a row of its item and
     user in the damped denominators (n_i, n_u).
     """
     config = config or BiasConfig()
     r = ratings.select("user_id", "item_id", exact_count(ratings, col).alias("_r"))
-    total, known = F.sum("_r").cast("double"), F.count("_r")
-    stats = materialize(r.agg((total / known).alias("mu"), F.count(F.lit(1)).alias("n")), "bias-stats")
+    total, known, n = F.sum("_r"), F.count("_r"), F.count(F.lit(1))
+    sums = materialize(r.groupBy("item_id").agg(total.alias("_s"), known.alias("_known"), n.alias("n_i")), "bias-sums")
+    stats = materialize(sums.agg((F.sum("_s").cast("double") / F.sum("_known")).alias("mu"),
+                                 F.coalesce(F.sum("n_i"), F.lit(0)).alias("n")), "bias-stats")
     mu = stats.select("mu").scalar()
 
-    residual = F.coalesce((F.col("_s") - F.col("_known") * mu) / (F.col("n_i") + F.lit(config.item_damping)), F.lit(0.0))
-    items = (
-        r.groupBy("item_id")
-        .agg(total.alias("_s"), known.alias("_known"), F.count(F.lit(1)).alias("n_i"))
-        .select("item_id", (residual if config.item else F.lit(0.0)).alias("b_i"), "n_i")
-    )
-    items = materialize(items, "bias-items")
-    users = None
-    if config.users:
+    residual = F.coalesce((F.col("_s").cast("double") - F.col("_known") * mu) / (F.col("n_i") + F.lit(config.item_damping)),
+                          F.lit(0.0))
+    items = sums.select("item_id", (residual if config.item else F.lit(0.0)).alias("b_i"), "n_i")
+
+    def fit_users() -> DataFrame:
         with_bi = r.join(items.select("item_id", "b_i"), "item_id", "left") if config.item else r.withColumn("b_i", F.lit(0.0))
         taken = F.sum(F.when(F.col("_r").isNotNull(), F.col("b_i")))
         users = (
             with_bi.groupBy("user_id")
-            .agg(total.alias("_s"), known.alias("_known"), F.count(F.lit(1)).alias("n_u"), taken.alias("_sb"))
+            .agg(total.cast("double").alias("_s"), known.alias("_known"), n.alias("n_u"), taken.alias("_sb"))
             .select("user_id",
                     F.coalesce((F.col("_s") - F.col("_known") * mu - F.col("_sb"))
                                / (F.col("n_u") + F.lit(config.user_damping)), F.lit(0.0)).alias("b_u"),
                     "n_u")
         )
-        users = materialize(users, "bias-users")
-    return BiasModel(config, stats, items, users)
+        return materialize(users, "bias-users")
+
+    return BiasModel(config, stats, items, fit_users if config.users else None)

@@ -84,10 +84,10 @@ def default_bias() -> BiasConfig:
     return BiasConfig(item=True, users=True, damping=(USER_DAMPING, ITEM_DAMPING))
 
 
-def catalogue_recs(spark: SparkSession, sf_dir: str, k: int = K) -> tuple[DataFrame, DataFrame]:
+def catalogue_recs(spark: SparkSession, sf_dir: str, k: int = K, scores: bool = False) -> tuple[DataFrame, DataFrame]:
     train, test = train_test(spark, sf_dir)
     model = fit_bias(train, default_bias())
-    return model.recommend(test.select("user_id"), train, k), test
+    return model.recommend(test.select("user_id"), train, k, scores), test
 
 
 # -- flagship: bias model, catalogue top-k, metrics ---------------------
@@ -469,7 +469,7 @@ def q_bias_rank_observed(spark, sf_dir):
           + "\nSELECT user_id, item_id, rnk, (round(score, 6) + CAST(0 AS DOUBLE)) AS score FROM recs")
 def q_bias_topk_catalogue(spark, sf_dir):
     """Top-k unseen catalogue items per test user."""
-    recs, _ = catalogue_recs(spark, sf_dir)
+    recs, _ = catalogue_recs(spark, sf_dir, scores=True)
     return rounded(recs)
 
 
@@ -626,7 +626,7 @@ def q_count_vs_rating(spark, sf_dir):
     train, test = train_test(spark, sf_dir)
     out = None
     for variant, fitted_on in (("count", train), ("rating", to_rating(train))):
-        recs = fit_bias(fitted_on, default_bias()).recommend(test.select("user_id"), train, K)
+        recs = fit_bias(fitted_on, default_bias()).recommend(test.select("user_id"), train, K, scores=False)
         part = ranking_metrics(recs, test, K).select(F.lit(variant).alias("variant"), "*")
         out = part if out is None else out.unionByName(part)
     return rounded(out)
@@ -1070,7 +1070,7 @@ FROM cell JOIN ideal ON ideal.k = least(cell.n, cell.k) GROUP BY cell.k""")
 def q_metrics_k_curve(spark, sf_dir):
     """Metrics at every k from 1 to 500 in one pass over lists of length 500."""
     train, test = _event_train_test(spark, sf_dir)
-    recs = fit_bias(train, default_bias()).recommend(test.select("user_id"), train, K_CURVE)
+    recs = fit_bias(train, default_bias()).recommend(test.select("user_id"), train, K_CURVE, scores=False)
     return rounded(metrics_by_k(recs, test, K_CURVE))
 
 
@@ -1094,7 +1094,7 @@ def q_metrics_k_curve(spark, sf_dir):
 def q_metrics_lenient_curve(spark, sf_dir):
     """Lenient metrics at every k from 1 to 500 in one pass over lists of length 500."""
     train, test = _event_train_test(spark, sf_dir)
-    recs = fit_bias(train, default_bias()).recommend(test.select("user_id"), train, K_CURVE)
+    recs = fit_bias(train, default_bias()).recommend(test.select("user_id"), train, K_CURVE, scores=False)
     return rounded(lenient_by_k(recs, test, K_CURVE))
 
 
