@@ -1,22 +1,33 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A lexical transducer maps each word to a class: strong or weak insult, threat,
-target, negation, reported speech, or other. Its insult arcs (whole words and
-word beginnings) are learned from a bounded sample of labelled texts; the
-other arcs are the fixed lists below. Three more transducers read the classes
-of a clause: negation marks what follows within its scope, reported speech
-marks the rest of the clause, target notes who is addressed. They are composed
-into one machine and compiled to tables; running it over a clause emits
-events such as "insult, targeted, negated". A text's features are the numbers
-of its clauses with each event, and the weights of the events come from a
-logistic fit with a prior on the same sample. Isolated words score nothing:
-only what the composed machine emits for a clause does.
-
-Defined cases: null and empty texts have no clause and the score of the bias
-alone; a clause ends with a word that ends in ``.!?;:`` or with a line; null
-and repeated ids are scored row by row; without labelled rows the prior weights
-and the fixed lists are used; an empty table gives no rows; further columns
-are ignored by ``predict`` and kept by ``reject``.
+A lexical transducer reads the words of a clause and writes classes: insult,
+threat, target, negation, reported speech, or other. Its insult arcs (whole
+words and word beginnings) are learned from the clauses of a bounded sample of
+labelled texts and weigh the probability that they are no chance find among all
+words of the sample; its other arcs are the fixed lists below and weigh 1. Three more transducers read the classes: negation
+marks what follows within its scope, reported speech marks the rest of the
+clause, target notes who is addressed. They are composed into one machine and
+compiled to tables. An accepted path ends at an insult or threat, or at the
+target that follows one, and weighs
+
+    arc * hit[class] * negated? * reported? * (stated or targeted?)
+
+(factors; logarithms add up along the path). A hit is targeted if its clause
+names a target, stated in any other clause of at least ``STATEMENT`` words.
+Paths are added up, over a text's clauses too, to the odds that the text is
+toxic. The factors are fitted to the sample within bounds that keep the
+grammar's meaning whatever the labels say: a word alone, or in a few words that
+aim at nobody, stays under the threshold; a target lifts it above; negation or
+reported speech takes away at least what a target or statement adds. What an
+insult in a statement counts is left to the labels. So several insults, or one
+aimed at someone, make a text toxic, and an isolated word does not.
+
+Defined cases: null and empty texts have no clause and the score of no path;
+a clause ends with a word that ends in ``.!?;:`` or with a line; null
+and repeated ids are scored row by row; without labelled rows the factors of
+``PRIOR`` and the fixed lists are used; an empty table gives no rows; further columns
+are ignored by ``predict`` and kept by ``reject``. Sampled clauses that occur
+in several texts count once, and as clean if any of these texts is clean.
 """
 
 from __future__ import annotations
@@ -32,17 +43,18 @@ from pyspark.sql import functions as F
 
 from implicit_rank.llm import common, words
 
-SAMPLE_DOCS = 8_000       # at most so many labelled texts are learned from
-CANDIDATES = 20_000       # at most so many arcs are weighed against each other
-ARCS = 5_000              # at most so many insult arcs
-PREFIXES = (4, 5, 6, 7)   # lengths of word beginnings that may be an arc
-STRONG, WEAK = 0.95, 0.85  # smoothed share of toxic texts among those with the arc
-FREQUENT, GAIN = 0.1, 0.004  # shares of the toxic texts, see select_arcs
+SAMPLE_DOCS = 8_000       # at most so many labelled texts are learned from; every arc of theirs that is one is kept
+PREFIXES = (4, 5, 6, 7, 8)  # lengths of word beginnings that may be an arc
+LEAST, SUPPORT = 3, 0.01  # toxic clauses that an insult arc needs: so many, and this share of the number of toxic texts
+SHARE = 0.95              # share of toxic ones among the clauses of a word's arc; a beginning's has no others
 SCOPE = 3                 # words that a negation reaches
 THRESHOLD = 0.3
 
-OTHER, INSULT, MILD, THREAT, TARGET, NEGATION, REPORT = range(7)
-CLASSES = 7
+STATEMENT = 5             # words that make a clause a statement
+
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, OPENING = range(7)
+CLASSES = 7               # OPENING stands before the first word of a statement
+ALONE, STATED, TARGETED = range(3)
 
 # Cue words by class, in English, German, French and Spanish.
 CUES = {
@@ -89,7 +101,7 @@ class Transducer:
         return after, outputs
 
 
-HITS = (INSULT, MILD, THREAT)
+HITS = (INSULT, THREAT)
 
 
 def _negation(left: int, symbol):
@@ -105,20 +117,23 @@ def _reported(inside: bool, symbol):
 
 
 def _target(state, symbol):
-    """Writes an event for a hit: (class, negated, reported, targeted), else None.
+    """Writes an event for a hit: (class, negated, reported, aim), else None.
 
-    A target counts before the hit and, once, after it.
+    The aim is TARGETED if a target stands before the hit or, once more, after
+    it; else STATED in a statement; else ALONE.
     """
-    seen, pending = state
+    aim, pending = state
+    if symbol[0] == OPENING:
+        return (STATED, None), None
     if symbol[0] == TARGET:
-        return (True, None), (*pending, True) if pending else None
+        return (TARGETED, None), (*pending, TARGETED) if pending else None
     if symbol[0] in HITS:
-        return (seen, None if seen else symbol), (*symbol, seen)
+        return (aim, None if aim == TARGETED else symbol), (*symbol, aim)
     return state, None
 
 
-GRAMMAR = Transducer(0, _negation).then(Transducer(False, _reported)).then(Transducer((False, None), _target))
-EVENTS = list(product(HITS, (False, True), (False, True), (False, True)))
+GRAMMAR = Transducer(0, _negation).then(Transducer(False, _reported)).then(Transducer((ALONE, None), _target))
+EVENTS = list(product(HITS, (False, True), (False, True), (ALONE, STATED, TARGETED)))
 
 
 def _tables() -> tuple[list[list[int]], list[list[int]]]:
@@ -127,89 +142,86 @@ def _tables() -> tuple[list[list[int]], list[list[int]]]:
 
 
 AFTER, EMITS = _tables()
-# Features of a text: 1; by class of hit whether a clause has it and log(1 + such clauses);
-# by class and context (negated, reported, targeted) whether a clause has both.
-HIT_OF = np.array([[e[0] == h for h in HITS] for e in EVENTS], float)
-CONTEXT_OF = np.array([[e[0] == h and e[c] for h in HITS for c in (1, 2, 3)] for e in EVENTS], float)
-# Weights before any label: what a hit counts, and how its context changes that.
-PRIOR = np.array([-3.0, *(2.0, 0.5, 0.5), *(2.0, 0.5, 0.5), *(-1.0, -1.0, 1.0) * len(HITS)])
+# Logarithms of the factors: no path, hit by class (in order of HITS), negated, reported, stated, targeted.
+PRIOR = np.log([0.02, 0.3, 0.15, 0.1, 0.1, 1.2, 6.0])
+LOW = np.log([1e-4, 0.1, 0.1, 0.01, 0.01, 1.0, 4.5])
+HIGH = np.log([0.02, 0.38, 0.2, 0.11, 0.11, 9.0, 9.0])
+FACTORS = np.array([[*(e[0] == h for h in HITS), e[1], e[2], e[3] == STATED, e[3] == TARGETED] for e in EVENTS], float)
 
 
-def _features(counts: np.ndarray) -> np.ndarray:
-    """Features from the numbers of clauses by event (texts x events)."""
-    hits, contexts = counts @ HIT_OF, counts @ CONTEXT_OF
-    return np.hstack([np.ones((len(counts), 1)), hits > 0, np.log1p(hits), contexts > 0])
+def _odds(mass: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """Odds of texts from the summed arc weights of their paths by event (texts x events)."""
+    return np.exp(factors[0]) + mass @ np.exp(FACTORS @ factors[1:])
 
 
 @dataclass
 class Model:
-    words: dict[str, int] = field(default_factory=dict)     # whole word -> class
-    prefixes: dict[str, int] = field(default_factory=dict)  # word beginning -> class
-    weights: np.ndarray = field(default_factory=lambda: PRIOR.copy())
+    words: dict[str, float] = field(default_factory=dict)     # insult arcs: whole word -> weight
+    prefixes: dict[str, float] = field(default_factory=dict)  # word beginning -> weight
+    factors: np.ndarray = field(default_factory=lambda: PRIOR.copy())
 
     def __post_init__(self):
-        cues = {w: c for c, text in CUES.items() for w in text.split()}
-        self.words = {**cues, **self.words}
-        self.lengths = sorted({len(p) for p in self.prefixes})
-
-    def classify(self, vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(class, ends a clause) of each distinct word."""
-        classes = np.zeros(len(vocabulary), np.int8)
-        ends = np.zeros(len(vocabulary), bool)
-        known, prefixes, lengths = self.words, self.prefixes, self.lengths
-        for i, raw in enumerate(vocabulary):
-            ends[i] = raw.endswith(CLAUSE_ENDS)
-            word = raw.strip(PUNCTUATION).lower()
-            found = known.get(word, OTHER)
-            if not found:
-                for n in lengths:
-                    if (found := prefixes.get(word[:n], OTHER)):
-                        break
-            classes[i] = found
-        return classes, ends
+        cues = {w: (c, 1.0) for c, text in CUES.items() for w in text.split()}
+        self.known = {**cues, **{w: (INSULT, weight) for w, weight in self.words.items()}}
+        self.lengths = sorted({len(p) for p in self.prefixes}, reverse=True)
+
+    def arc(self, word: str) -> tuple[int, float]:
+        """(class, weight) of the arc that reads a word: its own, or its longest beginning's."""
+        if (found := self.known.get(word)) is not None:
+            return found
+        for n in self.lengths:
+            if len(word) >= n and (weight := self.prefixes.get(word[:n])) is not None:
+                return INSULT, weight
+        return OTHER, 0.0
+
+    def classify(self, vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(class, arc weight, ends a clause) of each distinct word."""
+        arcs = [self.arc(raw.strip(PUNCTUATION).lower()) for raw in vocabulary]
+        return (np.array([c for c, _ in arcs], np.int8), np.array([w for _, w in arcs], float),
+                np.array([raw.endswith(CLAUSE_ENDS) for raw in vocabulary], bool))
 
     def matches(self, texts: pa.Array):
-        """Yield (text number, first word, last word + 1, events) of each clause with an event,
-        and last the distinct words and codes they refer to."""
+        """(text number, first word, last word + 1, {event: summed arc weights}) of each clause with a hit,
+        and the distinct words and codes they refer to."""
         vocabulary, codes, offsets = words.split_words(texts)
         distinct = common.strings(vocabulary)
-        classes, ends = self.classify(distinct)
-        of_word = classes[codes]
+        classes, weights, ends = self.classify(distinct)
+        of_word, weight_of = classes[codes], weights[codes]
         stops = np.union1d(np.flatnonzero(ends[codes]) + 1, offsets)
         hits = np.flatnonzero(np.isin(of_word, HITS))
         clauses = np.unique(np.searchsorted(stops, hits, side="right"))
         found = []
         for c in clauses.tolist():
             lo, hi = int(stops[c - 1]), int(stops[c])
-            state, events = 0, set()
-            for symbol in of_word[lo:hi].tolist():
+            n_words = hi - lo - (distinct[codes[hi - 1]] == ".")  # a line end stands as the word "."
+            state, weight, events = AFTER[0][OPENING] if n_words >= STATEMENT else 0, 0.0, {}
+            for symbol, arc in zip(of_word[lo:hi].tolist(), weight_of[lo:hi].tolist()):
                 event = EMITS[state][symbol]
                 state = AFTER[state][symbol]
-                if event >= 0:
-                    events.add(event)
+                if symbol in HITS:
+                    weight = arc
+                if event >= 0:  # at the hit, or at the target after the last hit
+                    events[event] = events.get(event, 0.0) + weight
             found.append((int(np.searchsorted(offsets, lo, side="right")) - 1, lo, hi, events))
         return found, distinct, codes
 
-    def features(self, texts: pa.Array) -> np.ndarray:
-        """A row of features per text."""
-        return _features(self.counts(texts))
-
-    def counts(self, texts: pa.Array) -> np.ndarray:
-        """Numbers of clauses with each event, a row per text."""
-        counts = np.zeros((len(texts), len(EVENTS)))
+    def mass(self, texts: pa.Array) -> np.ndarray:
+        """Summed arc weights of the paths by event, a row per text."""
+        mass = np.zeros((len(texts), len(EVENTS)))
         for row, _, _, events in self.matches(texts)[0]:
-            for event in events:
-                counts[row, event] += 1
-        return counts
+            for event, weight in events.items():
+                mass[row, event] += weight
+        return mass
 
-    def score(self, features: np.ndarray) -> np.ndarray:
-        return common.sigmoid(features @ self.weights)
+    def score(self, mass: np.ndarray) -> np.ndarray:
+        odds = _odds(mass, self.factors)
+        return odds / (1 + odds)
 
 
-def _arcs_of(text: str) -> set[str]:
-    """Candidate arcs of a text: whole words ``=word`` and beginnings."""
+def _arcs_of(clause: str) -> set[str]:
+    """Candidate arcs of a clause: whole words ``=word`` and beginnings."""
     out = set()
-    for raw in set(text.lower().split()):
+    for raw in set(clause.lower().split()):
         word = raw.strip(PUNCTUATION)
         if word.isalpha():
             out.add("=" + word)
@@ -217,67 +229,62 @@ def _arcs_of(text: str) -> set[str]:
     return out
 
 
-def select_arcs(share: dict[str, float], toxic: dict[str, int], texts: list[list[str]]) -> dict[str, float]:
-    """The arcs that stand for insults, with their share of toxic texts.
+def select_arcs(toxic: dict[str, int]) -> set[str]:
+    """The arcs kept of those given with their numbers of toxic clauses.
 
-    ``texts`` are the candidate arcs of every toxic text. Arcs are taken by
-    number of toxic texts if they are frequent among these or explain enough
-    texts that no chosen arc explains: a word that only comes along with an
-    insult (as in copies of one text) explains none. An arc that a chosen
-    beginning implies is left out, and a beginning gives way to a longer arc
-    that keeps 95 % of its texts.
+    A beginning gives way if one longer arc holds 95 % of its clauses: it says
+    no more than that arc, and would take further words for insults.
     """
-    where: dict[str, list[int]] = {}
-    for i, arcs in enumerate(texts):
-        for a in arcs:
-            where.setdefault(a, []).append(i)
-    by_start: dict[str, list[str]] = {}
-    for a in where:
-        word = a.lstrip("=")
-        for n in PREFIXES:
-            if len(word) >= n and (a[0] == "=" or len(word) > n):
-                by_start.setdefault(word[:n], []).append(a)
-    open_texts = np.ones(len(texts), bool)
-    frequent, needed = FREQUENT * len(texts), max(3, GAIN * len(texts))
-    chosen: dict[str, float] = {}
-    for a in sorted(where, key=lambda a: (-toxic[a], len(a), a)):
-        word = a.lstrip("=")
-        gain = open_texts[where[a]].sum()
-        if (gain < needed and toxic[a] < frequent) or any(word[:n] in chosen for n in PREFIXES):
-            continue
-        longer = [b for b in by_start.get(a, []) if toxic[b] >= 0.95 * toxic[a]]
-        best = max([a, *longer], key=lambda b: (b[0] == "=", len(b), b))
-        chosen[best] = share[best]
-        open_texts[where[best]] = False
-        if len(chosen) == ARCS:
-            break
-    return chosen
-
-
-def _fit(x: np.ndarray, y: np.ndarray, strength: float = 1.0) -> np.ndarray:
-    """Logistic weights by Newton steps, with a Gaussian prior around PRIOR."""
-    w = PRIOR.copy()
-    for _ in range(25):
-        p = common.sigmoid(x @ w)
-        gradient = x.T @ (y - p) - strength * (w - PRIOR)
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + strength * np.eye(len(w))
-        step = np.linalg.solve(hessian, gradient)
-        w += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-6:
-            break
-    return w
+    longest: dict[str, int] = {}
+    for arc, n in toxic.items():
+        word = arc.lstrip("=")
+        for size in PREFIXES:
+            if len(word) > size or (arc[0] == "=" and len(word) == size):
+                longest[word[:size]] = max(n, longest.get(word[:size], 0))
+    return {a for a, n in toxic.items() if a[0] == "=" or longest.get(a, 0) < 0.95 * n}
+
+
+def arc_weight(toxic: int, n: int, chance: float, arcs: int) -> float:
+    """Probability that an arc stands for an insult: one of ``arcs`` does beforehand, and its clauses
+    are toxic by ``SHARE``; those of any other arc are by ``chance``."""
+    evidence = toxic * np.log(SHARE / chance) + (n - toxic) * np.log((1 - SHARE) / (1 - chance)) - np.log(arcs)
+    return float(common.sigmoid(evidence))
+
+
+def _fit(mass: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Factors of the greatest likelihood within their bounds, with a weak prior, by steps along one factor at a time."""
+    def loss(factors: np.ndarray) -> float:
+        odds = _odds(mass, factors)
+        return (np.log1p(odds) - y * np.log(odds)).sum() + 0.5 * ((factors - PRIOR) ** 2).sum()
+
+    best, step = PRIOR.copy(), 1.0
+    least = loss(best)
+    while step > 1e-3:
+        before = least
+        for i in range(len(best)):
+            for sign in (1, -1):
+                tried = best.copy()
+                tried[i] = np.clip(tried[i] + sign * step, LOW[i], HIGH[i])
+                if (found := loss(tried)) < least:
+                    best, least = tried, found
+        if least >= before:
+            step /= 2
+    return best
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = SAMPLE_DOCS) -> Model:
-    """Learn the insult arcs, then the event weights, from the bounded sample."""
+    """Learn the insult arcs from the clauses of the bounded sample, then the factors from its texts."""
     sample = common.save(common.labelled_texts(docs, labels, label, bound).drop("doc_id").distinct(), "toxic-sample")
     spark = docs.sparkSession
+    least = max(LEAST, SUPPORT * (sample.agg(F.sum("y")).first()[0] or 0))
+    clauses = sample.select(F.explode(F.split("text", r"(?<=[.!?;:])\s+|\n")).alias("text"), "y")
+    clauses = clauses.groupBy("text").agg(F.min("y").alias("y"))  # copies and shared passages count once
 
     def count(batches):
         for chunk in common.text_chunks(batches):
             n, toxic = Counter(), Counter()
             for text, y in zip(chunk.column("text").to_pylist(), chunk.column("y").to_pylist()):
-                arcs = _arcs_of(text)
+                arcs = _arcs_of(text) | {""}  # the empty arc counts the clauses
                 n.update(arcs)
                 if y:
                     toxic.update(arcs)
@@ -285,70 +292,59 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
                 [pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()),
                  pa.array([toxic[a] for a in n], pa.int64())], names=["arc", "n", "toxic"])
 
-    counts = (sample.mapInArrow(count, "arc string, n long, toxic long").groupBy("arc")
-              .agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-              .filter((F.col("toxic") >= 3) & (F.col("toxic") + 0.1 >= WEAK * (F.col("n") + 0.3))))
-    rows = counts.orderBy(F.desc("toxic"), "arc").limit(CANDIDATES).collect()
-    toxic = {r["arc"]: r["toxic"] for r in rows}
-    share = {r["arc"]: (r["toxic"] + 0.1) / (r["n"] + 0.3) for r in rows}
-    candidates = spark.sparkContext.broadcast(set(toxic))
-
-    def present(batches):
+    counts = common.save(clauses.mapInArrow(count, "arc string, n long, toxic long").groupBy("arc")
+                         .agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")), "toxic-arcs")
+    few = F.when(F.col("arc").startswith("="), SHARE).otherwise(1.0) * F.col("n")
+    # words of the bounded sample that hardly occur in clean clauses
+    rows = counts.filter((F.col("arc") != "") & (F.col("toxic") >= least) & (F.col("toxic") >= few)).collect()
+    every = counts.filter("arc = ''").first()
+    chance = np.clip(every["toxic"] / every["n"], 1e-6, 0.5) if every else 0.5
+    arcs = counts.count()
+    kept = select_arcs({r["arc"]: r["toxic"] for r in rows})
+    weights = {r["arc"]: arc_weight(r["toxic"], r["n"], chance, arcs) for r in rows if r["arc"] in kept}
+    model = Model({a[1:]: w for a, w in weights.items() if a[0] == "="}, {a: w for a, w in weights.items() if a[0] != "="})
+    shared = spark.sparkContext.broadcast(model)  # bounded as ``rows``
+
+    def sums(batches):
         for chunk in common.text_chunks(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([sorted(_arcs_of(t) & candidates.value) for t in chunk.column("text").to_pylist()],
-                          pa.list_(pa.string()))], names=["arcs"])
-
-    texts = sample.filter("y = 1").select("text").mapInArrow(present, "arcs array<string>").collect()  # <= bound lists
-    arcs = select_arcs(share, toxic, [r["arcs"] for r in texts])
-    kind = {a: INSULT if s >= STRONG else MILD for a, s in arcs.items()}
-    model = Model({a[1:]: c for a, c in kind.items() if a[0] == "="}, {a: c for a, c in kind.items() if a[0] != "="})
-    shared = spark.sparkContext.broadcast(model)  # at most ARCS arcs
+            mass = shared.value.mass(common.texts_of(chunk))
+            yield pa.RecordBatch.from_arrays([pa.array(list(mass), pa.list_(pa.float64())), common.one_array(chunk.column("y"))],
+                                             names=["mass", "y"])
 
-    def featurize(batches):
-        for chunk in common.text_chunks(batches):
-            x = shared.value.features(common.texts_of(chunk))
-            yield pa.RecordBatch.from_arrays([pa.array(list(x)), common.one_array(chunk.column("y"))], names=["x", "y"])
-
-    data = sample.mapInArrow(featurize, "x array<double>, y int").toArrow()  # at most ``bound`` short rows
+    data = sample.mapInArrow(sums, "mass array<double>, y int").toArrow()  # at most ``bound`` short rows
     if data.num_rows:
-        model.weights = _fit(np.array(data.column("x").to_pylist()), data.column("y").to_numpy().astype(float))
+        model.factors = _fit(np.array(data.column("mass").to_pylist()), data.column("y").to_numpy().astype(float))
     return model
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score, events): the probability and the number of events of all clauses."""
+    """(doc_id, score, odds): the probability, and the odds that the paths of all clauses add up to."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for chunk in common.text_chunks(batches):
-            counts = shared.value.counts(common.texts_of(chunk))
+            mass = shared.value.mass(common.texts_of(chunk))
             yield pa.RecordBatch.from_arrays(
-                [common.one_array(chunk.column("doc_id")), pa.array(shared.value.score(_features(counts))),
-                 pa.array(counts.sum(axis=1).astype(np.int64))], names=["doc_id", "score", "events"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double, events long")
-
+                [common.one_array(chunk.column("doc_id")), pa.array(shared.value.score(mass)),
+                 pa.array(_odds(mass, shared.value.factors))], names=["doc_id", "score", "odds"])
 
-def _alone(model: Model, events: list[set[int]]) -> np.ndarray:
-    counts = np.zeros((len(events), len(EVENTS)))
-    for i, e in enumerate(events):
-        counts[i, list(e)] = 1
-    return _features(counts)[:, 1:] @ model.weights[1:]
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double, odds double")
 
 
 def clauses(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, clause, weight): every matched clause and what it adds to a text's log-odds by itself."""
+    """(doc_id, clause, weight): every clause with a hit, and the logarithm of its paths' sum."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        of_event = np.exp(FACTORS @ shared.value.factors[1:])
         for chunk in common.text_chunks(batches):
             found, distinct, codes = shared.value.matches(common.texts_of(chunk))
             rows = np.array([f[0] for f in found], np.int64)
+            sums = [sum(of_event[e] * w for e, w in events.items()) for *_, events in found]
             yield pa.RecordBatch.from_arrays(
                 [common.one_array(chunk.column("doc_id")).take(pa.array(rows)),
                  pa.array([" ".join(distinct[c] for c in codes[lo:hi]) for _, lo, hi, _ in found], pa.string()),
-                 pa.array(_alone(shared.value, [events for *_, events in found]))],
+                 pa.array(np.log(np.array(sums, float)))],
                 names=["doc_id", "clause", "weight"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, clause string, weight double")
@@ -360,7 +356,7 @@ def reject(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
 
     def run(batches):
         for chunk in common.text_chunks(batches):
-            keep = shared.value.score(shared.value.features(common.texts_of(chunk))) < threshold
+            keep = shared.value.score(shared.value.mass(common.texts_of(chunk))) < threshold
             yield from chunk.filter(pa.array(keep)).to_batches()
 
     return docs.mapInArrow(run, docs.schema)

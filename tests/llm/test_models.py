@@ -74,28 +74,32 @@ def test_language_without_labels(odd, empty):
 
 # toxicity
 
+ALONE, STATED, TARGETED = toxicity.ALONE, toxicity.STATED, toxicity.TARGETED
+
+
 def events(text, model=None):
-    model = model or toxicity.Model({"idiot": toxicity.INSULT})
+    model = model or toxicity.Model({"idiot": 1.0})
     return [{toxicity.EVENTS[e] for e in f[3]} for f in model.matches(pa.array([text]))[0]]
 
 
 def test_grammar_scores_clauses():
     hit = toxicity.INSULT
-    assert events("a perfect idiot") == [{(hit, False, False, False)}]
-    assert events("you idiot") == [{(hit, False, False, True)}]
-    assert {(hit, False, False, True)} <= events("idiot that you are")[0]
-    assert events("you are not an idiot") == [{(hit, True, False, True)}]
-    assert events("he said you are an idiot") == [{(hit, False, True, True)}]
-    assert events("not so. an idiot") == [{(hit, False, False, False)}]  # negation ends with its clause
-    assert events("not one of those was an idiot") == [{(hit, False, False, False)}]  # out of scope
+    assert events("a perfect idiot") == [{(hit, False, False, ALONE)}] == events("what a perfect idiot\n")
+    assert events("there goes a perfect idiot") == [{(hit, False, False, STATED)}]
+    assert events("you idiot") == [{(hit, False, False, TARGETED)}]
+    assert events("idiot that you are") == [{(hit, False, False, ALONE), (hit, False, False, TARGETED)}]
+    assert events("you are not an idiot") == [{(hit, True, False, TARGETED)}]
+    assert events("he said you are an idiot") == [{(hit, False, True, TARGETED)}]
+    assert events("not so. an idiot") == [{(hit, False, False, ALONE)}]  # negation ends with its clause
+    assert events("not one of those was an idiot") == [{(hit, False, False, STATED)}]  # out of scope
     assert events("nothing here") == [] == events("")
-    assert events("kill him") == [{(toxicity.THREAT, False, False, False), (toxicity.THREAT, False, False, True)}]
+    assert events("kill him") == [{(toxicity.THREAT, False, False, ALONE), (toxicity.THREAT, False, False, TARGETED)}]
 
 
 def test_composition_is_step_by_step():
     rng = np.random.default_rng(1)
     for symbols in rng.integers(0, toxicity.CLASSES, (200, 12)).tolist():
-        a, b, c, state = 0, False, (False, None), 0
+        a, b, c, state = 0, False, (ALONE, None), 0
         for s in symbols:
             a, x = toxicity._negation(a, s)
             b, x = toxicity._reported(b, x)
@@ -105,18 +109,86 @@ def test_composition_is_step_by_step():
             assert (toxicity.EVENTS[event] if event >= 0 else None) == x
 
 
-def test_context_lowers_the_score():
-    model = toxicity.Model({"idiot": toxicity.INSULT})
-    score = lambda t: float(model.score(model.features(pa.array([t])))[0])
-    assert score("you idiot") > score("a great idiot") > score("not an idiot") > score("none of it")
-    assert score("") == score("good day") < toxicity.THRESHOLD <= score("you idiot")
-
-
-def test_arcs_prefer_what_explains_more():
-    texts = [["=bad", "badl", "=copy"]] * 3 + [["=bad", "=rare"]] * 3 + [["scum", "scumm"]] * 5
-    toxic = {"=bad": 6, "badl": 3, "=copy": 3, "=rare": 3, "scum": 5, "scumm": 5}
-    assert set(toxicity.select_arcs(dict.fromkeys(toxic, 0.99), toxic, texts * 20)) >= {"=bad", "scumm"}
-    assert "=rare" not in toxicity.select_arcs(dict.fromkeys(toxic, 0.99), {**toxic, "=rare": 1, "=copy": 1}, texts * 20)
+def paths_of(text, model):
+    """Odds of a text by the definition: every hit and every target after the last hit, in plain loops."""
+    base, hit, threat, negated, reported, stated, targeted = np.exp(model.factors).tolist()
+    total = base
+    for clause in plain_clauses(text):
+        arcs = [model.arc(w.strip(toxicity.PUNCTUATION).lower()) for w in clause]
+        aimed, last = False, None
+        for i, (kind, arc) in enumerate(arcs):
+            if kind == toxicity.TARGET:
+                if last is not None:
+                    total += last * targeted
+                aimed, last = True, None
+            elif kind in toxicity.HITS:
+                path = arc * (hit if kind == toxicity.INSULT else threat)
+                path *= negated if any(k == toxicity.NEGATION for k, _ in arcs[max(0, i - toxicity.SCOPE):i]) else 1
+                path *= reported if any(k == toxicity.REPORT for k, _ in arcs[:i]) else 1
+                total += path * (targeted if aimed else stated if len(clause) >= toxicity.STATEMENT else 1)
+                last = None if aimed else path
+    return total
+
+
+def plain_clauses(text):
+    out = [[]]
+    for line in text.split("\n"):
+        for word in line.split():
+            out[-1].append(word)
+            if word[-1] in ".!?;:":
+                out.append([])
+        out.append([])
+    return [c for c in out if c]
+
+
+def test_odds_are_the_sum_of_all_paths():
+    rng = np.random.default_rng(4)
+    model = toxicity.Model({"idiot": 0.9, "fool": 0.7}, {"scum": 0.6, "scumba": 0.8})
+    model.factors = toxicity.PRIOR + rng.normal(size=len(toxicity.PRIOR))
+    vocabulary = "idiot fool. scums scumbag, you they not never said kill burn! a b c d e; f \n".split(" ")
+    texts = [" ".join(rng.choice(vocabulary, rng.integers(0, 40))) for _ in range(300)]
+    odds = toxicity._odds(model.mass(pa.array(texts)), model.factors)
+    assert np.allclose(odds, [paths_of(t, model) for t in texts])
+
+
+def flagged(text, model):
+    return model.score(model.mass(pa.array([text])))[0] >= toxicity.THRESHOLD
+
+
+@pytest.mark.parametrize("at", ["PRIOR", "LOW", "HIGH"])
+def test_decisions_come_from_the_grammar(at):
+    """Whatever the fit does within its bounds."""
+    model = toxicity.Model({"idiot": 1.0, "trash": 1.0})
+    model.factors = getattr(toxicity, at).copy()
+    for text in ("", "good day", "idiot", "take out the trash", "you are not an idiot", "he said you are an idiot",
+                 "the paper reported that they are no idiot"):
+        assert not flagged(text, model), text
+    for text in ("you idiot", "you are such an idiot", "i will kill you", "an idiot like you", "you are not an idiot. they are trash"):
+        assert flagged(text, model), text
+    # the same words with and without their context
+    assert flagged("they are a total idiot", model) and not flagged("they are not a total idiot", model)
+    assert flagged("you are an idiot", model) and not flagged("she wrote you are an idiot", model)
+
+
+def test_longer_arcs_take_the_place_of_beginnings():
+    toxic = {"=bad": 6, "scum": 10, "=scum": 10, "slim": 9, "=slimy": 4, "=slime": 5, "idio": 8, "idiot": 8, "=idiot": 8}
+    assert toxicity.select_arcs(toxic) == {"=bad", "=scum", "slim", "=slimy", "=slime", "=idiot"}
+
+
+def test_context_decides_documents(docs_of, shipped):
+    """Learned from labelled texts: aimed insults are toxic, negated, reported and lone ones are not."""
+    nouns = ["bridge", "river", "letter", "garden", "window"]
+    toxic = [f"you are a grelk near the {n} number {i}. the {n} is old." for i, n in enumerate(nouns * 8)]
+    clean = [f"you are a friend near the {n} number {i}. the {n} is old." for i, n in enumerate(nouns * 8)]
+    rows = list(enumerate(toxic + clean))
+    labels = shipped.createDataFrame([(i, int(i < len(toxic))) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.learn(docs_of(rows), labels)
+    assert set(model.words) == {"grelk"}
+    tried = {1: "you are a grelk.", 2: "you are not a grelk.", 3: "they said you are a grelk.", 4: "grelk", 5: "buy the grelk",
+             6: "the river is old.", 7: "grelk. grelk. grelk. grelk."}
+    got = {r["doc_id"]: r["score"] >= toxicity.THRESHOLD for r in toxicity.predict(docs_of(list(tried.items())), model).collect()}
+    assert got == {1: True, 2: False, 3: False, 4: False, 5: False, 6: False, 7: True}
+    assert {r["doc_id"] for r in toxicity.reject(docs_of(list(tried.items())), model).collect()} == {2, 3, 4, 5, 6}
 
 
 def test_toxic_documents_on_held_out_rows(shipped):
@@ -139,7 +211,7 @@ def test_toxicity_of_odd_rows(odd, empty, shipped):
         got = toxicity.predict(odd.selectExpr("*", "1 AS score", "2 AS y"), model).collect()
         assert len(got) == 9 and all(0 <= r["score"] <= 1 for r in got)
     assert toxicity.predict(empty, model).count() == 0 and toxicity.reject(empty, model).count() == 0
-    assert toxicity.clauses(odd, toxicity.Model({"three": toxicity.INSULT})).count() == 3
+    assert toxicity.clauses(odd, toxicity.Model({"three": 1.0})).count() == 3
 
 
 # quality
