@@ -793,6 +793,30 @@ def q_als_grid(spark, sf_dir):
     return rounded(table.select("rank", "reg", "alpha", "n_user_rows").join(F.broadcast(picked)))  # one row
 
 
+@register("cg_grid", _with(O.base_ctes(SEED)) + """
+SELECT CAST(8 AS DOUBLE) AS rank, CAST(l AS DOUBLE) AS reg, CAST(a AS DOUBLE) AS alpha,
+  (SELECT count(DISTINCT user_id) FROM val) AS n_user_rows, CAST(1 AS BIGINT) AS n_best, true AS best_is_largest, true AS as_alone
+FROM (VALUES (0.1), (1.0)) x(l), (VALUES (1), (10)) y(a)""")
+def q_cg_grid(spark, sf_dir):
+    """Grid lambda x alpha of conjugate-gradient fits on one packing of the pairs (L2, J10): the settings, the users
+    scored by each, that one is picked, the best, and that the last has the factors of its fit alone."""
+    from implicit_rank.operators.implicit import CgParams, fit_cg, fit_cg_grid
+    from implicit_rank.plans.tune import cg_grid_search
+    s = splits(spark, sf_dir, materialize=True)
+    cols = ["user_id", "item_id", "cnt"]
+    train = s.where(F.col("split") == "train").select(*cols)
+    val = s.where(F.col("split") == "val").select(*cols)
+    grid = [CgParams(rank=8, max_iter=2, reg=reg, alpha=alpha) for reg in (0.1, 1.0) for alpha in (1.0, 10.0)]
+    table, _best = cg_grid_search(spark, train, val, grid, K, parallelism=SWEEP_PARALLELISM)
+    together, alone = fit_cg_grid(train, grid[-2:])[-1], fit_cg(train, grid[-1])
+    differ = F.aggregate(F.zip_with("features", "other", lambda a, b: F.abs(a - b)), F.lit(0.0), F.greatest)
+    apart = together.users.join(alone.users.withColumnRenamed("features", "other"), "id", "full").agg(F.max(F.coalesce(differ, F.lit(1.0))).alias("d"))
+    picked = table.agg(F.sum("best").alias("n_best"), (F.max("precision_at_k") == F.max(
+        F.when(F.col("best") == 1, F.col("precision_at_k")))).alias("best_is_largest"))
+    return rounded(table.select("rank", "reg", "alpha", "n_user_rows").join(F.broadcast(picked))  # one row
+                   .join(F.broadcast(apart.select((F.col("d") < 1e-6).alias("as_alone")))))  # one row
+
+
 @register("als_fold_sweep")
 def q_als_fold_sweep(spark, sf_dir):
     """User folds x (ALS, bias), run log, per-user metrics, mean per setting (I5, L3-L5, K9, C7, AG10)."""
