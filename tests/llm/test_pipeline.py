@@ -5,6 +5,8 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 import corpus_pipeline
 from implicit_rank.llm import common, gam, queries, toxicity
@@ -39,6 +41,31 @@ def test_stages(shipped, sf_small):
     assert {r["doc_id"] for r in pieces.collect()} == {r["doc_id"] for r in mixed.collect()}
 
 
+CLASHING = ["_text_hash", "_id", "_hash", "_copies", "_n", "_", "_source", "_size", "_more", "_bucket", "_row", "_start",
+            "score", "y", "mass", "label", "kept", "block"]
+
+
+def test_stages_on_odd_rows_and_clashing_names(shipped, odd, sf_small):
+    """Null ids and texts, empty, long and repeated rows, and extra columns with names the operators use."""
+    wide = odd.select("*", *[F.concat(F.lit(f"{name}:"), F.coalesce("text", F.lit("-"))).alias(name) for name in CLASHING])
+    rows = {tuple(r) for r in wide.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = common.save(stage(shipped, wide, sf_small), "t")
+        assert got.columns == wide.columns, name
+        assert {tuple(r) for r in got.collect()} <= rows, name  # no value is changed
+    stage = dict(corpus_pipeline.STAGES)
+    assert stage["toxic"](shipped, wide, sf_small).count() == wide.count()
+    single = [r["text"] for r in stage["dedup"](shipped, wide, sf_small).collect()]
+    assert single.count("one two three four five") == 1
+    assert not (None in single and "" in single)  # both have no words
+    assert stage["packing"](shipped, wide, sf_small).agg(F.sum("length")).first()[0] > wide.count()
+
+
+def test_stages_on_an_empty_table(shipped, empty, sf_small):
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(shipped, empty, sf_small).count() == 0, name
+
+
 def test_run_is_the_stages(shipped, sf_small):
     rows = corpus_pipeline.run(shipped, sf_small)
     assert rows.columns[:3] == ["doc_id", "start", "length"] and rows.count() > 0
