@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from implicit_rank.operators.indexing import global_row_number
 from implicit_rank.operators.rank import catalogue_topk, top_k_per_user
-from implicit_rank.session import materialize, publish, published
+from implicit_rank.session import large, materialize, publish, published
 
 # Counts of other than integer types are summed as decimals of this scale, so
 # that a sum does not depend on the order of its rows.
@@ -88,11 +88,11 @@ class BiasModel:
     def _attach(self, pairs: DataFrame) -> DataFrame:
         out = pairs
         if self.item_offsets is not None:
-            out = out.join(self.item_offsets.select("item_id", "b_i"), "item_id", "left")
+            out = out.join(large(self.item_offsets.select("item_id", "b_i")), "item_id", "left")
         else:
             out = out.withColumn("b_i", F.lit(0.0))
         if self.user_offsets is not None:
-            out = out.join(self.user_offsets.select("user_id", "b_u"), "user_id", "left")
+            out = out.join(large(self.user_offsets.select("user_id", "b_u")), "user_id", "left")
         else:
             out = out.withColumn("b_u", F.lit(0.0))
         return out.withColumn("b_i", F.coalesce("b_i", F.lit(0.0))).withColumn(
@@ -146,7 +146,7 @@ class BiasModel:
         """Scores of ``(user_id, item_id, rnk, b_i)`` rows: b_i comes with the item order,
         so only b_u is joined."""
         if self.user_offsets is not None:
-            recs = recs.join(self.user_offsets.select("user_id", "b_u"), "user_id", "left")
+            recs = recs.join(large(self.user_offsets.select("user_id", "b_u")), "user_id", "left")
         else:
             recs = recs.withColumn("b_u", F.lit(0.0))
         return recs.select("user_id", "item_id", "rnk",
@@ -206,7 +206,7 @@ def fit_bias(ratings: DataFrame, config: BiasConfig | None = None, col: str = "c
     items = sums.select("item_id", (residual if config.item else F.lit(0.0)).alias("b_i"), "n_i")
 
     def fit_users() -> DataFrame:
-        with_bi = r.join(items.select("item_id", "b_i"), "item_id", "left") if config.item else r.withColumn("b_i", F.lit(0.0))
+        with_bi = r.join(large(items.select("item_id", "b_i")), "item_id", "left") if config.item else r.withColumn("b_i", F.lit(0.0))
         taken = F.sum(F.when(F.col("_r").isNotNull(), F.col("b_i")))
         users = (
             with_bi.groupBy("user_id")

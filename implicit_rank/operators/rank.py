@@ -8,17 +8,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from implicit_rank.session import large
+
 # Rows per (user, rank bucket) group when numbering a user's seen items.
 BUCKET_ROWS = 1 << 16
 # Head of the global item order that is broadcast when slots are resolved
 # to items; it has at most this many rows, whatever the data size.
-HEAD_ROWS = 100_000
+HEAD_ROWS = 10_000
 
 
 def seen_of_targets(seen: DataFrame, targets: DataFrame) -> DataFrame:
-    """Seen pairs of the target users: a semi-join, whose strategy is left to the
-    measured sizes."""
-    return seen.select("user_id", "item_id").join(targets.select("user_id"), "user_id", "left_semi")
+    """Seen pairs of the target users: a semi-join by shuffles."""
+    return seen.select("user_id", "item_id").join(large(targets.select("user_id")), "user_id", "left_semi")
 
 
 def top_k_per_user(scored: DataFrame, k: int, order: list[Column], user_col: str = "user_id",
@@ -78,7 +79,7 @@ def resolve_unseen(ranks: DataFrame, seen: DataFrame, targets: DataFrame, k: int
     by = list(by)
     keys = [*by, "user_id"]
     seen_r = (
-        seen.join(ranks.select(*by, "item_id", "_r"), [*by, "item_id"])
+        seen.join(large(ranks.select(*by, "item_id", "_r")), [*by, "item_id"])
         .withColumn("_b", F.floor((F.col("_r") - 1) / F.lit(bucket_rows)).cast("bigint"))
     )
     in_bucket = Window.partitionBy(*keys, "_b").orderBy("_r")
@@ -93,22 +94,25 @@ def resolve_unseen(ranks: DataFrame, seen: DataFrame, targets: DataFrame, k: int
     earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     prefix = per_bucket.select(
         *keys, "_b", F.coalesce(F.sum("_nb").over(earlier), F.lit(0)).alias("_before"))
-    numbered = numbered.join(prefix, [*keys, "_b"])
+    numbered = numbered.join(large(prefix), [*keys, "_b"])
     numbered = numbered.withColumn("_g", F.col("_r") - F.col("_before") - F.col("_lrn"))
     gaps = (
         numbered.where(F.col("_g") < k)
         .groupBy(*keys, (F.col("_g") + 1).alias("_q"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    slots = targets.select(*keys, F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(k).cast("bigint"))).alias("_q"))
+    # a user's gaps meet its targets as one map of at most k entries, before the targets are spread to k slots
+    gaps = gaps.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_q", "_c"))).alias("_gaps"))
+    slots = targets.join(large(gaps), keys, "left").select(
+        *keys, "_gaps", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(k).cast("bigint"))).alias("_q"))
     upto = Window.partitionBy(*keys).orderBy("_q").rowsBetween(Window.unboundedPreceding, 0)
     slots = (
-        slots.join(gaps, [*keys, "_q"], "left")
-        .withColumn("_shift", F.sum(F.coalesce(F.col("_c"), F.lit(0))).over(upto))
+        slots.select(*keys, "_q", F.coalesce(F.col("_gaps")[F.col("_q")], F.lit(0)).alias("_c"))
+        .withColumn("_shift", F.sum("_c").over(upto))
         .select(*keys, "_q", (F.col("_q") + F.col("_shift")).alias("_r"))
     )
     head = ranks.where(F.col("_r") <= head_rows)
     resolved = slots.where(F.col("_r") <= head_rows).join(F.broadcast(head), [*by, "_r"])
     tail = ranks.where(F.col("_r") > head_rows)
-    resolved = resolved.unionByName(slots.where(F.col("_r") > head_rows).join(tail, [*by, "_r"]))
+    resolved = resolved.unionByName(slots.where(F.col("_r") > head_rows).join(large(tail), [*by, "_r"]))
     return resolved.select(*keys, "item_id", F.col("_q").alias("rnk"), *carry)

@@ -76,6 +76,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def large(df):
+    """``df`` as a join side that is never broadcast, for tables with a row per user or item.
+
+    The planner judges a written table by the size of its compressed files, a
+    fraction of what a broadcast of its rows takes on the driver; with several
+    runs at once that adds up.
+    """
+    return df.hint("merge")
+
+
 def materialize(df, name: str, partition_by=()):
     """Write ``df`` as parquet to the shared folder and read it back.
 

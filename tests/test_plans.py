@@ -121,3 +121,15 @@ def test_scans_are_pruned_and_pushed(spark, sf_small):
     plan = _plan(purchases(spark, sf_small))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in plan
     assert "PushedFilters: [IsNotNull(l_partkey)" in plan
+
+
+def test_tables_with_a_row_per_user_or_item_are_not_broadcast(spark, sf_small):
+    """Whatever the size of their files says: several runs of a sweep would hold them on the driver together."""
+    import re
+
+    from implicit_rank.operators.bias import BiasConfig, fit_bias
+    train = purchases(spark, sf_small)
+    model = fit_bias(train, BiasConfig(damping=5))
+    for df in (model.recommend(train.select("user_id"), train, 5), model.predict(train)):
+        joins = re.findall(r"BroadcastHashJoin \[(\w+)#", _plan(df))
+        assert set(joins) <= {"l_orderkey", "_r", "_pid"}, joins  # the source's own join, the head of the order, partitions
