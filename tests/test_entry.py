@@ -43,3 +43,20 @@ def test_sweep_run_log_round_trip(spark, sf_small):
     assert read_recs(spark, f"{out}/recs", [1]).select("run_id").distinct().count() == 1
     table = mean_by(run_metrics(run_log, recs, {"d": test}, 5), ["damping"])
     assert {r.damping for r in table.collect()} == {0.0, 10.0}
+
+
+def test_sweep_keeps_only_its_results(spark, sf_small, tmp_path, monkeypatch):
+    """What a run writes on the way is deleted with it; the tables of the caller stay."""
+    import os
+
+    from implicit_rank import session
+    from implicit_rank.operators.als import AlsParams
+    from implicit_rank.plans.tune import Algorithm, als_fitter, sweep
+    from implicit_rank.sources.fixtures import purchases
+
+    monkeypatch.setattr(session, "ensure_checkpoint_dir", lambda spark: str(tmp_path))
+    train = session.materialize(purchases(spark, sf_small), "train")
+    algs = [Algorithm("als", {"rank": 2}, als_fitter(AlsParams(rank=2, max_iter=1)))] * 2
+    log, recs = sweep(spark, {"d": (train, train)}, algs, 3, parallelism=2)
+    assert recs.count() > 0 and train.count() > 0 and log.count() == 2
+    assert sorted(n.split("-")[0] for n in os.listdir(tmp_path)) == ["sweep", "train"], os.listdir(tmp_path)
