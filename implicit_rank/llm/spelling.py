@@ -33,8 +33,6 @@ are ignored.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections import Counter
 
@@ -45,8 +43,8 @@ from pyspark.sql import functions as F
 
 from implicit_rank.llm import common
 
-RUN = re.compile("[a-zÀ-ÿ]+")
-LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+# Latin-1 text, one byte a code point: letters of a run stay, A-Z as a-z, all else becomes a space
+LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 0xC0 else 32 for c in range(256))
 MARK = "<"             # before a word that is spelt backwards
 TYPO = 97              # a run loses a letter if this divides its hash
 SHORTEST = 5           # code points
@@ -54,18 +52,23 @@ RAREST = 3             # occurrences
 DOMINANCE = 2          # how often as frequent a word's form has to be
 
 
-def words_of(doc_id, text: str) -> Counter:
-    """Counts of a document's runs, with the deletions that their hashes call for."""
-    found = Counter(RUN.findall(text.encode().translate(LOWER).decode()))
-    start = zlib.crc32(b":" if doc_id is None else f"{doc_id}:".encode())
-    out: Counter = Counter()
-    for run, n in found.items():
-        h = zlib.crc32(run.encode(), start)
-        if h % TYPO == 0:
-            at = h % len(run)
-            run = run[:at] + run[at + 1:]
-        out[run] += n
-    return out
+def add_words(counts: Counter, doc_id, text: str) -> None:
+    """Adds a document's runs (as Latin-1) to ``counts``, with the deletions that their hashes call for.
+
+    A character beyond Latin-1 belongs to no run, whatever stands for it.
+    """
+    letters = text.encode("latin-1", "replace").translate(LETTERS)
+    runs = letters.split()
+    counts.update(runs)
+    start, crc = zlib.crc32(b":" if doc_id is None else f"{doc_id}:".encode()), zlib.crc32
+    if letters.isascii():
+        hit = {run for run in set(runs) if crc(run, start) % TYPO == 0}
+    else:
+        hit = {run for run in set(runs) if crc(run.decode("latin-1").encode(), start) % TYPO == 0}
+    for run, n in Counter(filter(hit.__contains__, runs)).items() if hit else ():
+        at = crc(run.decode("latin-1").encode(), start) % len(run)
+        counts[run] -= n
+        counts[run[:at] + run[at + 1:]] += n
 
 
 def vocabulary(docs: DataFrame, shortest: int = SHORTEST, rarest: int = RAREST) -> DataFrame:
@@ -75,8 +78,8 @@ def vocabulary(docs: DataFrame, shortest: int = SHORTEST, rarest: int = RAREST)
         for chunk in common.text_chunks(batches):
             counts: Counter = Counter()  # bounded by the chunk's text
             for doc_id, text in zip(chunk.column("doc_id").to_pylist(), common.strings(common.texts_of(chunk))):
-                counts.update(words_of(doc_id, text))
-            kept = [(w, n) for w, n in counts.items() if len(w) >= shortest]
+                add_words(counts, doc_id, text)
+            kept = [(w.decode("latin-1"), n) for w, n in counts.items() if n and len(w) >= shortest]
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()),
                                               pa.array([n for _, n in kept], pa.int64())], names=["word", "n"])
 
@@ -84,6 +87,14 @@ def vocabulary(docs: DataFrame, shortest: int = SHORTEST, rarest: int = RAREST)
     return counted.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= rarest)
 
 
+def _prefix(a: str, b: str) -> str:
+    """The longest common prefix."""
+    for i, (x, y) in enumerate(zip(a, b)):
+        if x != y:
+            return a[:i]
+    return min(a, b, key=len)
+
+
 def _with_shared(strings: DataFrame, name: str) -> DataFrame:
     """(s, shared): every string of the sorted table (column s, distinct) and its common prefix with the one before it."""
 
@@ -91,14 +102,14 @@ def _with_shared(strings: DataFrame, name: str) -> DataFrame:
         last = None
         for batch in batches:
             now = common.strings(batch.column("s"))
-            shared = [None if before is None else os.path.commonprefix((before, s)) for before, s in zip([last, *now], now)]
+            shared = [None if before is None else _prefix(before, s) for before, s in zip([last, *now], now)]
             last = now[-1] if now else last
             yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("s"), pa.array(shared, pa.string())],
                                              names=["part", "s", "shared"])
 
     @F.pandas_udf("string")
     def meet(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([os.path.commonprefix((x or "", y)) for x, y in zip(a, b)], dtype=object)
+        return pd.Series([_prefix(x or "", y) for x, y in zip(a, b)], dtype=object)
 
     ranged = common.save(strings.repartitionByRange("s").sortWithinPartitions("s").withColumn("part", F.spark_partition_id())
                          .mapInArrow(run, "part int, s string, shared string"), name)
@@ -130,8 +141,7 @@ def neighbours(words: DataFrame) -> DataFrame:
     rest = F.expr("substring(word, pos + 1)")
     # the path of a word is climbed while half of it (and the mark) is spelt
     half = F.expr(f"IF(startswith(word, '{MARK}'), (length(word) - 1) div 2 + 1, length(word) div 2)")
-    start = strings.select(F.col("s").alias("word"), F.length("s").alias("pos"), F.col("s").alias("node"), F.lit(0).alias("edits"),
-                           F.lit(False).alias("ends"))
+    start = strings.select(F.col("s").alias("word"), F.length("s").alias("pos"), F.col("s").alias("node"), F.lit(0).alias("edits"))
     frontier, met = common.save(start, "trie-frontier"), []
     while not frontier.isEmpty():
         clean, edited = (frontier.filter(F.col("edits") == e).select("word", "pos", "node") for e in (0, 1))
@@ -149,9 +159,10 @@ def neighbours(words: DataFrame) -> DataFrame:
                 .select("word", "pos", "child", "ends", F.expr("substring(child, length(parent) + 1)").alias("label")))
         onward = (left.unionByName(down).filter(F.startswith(rest, F.col("label")))
                   .select("word", (F.col("pos") + F.length("label")).alias("pos"), F.col("child").alias("node"), F.lit(1).alias("edits"), "ends"))
-        reached = common.save(climbed.unionByName(onward), "trie-frontier")
-        met.append(reached.filter("edits = 1 AND ends AND pos = length(word)").select("word", F.col("node").alias("near")))
-        frontier = reached.filter("edits = 0 OR pos < length(word)")
+        spelt = (F.col("edits") == 1) & (F.col("pos") == F.length("word"))
+        reached = common.save(climbed.unionByName(onward).withColumn("spelt", spelt).filter("ends OR NOT spelt").drop("ends"), "trie-frontier")
+        met.append(reached.filter("spelt").select("word", F.col("node").alias("near")))
+        frontier = reached.filter("NOT spelt")
     spark = words.sparkSession
     found = spark.createDataFrame([], "word string, near string")
     for pairs in met:

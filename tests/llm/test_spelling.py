@@ -98,3 +98,14 @@ def test_odd_rows(odd, empty, docs_of):
     assert results(empty) == [] and results(docs_of([(1, "a bb ccc")])) == []
     long = [(i, "z" * 5000) for i in range(4)] + [(i, "z" * 5001) for i in range(4, 8)]
     assert results(docs_of(long)) == sorted(expected(long))
+
+
+def test_words_are_counted_in_place():
+    """A document's runs go into the chunk's counts; the letter that a hash calls for is deleted from all its occurrences."""
+    rows = [(d, t) for d in (None, *range(150)) for t in ("ABCÉ abcé Ünïcødé ÷ab×Āstraße\x00ab 日本 ÿÿ", "", "hello hello World-hello")]
+    found = Counter()
+    for doc_id, text in rows:
+        spelling.add_words(found, doc_id, text)
+    found = {w.decode("latin-1"): n for w, n in found.items() if n and w}
+    want = counts_of(rows, 1, 1)
+    assert found == want and len(want) > 12
