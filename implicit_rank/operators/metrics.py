@@ -67,6 +67,12 @@ def per_user_metrics(recs: DataFrame, truth: DataFrame, k, by=(), include_missin
     (then ``max_k`` bounds it). Users with truth and no recommendations
     count as 0 when ``include_missing`` (K10), else they are dropped.
     """
+    return _per_user(recs, truth, k, by, include_missing, max_k)
+
+
+def _per_user(recs: DataFrame, truth: DataFrame, k, by, include_missing: bool, max_k: int | None, sizes: bool = True) -> DataFrame:
+    """``per_user_metrics``; without ``sizes`` the lists are not counted where nothing asks for it, so that they are
+    produced once."""
     by = list(by)
     keys = by + ["user_id"]
     kc = _k_col(k)
@@ -74,8 +80,12 @@ def per_user_metrics(recs: DataFrame, truth: DataFrame, k, by=(), include_missin
     spark = recs.sparkSession
     r = recs.select(*keys, "item_id", "rnk").where(F.col("rnk") <= kc)
     t = truth.select(*keys, "item_id").distinct()  # relevance is a set
-    n_truth = t.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_truth"))
-    n_recs = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_recs"))
+    users = t.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_truth"))
+    if sizes or not include_missing:
+        n_recs = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_recs"))
+        users = users.join(n_recs, keys, "left" if include_missing else "inner")
+    else:
+        users = users.withColumn("n_recs", F.lit(None).cast("bigint"))
     hits = r.join(t, keys + ["item_id"], "left_semi")
     so_far = Window.partitionBy(*keys).orderBy("rnk")
     hit_agg = (
@@ -85,8 +95,7 @@ def per_user_metrics(recs: DataFrame, truth: DataFrame, k, by=(), include_missin
              F.sum(F.col("_h") / F.col("rnk")).alias("_prec_sum"),
              F.sum(F.lit(1.0) / F.log2(F.col("rnk") + 1)).alias("_dcg"))
     )
-    users = n_truth.join(n_recs, keys, "left" if include_missing else "inner").join(hit_agg, keys, "left")
-    users = users.fillna(0, subset=["n_recs", "n_hits", "_prec_sum", "_dcg"])
+    users = users.join(hit_agg, keys, "left").fillna(0, subset=["n_recs", "n_hits", "_prec_sum", "_dcg"])
     if "k" not in users.columns:
         users = users.withColumn("k", kc)
     users = users.withColumn("m", F.least(F.col("n_truth"), F.col("k")))
@@ -104,7 +113,7 @@ def per_user_metrics(recs: DataFrame, truth: DataFrame, k, by=(), include_missin
 def ranking_metrics(recs: DataFrame, truth: DataFrame, k, by=(), include_missing: bool = True,
                     max_k: int | None = None) -> DataFrame:
     """Mean metrics per ``by`` group (K1-K4, K13): one aggregation for all."""
-    per_user = per_user_metrics(recs, truth, k, by, include_missing, max_k)
+    per_user = _per_user(recs, truth, k, by, include_missing, max_k, sizes=False)
     return per_user.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_users"), *[F.avg(c).alias(c) for c in METRIC_COLUMNS])
 

@@ -8,20 +8,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from implicit_rank.session import large
+from implicit_rank.session import large, materialize
 
 # Rows per (user, rank bucket) group when numbering a user's seen items.
 BUCKET_ROWS = 1 << 16
-# Head of the global item order that is broadcast when slots are resolved
-# to items; it has at most this many rows, whatever the data size.
+# Head of the global item order that is broadcast to the seen pairs and to the
+# slots; it has at most this many rows, whatever the data size.
 HEAD_ROWS = 10_000
 
 
-def seen_of_targets(seen: DataFrame, targets: DataFrame) -> DataFrame:
-    """Seen pairs of the target users: a semi-join by shuffles."""
-    return seen.select("user_id", "item_id").join(large(targets.select("user_id")), "user_id", "left_semi")
-
-
 def top_k_per_user(scored: DataFrame, k: int, order: list[Column], user_col: str = "user_id",
                    rank_col: str = "rnk", by=()) -> DataFrame:
     """Keep the first k rows per user in ``order`` and number them.
@@ -56,32 +51,47 @@ def catalogue_topk(item_rank: DataFrame, seen: DataFrame, users: DataFrame, k: i
     j is computed in two levels, a count per (user, rank bucket) with a
     prefix sum over buckets and a row number inside a bucket, so no window
     group holds more than ``bucket_rows`` rows even for a user who has seen a
-    third of the catalogue. The k slots per user are then resolved to items
-    by an equi-join on the global rank; ranks up to ``head_rows`` (where
-    nearly all slots fall, and which every user hits) come from a broadcast
-    of at most ``head_rows`` rows, the rest from a shuffled join.
+    third of the catalogue. The slots of a user, k or as many as the catalogue
+    has unseen items, are then resolved to items by an equi-join on the global
+    rank; ranks up to ``head_rows`` (where nearly all slots fall, and which every
+    user hits) come from a broadcast of at most ``head_rows`` rows, the rest from
+    a shuffled join. Only seen pairs of the head are counted, and those below it
+    for the users whose list can reach below it (see ``resolve_unseen``).
 
     The plan is the same for every catalogue size.
     """
     targets = users.select("user_id").distinct()
     ranks = item_rank.select("item_id", F.col(rank_col).cast("bigint").alias("_r"), *carry)
-    return resolve_unseen(ranks, seen_of_targets(seen, targets), targets, k, (), bucket_rows, head_rows, carry)
+    return resolve_unseen(ranks, seen, targets, k, (), bucket_rows, head_rows, carry)
 
 
 def resolve_unseen(ranks: DataFrame, seen: DataFrame, targets: DataFrame, k: int, by=(),
                    bucket_rows: int = BUCKET_ROWS, head_rows: int = HEAD_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
     """The gap counting of ``catalogue_topk`` for several orders at once, one per ``by`` group.
 
-    ``ranks`` is ``(by..., item_id, _r, *carry)``, ``targets`` distinct ``(by..., user_id)`` rows, and
-    ``seen`` the ``(by..., user_id, item_id)`` pairs of these targets only. The broadcast head holds
-    ``head_rows`` ranks of each group: with ``by`` the caller divides the bound by the number of groups.
+    ``ranks`` is ``(by..., item_id, _r, *carry)`` with _r = 1..N in each group, ``targets`` distinct
+    ``(by..., user_id)`` rows, and ``seen`` holds ``(by..., user_id, item_id)`` pairs, of other users too. The
+    broadcast head holds ``head_rows`` ranks of each group: with ``by`` the caller divides the bound by the number of groups.
+
+    The seen pairs meet the head where they are read, and only what lies in it is shuffled: a
+    target with k unseen items in the head takes its list from there, whatever it has seen below. The pairs
+    below the head are read for the others only, those who have seen all but fewer than k of the head
+    (for every target if the head is shorter than the lists).
     """
     by = list(by)
     keys = [*by, "user_id"]
-    seen_r = (
-        seen.join(large(ranks.select(*by, "item_id", "_r")), [*by, "item_id"])
-        .withColumn("_b", F.floor((F.col("_r") - 1) / F.lit(bucket_rows)).cast("bigint"))
-    )
+    head, tail = ranks.where(F.col("_r") <= head_rows), ranks.where(F.col("_r") > head_rows)
+    met = seen.join(F.broadcast(head.select(*by, "item_id", "_r")), [*by, "item_id"]).select(*keys, "_r")
+    # an inner join: the planner would push a semi-join below the first one
+    met = materialize(met.join(large(targets.select(*keys)), keys), "unseen-head")
+    if head_rows < k:
+        beyond = large(targets.select(*keys))
+    else:  # written, so that the planner knows how few they are
+        beyond = materialize(met.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > head_rows - k).select(*keys),
+                             "unseen-beyond")
+    below = seen.join(beyond, keys).join(large(tail.select(*by, "item_id", "_r")), [*by, "item_id"])
+    seen_r = met.unionByName(below.select(*keys, "_r")).withColumn(
+        "_b", F.floor((F.col("_r") - 1) / F.lit(bucket_rows)).cast("bigint"))
     in_bucket = Window.partitionBy(*keys, "_b").orderBy("_r")
     # a repeated (user, item) pair is counted once; same window partitioning,
     # so dropping repeats adds no shuffle
@@ -101,18 +111,23 @@ def resolve_unseen(ranks: DataFrame, seen: DataFrame, targets: DataFrame, k: int
         .groupBy(*keys, (F.col("_g") + 1).alias("_q"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    # a user's gaps meet its targets as one map of at most k entries, before the targets are spread to k slots
-    gaps = gaps.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_q", "_c"))).alias("_gaps"))
-    slots = targets.join(large(gaps), keys, "left").select(
-        *keys, "_gaps", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(k).cast("bigint"))).alias("_q"))
-    upto = Window.partitionBy(*keys).orderBy("_q").rowsBetween(Window.unboundedPreceding, 0)
+    # between two gaps the slots have one shift; they end with the list or with the catalogue
+    start = targets.select(*keys, F.lit(1).cast("bigint").alias("_q"), F.lit(0).cast("bigint").alias("_c"))
+    of_user = Window.partitionBy(*keys).orderBy("_q", "_c")  # at most k + 1 rows
+    runs = start.unionByName(gaps).select(
+        *keys, "_q", F.sum("_c").over(of_user.rowsBetween(Window.unboundedPreceding, 0)).alias("_shift"),
+        F.lead("_q").over(of_user).alias("_next"))
+    most = F.max("_r").alias("_most")
+    if by:
+        runs = runs.join(F.broadcast(ranks.groupBy(*by).agg(most)), by)  # one row per group
+    else:
+        runs = runs.withColumn("_most", ranks.agg(most).scalar())
+    last = F.least(F.coalesce(F.col("_next") - 1, F.lit(k).cast("bigint")), F.col("_most") - F.col("_shift"))
     slots = (
-        slots.select(*keys, "_q", F.coalesce(F.col("_gaps")[F.col("_q")], F.lit(0)).alias("_c"))
-        .withColumn("_shift", F.sum("_c").over(upto))
+        runs.withColumn("_last", last).where(F.col("_q") <= F.col("_last"))
+        .select(*keys, "_shift", F.explode(F.sequence("_q", "_last")).alias("_q"))
         .select(*keys, "_q", (F.col("_q") + F.col("_shift")).alias("_r"))
     )
-    head = ranks.where(F.col("_r") <= head_rows)
     resolved = slots.where(F.col("_r") <= head_rows).join(F.broadcast(head), [*by, "_r"])
-    tail = ranks.where(F.col("_r") > head_rows)
     resolved = resolved.unionByName(slots.where(F.col("_r") > head_rows).join(large(tail), [*by, "_r"]))
     return resolved.select(*keys, "item_id", F.col("_q").alias("rnk"), *carry)

@@ -15,6 +15,8 @@ lower one. Null counts reach no threshold.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ from implicit_rank.session import materialize
 
 def level_of(col: Column, thresholds: list[float]) -> Column:
     """Number of thresholds that a count reaches; 0 for null."""
-    return F.size(F.filter(F.array(*[F.lit(t) for t in thresholds]), lambda t: t <= col)).cast("bigint")
+    return reduce(add, [F.when(F.lit(t) <= col, F.lit(1)).otherwise(F.lit(0)) for t in thresholds], F.lit(0)).cast("bigint")
 
 
 def up_to(level: Column) -> Column:
@@ -90,14 +92,13 @@ class ThresholdBias:
     def recommend(self, users: DataFrame, k: int) -> DataFrame:
         """Top-k unseen items ``(level, user_id, item_id, rnk)`` of ``(user_id, level)`` targets.
 
-        A target stands for its thresholds 1..level. The pairs meet the targets
-        on the user before they are spread over the thresholds they share, so
-        they are shuffled once, not once per threshold.
+        A target stands for its thresholds 1..level. The pairs are spread over
+        their thresholds where they are read; they meet the head of each order
+        there, before any of them is shuffled.
         """
         most = users.groupBy("user_id").agg(F.max("level").alias("_most"))
         targets = most.select("user_id", up_to(F.col("_most")).alias("level"))
-        seen = self.pairs.join(most, "user_id").select(
-            "user_id", "item_id", up_to(F.least("level", "_most")).alias("level"))
+        seen = self.pairs.select("user_id", "item_id", up_to(F.col("level")).alias("level"))
         return resolve_unseen(self.item_order(), seen, targets, k, ["level"],
                               head_rows=max(k, HEAD_ROWS // len(self.thresholds)))
 
