@@ -33,6 +33,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from implicit_rank.session import materialize
+
 METRIC_COLUMNS = ("precision_at_k", "recall_at_k", "map", "map_at_k", "ndcg_at_k")
 LENIENT_COLUMNS = ("precision_lk", "recall_lk", "ndcg_lk", "map_manual")
 
@@ -219,15 +221,18 @@ def lenient_by_k(recs: DataFrame, truth: DataFrame, max_k: int, by=(), gain_col:
     curve. NDCG is a ratio per user that changes only where the user has a hit or
     one more truth item in gain order: its steps there, summed by k over all
     users, are a difference array whose prefix sum is the curve. So rows follow
-    the hits and the truth, and neither is repeated per k.
+    the hits and the truth, and neither is repeated per k. The lists, the sizes and
+    the hits, which several branches read, are written once.
     """
     by = list(by)
     keys = by + ["user_id"]
-    r = recs.select(*keys, "item_id", "rnk").where(F.col("rnk") <= max_k)
+    r = materialize(recs.select(*keys, "item_id", "rnk").where(F.col("rnk") <= max_k), "curve-lists")
     t = truth.groupBy(*keys, "item_id").agg(F.coalesce(F.sum(F.col(gain_col).cast("double")), F.lit(0.0)).alias("_gain"))
     sizes = (r.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
              .join(t.groupBy(*keys).agg(F.least(F.count(F.lit(1)), F.lit(max_k)).alias("_m")), keys))
-    hits = r.join(t, keys + ["item_id"]).join(sizes, keys).select(*keys, "_n", "_m", "_gain", F.col("rnk").cast("bigint").alias("k"))
+    sizes = materialize(sizes, "curve-sizes")
+    hits = materialize(r.join(t, keys + ["item_id"]).join(sizes, keys).select(
+        *keys, "_n", "_m", "_gain", F.col("rnk").cast("bigint").alias("k")), "curve-hits")
     every_k = F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(max_k).cast("bigint"))).alias("k")
 
     def curve(size: str, name: str) -> DataFrame:
