@@ -86,11 +86,13 @@ def resolve_unseen(ranks: DataFrame, seen: DataFrame, targets: DataFrame, k: int
     met = materialize(met.join(large(targets.select(*keys)), keys), "unseen-head")
     if head_rows < k:
         beyond = large(targets.select(*keys))
-    else:  # written, so that the planner knows how few they are
+    else:
         beyond = materialize(met.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > head_rows - k).select(*keys),
                              "unseen-beyond")
-    below = seen.join(beyond, keys).join(large(tail.select(*by, "item_id", "_r")), [*by, "item_id"])
-    seen_r = met.unionByName(below.select(*keys, "_r")).withColumn(
+    if head_rows < k or not beyond.isEmpty():  # mostly none, and then the pairs are not shuffled
+        below = seen.join(large(beyond), keys).join(large(tail.select(*by, "item_id", "_r")), [*by, "item_id"])
+        met = met.unionByName(below.select(*keys, "_r"))
+    seen_r = met.withColumn(
         "_b", F.floor((F.col("_r") - 1) / F.lit(bucket_rows)).cast("bigint"))
     in_bucket = Window.partitionBy(*keys, "_b").orderBy("_r")
     # a repeated (user, item) pair is counted once; same window partitioning,
