@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from implicit_rank import session
 from implicit_rank.llm import common
 
 
@@ -12,11 +13,12 @@ def _least(edges: DataFrame, name: str) -> DataFrame:
     """(node, least): the smallest of a node and its listed neighbours.
 
     Written out, so that a later join shuffles both of its sides and the rows
-    of a node with very many edges can be split over tasks.
+    of a node with very many edges can be split over tasks. Never broadcast: it
+    has a row per node, and its files are a fraction of that.
     """
     least = edges.groupBy("u").agg(F.min("v").alias("v")).select(
         F.col("u").alias("node"), F.least("u", "v").alias("least"))
-    return common.save(least, name)
+    return session.large(common.save(least, name))
 
 
 def _are_stars(edges: DataFrame) -> bool:

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from implicit_rank.llm import common, graph
+from implicit_rank.session import large
 
 MAX_BITS = 3
 CROWD = 64  # fingerprints with one half in common that are met without a finer key
@@ -89,7 +90,7 @@ def _close(nodes: DataFrame) -> DataFrame:
 
 def _within(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Label edges of the fingerprints that meet on a key and differ in few enough bits."""
-    met = left.join(right, on).filter((F.col("label") != F.col("label2"))
+    met = left.join(large(right), on).filter((F.col("label") != F.col("label2"))
                                       & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= MAX_BITS))
     return met.select(F.col("label").alias("u"), F.col("label2").alias("v"))
 
@@ -112,12 +113,13 @@ def _odd(nodes: DataFrame) -> DataFrame:
     plain = halves.select(F.expr("side * 4294967296L + h").alias("key"), F.col("fp").alias("fp2"), F.col("label").alias("label2"))
     balls = halves.select("fp", "label", "side", F.explode(_flipped("h", 32)).alias("h")).select(
         F.expr("side * 4294967296L + h").alias("key"), "fp", "label")
-    # written, so that the join has plain shuffles on both sides and a crowded key's rows can be split
+    # written, so that the join has plain shuffles on both sides and a crowded key's rows can be split. The planner takes
+    # exploded rows for as few as they came from: no side of these joins may be broadcast
     keys = common.save(plain.groupBy("key").agg(
         F.min("label2").alias("lo"), F.max("label2").alias("hi"), F.count(F.lit(1)).alias("n")), "simhash-keys")
-    met = common.save(balls.join(keys, "key").filter("lo <> label OR hi <> label").select("key", "fp", "label", "n"), "simhash-met")
+    met = common.save(balls.join(large(keys), "key").filter("lo <> label OR hi <> label").select("key", "fp", "label", "n"), "simhash-met")
     few, crowd = met.filter(F.col("n") <= CROWD).drop("n"), met.filter(F.col("n") > CROWD).drop("n")
-    there = plain.join(crowd.select("key").distinct(), "key", "left_semi")
+    there = plain.join(large(crowd.select("key").distinct()), "key", "left_semi")
     return _within(few, plain, ["key"]).unionByName(
         _within(_quarters(crowd, "fp", 16), _quarters(there, "fp2", 0), ["key", "at", "v"]))
 
@@ -131,14 +133,14 @@ def groups(docs: DataFrame, width: int = 3) -> DataFrame:
     rows = common.save(fingerprints(docs, width), "simhash")
     nodes = common.save(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
     near = graph.components(_close(nodes)).select(F.col("node").alias("fp"), "label")
-    labelled = common.save(nodes.join(near, "fp", "left").select(
+    labelled = common.save(nodes.join(large(near), "fp", "left").select(
         "fp", "first_id", F.coalesce("label", "fp").alias("label")), "simhash-labels")
     merged = graph.components(_odd(labelled)).select(F.col("node").alias("label"), F.col("label").alias("top"))
-    tops = common.save(labelled.join(merged, "label", "left").select(
+    tops = common.save(labelled.join(large(merged), "label", "left").select(
         "fp", "first_id", F.coalesce("top", "label").alias("top")), "simhash-tops")
     least = common.save(tops.groupBy("top").agg(F.min("first_id").alias("component_id")), "simhash-least")
-    ids = tops.join(least, "top").select("fp", F.col("top").alias("group"), "component_id")
-    return rows.join(ids, "fp").select("doc_id", "text_hash", "fp", "group", "component_id")
+    ids = tops.join(large(least), "top").select("fp", F.col("top").alias("group"), "component_id")
+    return rows.join(large(ids), "fp").select("doc_id", "text_hash", "fp", "group", "component_id")
 
 
 def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
@@ -158,8 +160,8 @@ def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
     # written as a range so that doc_id alone is the join key: its partitioning
     # serves the last step too, and texts are shuffled once
     in_range = F.col("text_hash").between(F.col("_hash"), F.col("_hash"))
-    with_id = (hashed.filter("doc_id IS NOT NULL").join(kept, (F.col("doc_id") == F.col("_id")) & in_range)
+    with_id = (hashed.filter("doc_id IS NOT NULL").join(large(kept), (F.col("doc_id") == F.col("_id")) & in_range)
                .dropDuplicates(["doc_id", "text_hash"]))
-    without = (hashed.filter("doc_id IS NULL").join(kept.filter("_id IS NULL").select("_hash"), same_text)
+    without = (hashed.filter("doc_id IS NULL").join(large(kept.filter("_id IS NULL").select("_hash")), same_text)
                .dropDuplicates(["text_hash"]))
     return with_id.select("row").unionByName(without.select("row")).select("row.*")

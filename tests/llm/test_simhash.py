@@ -150,3 +150,19 @@ def test_columns_with_names_of_the_steps(odd):
     rows = got.collect()
     assert all(r[n] == f"{n}{'-' if r['doc_id'] is None else r['doc_id']}" for r in rows for n in names)
     assert sorted(r["doc_id"] or 0 for r in rows) == [0, 1, 2, 7, 8, 9]
+
+
+def test_no_join_side_with_a_row_per_document_is_broadcast(docs_of, monkeypatch):
+    """Whatever the planner takes for its size: it does not see that rows are exploded."""
+    plans, save = [], simhash.common.save
+
+    def spy(df, name):
+        plans.append(df)
+        return save(df, name)
+
+    monkeypatch.setattr(simhash.common, "save", spy)
+    docs = docs_of([(i, f"word{i % 7} and {i % 5} more words {i % 3} here") for i in range(40)] + [(None, "no id")])
+    plans += [simhash.groups(docs), simhash.keep_one(docs)]
+    texts = [df._jdf.queryExecution().executedPlan().toString() for df in plans]
+    assert sum("SortMergeJoin" in t for t in texts) >= 5
+    assert not any("Broadcast" in t for t in texts)
