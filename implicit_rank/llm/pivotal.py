@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from implicit_rank.llm import common
+from implicit_rank.session import large
 
 BLOCK = 128
 RUN = 1 << 16    # rows of a unit numbered by one array
@@ -141,7 +142,7 @@ def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.0, limit: float = 3
     last = open_units.select("source", "doc_id", "size", "n", chance.cast("int").alias("up"))
     ups = decided.unionByName(last).filter("up = 1").select(
         F.col("source").alias("u_source"), F.col("doc_id").alias("u_id"), F.col("size").alias("u_size"), "up")
-    joined = units.join(ups, F.col("source").eqNullSafe(F.col("u_source")) & F.col("doc_id").eqNullSafe(F.col("u_id"))
+    joined = units.join(large(ups), F.col("source").eqNullSafe(F.col("u_source")) & F.col("doc_id").eqNullSafe(F.col("u_id"))
                         & (F.col("size") == F.col("u_size")), "left")
     again = F.col("more") + F.coalesce("up", F.lit(0))  # rows of the unit that are taken once more
     # a unit's rows, numbered in runs so that no array grows with it
@@ -163,7 +164,7 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
     # the row as one column, so that no name of its columns meets those of the steps
     size = F.coalesce(F.regexp_count("row.text", F.lit(WORD)), F.lit(0)).cast("long")
     rows = docs.select(F.struct("*").alias("row"))
-    joined = rows.join(counts, F.col("row.doc_id").eqNullSafe(F.col("_id")) & F.col("row.source").eqNullSafe(F.col("_source"))
+    joined = rows.join(large(counts), F.col("row.doc_id").eqNullSafe(F.col("_id")) & F.col("row.source").eqNullSafe(F.col("_source"))
                        & (size == F.col("_size"))).select("row", *unit, "_n", "_copies", "_more")
     taken = joined.filter("_more = 0").select("row", "_copies")
     if not counts.filter("_more > 0").isEmpty():
@@ -178,7 +179,7 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
                   .select(*(F.col(c).alias(f"_of{c}") for c in [*unit, "_bucket"]), "_start"))
         same = [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in [*unit, "_bucket"]]
         place = F.row_number().over(Window.partitionBy(*unit, "_bucket").orderBy("_at"))
-        numbered = uneven.withColumn("_row", place).join(starts, same)
+        numbered = uneven.withColumn("_row", place).join(large(starts), same)
         copies = F.col("_copies") + (F.col("_start") + F.col("_row") <= F.col("_more")).cast("int")
         taken = taken.unionByName(numbered.select("row", copies.alias("_copies")))
     copied = taken.filter("_copies > 0").select("row", F.explode(F.sequence(F.lit(1), "_copies")))

@@ -121,3 +121,19 @@ def test_units_longer_than_a_run(docs_of, monkeypatch):
     docs = docs_of([(None, "a b c", "en", "s")] * 11 + [(1, "x", "en", "s")])
     got = pivotal.mix(docs)
     assert got.count() == 12 and got.filter("doc_id IS NULL").count() == 11
+
+
+def test_units_and_their_copies_are_not_broadcast(docs_of, monkeypatch):
+    """A row per document, though its files are small; only the sources' goals are sent to all."""
+    plans, save = [], pivotal.common.save
+
+    def spy(df, name):
+        plans.append(df)
+        return save(df, name)
+
+    monkeypatch.setattr(pivotal.common, "save", spy)
+    docs = docs_of([(i // 2, f"a text of {i // 2} words", None, "ab"[i % 4 // 2]) for i in range(60)])
+    plans.append(pivotal.apply_mix(docs))
+    joins = [line for df in plans for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+    assert any("SortMergeJoin" in j for j in joins)
+    assert all("goal_source" in j for j in joins if "Broadcast" in j), joins
